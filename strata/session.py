@@ -33,6 +33,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.driver.memory", "16g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="strata-ckpt-"))
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="strata-wh-"))
     )
     for key, value in DEFAULTS.items():
         builder = builder.config(key, value)

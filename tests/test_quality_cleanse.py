@@ -1,0 +1,125 @@
+"""Cleansing and quality rules."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from strata.functions.names import sanitize_name
+from strata.operators.cleanse import clean_columns, sanitize_columns
+from strata.operators.quality import (
+    assert_unique,
+    duplicate_keys,
+    missing_json_keys,
+    missing_metadata,
+    observed_gate,
+    quality_gate,
+    quality_report,
+    require_non_empty,
+    row_profile,
+    same_rows,
+)
+
+RULES = {
+    "has_id": "series_id IS NOT NULL",
+    "known_period": "period IN ('Q01', 'Q02', 'Q03', 'Q04', 'Q05')",
+    "has_value": "value IS NOT NULL",
+}
+
+
+def test_sanitize_name():
+    assert sanitize_name(" Nation ID ") == "nation_id"
+    assert sanitize_name("Region.Key") == "region_key"
+    assert sanitize_name("__a--b__") == "a_b"
+
+
+def test_sanitize_columns_and_collision(spark):
+    df = spark.createDataFrame([(1, 2)], "`Nation ID` int, `Year-2` int")
+    assert sanitize_columns(df).columns == ["nation_id", "year_2"]
+    clash = spark.createDataFrame([(1, 2)], "`a b` int, `a-b` int")
+    with pytest.raises(ValueError):
+        sanitize_columns(clash)  # T17
+
+
+def test_clean_columns_try_cast_and_sentinel(spark):
+    # Malformed numbers become NULL instead of failing under ANSI mode.
+    df = spark.createDataFrame([(" 2015 ", " - ", "1.5 "), ("x", "2001", ""), ("2020", "n/a", "NaN")],
+                               "year string, base_year string, value string")
+    out = clean_columns(df, {"year": "int", "base_year": "int", "value": "double"}, null_tokens={"base_year": ["-"]})
+    rows = out.collect()
+    assert (rows[0].year, rows[0].base_year, rows[0].value) == (2015, None, 1.5)
+    assert (rows[1].year, rows[1].base_year, rows[1].value) == (None, 2001, None)
+    # T12: "NaN" casts to NaN (not NULL).
+    assert rows[2].value != rows[2].value
+
+
+def test_trim_removes_spaces_only(spark):
+    # Tabs survive trim.
+    df = spark.createDataFrame([("\t a \t",)], "s string")
+    assert clean_columns(df, {"s": None}).first().s == "\t a \t"
+
+
+def _obs(spark):
+    return spark.createDataFrame(
+        [("S1", "Q01", 1.0), (None, "Q01", 1.0), ("S1", None, 1.0), ("S1", "M13", 1.0), ("S1", "Q05", None)],
+        "series_id string, period string, value double",
+    )
+
+
+def test_quality_gate_null_rule_is_failure(spark):
+    # A NULL period makes the IN-rule NULL -> dropped.
+    kept, rejected = quality_gate(_obs(spark), RULES)
+    assert kept.count() == 1
+    fails = sorted(tuple(r.failed_rules) for r in rejected.collect())
+    assert fails == [("has_id",), ("has_value",), ("known_period",), ("known_period",)]
+
+
+def test_quality_report_counts(spark):
+    rep = {r.rule: (r.n_rows, r.n_failed) for r in quality_report(_obs(spark), RULES).collect()}
+    assert rep == {"has_id": (5, 1), "known_period": (5, 2), "has_value": (5, 1)}
+
+
+def test_observed_gate_counts_in_same_pass(spark, tmp_path):
+    kept, obs = observed_gate(_obs(spark), RULES, "obs_test")
+    kept.write.mode("overwrite").parquet(str(tmp_path / "kept"))
+    assert obs.get == {"rows": 5, "failed_has_id": 1, "failed_known_period": 2, "failed_has_value": 1}
+
+
+def test_duplicate_keys_and_assert_unique(spark):
+    df = spark.createDataFrame([(2013, 1), (2013, 2), (2014, 3)], "year int, p int")
+    assert [(r.year, r.n) for r in duplicate_keys(df, ["year"]).collect()] == [(2013, 2)]
+    with pytest.raises(ValueError):
+        assert_unique(df, ["year"])  # T14
+    assert assert_unique(df.filter(F.col("year") == 2014), ["year"]).count() == 1
+
+
+def test_missing_metadata(spark):
+    docs = spark.createDataFrame([(1,), (2,), (3,)], "doc_id long")
+    labels = spark.createDataFrame([(1, 1, 0), (2, None, 1)], "doc_id long, quality int, toxic int")
+    got = sorted(r.doc_id for r in missing_metadata(docs, labels, ["doc_id"], ["quality", "toxic"]).collect())
+    assert got == [2, 3]
+
+
+def test_row_profile(spark):
+    df = spark.createDataFrame([(1,), (1,), (2,), (None,)], "k long")
+    r = row_profile(df, "k").first()
+    assert (r.total_rows, r.distinct_keys) == (4, 2)
+
+
+def test_require_non_empty(spark):
+    with pytest.raises(ValueError):
+        require_non_empty(spark.createDataFrame([], "a int"), "inventory")
+
+
+def test_missing_json_keys_presence(spark):
+    df = spark.createDataFrame(
+        [(1, '{"columns": [], "data": []}'), (2, '{"data": null}'), (3, '{"x": 1}'), (4, "not json")],
+        "id long, js string",
+    )
+    out = {r.id: sorted(r.missing_keys) for r in missing_json_keys(df, "js", ["columns", "data"]).collect()}
+    assert out == {2: ["columns"], 3: ["columns", "data"], 4: ["columns", "data"]}
+
+
+def test_same_rows(spark):
+    a = spark.createDataFrame([(1, "a"), (1, "a")], "k int, v string")
+    b = spark.createDataFrame([(1, "a")], "k int, v string")
+    assert same_rows(a, a.select("v", "k"))
+    assert not same_rows(a, b)
