@@ -43,6 +43,12 @@ def q_best_year_by_series(spark: SparkSession, d: str) -> DataFrame:
     return gold.best_year_by_customer(t("orders"), t("customer"), t("nation"), t("region"))
 
 
+def q_raw_observations_best_year(spark: SparkSession, d: str) -> DataFrame:
+    t = lambda n: table(spark, d, n)
+    lines = derived.observation_lines(t("lineitem"))
+    return gold.best_year_from_raw_lines(lines, t("supplier"), t("nation"), t("region"))
+
+
 def q_range_mean_stddev(spark: SparkSession, d: str) -> DataFrame:
     stats = range_stats(table(spark, d, "orders"), "o_totalprice", F.year("o_orderdate"), 1996, 1998)
     return stats.select(F.round("mean_value", 4).alias("mean_value"), F.round("stddev_value", 4).alias("stddev_value"))
@@ -251,6 +257,7 @@ def entry(spark: SparkSession) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "best_year_by_series": q_best_year_by_series,
+        "raw_observations_best_year": q_raw_observations_best_year,
         "range_mean_stddev": q_range_mean_stddev,
         "series_with_context": q_series_with_context,
         "top_with_ties": q_top_with_ties,
@@ -310,6 +317,17 @@ SELECT b.o_custkey AS series_id, b.y AS best_year, ROUND(CAST(b.s AS DOUBLE), 3)
        concat_ws(' | ', c.c_mktsegment, n.n_name, g.r_name) AS series_description
 FROM b LEFT JOIN customer c ON b.o_custkey=c.c_custkey LEFT JOIN nation n ON c.c_nationkey=n.n_nationkey
        LEFT JOIN region g ON n.n_regionkey=g.r_regionkey""",
+        "raw_observations_best_year": """
+WITH obs AS (SELECT concat('PRS', l_suppkey) AS series_id, CAST(year(l_shipdate) AS INT) AS y,
+                    SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS s
+             FROM lineitem WHERE l_discount <> 0 AND l_extendedprice IS NOT NULL AND l_shipdate IS NOT NULL
+             GROUP BY l_suppkey, year(l_shipdate)),
+r AS (SELECT *, DENSE_RANK() OVER (PARTITION BY series_id ORDER BY s DESC) rk FROM obs),
+b AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY series_id ORDER BY y DESC) rn FROM r WHERE rk=1)
+SELECT b.series_id, b.y AS best_year, ROUND(CAST(b.s AS DOUBLE), 3) AS yearly_quarterly_sum,
+       b.rn=1 AS is_latest_best_year, n.n_name, g.r_name, concat_ws(' | ', n.n_name, g.r_name) AS series_description
+FROM b LEFT JOIN supplier su ON b.series_id = concat('PRS', su.s_suppkey)
+       LEFT JOIN nation n ON su.s_nationkey=n.n_nationkey LEFT JOIN region g ON n.n_regionkey=g.r_regionkey""",
         "range_mean_stddev": """
 SELECT ROUND(AVG(o_totalprice), 4) AS mean_value, ROUND(STDDEV_POP(o_totalprice), 4) AS stddev_value
 FROM orders WHERE year(o_orderdate) BETWEEN 1996 AND 1998""",

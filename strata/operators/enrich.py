@@ -9,16 +9,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Default row bound under which a dimension is broadcast after a checked count.
-BROADCAST_MAX_ROWS = 1_000_000
+# Only the join key and the carried columns are broadcast (see ``enrich``).
+BROADCAST_MAX_ROWS = 200_000
 
 
 def has_at_most(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows.
 
-    Counts ``max_rows + 1`` rows at most: each scan task stops after that many
-    rows, so checking a large table costs little.
+    ``take`` scans partitions incrementally (one, then a growing number) and
+    stops once ``max_rows + 1`` rows are found, so a huge table is rejected
+    after reading a few splits, not scanned in full. Only a constant column
+    is fetched: at most ``max_rows + 1`` tiny rows reach the driver.
     """
-    return df.limit(max_rows + 1).count() <= max_rows
+    return len(df.select(F.lit(1).alias("one")).take(max_rows + 1)) <= max_rows
 
 
 def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:

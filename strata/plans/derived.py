@@ -152,3 +152,22 @@ def event_properties(events: DataFrame) -> DataFrame:
         .otherwise(F.col("props"))
     )
     return events.select("event_id", js.alias("js"))
+
+
+def observation_lines(lineitem: DataFrame) -> DataFrame:
+    """``(line)``: one raw tab-separated observation per line item:
+    ``PRS<supplier>   \\t<ship year>\\t Q0<ship quarter>\\t  <price>\\t``.
+    Cells are padded; items without discount carry a malformed ``-`` value
+    and lose the row in the quality gate."""
+    value = F.when(F.col("l_discount") == 0, F.lit("-")).otherwise(
+        F.concat(F.lit("  "), F.col("l_extendedprice").cast("string"))
+    )
+    line = F.concat_ws(
+        "\t",
+        F.concat(F.lit("PRS"), F.col("l_suppkey").cast("string"), F.lit("   ")),
+        F.year("l_shipdate").cast("string"),
+        F.concat(F.lit(" Q0"), F.quarter("l_shipdate").cast("string")),
+        value,
+        F.lit(""),
+    )
+    return lineitem.select(line.alias("line"))

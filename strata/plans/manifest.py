@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from strata.operators.changes import action_counts, classify_changes, detect_removed
 from strata.operators.latest import latest_by_key
 from strata.operators.quality import require_non_empty
-from strata.schemas import CHANGED, FAILED, MANIFEST_SCHEMA, NEW, REMOVED, SUCCESS
+from strata.schemas import CHANGED, FAILED, MANIFEST_SCHEMA, NEW, REMOVED, SUCCESS, UNCHANGED
 from strata.session import materialize
 
 KEYS = ("source", "file_name")
@@ -93,6 +93,30 @@ def landing_records(
     )
 
 
+def content_records(
+    classified: DataFrame,
+    source: str,
+    *,
+    name_col: str = "file_name",
+    path_col: str = "file_path",
+    size_col: str = "file_size",
+    action_col: str = "action",
+    now=None,
+) -> DataFrame:
+    """Log rows for content compared by bytes (``classify_content``): only
+    NEW/CHANGED contents are written and logged, as SUCCESS with no source
+    time (the source publishes none)."""
+    return classified.filter(F.col(action_col) != UNCHANGED).select(
+        F.lit(source).alias("source"),
+        F.col(name_col).alias("file_name"),
+        F.col(path_col).alias("file_path"),
+        F.col(size_col).cast("bigint").alias("file_size"),
+        F.lit(None).cast("timestamp").alias("source_modified_time"),
+        _now(now).alias("ingestion_time"),
+        F.lit(SUCCESS).alias("status"),
+    )
+
+
 LOG_COLUMNS = [*MANIFEST_SCHEMA.fieldNames(), "listed_size"]
 
 

@@ -130,3 +130,16 @@ def test_multi_key_classification(spark):
     out = classify_changes(cur, prev, ["src", "name"], ["sz"]).orderBy("src")
     assert _action(out) == ["UNCHANGED", "NEW"]
     assert out.filter(F.col("src") == "A").first().prev_sz == 1
+
+
+def test_content_records_only_for_new_or_changed(spark):
+    from strata.plans.manifest import content_records
+
+    cur = spark.createDataFrame([("p.json", "/l/p.json", "abc")], "file_name string, file_path string, body string")
+    prev_same = spark.createDataFrame([("p.json", "abc")], "file_name string, body string")
+    prev_diff = spark.createDataFrame([("p.json", "abd")], "file_name string, body string")
+    for prev, n in ((prev_same, 0), (prev_diff, 1)):
+        classified = classify_content(cur, prev, ["file_name"], "body").withColumn("file_size", F.length("body"))
+        recs = content_records(classified, "POPULATION", now=RUN1).collect()
+        assert len(recs) == n
+    assert recs[0].source_modified_time is None and recs[0].status == "SUCCESS" and recs[0].file_size == 3
