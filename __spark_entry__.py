@@ -126,13 +126,13 @@ def q_removed_records(spark: SparkSession, d: str) -> DataFrame:
         "k", F.col("sz").alias("file_size"), F.col("m").alias("source_modified_time"), "status", "ingestion_time"
     )
     return removed_records(
-        removed, derived.THIS_RUN, ["k", "file_size", "source_modified_time", "ingestion_time", "status"]
+        removed, derived.run_time(), ["k", "file_size", "source_modified_time", "ingestion_time", "status"]
     )
 
 
 def q_landing_records(spark: SparkSession, d: str) -> DataFrame:
     landed = derived.landed_files(table(spark, d, "orders"))
-    records = landing_records(_classified(spark, d), landed, ["k"], size_col="sz", now=derived.THIS_RUN)
+    records = landing_records(_classified(spark, d), landed, ["k"], size_col="sz", now=derived.run_time())
     return records.select("k", "action", F.col("sz").alias("file_size"), "status", "size_mismatch")
 
 
@@ -141,9 +141,9 @@ def q_incremental_twice(spark: SparkSession, d: str) -> DataFrame:
     inventory = derived.as_manifest(derived.current_listing(orders), "orders").drop("k")
     log = derived.as_manifest(derived.previous_log(orders), "orders").drop("k")
     landed = inventory.select("file_name", F.col("file_size").alias("length"))
-    first = ingest_step(inventory, log, landed, "orders", now=derived.THIS_RUN)
+    first = ingest_step(inventory, log, landed, "orders", now=derived.run_time())
     grown = first.records().unionByName(log.withColumn("listed_size", F.col("file_size")), allowMissingColumns=True)
-    second = ingest_step(inventory, grown, landed, "orders", now=F.lit(derived.THIS_RUN) + F.expr("INTERVAL 1 DAY"))
+    second = ingest_step(inventory, grown, landed, "orders", now=derived.run_time() + F.expr("INTERVAL 1 DAY"))
     return second.counts()
 
 
@@ -165,7 +165,9 @@ def q_extract_links(spark: SparkSession, d: str) -> DataFrame:
 
 def q_listing_inventory(spark: SparkSession, d: str) -> DataFrame:
     pages = derived.listing_pages(table(spark, d, "part"))
-    return parse_listing(pages, "html", derived.LISTING_BASE, "pr.", keep=["page"])
+    inventory = parse_listing(pages, "html", derived.LISTING_BASE, "pr.", keep=["page"])
+    # listing times carry no zone: report the wall-clock time as timestamp_ntz
+    return inventory.withColumn("source_modified_time", F.col("source_modified_time").cast("timestamp_ntz"))
 
 
 def q_explode_records(spark: SparkSession, d: str) -> DataFrame:

@@ -21,6 +21,11 @@ THIS_RUN = datetime(2026, 1, 1)
 LISTING_BASE = "https://x.org/pub/"
 
 
+def run_time(when: datetime = THIS_RUN) -> Column:
+    """A fixed, zone-free run time (``timestamp_ntz``), equal in every session time zone."""
+    return F.lit(when.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
+
+
 def cents(price: str) -> Column:
     return F.round(F.col(price) * 100).cast("bigint")
 
@@ -52,7 +57,7 @@ def previous_log(orders: DataFrame) -> DataFrame:
         .when((pri == "4-NOT SPECIFIED") & (st == "P"), "FAILED")
         .otherwise("SUCCESS")
         .alias("status"),
-        F.lit(PREVIOUS_RUN).alias("ingestion_time"),
+        run_time(PREVIOUS_RUN).alias("ingestion_time"),
     )
 
 

@@ -110,3 +110,13 @@ def test_tables_published(spark, result):
     assert len([n for n in names if n.startswith("bronze_")]) == 11
     assert len([n for n in names if n.startswith("silver_")]) == 9
     assert len([n for n in names if n.startswith("gold_")]) == 3
+
+
+def test_sql_twins_match_dataframe_gold(spark, result):
+    from strata.plans.sql_twins import sql_parity
+
+    assert sql_parity(spark, result.tables, "medallion_test") == {
+        "gold_range_stats": True,
+        "gold_best_year": True,
+        "gold_series_with_population": True,
+    }
