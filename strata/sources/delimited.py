@@ -31,7 +31,14 @@ def read_delimited(
 def parse_delimited(
     df: DataFrame, line_col: str, schema: StructType, sep: str = "\t", keep: Iterable[str] = ()
 ) -> DataFrame:
-    """Parse a column of delimited lines with the same rules as ``read_delimited``."""
+    """Parse a column of delimited lines with the same rules as ``read_delimited``.
+
+    The parser runs once per line: it sits in a one-element ``explode``, a
+    Generate node that later filters cannot be pushed below. Otherwise
+    predicate pushdown would substitute ``from_csv(line)`` into every filter
+    and projection that reads a field, parsing each line several times.
+    """
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     parsed = F.from_csv(F.col(line_col), F.lit(ddl), {"sep": sep, "mode": "PERMISSIVE"})
-    return df.select(*keep, parsed.alias("__strata_rec")).select(*keep, "__strata_rec.*")
+    keep = list(keep)
+    return df.select(*keep, F.explode(F.array(parsed)).alias("__strata_rec")).select(*keep, "__strata_rec.*")

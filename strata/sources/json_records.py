@@ -44,8 +44,14 @@ def parse_json_records(
     outer: bool = False,
     keep: Iterable[str] = (),
 ) -> DataFrame:
-    """Same as ``read_json_records`` for documents held in a string column (row-parallel)."""
+    """Same as ``read_json_records`` for documents held in a string column (row-parallel).
+
+    The JSON parser runs once per document: it sits in a one-element
+    ``explode`` (a Generate node), so the non-empty-array filter Spark infers
+    for the record ``explode`` does not re-parse the document below it.
+    """
     keep = list(keep)
-    docs = df.select(*keep, F.from_json(F.col(json_col), schema).alias("__strata_doc"))
+    parsed = F.from_json(F.col(json_col), schema)
+    docs = df.select(*keep, F.explode(F.array(parsed)).alias("__strata_doc"))
     flat = explode_records(docs, f"__strata_doc.{array_col}", outer=outer, keep=keep)
     return sanitize_columns(flat)

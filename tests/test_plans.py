@@ -66,3 +66,10 @@ def test_series_filter_reaches_scan(spark):
 
 def test_preview_is_top_k(spark):
     assert "TakeOrderedAndProject" in plan(contract.q_preview(spark, SF))
+
+
+@pytest.mark.parametrize("name,fn", [("raw_observations_best_year", "from_csv("), ("read_delimited", "from_csv("),
+                                     ("explode_records", "from_json("), ("extract_links", "regexp_extract_all(")])
+def test_parsers_run_once_per_row(spark, name, fn):
+    # predicate pushdown / inferred filters must not re-evaluate a parser per referenced field
+    assert plan(contract.queries()[name](spark, SF)).count(fn) == 1
