@@ -13,6 +13,11 @@ from pyspark.sql import functions as F
 BROADCAST_MAX_ROWS = 200_000
 
 
+# Proven bounds, keyed by (plan, input files, bound). Files are immutable, so
+# new data means new files and a new key: a proof never outlives its inputs.
+_PROVEN: dict[tuple, bool] = {}
+
+
 def has_at_most(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows.
 
@@ -21,7 +26,10 @@ def has_at_most(df: DataFrame, max_rows: int) -> bool:
     after reading a few splits, not scanned in full. Only a constant column
     is fetched: at most ``max_rows + 1`` tiny rows reach the driver.
     """
-    return len(df.select(F.lit(1).alias("one")).take(max_rows + 1)) <= max_rows
+    key = (df.semanticHash(), tuple(sorted(df.inputFiles())), max_rows)
+    if key not in _PROVEN:
+        _PROVEN[key] = len(df.select(F.lit(1).alias("one")).take(max_rows + 1)) <= max_rows
+    return _PROVEN[key]
 
 
 def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
