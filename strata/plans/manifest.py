@@ -189,11 +189,18 @@ def read_log(spark: SparkSession, table: str) -> DataFrame:
     return empty_log(spark)
 
 
-def append_records(records: DataFrame, table: str) -> bool:
-    """Append rows to a log table; an empty input writes nothing. Returns whether rows were written."""
+def append_records(records: DataFrame, table: str, partition_by: Sequence[str] = ()) -> bool:
+    """Append rows to a log table; an empty input writes nothing. Returns whether rows were written.
+
+    ``partition_by=("source",)`` lays the log out by source, so reading one
+    source's state prunes to its folder instead of scanning every source.
+    """
     if records.isEmpty():
         return False
-    records.write.mode("append").format("parquet").saveAsTable(table)
+    writer = records.write.mode("append").format("parquet")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.saveAsTable(table)
     return True
 
 
@@ -218,5 +225,5 @@ def incremental_ingest(
     step = ingest_step(inventory, read_log(spark, log_table), landed, source, target_dir, now)
     records = materialize(step.records())
     counts = materialize(step.counts())
-    append_records(records, log_table)
+    append_records(records, log_table, partition_by=("source",))
     return counts
