@@ -381,9 +381,12 @@ FROM documents d LEFT JOIN p ON d.doc_id=p.doc_id""",
         "extract_links": r"""
 SELECT page_id, file_name FROM (
   SELECT page_id, split_part(regexp_replace(href, '/+$', ''), '/', -1) AS file_name FROM (
-    SELECT page_id, unnest(regexp_extract_all(regexp_replace(html, '(?s)<!--.*?-->', '', 'g'),
-                                              '(?i)<a\s[^>]*?href\s*=\s*"([^"]+)"', 1)) AS href
-    FROM pages) t) u
+    SELECT page_id,
+           replace(replace(replace(replace(replace(regexp_replace(raw, '^["'']|["'']$', '', 'g'),
+             '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&amp;', '&') AS href
+    FROM (SELECT page_id, unnest(regexp_extract_all(regexp_replace(html, '(?s)<!--.*?-->', '', 'g'),
+                                 '(?i)<a\s[^>]*?href\s*=\s*("[^"]*"|''[^'']*''|[^\s>"'']+)', 1)) AS raw
+          FROM pages) r) t) u
 WHERE file_name LIKE 't%'""",
         "listing_inventory": """
 SELECT p_partkey AS page, concat('pr.', p_partkey) AS file_name,

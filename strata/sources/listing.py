@@ -14,14 +14,24 @@ from pyspark.sql import functions as F
 
 from strata.functions.columns import basename, join_url, listing_timestamp
 
-# Fixed patterns. A link is an <a ...> tag with a double-quoted href; HTML
-# comments are removed first. A listing entry is
+# Fixed patterns. A link is an <a ...> tag whose href value is double-quoted,
+# single-quoted or bare; HTML comments are removed first. A listing entry is
 # "M/d/yyyy h:mm AM|PM  <size>  <A HREF="<href>"><name></A>", case-insensitive.
-LINK_HREF = r'(?i)<a\s[^>]*?href\s*=\s*"([^"]+)"'
+LINK_HREF = r"""(?i)<a\s[^>]*?href\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)"""
 HTML_COMMENT = r"(?s)<!--.*?-->"
 LISTING_ENTRY = (
     r'(?i)(\d{1,2}/\d{1,2}/\d{4}\s+\d{1,2}:\d{2}\s+[AP]M)\s+(\d+)\s+<A HREF="([^"]+)">({prefix}[^<]+)</A>'
 )
+# Character references decoded in attribute values (fixed values; "&amp;" last).
+ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&"))
+
+
+def attribute_value(raw: Column) -> Column:
+    """Strip the quotes around an attribute value and decode common character references."""
+    value = F.regexp_replace(raw, r"""^["']|["']$""", "")
+    for entity, char in ENTITIES:
+        value = F.replace(value, F.lit(entity), F.lit(char))
+    return value
 
 
 def extract_links(
@@ -34,7 +44,8 @@ def extract_links(
     keep = list(keep)
     text = F.regexp_replace(F.col(html_col), HTML_COMMENT, "")
     hrefs = F.regexp_extract_all(text, F.lit(LINK_HREF), 1)
-    links = df.select(*keep, F.explode(hrefs).alias("href")).withColumn(name_col, basename("href"))
+    raw = df.select(*keep, F.explode(hrefs).alias("__href"))
+    links = raw.select(*keep, attribute_value(F.col("__href")).alias("href")).withColumn(name_col, basename("href"))
     return links.filter(F.col(name_col).startswith(prefix)) if prefix else links
 
 

@@ -34,6 +34,15 @@ def test_extract_links_ignores_commented_links(spark):
     assert [r.file_name for r in extract_links(pages, "html", "pr.").collect()] == ["pr.a"]
 
 
+def test_extract_links_quoting_and_entities(spark):
+    html = (
+        "<a class=x href='/d/pr.one'>1</a> <A HREF=/d/pr.two>2</A> <a href=\"/d/pr.a&amp;b\">3</a>"
+        '<a href="">empty</a><abbr href="/d/pr.no">no</abbr>'
+    )
+    pages = spark.createDataFrame([(1, html)], "page_id long, html string")
+    assert [r.file_name for r in extract_links(pages, "html", "pr.").collect()] == ["pr.one", "pr.two", "pr.a&b"]
+
+
 def test_parse_listing_fields(spark):
     pages = spark.createDataFrame([(1, LISTING)], "page_id long, html string")
     rows = parse_listing(pages, "html", BASE, "pr.").collect()
