@@ -179,3 +179,14 @@ def test_ingest_step_is_lazy_and_side_effect_free(spark, log_rows):
     step = ingest_step(inv, log_rows([]), spark.createDataFrame([("pr.a", 10)], "file_name string, length long"), "BLS")
     recs = step.records().collect()
     assert [(r.file_name, r.status, r.source) for r in recs] == [("pr.a", "SUCCESS", "BLS")]
+
+
+def test_counts_are_fixed_before_the_append(spark):
+    # The run's classification is checkpointed before the log grows, so
+    # evaluating its counts later never sees the rows this run appended.
+    table = "log_lazy"
+    inv = _inv(spark, [("pr.a", "u/a", 10, T1)])
+    landed = spark.createDataFrame([("pr.a", 10)], "file_name string, length long")
+    first = incremental_ingest(spark, inv, landed, table, "BLS", now=RUN1)
+    incremental_ingest(spark, inv, landed, table, "BLS", now=RUN2)
+    assert {r.action: r.n for r in first.collect()} == {"NEW": 1}

@@ -80,7 +80,8 @@ def test_silver_typing(result):
     assert s.series_id == "PRS30006032" and s.base_year is None and s.begin_year == 1987
     assert s.seasonal_code == "S"
     pop = {r.year: r.population for r in result.tables["silver_population"].collect()}
-    # padded nation is trimmed before the gate, so it is kept; population truncates to long
+    # The padded nation is trimmed before the gate, so it is kept, not silently lost.
+    # Double -> long truncates toward zero in Spark (328239523.9 -> 328239523).
     assert pop[2011] == 3 and pop[2019] == 328239523 and 2012 not in pop
 
 
