@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 
+# Fixed value: every run of characters outside this class becomes "_".
 _NON_WORD = re.compile(r"[^a-zA-Z0-9_]+")
 
 

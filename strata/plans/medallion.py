@@ -206,6 +206,7 @@ def gold_series_with_population(
     out = series_with_context(
         observations, population.select("year", "population"), "year", "year", ["population"], where=where
     )
+    # Output column names are fixed values of the published question-3 table.
     return out.select("year", "series_id", "period", F.col("value").alias("bls_value"), "population")
 
 

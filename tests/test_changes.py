@@ -25,19 +25,19 @@ def test_new_when_not_in_log(spark, inventory, log_rows):
 
 def test_unchanged_when_same(spark, inventory, log_rows):
     inv = inventory([("pr.class", URL, 100, T6)])
-    log = log_rows([("BLS", "pr.class", "/l/pr.class", 100, T6, RUN1, "SUCCESS")])
+    log = log_rows([("SERIES", "pr.class", "/l/pr.class", 100, T6, RUN1, "SUCCESS")])
     assert _action(_classify(inv, log)) == ["UNCHANGED"]
 
 
 def test_changed_by_size(spark, inventory, log_rows):
     inv = inventory([("pr.class", URL, 200, T6)])
-    log = log_rows([("BLS", "pr.class", "/l/pr.class", 100, T6, RUN1, "SUCCESS")])
+    log = log_rows([("SERIES", "pr.class", "/l/pr.class", 100, T6, RUN1, "SUCCESS")])
     assert _action(_classify(inv, log)) == ["CHANGED"]
 
 
 def test_changed_by_time(spark, inventory, log_rows):
     inv = inventory([("pr.class", URL, 100, T6)])
-    log = log_rows([("BLS", "pr.class", "/l/pr.class", 100, T1, RUN1, "SUCCESS")])
+    log = log_rows([("SERIES", "pr.class", "/l/pr.class", 100, T1, RUN1, "SUCCESS")])
     assert _action(_classify(inv, log)) == ["CHANGED"]
 
 
@@ -45,8 +45,8 @@ def test_compares_with_latest_success_only(spark, inventory, log_rows):
     inv = inventory([("pr.class", URL, 100, T6)])
     log = log_rows(
         [
-            ("BLS", "pr.class", "/l/pr.class", 100, T6, RUN1, "SUCCESS"),
-            ("BLS", "pr.class", "/l/pr.class", 300, T6, RUN2, "FAILED"),
+            ("SERIES", "pr.class", "/l/pr.class", 100, T6, RUN1, "SUCCESS"),
+            ("SERIES", "pr.class", "/l/pr.class", 300, T6, RUN2, "FAILED"),
         ]
     )
     assert _action(_classify(inv, log)) == ["UNCHANGED"]
@@ -55,7 +55,7 @@ def test_compares_with_latest_success_only(spark, inventory, log_rows):
 def test_null_time_is_unchanged_unless_null_safe(spark, inventory, log_rows):
     # T4: a NULL comparison is not TRUE, so the three-valued test says UNCHANGED.
     inv = inventory([("pr.class", URL, 100, T6)])
-    log = log_rows([("BLS", "pr.class", "/l/pr.class", 100, None, RUN1, "SUCCESS")])
+    log = log_rows([("SERIES", "pr.class", "/l/pr.class", 100, None, RUN1, "SUCCESS")])
     assert _action(_classify(inv, log)) == ["UNCHANGED"]
     prev = latest_success(log).select("file_name", "file_size", "source_modified_time")
     strict = classify_changes(inv, prev, ["file_name"], ["file_size", "source_modified_time"], null_safe=True)
@@ -64,13 +64,13 @@ def test_null_time_is_unchanged_unless_null_safe(spark, inventory, log_rows):
 
 def test_null_time_but_size_differs_is_changed(spark, inventory, log_rows):
     inv = inventory([("pr.class", URL, 200, T6)])
-    log = log_rows([("BLS", "pr.class", "/l/pr.class", 100, None, RUN1, "SUCCESS")])
+    log = log_rows([("SERIES", "pr.class", "/l/pr.class", 100, None, RUN1, "SUCCESS")])
     assert _action(_classify(inv, log)) == ["CHANGED"]
 
 
 def test_removed_when_gone(spark, inventory, log_rows):
     inv = inventory([("pr.other", URL, 1, T6)])
-    log = log_rows([("BLS", "pr.class", "/l/pr.class", 100, T6, RUN1, "SUCCESS")])
+    log = log_rows([("SERIES", "pr.class", "/l/pr.class", 100, T6, RUN1, "SUCCESS")])
     removed = detect_removed(latest_state(log), inv, ["file_name"])
     assert [r.file_name for r in removed.collect()] == ["pr.class"]
 
@@ -79,8 +79,8 @@ def test_already_removed_is_not_repeated(spark, inventory, log_rows):
     inv = inventory([("pr.other", URL, 1, T6)])
     log = log_rows(
         [
-            ("BLS", "pr.class", "/l/pr.class", 100, T6, RUN1, "SUCCESS"),
-            ("BLS", "pr.class", "/l/pr.class", 100, T6, RUN2, "REMOVED"),
+            ("SERIES", "pr.class", "/l/pr.class", 100, T6, RUN1, "SUCCESS"),
+            ("SERIES", "pr.class", "/l/pr.class", 100, T6, RUN2, "REMOVED"),
         ]
     )
     assert detect_removed(latest_state(log), inv, ["file_name"]).count() == 0
@@ -91,17 +91,17 @@ def test_failed_item_is_never_removed(spark, inventory, log_rows):
     inv = inventory([("pr.other", URL, 1, T6)])
     log = log_rows(
         [
-            ("BLS", "pr.class", "/l/pr.class", 100, T6, RUN1, "SUCCESS"),
-            ("BLS", "pr.class", "/l/pr.class", 100, T6, RUN2, "FAILED"),
+            ("SERIES", "pr.class", "/l/pr.class", 100, T6, RUN1, "SUCCESS"),
+            ("SERIES", "pr.class", "/l/pr.class", 100, T6, RUN2, "FAILED"),
         ]
     )
     assert detect_removed(latest_state(log), inv, ["file_name"]).count() == 0
 
 
 def test_removed_record_shape(spark, log_rows):
-    log = log_rows([("BLS", "pr.class", "/l/pr.class", 100, T6, RUN1, "SUCCESS")])
+    log = log_rows([("SERIES", "pr.class", "/l/pr.class", 100, T6, RUN1, "SUCCESS")])
     rec = removed_records(log, RUN2).collect()[0]
-    assert (rec.source, rec.file_name, rec.file_path, rec.file_size) == ("BLS", "pr.class", "/l/pr.class", 100)
+    assert (rec.source, rec.file_name, rec.file_path, rec.file_size) == ("SERIES", "pr.class", "/l/pr.class", 100)
     assert rec.source_modified_time == T6 and rec.ingestion_time == RUN2 and rec.status == "REMOVED"
 
 

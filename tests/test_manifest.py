@@ -31,8 +31,8 @@ def test_manifest_schema_nullability():
 def test_latest_state_is_newest_row(log_rows):
     log = log_rows(
         [
-            ("BLS", "pr.class", "/l/a", 100, T6, RUN1, "SUCCESS"),
-            ("BLS", "pr.class", "/l/a", 100, T6, RUN2, "REMOVED"),
+            ("SERIES", "pr.class", "/l/a", 100, T6, RUN1, "SUCCESS"),
+            ("SERIES", "pr.class", "/l/a", 100, T6, RUN2, "REMOVED"),
         ]
     )
     assert [r.status for r in latest_state(log).collect()] == ["REMOVED"]
@@ -41,8 +41,8 @@ def test_latest_state_is_newest_row(log_rows):
 def test_latest_success_newer_version_wins(log_rows):
     log = log_rows(
         [
-            ("BLS", "pr.class", "/l/a", 100, T6, RUN1, "SUCCESS"),
-            ("BLS", "pr.class", "/l/a", 90, T1, RUN2, "SUCCESS"),
+            ("SERIES", "pr.class", "/l/a", 100, T6, RUN1, "SUCCESS"),
+            ("SERIES", "pr.class", "/l/a", 90, T1, RUN2, "SUCCESS"),
         ]
     )
     # Ordered by source version first, so an older version ingested later never wins.
@@ -52,9 +52,9 @@ def test_latest_success_newer_version_wins(log_rows):
 def test_latest_success_ignores_other_statuses(log_rows):
     log = log_rows(
         [
-            ("BLS", "pr.class", "/l/a", 100, T1, RUN1, "SUCCESS"),
-            ("BLS", "pr.class", "/l/a", 200, T6, RUN2, "FAILED"),
-            ("BLS", "pr.class", "/l/a", 300, T6, RUN2, "REMOVED"),
+            ("SERIES", "pr.class", "/l/a", 100, T1, RUN1, "SUCCESS"),
+            ("SERIES", "pr.class", "/l/a", 200, T6, RUN2, "FAILED"),
+            ("SERIES", "pr.class", "/l/a", 300, T6, RUN2, "REMOVED"),
         ]
     )
     assert [r.file_size for r in latest_success(log).collect()] == [100]
@@ -73,7 +73,7 @@ def test_latest_success_null_version_last(log_rows):
 def test_source_filter(log_rows):
     log = log_rows(
         [
-            ("BLS", "pr.class", "/l/a", 100, T6, RUN1, "SUCCESS"),
+            ("SERIES", "pr.class", "/l/a", 100, T6, RUN1, "SUCCESS"),
             ("POP", "population.json", "/l/p", 5, None, RUN1, "SUCCESS"),
         ]
     )
@@ -84,8 +84,8 @@ def test_ties_are_deterministic(log_rows):
     # Equal ingestion times -> remaining columns break the tie, same pick every time.
     log = log_rows(
         [
-            ("BLS", "pr.class", "/l/a", 100, T6, RUN1, "SUCCESS"),
-            ("BLS", "pr.class", "/l/a", 100, T6, RUN1, "FAILED"),
+            ("SERIES", "pr.class", "/l/a", 100, T6, RUN1, "SUCCESS"),
+            ("SERIES", "pr.class", "/l/a", 100, T6, RUN1, "FAILED"),
         ]
     )
     picks = {latest_state(log.repartition(3)).first().status for _ in range(3)}
@@ -129,9 +129,9 @@ def test_incremental_twice_is_idempotent(spark):
     table = "log_incremental"
     inv = _inv(spark, [("pr.a", "u/a", 10, T1), ("pr.b", "u/b", 20, T6)])
     landed = spark.createDataFrame([("pr.a", 10), ("pr.b", 21)], "file_name string, length long")
-    first = {r.action: r.n for r in incremental_ingest(spark, inv, landed, table, "BLS", "/raw", RUN1).collect()}
+    first = {r.action: r.n for r in incremental_ingest(spark, inv, landed, table, "SERIES", "/raw", RUN1).collect()}
     assert first == {"NEW": 2}
-    second = {r.action: r.n for r in incremental_ingest(spark, inv, landed, table, "BLS", "/raw", RUN2).collect()}
+    second = {r.action: r.n for r in incremental_ingest(spark, inv, landed, table, "SERIES", "/raw", RUN2).collect()}
     # the landed size differed for pr.b, but listed is compared with listed: still UNCHANGED
     assert second == {"UNCHANGED": 2}
     log = read_log(spark, table)
@@ -139,7 +139,7 @@ def test_incremental_twice_is_idempotent(spark):
     # the log is laid out by source: a per-source read prunes to one folder
     buf = io.StringIO()
     with contextlib.redirect_stdout(buf):
-        log.filter(F.col("source") == "BLS").explain()
+        log.filter(F.col("source") == "SERIES").explain()
     assert "PartitionFilters: [isnotnull(source" in buf.getvalue()
     assert log.filter(F.col("file_name") == "pr.b").first().file_size == 21
 
@@ -148,8 +148,8 @@ def test_failed_item_is_retried(spark):
     table = "log_retry"
     inv = _inv(spark, [("pr.a", "u/a", 10, T1)])
     nothing = spark.createDataFrame([], "file_name string, length long")
-    incremental_ingest(spark, inv, nothing, table, "BLS", now=RUN1)
-    again = {r.action: r.n for r in incremental_ingest(spark, inv, nothing, table, "BLS", now=RUN2).collect()}
+    incremental_ingest(spark, inv, nothing, table, "SERIES", now=RUN1)
+    again = {r.action: r.n for r in incremental_ingest(spark, inv, nothing, table, "SERIES", now=RUN2).collect()}
     assert again == {"NEW": 1}
     assert [r.status for r in read_log(spark, table).collect()] == ["FAILED", "FAILED"]
 
@@ -159,9 +159,9 @@ def test_removal_then_same_reappearance_stays_removed(spark):
     table = "log_reappear"
     full = _inv(spark, [("pr.a", "u/a", 10, T1), ("pr.b", "u/b", 20, T1)])
     landed = spark.createDataFrame([("pr.a", 10), ("pr.b", 20)], "file_name string, length long")
-    incremental_ingest(spark, full, landed, table, "BLS", now=RUN1)
-    incremental_ingest(spark, full.filter(F.col("file_name") == "pr.a"), landed, table, "BLS", now=RUN2)
-    third = {r.action: r.n for r in incremental_ingest(spark, full, landed, table, "BLS", now=datetime(2026, 9, 1)).collect()}
+    incremental_ingest(spark, full, landed, table, "SERIES", now=RUN1)
+    incremental_ingest(spark, full.filter(F.col("file_name") == "pr.a"), landed, table, "SERIES", now=RUN2)
+    third = {r.action: r.n for r in incremental_ingest(spark, full, landed, table, "SERIES", now=datetime(2026, 9, 1)).collect()}
     assert third == {"UNCHANGED": 2}
     state = {r.file_name: r.status for r in latest_state(read_log(spark, table)).collect()}
     assert state == {"pr.a": "SUCCESS", "pr.b": "REMOVED"}
@@ -171,14 +171,14 @@ def test_empty_inventory_is_rejected(spark):
     # An empty listing would mark every file REMOVED.
     with pytest.raises(ValueError):
         incremental_ingest(spark, _inv(spark, []), spark.createDataFrame([], "file_name string, length long"),
-                           "log_guard", "BLS")
+                           "log_guard", "SERIES")
 
 
 def test_ingest_step_is_lazy_and_side_effect_free(spark, log_rows):
     inv = _inv(spark, [("pr.a", "u/a", 10, T1)])
-    step = ingest_step(inv, log_rows([]), spark.createDataFrame([("pr.a", 10)], "file_name string, length long"), "BLS")
+    step = ingest_step(inv, log_rows([]), spark.createDataFrame([("pr.a", 10)], "file_name string, length long"), "SERIES")
     recs = step.records().collect()
-    assert [(r.file_name, r.status, r.source) for r in recs] == [("pr.a", "SUCCESS", "BLS")]
+    assert [(r.file_name, r.status, r.source) for r in recs] == [("pr.a", "SUCCESS", "SERIES")]
 
 
 def test_counts_are_fixed_before_the_append(spark):
@@ -187,6 +187,6 @@ def test_counts_are_fixed_before_the_append(spark):
     table = "log_lazy"
     inv = _inv(spark, [("pr.a", "u/a", 10, T1)])
     landed = spark.createDataFrame([("pr.a", 10)], "file_name string, length long")
-    first = incremental_ingest(spark, inv, landed, table, "BLS", now=RUN1)
-    incremental_ingest(spark, inv, landed, table, "BLS", now=RUN2)
+    first = incremental_ingest(spark, inv, landed, table, "SERIES", now=RUN1)
+    incremental_ingest(spark, inv, landed, table, "SERIES", now=RUN2)
     assert {r.action: r.n for r in first.collect()} == {"NEW": 1}
