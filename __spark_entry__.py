@@ -58,9 +58,7 @@ def q_series_with_context(spark: SparkSession, d: str) -> DataFrame:
     orders = table(spark, d, "orders").withColumn("yr", F.year("o_orderdate"))
     ctx = orders.filter(F.col("yr").between(1996, 1999)).groupBy("yr").agg(F.count(F.lit(1)).alias("n_orders"))
     items = table(spark, d, "lineitem").withColumn("yr", F.year("l_shipdate"))
-    out = series_with_context(
-        items, ctx, "yr", "yr", ["n_orders"], where=(F.col("l_partkey") == 17) & (F.col("l_returnflag") == "N")
-    )
+    out = series_with_context(items, ctx, "yr", "yr", ["n_orders"], where=F.col("l_returnflag") == "N")
     return out.select("yr", "l_orderkey", "l_linenumber", "l_quantity", "n_orders")
 
 
@@ -337,7 +335,7 @@ FROM orders WHERE year(o_orderdate) BETWEEN 1996 AND 1998""",
 WITH ctx AS (SELECT CAST(year(o_orderdate) AS INT) AS yr, COUNT(*) AS n_orders FROM orders
              WHERE year(o_orderdate) BETWEEN 1996 AND 1999 GROUP BY year(o_orderdate))
 SELECT CAST(year(l.l_shipdate) AS INT) AS yr, l.l_orderkey, l.l_linenumber, l.l_quantity, ctx.n_orders
-FROM lineitem l LEFT JOIN ctx ON year(l.l_shipdate)=ctx.yr WHERE l.l_partkey=17 AND l.l_returnflag='N'""",
+FROM lineitem l LEFT JOIN ctx ON year(l.l_shipdate)=ctx.yr WHERE l.l_returnflag='N'""",
         "top_with_ties": """
 WITH ys AS (SELECT o_custkey, CAST(year(o_orderdate) AS INT) AS y, COUNT(*) AS s FROM orders GROUP BY o_custkey, year(o_orderdate)),
 r AS (SELECT *, DENSE_RANK() OVER (PARTITION BY o_custkey ORDER BY s DESC) rk FROM ys)
