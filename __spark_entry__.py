@@ -231,7 +231,7 @@ def q_row_profile(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_duplicate_keys(spark: SparkSession, d: str) -> DataFrame:
-    return duplicate_keys(table(spark, d, "documents"), ["text"])
+    return duplicate_keys(table(spark, d, "documents"), ["text"], digest=True)
 
 
 def q_missing_metadata(spark: SparkSession, d: str) -> DataFrame:

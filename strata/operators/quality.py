@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from strata.functions.columns import rule_passes
+from strata.operators.enrich import BROADCAST_MAX_ROWS, has_at_most
 
 Rules = Mapping[str, "str | Column"]
 
@@ -61,9 +62,37 @@ def quality_report(df: DataFrame, rules: Rules) -> DataFrame:
     return one.select(F.inline(rows))
 
 
-def duplicate_keys(df: DataFrame, keys: Sequence[str], count_col: str = "n") -> DataFrame:
-    """Key values that occur more than once, with their count (partial counts before the shuffle)."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(count_col)).filter(F.col(count_col) > 1)
+def duplicate_keys(
+    df: DataFrame,
+    keys: Sequence[str],
+    count_col: str = "n",
+    *,
+    digest: bool = False,
+    max_rows: int = BROADCAST_MAX_ROWS,
+) -> DataFrame:
+    """Key values that occur more than once, with their count (partial counts before the shuffle).
+
+    ``digest=True`` is for long values such as whole texts: first only a
+    64-bit digest per row is counted (8 bytes cross the shuffle instead of
+    the text); when the digests seen more than once are proven few, they
+    are broadcast and only rows carrying them are counted by their real
+    value. A digest collision merely adds a candidate that the exact count
+    then discards, so the result is exact. Too many duplicates: plain count.
+    """
+    exact = lambda rows: (
+        rows.groupBy(*keys).agg(F.count(F.lit(1)).alias(count_col)).filter(F.col(count_col) > 1)
+    )
+    if not digest:
+        return exact(df)
+    h = F.xxhash64(*keys).alias("__strata_h")
+    repeated = (
+        df.select(h).groupBy("__strata_h").agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > 1)
+        .select("__strata_h")
+    )
+    if not has_at_most(repeated, max_rows):
+        return exact(df)
+    candidates = df.select(*keys, h).join(F.broadcast(repeated), "__strata_h", "left_semi")
+    return exact(candidates.drop("__strata_h"))
 
 
 def assert_unique(df: DataFrame, keys: Sequence[str], what: str = "dataset") -> DataFrame:

@@ -119,3 +119,15 @@ def test_hot_key_third_of_rows(spark):
                        period_col="p", sum_col="s", flag_col="f")
     hot = sorted((r.p, r.s) for r in sums.filter(F.col("k") == -1).collect())
     assert hot == [(0, 5000.0), (1, 5000.0)]
+
+
+@SETTINGS
+@given(texts=st.lists(st.one_of(st.none(), st.sampled_from(["a", "bb", "a b", "", "é"])), max_size=25))
+def test_duplicate_keys_digest_equals_plain(spark, texts):
+    from strata.operators.quality import duplicate_keys
+
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    plain = sorted((r.text or "<null>", r.n) for r in duplicate_keys(df, ["text"]).collect())
+    fast = sorted((r.text or "<null>", r.n) for r in duplicate_keys(df, ["text"], digest=True).collect())
+    assert fast == plain
+    assert sorted((r.text or "<null>", r.n) for r in duplicate_keys(df, ["text"], digest=True, max_rows=0).collect()) == plain
