@@ -32,6 +32,7 @@ from strata.plans.manifest import ingest_step, landing_records, latest_state, la
 from strata.plans.tables import table
 from strata.sources.delimited import parse_delimited
 from strata.sources.json_records import parse_json_records
+from strata.sources.landed import read_landed
 from strata.sources.listing import extract_links, parse_listing
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -161,6 +162,12 @@ def q_extract_links(spark: SparkSession, d: str) -> DataFrame:
     return extract_links(table(spark, d, "pages"), "html", "t", keep=["page_id"]).select("page_id", "file_name")
 
 
+def q_landed_files(spark: SparkSession, d: str) -> DataFrame:
+    # the driver's own parquet files, read as landed bytes and hashed on the executors
+    landed = read_landed(spark, d, "*.parquet", with_hash=True)
+    return landed.select("file_name", "length", "content_sha256")
+
+
 def q_listing_inventory(spark: SparkSession, d: str) -> DataFrame:
     pages = derived.listing_pages(table(spark, d, "part"))
     inventory = parse_listing(pages, "html", derived.LISTING_BASE, "pr.", keep=["page"])
@@ -271,6 +278,7 @@ def queries() -> dict[str, Query]:
         "incremental_twice": q_incremental_twice,
         "content_changes": q_content_changes,
         "extract_links": q_extract_links,
+        "landed_files": q_landed_files,
         "listing_inventory": q_listing_inventory,
         "explode_records": q_explode_records,
         "read_delimited": q_read_delimited,
@@ -386,6 +394,9 @@ SELECT page_id, file_name FROM (
                                  '(?i)<a\s[^>]*?href\s*=\s*("[^"]*"|''[^'']*''|[^\s>"'']+)', 1)) AS raw
           FROM pages) r) t) u
 WHERE file_name LIKE 't%'""",
+        "landed_files": """
+SELECT regexp_extract(filename, '[^/]+$') AS file_name, size AS length, sha256(content) AS content_sha256
+FROM read_blob('/root/testdata/sf0.01/*.parquet')""",
         "listing_inventory": """
 SELECT p_partkey AS page, concat('pr.', p_partkey) AS file_name,
        concat('https://x.org/pub/pr.', p_partkey) AS source_url,
