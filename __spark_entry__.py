@@ -7,8 +7,15 @@ independent oracle. Computed columns carry the same alias on both sides.
 
 from __future__ import annotations
 
+import os
+import sys
 from collections.abc import Callable
 
+# Make the package importable however this file is loaded (by path or as a module).
+_ROOT = os.path.dirname(os.path.abspath(__file__))
+if _ROOT not in sys.path:
+    sys.path.insert(0, _ROOT)
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
