@@ -1,0 +1 @@
+"""DataFrame -> DataFrame operators (built-in Spark expressions only)."""

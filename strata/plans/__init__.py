@@ -1,0 +1 @@
+"""Composed flows: ingestion log, document landing, medallion layers, gold questions."""

@@ -1,0 +1 @@
+"""Readers: delimited text, JSON record documents, listing pages, landed files."""

@@ -1,0 +1 @@
+"""Structured Streaming: incremental landing of new raw files."""
