@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from strata.operators.changes import action_counts, classify_changes, detect_removed
 from strata.operators.latest import latest_by_key
 from strata.operators.quality import require_non_empty
-from strata.schemas import CHANGED, FAILED, MANIFEST_SCHEMA, NEW, REMOVED, SUCCESS, UNCHANGED
+from strata.schemas import CHANGED, FAILED, MANIFEST_SCHEMA, NEW, REAPPEARED, REMOVED, SUCCESS, UNCHANGED
 from strata.session import materialize
 
 KEYS = ("source", "file_name")
@@ -73,13 +73,13 @@ def landing_records(
     action_col: str = "action",
     now=None,
 ) -> DataFrame:
-    """One record per NEW/CHANGED item: SUCCESS when a landed file exists
+    """One record per NEW/CHANGED (or REAPPEARED) item: SUCCESS when a landed file exists
     (``size_col`` becomes its actual size; ``size_mismatch`` when that differs
     from the listed size, kept in ``listed_size``), otherwise FAILED with the
     listed size. A FAILED item stays NEW/CHANGED against the latest success,
     so the next run retries it.
     """
-    todo = classified.filter(F.col(action_col).isin(NEW, CHANGED))
+    todo = classified.filter(F.col(action_col).isin(NEW, CHANGED, REAPPEARED))
     got = landed.select(*keys, F.col(landed_size).alias("__landed"))
     found = F.col("__landed").isNotNull()
     return (
@@ -148,19 +148,38 @@ def ingest_step(
     source: str,
     target_dir: str = "",
     now=None,
+    *,
+    reappeared: bool = False,
 ) -> StepResult:
     """One run, side-effect free: classify the listing against the latest
     SUCCESS per file (listed size against listed size, and source time),
     build landing records from what was actually landed, and mark SUCCESS
     items gone from the listing as REMOVED.
 
+    By default a file whose latest state is REMOVED and which comes back
+    unchanged against its latest SUCCESS stays UNCHANGED: it is not landed
+    again and its state stays REMOVED. ``reappeared=True`` labels it
+    REAPPEARED and lands it like a NEW file, so its state returns to SUCCESS.
+
     ``inventory``: ``INVENTORY_SCHEMA``; ``landed``: ``(file_name, length)``.
     """
     log = with_listed_size(log).filter(F.col("source") == source)
     prev = latest_success(log).select(
         "file_name", F.col("listed_size").alias("file_size"), "source_modified_time"
     )
+    state = latest_state(log)
     classified = classify_changes(inventory, prev, ["file_name"], list(TRACK))
+    if reappeared:
+        gone = state.filter(F.col("status") == REMOVED).select("file_name", F.lit(True).alias("__gone"))
+        classified = (
+            classified.join(gone, ["file_name"], "left")
+            .withColumn(
+                "action",
+                F.when((F.col("action") == UNCHANGED) & F.col("__gone").isNotNull(), F.lit(REAPPEARED))
+                .otherwise(F.col("action")),
+            )
+            .drop("__gone")
+        )
     prefix = target_dir.rstrip("/") + "/" if target_dir else ""
     landing = landing_records(classified, landed, ["file_name"], now=now).select(
         F.lit(source).alias("source"),
@@ -173,7 +192,7 @@ def ingest_step(
         "listed_size",
         "size_mismatch",
     )
-    removed = removed_records(detect_removed(latest_state(log), inventory, ["file_name"]), now, LOG_COLUMNS)
+    removed = removed_records(detect_removed(state, inventory, ["file_name"]), now, LOG_COLUMNS)
     return StepResult(classified, landing, removed)
 
 
@@ -212,6 +231,8 @@ def incremental_ingest(
     source: str,
     target_dir: str = "",
     now=None,
+    *,
+    reappeared: bool = False,
 ) -> DataFrame:
     """Whole incremental step against a log table; returns the action histogram.
 
@@ -222,7 +243,7 @@ def incremental_ingest(
     One writer per log table (appends to plain tables are not transactional).
     """
     require_non_empty(inventory, "source inventory")
-    step = ingest_step(inventory, read_log(spark, log_table), landed, source, target_dir, now)
+    step = ingest_step(inventory, read_log(spark, log_table), landed, source, target_dir, now, reappeared=reappeared)
     records = materialize(step.records())
     counts = materialize(step.counts())
     append_records(records, log_table, partition_by=("source",))

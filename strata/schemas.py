@@ -38,6 +38,7 @@ INVENTORY_SCHEMA = StructType(
 # Log status values and change actions (fixed values).
 SUCCESS, FAILED, REMOVED = "SUCCESS", "FAILED", "REMOVED"
 NEW, CHANGED, UNCHANGED = "NEW", "CHANGED", "UNCHANGED"
+REAPPEARED = "REAPPEARED"  # opt-in: removed earlier, listed again unchanged
 
 
 def _all_strings(*names: str) -> StructType:

@@ -190,3 +190,17 @@ def test_counts_are_fixed_before_the_append(spark):
     first = incremental_ingest(spark, inv, landed, table, "SERIES", now=RUN1)
     incremental_ingest(spark, inv, landed, table, "SERIES", now=RUN2)
     assert {r.action: r.n for r in first.collect()} == {"NEW": 1}
+
+
+def test_reappeared_is_opt_in(spark):
+    # T5 fix, opt-in: the file that came back is labelled REAPPEARED and landed, state returns to SUCCESS.
+    table = "log_reappear_opt_in"
+    full = _inv(spark, [("pr.a", "u/a", 10, T1), ("pr.b", "u/b", 20, T1)])
+    landed = spark.createDataFrame([("pr.a", 10), ("pr.b", 20)], "file_name string, length long")
+    incremental_ingest(spark, full, landed, table, "SERIES", now=RUN1, reappeared=True)
+    incremental_ingest(spark, full.filter(F.col("file_name") == "pr.a"), landed, table, "SERIES", now=RUN2,
+                       reappeared=True)
+    third = incremental_ingest(spark, full, landed, table, "SERIES", now=datetime(2026, 9, 1), reappeared=True)
+    assert {r.action: r.n for r in third.collect()} == {"UNCHANGED": 1, "REAPPEARED": 1}
+    state = {r.file_name: r.status for r in latest_state(read_log(spark, table)).collect()}
+    assert state == {"pr.a": "SUCCESS", "pr.b": "SUCCESS"}
