@@ -53,8 +53,9 @@ def join_url(base: str | Column, href: str | Column) -> Column:
     """
     base_c = F.lit(base) if isinstance(base, str) else base
     href_c = _col(href)
-    origin = F.regexp_extract(base_c, r"^([a-zA-Z][a-zA-Z0-9+.-]*://[^/]+)", 1)
-    directory = F.regexp_replace(base_c, r"[^/]*$", "")
+    origin = F.regexp_extract(base_c, r"^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]+)", 1)
+    path = F.regexp_extract(base_c, r"^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]+([^?#]*)", 1)
+    directory = F.concat(origin, F.when(path == "", F.lit("/")).otherwise(F.regexp_replace(path, r"[^/]*$", "")))
     return (
         F.when(href_c.rlike(r"^[a-zA-Z][a-zA-Z0-9+.-]*://"), href_c)
         .when(href_c.startswith("/"), F.concat(origin, href_c))

@@ -134,3 +134,24 @@ def test_read_landed_metadata_and_hash(spark, tmp_path):
     # Spark's file scan skips zero-byte files: an empty landing counts as not landed.
     assert "pr.b" not in got
     assert read_landed(spark, str(tmp_path)).filter(F.col("file_name") == "pr.a").count() == 1
+
+
+def test_join_url_shapes(spark):
+    from strata.functions.columns import join_url
+
+    cases = [
+        ("https://h.org/pub/pr/", "/x/pr.a", "https://h.org/x/pr.a"),
+        ("https://h.org/pub/pr/", "pr.a", "https://h.org/pub/pr/pr.a"),
+        ("https://h.org/pub/index.html", "pr.a", "https://h.org/pub/pr.a"),
+        ("https://h.org", "pr.a", "https://h.org/pr.a"),
+        ("https://h.org/pub/", "http://other.org/pr.a", "http://other.org/pr.a"),
+    ]
+    df = spark.createDataFrame([(b, h) for b, h, _ in cases], "base string, href string")
+    got = [r.u for r in df.select(join_url(F.col("base"), "href").alias("u")).collect()]
+    assert got == [want for _, _, want in cases]
+
+
+def test_listing_time_case_insensitive(spark):
+    html = ' 8/6/2026 8:30 pm   7 <a href="/p/PR.x">PR.x</a>'
+    row = parse_listing(spark.createDataFrame([(html,)], "html string"), "html", "https://h.org/p/").first()
+    assert row.file_name == "PR.x" and row.source_modified_time == datetime(2026, 8, 6, 20, 30)
