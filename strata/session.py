@@ -34,6 +34,11 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="strata-ckpt-"))
         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="strata-wh-"))
+        # Broadcast only sizes that are proven: explicit hints after a bounded
+        # count (strata.operators.enrich), or AQE on measured shuffle output;
+        # never the planner's guess from compressed file sizes.
+        .config("spark.sql.autoBroadcastJoinThreshold", "-1")
+        .config("spark.sql.adaptive.autoBroadcastJoinThreshold", "32m")
     )
     for key, value in DEFAULTS.items():
         builder = builder.config(key, value)
