@@ -131,3 +131,38 @@ def test_duplicate_keys_digest_equals_plain(spark, texts):
     fast = sorted((r.text or "<null>", r.n) for r in duplicate_keys(df, ["text"], digest=True).collect())
     assert fast == plain
     assert sorted((r.text or "<null>", r.n) for r in duplicate_keys(df, ["text"], digest=True, max_rows=0).collect()) == plain
+
+
+entry = st.tuples(
+    st.dates(min_value=__import__("datetime").date(1990, 1, 1), max_value=__import__("datetime").date(2030, 12, 31)),
+    st.integers(0, 23),
+    st.integers(0, 59),
+    st.integers(0, 10**9),
+    st.from_regex(r"[a-zA-Z0-9_]{1,12}(\.[a-zA-Z0-9]{1,5})?", fullmatch=True),
+    st.booleans(),
+    st.booleans(),
+)
+
+
+@SETTINGS
+@given(entries=st.lists(entry, min_size=1, max_size=6), noise=st.booleans())
+def test_parse_listing_round_trip(spark, entries, noise):
+    from datetime import datetime
+
+    from strata.sources.listing import parse_listing
+
+    lines, want = [], []
+    for day, hour, minute, size, stem, upper, absolute in entries:
+        h12 = hour % 12 or 12
+        ampm = ("AM" if hour < 12 else "PM") if upper else ("am" if hour < 12 else "pm")
+        name = f"pr.{stem}"
+        href = f"/pub/x/{name}" if absolute else name
+        tag = f'<A HREF="{href}">{name}</A>' if upper else f'<a href="{href}">{name}</a>'
+        lines.append(f" {day.month}/{day.day}/{day.year}  {h12}:{minute:02d} {ampm}   {size} {tag}<br>")
+        if noise:
+            lines.append(f" {day.month}/{day.day}/{day.year} {h12}:{minute:02d} {ampm} {size} <A HREF=\"/r\">readme</A><br>")
+        want.append((name, f"https://h.org/pub/x/{name}", size, datetime(day.year, day.month, day.day, hour, minute)))
+    pages = spark.createDataFrame([("\n".join(lines),)], "html string")
+    got = [(r.file_name, r.source_url, r.file_size, r.source_modified_time)
+           for r in parse_listing(pages, "html", "https://h.org/pub/x/").collect()]
+    assert got == want
