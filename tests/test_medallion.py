@@ -121,3 +121,17 @@ def test_sql_twins_match_dataframe_gold(spark, result):
         "gold_best_year": True,
         "gold_series_with_population": True,
     }
+
+
+def test_observations_partitioned_by_period(spark, result):
+    import contextlib
+    import io
+
+    from strata.plans.medallion import gold_series_with_population
+
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        gold_series_with_population(
+            result.tables["silver_observations"], result.tables["silver_population"], "PRS30006032"
+        ).explain()
+    assert "PartitionFilters: [isnotnull(period" in buf.getvalue() and "(period" in buf.getvalue()
