@@ -54,7 +54,10 @@ def best_period(
 
     ``exact_scale`` sums ``decimal(exact_precision, exact_scale)`` instead of
     double so that equal totals rank equal whatever the row order; the sum is
-    returned as double. ``min_count`` drops periods with fewer rows.
+    returned as double. Exact sums need finite values that fit that decimal:
+    NaN or an out-of-range value fails the job rather than being dropped
+    (gate them upstream, e.g. with a ``NOT isnan(value)`` rule).
+    ``min_count`` drops periods with fewer rows.
 
     Plan: filter -> partial sum (map-side combine) -> exchange on
     (series, period) -> final sum -> exchange on series -> two windows sharing

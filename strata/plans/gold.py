@@ -13,7 +13,7 @@ from strata.operators.analytics import best_period
 from strata.operators.cleanse import clean_columns
 from strata.operators.enrich import DimSpec, describe, enrich
 from strata.operators.quality import quality_gate
-from strata.plans.medallion import OBSERVATION_RULES
+from strata.plans.medallion import FINITE_VALUE_RULE, OBSERVATION_RULES
 from strata.schemas import OBSERVATIONS_RAW
 from strata.sources.delimited import parse_delimited
 
@@ -61,7 +61,7 @@ def best_year_from_raw_lines(lines: DataFrame, supplier: DataFrame, nation: Data
     silver = clean_columns(
         raw, {"series_id": None, "year": "int", "period": None, "value": "double", "footnote_codes": None}
     )
-    kept, _ = quality_gate(silver, OBSERVATION_RULES)
+    kept, _ = quality_gate(silver, {**OBSERVATION_RULES, **FINITE_VALUE_RULE})
     best = best_period(
         kept,
         "series_id",

@@ -58,6 +58,9 @@ OBSERVATION_RULES = {
     "AND period IN ('Q01', 'Q02', 'Q03', 'Q04', 'Q05') AND value IS NOT NULL",
 }
 SERIES_RULES = {"valid_series": "series_id IS NOT NULL"}
+# "NaN" text casts to NaN, which passes "value IS NOT NULL" but has no exact
+# decimal form and would rank above every number; rejected (and counted) by default.
+FINITE_VALUE_RULE = {"finite_value": "NOT isnan(value)"}
 
 
 def population_rules(nation: str) -> dict[str, str]:
@@ -113,9 +116,10 @@ class Silver:
     rules: dict[str, Mapping[str, str]] = field(default_factory=dict)
 
 
-def build_silver(bronze: Mapping[str, DataFrame], nation: str = "United States") -> Silver:
+def build_silver(bronze: Mapping[str, DataFrame], nation: str = "United States", reject_nan: bool = True) -> Silver:
     """Trimmed, typed (``try_cast``) silver frames; the gated ones are returned
-    ungated here with their rules, so ``run_medallion`` can count drops while writing."""
+    ungated here with their rules, so ``run_medallion`` can count drops while writing.
+    ``reject_nan=False`` keeps NaN observations, as the plain validity rule does."""
     obs = clean_columns(
         bronze["bronze_all_data"],
         {"series_id": None, "year": "int", "period": None, "value": "double", "footnote_codes": None},
@@ -149,7 +153,7 @@ def build_silver(bronze: Mapping[str, DataFrame], nation: str = "United States")
         "silver_population": population,
     }
     rules = {
-        "silver_observations": OBSERVATION_RULES,
+        "silver_observations": {**OBSERVATION_RULES, **(FINITE_VALUE_RULE if reject_nan else {})},
         "silver_series": SERIES_RULES,
         "silver_population": population_rules(nation),
     }
@@ -237,6 +241,7 @@ def run_medallion(
     period: str = "Q01",
     years: tuple[int, int] = (2013, 2018),
     check_unique_context: bool = True,
+    reject_nan: bool = True,
 ) -> MedallionResult:
     """Publish bronze, silver and gold tables in order; return them and the
     per-rule drop counts gathered while the silver tables were written."""
@@ -248,7 +253,7 @@ def run_medallion(
     for name, df in raw.items():
         out[name] = publish(df, db(name), comments[name])
 
-    silver = build_silver(out, nation)
+    silver = build_silver(out, nation, reject_nan)
     quality: dict[str, dict[str, int]] = {}
     # Observations by period code (five values): question 3 reads one folder,
     # question 2 skips the annual-average folder.

@@ -22,6 +22,7 @@ OBS_LINES = [
     "PRS30006032\t2021\tQ03\t\t",  # empty value -> dropped
     "PRS30006032\t2021\tM13\t9.0\t",  # period outside the five codes -> dropped
     "PRSMISSING\t2020\tQ01\t7.0\t",  # series missing from the dimension
+    "PRS30006032\t2019\tQ04\tNaN\t",  # NaN: passes "value IS NOT NULL", rejected as not finite
 ]
 SERIES = (
     "series_id\tsector_code\tclass_code\tmeasure_code\tduration_code\tseasonal\tbase_year\tfootnote_codes\t"
@@ -70,7 +71,7 @@ def result(spark, tmp_path_factory):
 
 def test_quality_counts(result):
     q = result.quality
-    assert q["silver_observations"] == {"rows": 13, "failed_valid_observation": 3}
+    assert q["silver_observations"] == {"rows": 14, "failed_valid_observation": 3, "failed_finite_value": 1}
     assert q["silver_series"] == {"rows": 1, "failed_valid_series": 0}
     assert q["silver_population"] == {"rows": 10, "failed_valid_population": 2}
 
