@@ -58,18 +58,26 @@ def apply_defaults(spark: SparkSession) -> SparkSession:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    Raises when the session names none: a machine-local fallback would not
-    survive executor loss on a cluster.
+    Reads the session's setting (the cluster names it); under Spark Connect,
+    where there is no local SparkContext, the server applies it itself.
+    Raises when none is named: a machine-local fallback would not survive
+    executor loss on a cluster.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
-    if not configured:
-        raise RuntimeError("spark.checkpoint.dir is not set; name a shared folder for reliable checkpoints")
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir() or configured
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect
+        sc = None
+    if sc is not None:
+        current = sc.getCheckpointDir()
+        if current:
+            return current
+        if configured:
+            sc.setCheckpointDir(configured)
+            return sc.getCheckpointDir() or configured
+    elif configured:
+        return configured
+    raise RuntimeError("spark.checkpoint.dir is not set; name a shared folder for reliable checkpoints")
 
 
 def materialize(df: DataFrame) -> DataFrame:
