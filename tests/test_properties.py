@@ -166,3 +166,26 @@ def test_parse_listing_round_trip(spark, entries, noise):
     got = [(r.file_name, r.source_url, r.file_size, r.source_modified_time)
            for r in parse_listing(pages, "html", "https://h.org/pub/x/").collect()]
     assert got == want
+
+
+cell = st.from_regex(r"[a-z0-9 .\-]{0,6}", fullmatch=True)
+
+
+@SETTINGS
+@given(rows=st.lists(st.lists(cell, min_size=1, max_size=4), min_size=1, max_size=12))
+def test_parse_delimited_matches_split(spark, rows):
+    # T1 semantics: fields bind by position, blanks inside cells are kept,
+    # an empty cell or a missing trailing field is NULL, extra fields are dropped.
+    from pyspark.sql.types import StringType, StructField, StructType
+
+    from strata.sources.delimited import parse_delimited
+
+    schema = StructType([StructField(f"c{i}", StringType()) for i in range(3)])
+    lines = ["\t".join(r) for r in rows]
+    got = [tuple(r) for r in parse_delimited(spark.createDataFrame([(x,) for x in lines], "line string"),
+                                             "line", schema).collect()]
+    want = []
+    for r in rows:
+        fields = (list(r) + [None, None, None])[:3]
+        want.append(tuple(None if f == "" else f for f in fields))
+    assert got == want
