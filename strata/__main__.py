@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from strata.plans.manifest import incremental_ingest
 from strata.plans.medallion import run_medallion
-from strata.session import apply_defaults, local_session
+from strata.session import apply_defaults, local_session, use_measured_broadcast
 from strata.sources.landed import read_landed
 from strata.sources.listing import parse_listing
 
@@ -25,7 +25,8 @@ from strata.sources.listing import parse_listing
 def _session(args) -> SparkSession:
     if args.local:
         return local_session("*")
-    return apply_defaults(SparkSession.builder.appName("strata").getOrCreate())
+    spark = apply_defaults(SparkSession.builder.appName("strata").getOrCreate())
+    return use_measured_broadcast(spark) if args.measured_broadcast else spark
 
 
 def _medallion(spark: SparkSession, args) -> dict:
@@ -56,6 +57,9 @@ def _ingest(spark: SparkSession, args) -> dict:
 def main(argv: list[str] | None = None) -> dict:
     parser = argparse.ArgumentParser(prog="strata")
     parser.add_argument("--local", action="store_true", help="run on a local session (tests, laptops)")
+    parser.add_argument(
+        "--measured-broadcast", action="store_true", help="broadcast only sides whose measured size is small"
+    )
     sub = parser.add_subparsers(dest="command", required=True)
 
     m = sub.add_parser("medallion", help="publish bronze, silver and gold tables")

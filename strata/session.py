@@ -55,6 +55,16 @@ def apply_defaults(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def use_measured_broadcast(spark: SparkSession, adaptive_threshold: str = "32m") -> SparkSession:
+    """Broadcast only sizes that are measured: turn off the planner's broadcast
+    guess from file statistics and let AQE broadcast a side whose materialised
+    shuffle output is under ``adaptive_threshold``. Explicit hints (issued by
+    ``strata.operators.enrich`` after a bounded count) still apply."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", adaptive_threshold)
+    return spark
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 

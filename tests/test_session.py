@@ -59,3 +59,12 @@ def test_unset_raises_instead_of_local_fallback():
 
 def test_test_session_names_a_folder(spark):
     assert checkpoint_dir(spark)
+
+
+def test_use_measured_broadcast(spark):
+    from strata.session import use_measured_broadcast
+
+    use_measured_broadcast(spark, "16m")
+    assert spark.conf.get("spark.sql.autoBroadcastJoinThreshold") == "-1"
+    assert spark.conf.get("spark.sql.adaptive.autoBroadcastJoinThreshold") == "16m"
+    use_measured_broadcast(spark)  # back to the test session's setting
