@@ -208,17 +208,25 @@ def read_log(spark: SparkSession, table: str) -> DataFrame:
     return empty_log(spark)
 
 
-def append_records(records: DataFrame, table: str, partition_by: Sequence[str] = ()) -> bool:
+def append_records(
+    records: DataFrame, table: str, partition_by: Sequence[str] = (), buckets: int | None = None
+) -> bool:
     """Append rows to a log table; an empty input writes nothing. Returns whether rows were written.
 
     ``partition_by=("source",)`` lays the log out by source, so reading one
     source's state prunes to its folder instead of scanning every source.
+    ``buckets=n`` also hashes rows into ``n`` buckets by ``file_name``: a read
+    of the log is then already partitioned by file name, so the latest-state
+    windows run without shuffling the (ever-growing) log and the join with
+    the listing shuffles only the listing. Keep ``n`` fixed for a table.
     """
     if records.isEmpty():
         return False
     writer = records.write.mode("append").format("parquet")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+    if buckets:
+        writer = writer.bucketBy(buckets, "file_name").sortBy("file_name")
     writer.saveAsTable(table)
     return True
 
@@ -233,6 +241,7 @@ def incremental_ingest(
     now=None,
     *,
     reappeared: bool = False,
+    log_buckets: int | None = None,
 ) -> DataFrame:
     """Whole incremental step against a log table; returns the action histogram.
 
@@ -246,5 +255,5 @@ def incremental_ingest(
     step = ingest_step(inventory, read_log(spark, log_table), landed, source, target_dir, now, reappeared=reappeared)
     records = materialize(step.records())
     counts = materialize(step.counts())
-    append_records(records, log_table, partition_by=("source",))
+    append_records(records, log_table, partition_by=("source",), buckets=log_buckets)
     return counts

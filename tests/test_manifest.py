@@ -204,3 +204,16 @@ def test_reappeared_is_opt_in(spark):
     assert {r.action: r.n for r in third.collect()} == {"UNCHANGED": 1, "REAPPEARED": 1}
     state = {r.file_name: r.status for r in latest_state(read_log(spark, table)).collect()}
     assert state == {"pr.a": "SUCCESS", "pr.b": "SUCCESS"}
+
+
+def test_bucketed_log_needs_no_shuffle_for_state(spark):
+    table = "log_bucketed"
+    inv = _inv(spark, [("pr.a", "u/a", 10, T1), ("pr.b", "u/b", 20, T6)])
+    landed = spark.createDataFrame([("pr.a", 10), ("pr.b", 20)], "file_name string, length long")
+    incremental_ingest(spark, inv, landed, table, "SERIES", now=RUN1, log_buckets=4)
+    again = incremental_ingest(spark, inv, landed, table, "SERIES", now=RUN2, log_buckets=4)
+    assert {r.action: r.n for r in again.collect()} == {"UNCHANGED": 2}
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        latest_state(read_log(spark, table), ["file_name"]).explain()
+    assert "Exchange" not in buf.getvalue() and "Bucketed: true" in buf.getvalue()
