@@ -208,6 +208,16 @@ def read_log(spark: SparkSession, table: str) -> DataFrame:
     return empty_log(spark)
 
 
+def table_latest_state(spark: SparkSession, table: str, source: str) -> DataFrame:
+    """Latest log row per file of one source, read from a log table (prunes to the source's folder)."""
+    return latest_state(read_log(spark, table).filter(F.col("source") == source))
+
+
+def table_latest_success(spark: SparkSession, table: str, source: str) -> DataFrame:
+    """Latest SUCCESS row per file of one source, read from a log table."""
+    return latest_success(read_log(spark, table).filter(F.col("source") == source))
+
+
 def append_records(
     records: DataFrame, table: str, partition_by: Sequence[str] = (), buckets: int | None = None
 ) -> bool:

@@ -217,3 +217,21 @@ def test_bucketed_log_needs_no_shuffle_for_state(spark):
     with contextlib.redirect_stdout(buf):
         latest_state(read_log(spark, table), ["file_name"]).explain()
     assert "Exchange" not in buf.getvalue() and "Bucketed: true" in buf.getvalue()
+
+
+def test_table_readers_filter_one_source(spark):
+    from strata.plans.manifest import table_latest_state, table_latest_success
+
+    table = "log_two_sources"
+    rows = spark.createDataFrame(
+        [
+            ("SERIES", "pr.a", "/l/a", 10, T1, RUN1, "SUCCESS"),
+            ("SERIES", "pr.a", "/l/a", 10, T1, RUN2, "REMOVED"),
+            ("POP", "p.json", "/l/p", 5, None, RUN1, "SUCCESS"),
+        ],
+        MANIFEST_SCHEMA,
+    )
+    append_records(rows, table, partition_by=("source",))
+    assert [(r.file_name, r.status) for r in table_latest_state(spark, table, "SERIES").collect()] == [("pr.a", "REMOVED")]
+    assert [(r.file_name, r.status) for r in table_latest_success(spark, table, "SERIES").collect()] == [("pr.a", "SUCCESS")]
+    assert [r.file_name for r in table_latest_state(spark, table, "POP").collect()] == ["p.json"]
