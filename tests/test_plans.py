@@ -35,10 +35,18 @@ def test_best_year_plan(spark):
     assert "o_orderpriority" not in p  # unused columns are not read
 
 
-def test_latest_state_limits_before_shuffle(spark):
-    p = plan(contract.q_latest_state(spark, SF))
-    partial = p.index("WindowGroupLimit")
-    assert "Partial" in p[partial: p.index("\n", partial)] or p.count("WindowGroupLimit") == 2
+def _line_of(lines, *needles):
+    return next(i for i, line in enumerate(lines) if all(n in line for n in needles))
+
+
+@pytest.mark.parametrize("name", ["latest_state", "latest_success", "top_with_ties", "change_actions"])
+def test_rank_filter_limits_before_shuffle(spark, name):
+    # the plan prints parents first: the Partial limit must sit below (run before) the exchange
+    lines = plan(contract.queries()[name](spark, SF)).splitlines()
+    final = _line_of(lines, "WindowGroupLimit", "Final")
+    exchange = _line_of(lines[final:], "Exchange hashpartitioning") + final
+    partial = _line_of(lines[exchange:], "WindowGroupLimit", "Partial") + exchange
+    assert final < exchange < partial
 
 
 def test_row_local_queries_do_not_shuffle(spark):
