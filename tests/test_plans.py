@@ -81,3 +81,19 @@ def test_preview_is_top_k(spark):
 def test_parsers_run_once_per_row(spark, name, fn):
     # predicate pushdown / inferred filters must not re-evaluate a parser per referenced field
     assert plan(contract.queries()[name](spark, SF)).count(fn) == 1
+
+
+def test_big_dimension_join_reuses_window_partitioning(spark, monkeypatch):
+    # customer too big to broadcast: only customer shuffles; the best rows keep
+    # the o_custkey partitioning of the windows (2 exchanges) for the join.
+    import strata.operators.enrich as enrich_mod
+
+    monkeypatch.setattr(enrich_mod, "has_at_most", lambda df, n: df.count() <= 100)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        p = plan(contract.q_best_year_by_series(spark, SF))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert "SortMergeJoin [o_custkey" in p
+    assert p.count("Exchange hashpartitioning") == 3
+    assert p.count("BroadcastExchange") == 2  # nation, region
