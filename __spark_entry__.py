@@ -397,7 +397,9 @@ SELECT page_id, file_name FROM (
     SELECT page_id,
            replace(replace(replace(replace(replace(regexp_replace(raw, '^["'']|["'']$', '', 'g'),
              '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&amp;', '&') AS href
-    FROM (SELECT page_id, unnest(regexp_extract_all(regexp_replace(html, '(?s)<!--.*?-->', '', 'g'),
+    FROM (SELECT page_id, unnest(regexp_extract_all(
+            regexp_replace(regexp_replace(regexp_replace(html, '(?s)<!--.*?-->', '', 'g'),
+              '(?is)<script\b[^>]*>.*?</script\s*>', '', 'g'), '(?is)<style\b[^>]*>.*?</style\s*>', '', 'g'),
                                  '(?i)<a\s[^>]*?href\s*=\s*("[^"]*"|''[^'']*''|[^\s>"'']+)', 1)) AS raw
           FROM pages) r) t) u
 WHERE file_name LIKE 't%'""",

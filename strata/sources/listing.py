@@ -15,10 +15,13 @@ from pyspark.sql import functions as F
 from strata.functions.columns import basename, join_url, listing_timestamp
 
 # Fixed patterns. A link is an <a ...> tag whose href value is double-quoted,
-# single-quoted or bare; HTML comments are removed first. A listing entry is
+# single-quoted or bare; HTML comments and script/style blocks are removed
+# first. A listing entry is
 # "M/d/yyyy h:mm AM|PM  <size>  <A HREF="<href>"><name></A>", case-insensitive.
 LINK_HREF = r"""(?i)<a\s[^>]*?href\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)"""
 HTML_COMMENT = r"(?s)<!--.*?-->"
+# Raw-text elements: their content is not markup, so links inside do not count.
+HTML_RAW_TEXT = (r"(?is)<script\b[^>]*>.*?</script\s*>", r"(?is)<style\b[^>]*>.*?</style\s*>")
 LISTING_ENTRY = (
     r'(?i)(\d{1,2}/\d{1,2}/\d{4}\s+\d{1,2}:\d{2}\s+[AP]M)\s+(\d+)\s+<A HREF="([^"]+)">({prefix}[^<]+)</A>'
 )
@@ -43,6 +46,8 @@ def extract_links(
     """
     keep = list(keep)
     text = F.regexp_replace(F.col(html_col), HTML_COMMENT, "")
+    for block in HTML_RAW_TEXT:
+        text = F.regexp_replace(text, block, "")
     hrefs = F.regexp_extract_all(text, F.lit(LINK_HREF), 1)
     raw = df.select(*keep, F.explode(hrefs).alias("__href"))
     links = raw.select(*keep, attribute_value(F.col("__href")).alias("href")).withColumn(name_col, basename("href"))

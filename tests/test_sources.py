@@ -34,6 +34,13 @@ def test_extract_links_ignores_commented_links(spark):
     assert [r.file_name for r in extract_links(pages, "html", "pr.").collect()] == ["pr.a"]
 
 
+def test_extract_links_skips_script_and_style(spark):
+    html = ('<script>var s = \'<a href="/d/pr.fake">x</a>\';</script><STYLE>a[href="/d/pr.css"]{}</STYLE>'
+            '<a href="/d/pr.real">r</a>')
+    pages = spark.createDataFrame([(1, html)], "page_id long, html string")
+    assert [r.file_name for r in extract_links(pages, "html", "pr.").collect()] == ["pr.real"]
+
+
 def test_extract_links_quoting_and_entities(spark):
     html = (
         "<a class=x href='/d/pr.one'>1</a> <A HREF=/d/pr.two>2</A> <a href=\"/d/pr.a&amp;b\">3</a>"
