@@ -229,6 +229,10 @@ def append_records(
     of the log is then already partitioned by file name, so the latest-state
     windows run without shuffling the (ever-growing) log and the join with
     the listing shuffles only the listing. Keep ``n`` fixed for a table.
+    Trade-off: all rows of one file name share a bucket, so a file with a
+    huge share of the log (e.g. failing on every run for years) is read by
+    one task; leave bucketing off when the log can be that skewed (the
+    unbucketed plan limits each key per map task before its shuffle).
     """
     if records.isEmpty():
         return False
