@@ -48,7 +48,9 @@ BRONZE_SPECS = (
     RawSpec("bronze_sector", "series", "pr.sector", S.SECTOR_RAW, comment="Raw sector codes."),
     RawSpec("bronze_current", "series", "pr.data.0.Current", S.OBSERVATIONS_RAW, comment="Raw current observations."),
     RawSpec("bronze_all_data", "series", "pr.data.1.AllData", S.OBSERVATIONS_RAW, comment="Raw observations."),
-    RawSpec("bronze_population", "context", "population.json", S.POPULATION_DOCUMENT, "json", "Raw population records."),
+    RawSpec(
+        "bronze_population", "context", "population.json", S.POPULATION_DOCUMENT, "json", "Raw population records."
+    ),
 )
 
 # Quality rules (fixed). A row is kept only when its rule is TRUE.
@@ -148,7 +150,9 @@ def build_silver(bronze: Mapping[str, DataFrame], nation: str = "United States",
         "silver_class": _dim(bronze["bronze_class"], "class_code", "class_text"),
         "silver_duration": _dim(bronze["bronze_duration"], "duration_code", "duration_text"),
         "silver_seasonal": clean_columns(bronze["bronze_seasonal"], {"seasonal_code": None, "seasonal_text": None}),
-        "silver_period": clean_columns(bronze["bronze_period"], {"period": None, "period_abbr": None, "period_name": None}),
+        "silver_period": clean_columns(
+            bronze["bronze_period"], {"period": None, "period_abbr": None, "period_name": None}
+        ),
         "silver_series": series,
         "silver_population": population,
     }
