@@ -14,7 +14,9 @@ def read_landed(spark: SparkSession, path: str, glob: str | None = None, *, with
     Content bytes are only read when ``with_hash`` is set; the hash is
     computed on the executors, so file bodies never reach the driver.
     Zero-byte files are skipped by Spark's file scan, so an empty landing
-    shows as not landed (FAILED), never as a silent success.
+    shows as not landed (FAILED), never as a silent success. With
+    ``with_hash`` each file is one row: it must fit in executor memory and
+    under ``spark.sql.sources.binaryFile.maxLength``.
     """
     reader = spark.read.format("binaryFile")
     if glob:
