@@ -189,3 +189,48 @@ def test_parse_delimited_matches_split(spark, rows):
         fields = (list(r) + [None, None, None])[:3]
         want.append(tuple(None if f == "" else f for f in fields))
     assert got == want
+
+
+@SETTINGS
+@given(
+    facts=st.lists(st.tuples(st.integers(0, 6), st.integers(0, 100)), max_size=20),
+    dim=st.dictionaries(st.integers(0, 8), st.sampled_from(["a", "b", None]), max_size=6),
+)
+def test_enrich_is_a_left_join(spark, facts, dim):
+    from strata.operators.enrich import DimSpec, enrich
+
+    fact_df = spark.createDataFrame([(k, v) for k, v in facts], "k int, v int")
+    dim_df = spark.createDataFrame([(k, n) for k, n in dim.items()], "dk int, name string")
+    for broadcast in (None, False):
+        out = enrich(fact_df, [DimSpec(dim_df, "k", "dk", ["name"], broadcast=broadcast)])
+        got = sorted((r.k, r.v, r.name or "") for r in out.collect())
+        assert got == sorted((k, v, dim.get(k) or "") for k, v in facts)
+
+
+json_values = st.recursive(
+    st.none() | st.booleans() | st.integers(-5, 5) | st.text(max_size=3),
+    lambda inner: st.lists(inner, max_size=2) | st.dictionaries(st.text(max_size=2), inner, max_size=2),
+    max_leaves=4,
+)
+
+
+@SETTINGS
+@given(docs=st.lists(st.one_of(json_values.map(__import__("json").dumps), st.just("{oops")), max_size=10))
+def test_missing_json_keys_matches_python(spark, docs):
+    import json
+
+    from strata.operators.quality import missing_json_keys
+
+    df = spark.createDataFrame(list(enumerate(docs)), "id int, js string")
+    got = {r.id: sorted(r.missing_keys) for r in missing_json_keys(df, "js", ["a", "b"]).collect()}
+    want = {}
+    for i, d in enumerate(docs):
+        try:
+            obj = json.loads(d)
+        except ValueError:
+            obj = None
+        keys = set(obj) if isinstance(obj, dict) else set()
+        miss = sorted(k for k in ("a", "b") if k not in keys)
+        if miss:
+            want[i] = miss
+    assert got == want
