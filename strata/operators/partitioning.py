@@ -1,0 +1,23 @@
+"""Parallelism for CPU-heavy row-local work on under-split inputs."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+
+def spread(df: DataFrame, *keys: str | Column, min_partitions: int | None = None) -> DataFrame:
+    """Hash-redistribute ``df`` over ``min_partitions`` (default: the session's
+    default parallelism) when it has fewer partitions, so CPU-heavy row-local
+    work that follows (text or JSON parsing) uses every core.
+
+    A no-op for inputs that are already split at least that finely, which is
+    always the case for large inputs, so it never adds a shuffle at scale. The
+    hash of ``keys`` (row content) is deterministic, so a retried task
+    rebuilds the same partitions.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    cols = [F.col(k) if isinstance(k, str) else k for k in keys] or [F.col(c) for c in df.columns]
+    return df.repartition(target, F.xxhash64(*cols))

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from strata.operators.analytics import best_period
 from strata.operators.cleanse import clean_columns
 from strata.operators.enrich import DimSpec, describe, enrich
+from strata.operators.partitioning import spread
 from strata.operators.quality import quality_gate
 from strata.plans.medallion import FINITE_VALUE_RULE, OBSERVATION_RULES
 from strata.schemas import OBSERVATIONS_RAW
@@ -57,7 +58,8 @@ def best_year_from_raw_lines(lines: DataFrame, supplier: DataFrame, nation: Data
     per series the best year over Q01-Q04 (exact sums, ties kept) -> labelled
     with the supplier's nation and region. Every step is row-local until the
     grouped sum, so the raw text is parsed where it is read."""
-    raw = parse_delimited(lines, "line", OBSERVATIONS_RAW)
+    # parsing is the costly step: use every core even if the text arrives in few splits
+    raw = parse_delimited(spread(lines, "line"), "line", OBSERVATIONS_RAW)
     silver = clean_columns(
         raw, {"series_id": None, "year": "int", "period": None, "value": "double", "footnote_codes": None}
     )

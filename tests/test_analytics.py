@@ -99,3 +99,14 @@ def test_preview(spark):
     df = spark.range(100).withColumn("v", F.col("id") % 7)
     rows = preview(df, [F.col("v").desc(), "id"], 3).collect()
     assert [(r.v, r.id) for r in rows] == [(6, 6), (6, 13), (6, 20)]
+
+
+def test_spread_only_when_under_split(spark):
+    from strata.operators.partitioning import spread
+
+    wide = spark.range(100).repartition(16)
+    assert spread(wide, min_partitions=8) is wide  # already split finely: untouched, no shuffle
+    narrow = spark.range(100).coalesce(1)
+    out = spread(narrow, "id", min_partitions=8)
+    assert out.rdd.getNumPartitions() == 8
+    assert sorted(r.id for r in out.collect()) == list(range(100))
