@@ -24,6 +24,7 @@ from strata.operators.analytics import range_stats, series_with_context
 from strata.operators.changes import action_counts, classify_changes, classify_content, detect_removed
 from strata.operators.cleanse import clean_columns, sanitize_columns
 from strata.operators.latest import latest_by_key
+from strata.operators.partitioning import spread
 from strata.operators.preview import preview
 from strata.operators.quality import (
     duplicate_keys,
@@ -166,7 +167,9 @@ def q_content_changes(spark: SparkSession, d: str) -> DataFrame:
 
 # ------------------------------------------------------------------- sources
 def q_extract_links(spark: SparkSession, d: str) -> DataFrame:
-    return extract_links(table(spark, d, "pages"), "html", "t", keep=["page_id"]).select("page_id", "file_name")
+    # regex over whole pages is the costly step: spread under-split input over all cores
+    pages = spread(table(spark, d, "pages"), "page_id")
+    return extract_links(pages, "html", "t", keep=["page_id"]).select("page_id", "file_name")
 
 
 def q_landed_files(spark: SparkSession, d: str) -> DataFrame:
@@ -176,7 +179,7 @@ def q_landed_files(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_listing_inventory(spark: SparkSession, d: str) -> DataFrame:
-    pages = derived.listing_pages(table(spark, d, "part"))
+    pages = derived.listing_pages(spread(table(spark, d, "part"), "p_partkey"))
     inventory = parse_listing(pages, "html", derived.LISTING_BASE, "pr.", keep=["page"])
     # listing times carry no zone: report the wall-clock time as timestamp_ntz
     return inventory.withColumn("source_modified_time", F.col("source_modified_time").cast("timestamp_ntz"))
@@ -398,8 +401,7 @@ SELECT page_id, file_name FROM (
            replace(replace(replace(replace(replace(regexp_replace(raw, '^["'']|["'']$', '', 'g'),
              '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&amp;', '&') AS href
     FROM (SELECT page_id, unnest(regexp_extract_all(
-            regexp_replace(regexp_replace(regexp_replace(html, '(?s)<!--.*?-->', '', 'g'),
-              '(?is)<script\b[^>]*>.*?</script\s*>', '', 'g'), '(?is)<style\b[^>]*>.*?</style\s*>', '', 'g'),
+            regexp_replace(html, '(?is)<(?:!--.*?-->|script\b[^>]*>.*?</script\s*>|style\b[^>]*>.*?</style\s*>)', '', 'g'),
                                  '(?i)<a\s[^>]*?href\s*=\s*("[^"]*"|''[^'']*''|[^\s>"'']+)', 1)) AS raw
           FROM pages) r) t) u
 WHERE file_name LIKE 't%'""",

@@ -19,9 +19,10 @@ from strata.functions.columns import basename, join_url, listing_timestamp
 # first. A listing entry is
 # "M/d/yyyy h:mm AM|PM  <size>  <A HREF="<href>"><name></A>", case-insensitive.
 LINK_HREF = r"""(?i)<a\s[^>]*?href\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)"""
-HTML_COMMENT = r"(?s)<!--.*?-->"
-# Raw-text elements: their content is not markup, so links inside do not count.
-HTML_RAW_TEXT = (r"(?is)<script\b[^>]*>.*?</script\s*>", r"(?is)<style\b[^>]*>.*?</style\s*>")
+# Not markup: comments and the content of raw-text elements (script, style);
+# links inside them do not count. One pass over the page; the shared "<" is
+# factored out so the engine tries the alternatives only at a "<".
+HTML_NOT_MARKUP = r"(?is)<(?:!--.*?-->|script\b[^>]*>.*?</script\s*>|style\b[^>]*>.*?</style\s*>)"
 LISTING_ENTRY = (
     r'(?i)(\d{1,2}/\d{1,2}/\d{4}\s+\d{1,2}:\d{2}\s+[AP]M)\s+(\d+)\s+<A HREF="([^"]+)">({prefix}[^<]+)</A>'
 )
@@ -45,9 +46,7 @@ def extract_links(
     Order within a page and duplicates are kept. Output: ``keep`` + ``href`` + ``name_col``.
     """
     keep = list(keep)
-    text = F.regexp_replace(F.col(html_col), HTML_COMMENT, "")
-    for block in HTML_RAW_TEXT:
-        text = F.regexp_replace(text, block, "")
+    text = F.regexp_replace(F.col(html_col), HTML_NOT_MARKUP, "")
     hrefs = F.regexp_extract_all(text, F.lit(LINK_HREF), 1)
     raw = df.select(*keep, F.explode(hrefs).alias("__href"))
     links = raw.select(*keep, attribute_value(F.col("__href")).alias("href")).withColumn(name_col, basename("href"))

@@ -50,9 +50,11 @@ def test_rank_filter_limits_before_shuffle(spark, name):
 
 
 def test_row_local_queries_do_not_shuffle(spark):
+    # the only exchange allowed is spread()'s redistribution of an under-split input
     for q in (contract.q_extract_links, contract.q_listing_inventory, contract.q_explode_records,
               contract.q_read_delimited, contract.q_typed_clean, contract.q_quality_gate):
-        assert "Exchange" not in plan(q(spark, SF)), q.__name__
+        lines = [x for x in plan(q(spark, SF)).splitlines() if "Exchange" in x]
+        assert all("hashpartitioning(xxhash64(" in x for x in lines), q.__name__
 
 
 def test_quality_report_single_scan(spark):
