@@ -234,3 +234,17 @@ def test_missing_json_keys_matches_python(spark, docs):
         if miss:
             want[i] = miss
     assert got == want
+
+
+@SETTINGS
+@given(rows=st.lists(st.lists(cell, min_size=1, max_size=4), min_size=1, max_size=12))
+def test_unquoted_split_equals_csv_parser(spark, rows):
+    from pyspark.sql.types import StringType, StructField, StructType
+
+    from strata.sources.delimited import parse_delimited
+
+    schema = StructType([StructField(f"c{i}", StringType()) for i in range(3)])
+    df = spark.createDataFrame([("\t".join(r),) for r in rows] + [(None,)], "line string")
+    csv = [tuple(r) for r in parse_delimited(df, "line", schema).collect()]
+    fast = [tuple(r) for r in parse_delimited(df, "line", schema, quoting=False).collect()]
+    assert fast == csv

@@ -162,3 +162,15 @@ def test_listing_time_case_insensitive(spark):
     html = ' 8/6/2026 8:30 pm   7 <a href="/p/PR.x">PR.x</a>'
     row = parse_listing(spark.createDataFrame([(html,)], "html string"), "html", "https://h.org/p/").first()
     assert row.file_name == "PR.x" and row.source_modified_time == datetime(2026, 8, 6, 20, 30)
+
+
+def test_read_delimited_quoting_switch(spark, tmp_path):
+    p = tmp_path / "q.tsv"
+    p.write_text('a\tb\n"x\ty"\tz\n')
+    from pyspark.sql.types import StringType, StructField, StructType
+
+    schema = StructType([StructField("a", StringType()), StructField("b", StringType())])
+    csv = read_delimited(spark, str(p), schema).first()
+    plain = read_delimited(spark, str(p), schema, quoting=False).first()
+    assert (csv.a, csv.b) == ("x\ty", "z")  # quoted field keeps its tab
+    assert (plain.a, plain.b) == ('"x', 'y"')  # quotes are text; the tab splits
