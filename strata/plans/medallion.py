@@ -54,7 +54,8 @@ BRONZE_SPECS = (
 )
 
 # Quality rules (fixed). A row is kept only when its rule is TRUE.
-QUARTER_CODES = ("Q01", "Q02", "Q03", "Q04", "Q05")
+# Period codes: Q01-Q04 are quarters, Q05 is the annual average (not a quarter).
+QUARTERS = ("Q01", "Q02", "Q03", "Q04")
 OBSERVATION_RULES = {
     "valid_observation": "series_id IS NOT NULL AND year IS NOT NULL "
     "AND period IN ('Q01', 'Q02', 'Q03', 'Q04', 'Q05') AND value IS NOT NULL",
@@ -177,7 +178,7 @@ def gold_best_year(
     measure: DataFrame,
     duration: DataFrame,
     seasonal: DataFrame,
-    periods=("Q01", "Q02", "Q03", "Q04"),
+    periods=QUARTERS,
     exact_scale: int | None = 3,
 ) -> DataFrame:
     """Question 2: per series the year(s) with the highest sum over ``periods``
