@@ -36,6 +36,7 @@ from strata.operators.quality import (
 )
 from strata.operators.ranking import top_with_ties
 from strata.plans import derived, gold
+from strata.plans.documents import land_documents
 from strata.plans.manifest import ingest_step, landing_records, latest_state, latest_success, removed_records
 from strata.plans.tables import table
 from strata.sources.delimited import parse_delimited
@@ -260,6 +261,20 @@ def q_missing_json_keys(spark: SparkSession, d: str) -> DataFrame:
     return missing_json_keys(derived.event_properties(table(spark, d, "events")), "js", ["k"]).select("event_id")
 
 
+def q_document_landing(spark: SparkSession, d: str) -> DataFrame:
+    events = table(spark, d, "events")
+    incoming = derived.event_properties(events).select(
+        F.concat(F.lit("e"), F.col("event_id").cast("string")).alias("file_name"),
+        F.concat(F.lit("/docs/e"), F.col("event_id").cast("string")).alias("file_path"),
+        F.col("js"),
+    )
+    stored = events.filter(F.col("event_type") != "view").select(
+        F.concat(F.lit("e"), F.col("event_id").cast("string")).alias("file_name"), F.col("props").alias("js")
+    )
+    landing = land_documents(incoming, stored, ["file_name"], "js", ["k"], "EVENTS", now=derived.run_time())
+    return landing.records.select("file_name", "file_size", "status")
+
+
 def q_preview(spark: SparkSession, d: str) -> DataFrame:
     orders = table(spark, d, "orders").select("o_orderkey", "o_totalprice")
     return preview(orders, [F.col("o_totalprice").desc(), F.col("o_orderkey")], 20)
@@ -300,6 +315,7 @@ def queries() -> dict[str, Query]:
         "duplicate_keys": q_duplicate_keys,
         "missing_metadata": q_missing_metadata,
         "missing_json_keys": q_missing_json_keys,
+        "document_landing": q_document_landing,
         "preview": q_preview,
     }
 
@@ -447,5 +463,13 @@ SELECT d.doc_id FROM documents d LEFT JOIN labels l ON d.doc_id=l.doc_id WHERE l
 SELECT event_id FROM (SELECT event_id, CASE WHEN event_type='error' THEN '{"z":1}'
                                              WHEN event_type='signup' THEN '{"k":null}' ELSE props END AS js FROM events) t
 WHERE NOT COALESCE(list_contains(json_keys(js), 'k'), FALSE)""",
+        "document_landing": """
+WITH inc AS (SELECT event_id, CASE WHEN event_type='error' THEN '{"z":1}'
+                                   WHEN event_type='signup' THEN '{"k":null}' ELSE props END AS js FROM events),
+valid AS (SELECT * FROM inc WHERE COALESCE(list_contains(json_keys(js), 'k'), FALSE)),
+st AS (SELECT event_id, props FROM events WHERE event_type <> 'view')
+SELECT concat('e', v.event_id) AS file_name, CAST(strlen(v.js) AS BIGINT) AS file_size, 'SUCCESS' AS status
+FROM valid v LEFT JOIN st s ON v.event_id = s.event_id
+WHERE s.event_id IS NULL OR sha256(v.js) <> sha256(s.props)""",
         "preview": "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 20",
     }
