@@ -219,7 +219,10 @@ def q_typed_clean(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_sanitize_columns(spark: SparkSession, d: str) -> DataFrame:
-    raw = table(spark, d, "nation").toDF(" Nation Key ", "Nation-Name", "Region.Key")
+    # source-style headers (padding, capitals, punctuation) on a table that grows with the data
+    raw = table(spark, d, "customer").toDF(
+        " Customer Key ", "Customer-Name", "Nation.Key", "Account Balance ($)", "MKT Segment"
+    )
     return sanitize_columns(raw)
 
 
@@ -444,7 +447,9 @@ SELECT p_partkey, trim(raw_name) AS nm,
 FROM (SELECT p_partkey, concat('  ', p_name, ' ') AS raw_name,
              CASE WHEN p_size < 5 THEN ' - ' WHEN p_type='PROMO' THEN 'n/a'
                   ELSE concat(' ', CAST(p_size AS VARCHAR), ' ') END AS raw_size FROM part) t""",
-        "sanitize_columns": "SELECT n_nationkey AS nation_key, n_name AS nation_name, n_regionkey AS region_key FROM nation",
+        "sanitize_columns": """
+SELECT c_custkey AS customer_key, c_name AS customer_name, c_nationkey AS nation_key,
+       c_acctbal AS account_balance, c_mktsegment AS mkt_segment FROM customer""",
         "quality_gate": """
 SELECT l_orderkey, l_linenumber, l_returnflag, l_quantity FROM lineitem
 WHERE COALESCE(l_returnflag IN ('A','N'), FALSE) AND COALESCE(l_quantity > 0, FALSE)
