@@ -49,7 +49,8 @@ def _ingest(spark: SparkSession, args) -> dict:
     landed = read_landed(spark, args.landed_dir).select("file_name", "length")
     now = datetime.fromisoformat(args.now) if args.now else None
     counts = incremental_ingest(
-        spark, inventory, landed, args.log_table, args.source, args.landed_dir, now, reappeared=args.reappeared
+        spark, inventory, landed, args.log_table, args.source, args.landed_dir, now,
+        reappeared=args.reappeared, state_table=args.state_table,
     )
     return {row["action"]: row["n"] for row in counts.orderBy(F.col("action")).collect()}
 
@@ -81,6 +82,7 @@ def main(argv: list[str] | None = None) -> dict:
     i.add_argument("--source", required=True)
     i.add_argument("--now", default=None, help="ingestion time (ISO); default: current time")
     i.add_argument("--reappeared", action="store_true", help="re-land removed files that come back unchanged")
+    i.add_argument("--state-table", default=None, help="keep a compacted log here; runs read it, not the history")
 
     args = parser.parse_args(argv)
     spark = _session(args)

@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strata.operators.changes import action_counts, classify_changes, detect_removed
@@ -245,6 +245,43 @@ def append_records(
     return True
 
 
+def compact_log(
+    log: DataFrame,
+    keys: Sequence[str] = KEYS,
+    version_col: str = "source_modified_time",
+    time_col: str = "ingestion_time",
+    status_col: str = "status",
+) -> DataFrame:
+    """The rows of ``log`` that any later step can still need: per item its
+    latest row and its latest SUCCESS row (at most two rows per item; one
+    when they coincide).
+
+    Latest state and latest success each pick a maximum under a total order,
+    so compacting ``compact_log(a) U b`` gives the same picks as the whole
+    log ``a U b``: a run can work from the compacted log instead of the
+    ever-growing history.
+
+    One pass: a single exchange by key and two row numbers over it, with the
+    same orders (and tie-breakers) as ``latest_state`` and ``latest_success``.
+    No union of separately windowed frames is built, since a window over such
+    a union was seen to skip its exchange and return wrong rows on Spark 4.1.
+    """
+    log = with_listed_size(log)
+    ok = F.col(status_col) == SUCCESS
+    by_time = Window.partitionBy(*keys).orderBy(F.col(time_col).desc(), *_rest(log, [*keys, time_col]))
+    by_version = Window.partitionBy(*keys).orderBy(
+        ok.desc_nulls_last(),
+        F.col(version_col).desc_nulls_last(),
+        F.col(time_col).desc(),
+        *_rest(log, [*keys, version_col, time_col]),
+    )
+    ranked = log.withColumn("__strata_s", F.row_number().over(by_time)).withColumn(
+        "__strata_v", F.row_number().over(by_version)
+    )
+    keep = (F.col("__strata_s") == 1) | ((F.col("__strata_v") == 1) & F.coalesce(ok, F.lit(False)))
+    return ranked.filter(keep).drop("__strata_s", "__strata_v")
+
+
 def incremental_ingest(
     spark: SparkSession,
     inventory: DataFrame,
@@ -256,6 +293,7 @@ def incremental_ingest(
     *,
     reappeared: bool = False,
     log_buckets: int | None = None,
+    state_table: str | None = None,
 ) -> DataFrame:
     """Whole incremental step against a log table; returns the action histogram.
 
@@ -264,10 +302,27 @@ def incremental_ingest(
     append, so the read of the log and the write to it never interleave and a
     lost executor does not recompute against the already-grown log.
     One writer per log table (appends to plain tables are not transactional).
+
+    ``state_table`` keeps a compacted log (``compact_log``) next to the full
+    one: each run then reads at most two rows per item instead of the whole
+    history, so its cost follows the number of items, not the number of
+    past runs. The full log is still appended for audit; the first run with
+    a new state table builds it from the log.
     """
     require_non_empty(inventory, "source inventory")
-    step = ingest_step(inventory, read_log(spark, log_table), landed, source, target_dir, now, reappeared=reappeared)
+    if state_table and spark.catalog.tableExists(state_table):
+        base = spark.read.table(state_table)
+    elif state_table:
+        base = compact_log(read_log(spark, log_table))
+    else:
+        base = read_log(spark, log_table)
+    step = ingest_step(inventory, base, landed, source, target_dir, now, reappeared=reappeared)
     records = materialize(step.records())
     counts = materialize(step.counts())
+    if state_table:
+        # checkpointed before the overwrite: the new state no longer reads the table it replaces
+        state = materialize(compact_log(with_listed_size(base).select(*LOG_COLUMNS).unionByName(records)))
     append_records(records, log_table, partition_by=("source",), buckets=log_buckets)
+    if state_table:
+        state.write.mode("overwrite").format("parquet").saveAsTable(state_table)
     return counts
