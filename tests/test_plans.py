@@ -88,7 +88,9 @@ def test_parsers_run_once_per_row(spark, name, fn):
 def test_big_dimension_join_reuses_window_partitioning(spark, monkeypatch):
     # customer too big to broadcast: only customer shuffles; the best rows keep
     # the o_custkey partitioning of the windows (2 exchanges) for the join.
-    import strata.operators.enrich as enrich_mod
+    import importlib
+
+    enrich_mod = importlib.import_module("strata.operators.enrich")
 
     monkeypatch.setattr(enrich_mod, "has_at_most", lambda df, n: df.count() <= 100)
     spark.conf.set("spark.sql.adaptive.enabled", "false")
