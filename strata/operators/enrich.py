@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 # Default row bound under which a dimension is broadcast after a checked count.
 # Only the join key and the carried columns are broadcast (see ``enrich``).
 BROADCAST_MAX_ROWS = 200_000
+# ... and whose payload (checked after the row bound holds) is at most this.
+BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 
 
 # Proven bounds, keyed by (plan, input files, bound). Files are immutable, so
@@ -32,13 +34,39 @@ def has_at_most(df: DataFrame, max_rows: int) -> bool:
     return _PROVEN[key]
 
 
-def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast only when a bounded count proves it small.
+def estimated_bytes(df: DataFrame) -> int:
+    """Payload size of ``df``: byte length of string/binary values, 8 bytes for
+    every other value. One aggregate pass; call it on frames already known to
+    be small (see ``sized_broadcast``)."""
+    sizes = [
+        F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0))
+        if f.dataType.typeName() in ("string", "binary")
+        else F.lit(8)
+        for f in df.schema.fields
+    ]
+    total = sum(sizes[1:], sizes[0]) if sizes else F.lit(0)
+    return int(df.agg(F.coalesce(F.sum(total), F.lit(0)).alias("b")).first()["b"])
+
+
+def has_at_most_bytes(df: DataFrame, max_bytes: int) -> bool:
+    """True when the payload of ``df`` is at most ``max_bytes`` (memoized like ``has_at_most``)."""
+    key = ("bytes", df.semanticHash(), tuple(sorted(df.inputFiles())), max_bytes)
+    if key not in _PROVEN:
+        _PROVEN[key] = estimated_bytes(df) <= max_bytes
+    return _PROVEN[key]
+
+
+def sized_broadcast(
+    df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES
+) -> DataFrame:
+    """Mark ``df`` for broadcast only when it is proven small in rows (bounded
+    incremental count) and then in bytes (one pass over those few rows).
 
     Otherwise the frame is returned unchanged and the planner keeps a
     shuffle join (AQE may still switch to broadcast on runtime sizes).
     """
-    return F.broadcast(df) if has_at_most(df, max_rows) else df
+    small = has_at_most(df, max_rows) and has_at_most_bytes(df, max_bytes)
+    return F.broadcast(df) if small else df
 
 
 @dataclass
@@ -59,6 +87,7 @@ class DimSpec:
     rename: dict[str, str] = field(default_factory=dict)
     broadcast: bool | None = None
     max_rows: int = BROADCAST_MAX_ROWS
+    max_bytes: int = BROADCAST_MAX_BYTES
 
 
 def enrich(fact: DataFrame, dims: Sequence[DimSpec]) -> DataFrame:
@@ -76,7 +105,7 @@ def enrich(fact: DataFrame, dims: Sequence[DimSpec]) -> DataFrame:
         if d.broadcast is True:
             side = F.broadcast(side)
         elif d.broadcast is None:
-            side = sized_broadcast(side, d.max_rows)
+            side = sized_broadcast(side, d.max_rows, d.max_bytes)
         out = out.join(side, out[d.fact_key] == side[key], "left").drop(key)
     return out
 

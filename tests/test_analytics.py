@@ -110,3 +110,25 @@ def test_spread_only_when_under_split(spark):
     out = spread(narrow, "id", min_partitions=8)
     assert out.rdd.getNumPartitions() == 8
     assert sorted(r.id for r in out.collect()) == list(range(100))
+
+
+def test_sized_broadcast_checks_rows_then_bytes(spark):
+    from strata.operators.enrich import estimated_bytes, sized_broadcast
+
+    df = spark.createDataFrame([(1, "abc"), (2, None)], "k long, s string")
+    assert estimated_bytes(df) == 8 + 3 + 8 + 0
+
+    def broadcast_hinted(frame):
+        import contextlib
+        import io
+
+        left = spark.range(3)
+        joined = left.join(frame, left["id"] == frame["k"], "left")
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            joined.explain()
+        return "BroadcastExchange" in buf.getvalue()
+
+    assert broadcast_hinted(sized_broadcast(df, max_rows=10, max_bytes=100))
+    assert not broadcast_hinted(sized_broadcast(df, max_rows=10, max_bytes=10))  # too many bytes
+    assert not broadcast_hinted(sized_broadcast(df, max_rows=1, max_bytes=100))  # too many rows
