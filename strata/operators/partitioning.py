@@ -12,12 +12,17 @@ def spread(df: DataFrame, *keys: str | Column, min_partitions: int | None = None
     work that follows (text or JSON parsing) uses every core.
 
     A no-op for inputs that are already split at least that finely, which is
-    always the case for large inputs, so it never adds a shuffle at scale. The
+    always the case for large inputs, so it never adds a shuffle at scale; also
+    a no-op where partitions cannot be inspected (Spark Connect). The
     hash of ``keys`` (row content) is deterministic, so a retried task
     rebuilds the same partitions.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view (e.g. Spark Connect): leave the plan as it is
+        return df
+    if current >= target:
         return df
     cols = [F.col(k) if isinstance(k, str) else k for k in keys] or [F.col(c) for c in df.columns]
     return df.repartition(target, F.xxhash64(*cols))
