@@ -31,8 +31,10 @@ def _now(now) -> Column:
 
 
 def _rest(df: DataFrame, used: Sequence[str]) -> list[Column]:
-    """Remaining columns as final tie-breakers, so the pick is deterministic."""
-    return [F.col(c).desc_nulls_last() for c in df.columns if c not in used]
+    """Remaining columns, by name, as final tie-breakers: the pick is
+    deterministic and independent of the physical column order (a table
+    partitioned by ``source`` lists it last)."""
+    return [F.col(c).desc_nulls_last() for c in sorted(df.columns) if c not in used]
 
 
 def latest_state(log: DataFrame, keys: Sequence[str] = KEYS, time_col: str = "ingestion_time") -> DataFrame:
