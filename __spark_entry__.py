@@ -44,6 +44,12 @@ from strata.sources.json_records import parse_json_records
 from strata.sources.landed import read_landed
 from strata.sources.listing import extract_links, parse_listing
 
+try:  # the corpus operators are optional: everything else works without them
+    import corpus_pipeline
+    from strata.llm import queries as corpus
+except ImportError:
+    corpus = corpus_pipeline = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -289,7 +295,8 @@ def entry(spark: SparkSession) -> DataFrame:
     return q_best_year_by_series(spark, "/root/testdata/sf0.001")
 
 
-def queries() -> dict[str, Query]:
+def core_queries() -> dict[str, Query]:
+    """The queries of the library itself; each has an oracle."""
     return {
         "best_year_by_series": q_best_year_by_series,
         "raw_observations_best_year": q_raw_observations_best_year,
@@ -323,6 +330,13 @@ def queries() -> dict[str, Query]:
     }
 
 
+def queries() -> dict[str, Query]:
+    out = core_queries()
+    if corpus is not None:
+        out |= corpus.queries() | {"pipeline": corpus_pipeline.run}
+    return out
+
+
 # Shared CTEs for the change-detection oracles (same derivation as strata.plans.derived).
 _SNAPSHOTS = """
 cur AS (SELECT o_orderkey AS k, CAST(ROUND(o_totalprice*100) AS BIGINT) AS sz, o_orderdate AS m
@@ -343,6 +357,15 @@ act AS (SELECT cur.k, cur.sz, cur.m,
 
 
 def oracle_sql() -> dict[str, str]:
+    out = core_oracles()
+    if corpus is not None:
+        out |= corpus.oracle_sql()
+        if corpus_pipeline.ORACLE_SQL:
+            out["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return out
+
+
+def core_oracles() -> dict[str, str]:
     return {
         "best_year_by_series": """
 WITH ys AS (SELECT o_custkey, CAST(year(o_orderdate) AS INT) AS y, SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS s

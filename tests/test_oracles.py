@@ -14,10 +14,10 @@ SF = "/root/testdata/sf0.01"
 
 
 def test_every_query_has_an_oracle():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(contract.core_queries()) == set(contract.core_oracles())
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(contract.core_queries()))
 def test_matches_oracle(spark, name):
     result = compare(spark, SF, [name])[name]
     assert result.startswith("ok"), result
