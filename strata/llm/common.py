@@ -38,6 +38,11 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def fresh(df: DataFrame) -> DataFrame:
+    """The same columns under new identities, so that two frames of one lineage can be cogrouped."""
+    return df.select(*[F.col(c).alias(c) for c in df.columns])
+
+
 def parallelism(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

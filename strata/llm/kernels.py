@@ -11,6 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 #: ASCII white space: the complement of ``[^\\x20\\x09-\\x0D]``.
 SPACE = np.zeros(256, bool)
@@ -35,7 +36,7 @@ def slices(batch: pa.RecordBatch, column: str, max_bytes: int) -> Iterator[pa.Re
     """Row slices of at most ``max_bytes`` of text each, at least one row."""
     if batch.num_rows == 0:
         return
-    size = np.asarray(pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0), np.int64)
+    size = np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0), np.int64)
     start, held = 0, 0
     for i, n in enumerate(size):
         if i > start and held + n > max_bytes:

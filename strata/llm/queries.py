@@ -4,11 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from strata.llm.common import read_table
+from strata.llm.knn_blocks import nearest
+from strata.llm.language_id import language_id
+from strata.llm.minhash import near_duplicates
 from strata.llm.mixing import mix_sources, stream_positions
+from strata.llm.multi_index import near_vectors
+from strata.llm.packing import harmonic_pack
 from strata.llm.sharding import shard_rows
+from strata.llm.token_counts import count_tokens
 from strata.llm.url_filter import filter_urls
 
 ALLOW = ["com/", "www.example.com/en/"]
@@ -26,6 +34,31 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stream_positions(mix_sources(docs, MIXTURE).drop("text"), MIXTURE)
 
 
+def op3_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return harmonic_pack(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=2, capacity=4096)
+
+
+def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(read_table(spark, sf_dir, "documents"), share=75)
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id(read_table(spark, sf_dir, "documents"))
+
+
+def op6_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(read_table(spark, sf_dir, "embeddings"), cosine=0.9)
+
+
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_tokens(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op8_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(read_table(spark, sf_dir, "embeddings"), F.pmod("vec_id", F.lit(50)) == 0, k=5)
+
+
 def op10_shard_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_rows(read_table(spark, sf_dir, "documents"), shards=8)
 
@@ -34,9 +67,48 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_url_filter": op1_url_filter,
         "op2_mix_sources": op2_mix_sources,
+        "op3_pack": op3_pack,
+        "op4_near_duplicates": op4_near_duplicates,
+        "op5_language_id": op5_language_id,
+        "op6_near_vectors": op6_near_vectors,
+        "op7_token_counts": op7_token_counts,
+        "op8_nearest": op8_nearest,
         "op10_shard_rows": op10_shard_rows,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op4_near_duplicates": NEAR_DUPLICATES, "op6_near_vectors": NEAR_VECTORS, "op8_nearest": NEAREST}
+
+
+NEAR_DUPLICATES = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x20\x09-\x0D]+'), lambda x: x <> '') AS a FROM documents),
+s AS (SELECT DISTINCT doc_id, sh FROM (SELECT doc_id, unnest(CASE WHEN len(a) = 0 THEN [] WHEN len(a) < 5 THEN [array_to_string(a, ' ')]
+    ELSE list_transform(range(1, len(a) - 3), lambda i: array_to_string(a[i:i+4], ' ')) END) AS sh FROM w) u),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y ON x.sh = y.sh AND x.doc_id <> y.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM p JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * c >= 75 * (na.n + nb.n - c)),
+r(id, root) AS (SELECT doc_id, doc_id FROM documents UNION SELECT l.b, r.root FROM r JOIN l ON l.a = r.id WHERE r.root < l.b)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, c.root AS component_id, d.doc_id = c.root AS kept
+FROM documents d LEFT JOIN n USING (doc_id) JOIN (SELECT id, min(root) AS root FROM r GROUP BY id) c ON c.id = d.doc_id"""
+
+_UNIT_VECTORS = """v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0)"""
+
+NEAR_VECTORS = f"""
+WITH RECURSIVE {_UNIT_VECTORS},
+l AS (SELECT x.vec_id AS a, y.vec_id AS b FROM v x JOIN v y ON x.vec_id <> y.vec_id AND list_cosine_similarity(x.e, y.e) >= 0.9),
+r(id, root) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT l.b, r.root FROM r JOIN l ON l.a = r.id WHERE r.root < l.b)
+SELECT e.vec_id, coalesce(k.n, 0) AS n_links, c.root AS component_id, e.vec_id = c.root AS kept
+FROM embeddings e LEFT JOIN (SELECT a, count(*) AS n FROM l GROUP BY a) k ON k.a = e.vec_id
+JOIN (SELECT id, min(root) AS root FROM r GROUP BY id) c ON c.id = e.vec_id"""
+
+NEAREST = f"""
+WITH {_UNIT_VECTORS},
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_cosine_similarity(q.e, c.e) AS score
+      FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id),
+t AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 12) DESC, vec_id) AS rk FROM s)
+SELECT query_id, CAST(rk AS INT) AS rank, vec_id, score FROM t WHERE rk <= 5"""
