@@ -16,6 +16,7 @@ from strata.llm.mixing import mix_sources, stream_positions
 from strata.llm.multi_index import near_vectors
 from strata.llm.packing import harmonic_pack
 from strata.llm.sharding import shard_rows
+from strata.llm.suffix_dedup import remove_repeats
 from strata.llm.token_counts import count_tokens
 from strata.llm.url_filter import filter_urls
 
@@ -59,6 +60,10 @@ def op8_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(read_table(spark, sf_dir, "embeddings"), F.pmod("vec_id", F.lit(50)) == 0, k=5)
 
 
+def op9_remove_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(read_table(spark, sf_dir, "documents"), width=50)
+
+
 def op10_shard_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_rows(read_table(spark, sf_dir, "documents"), shards=8)
 
@@ -73,12 +78,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_near_vectors": op6_near_vectors,
         "op7_token_counts": op7_token_counts,
         "op8_nearest": op8_nearest,
+        "op9_remove_repeats": op9_remove_repeats,
         "op10_shard_rows": op10_shard_rows,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_near_duplicates": NEAR_DUPLICATES, "op6_near_vectors": NEAR_VECTORS, "op8_nearest": NEAREST}
+    return {"op4_near_duplicates": NEAR_DUPLICATES, "op6_near_vectors": NEAR_VECTORS, "op8_nearest": NEAREST, "op9_remove_repeats": REPEATS}
 
 
 NEAR_DUPLICATES = r"""
@@ -112,3 +118,19 @@ s AS (SELECT q.vec_id AS query_id, c.vec_id, list_cosine_similarity(q.e, c.e) AS
       FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id),
 t AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 12) DESC, vec_id) AS rk FROM s)
 SELECT query_id, CAST(rk AS INT) AS rank, vec_id, score FROM t WHERE rk <= 5"""
+
+REPEATS = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, strlen(coalesce(text, '')) AS n FROM documents),
+g AS (SELECT doc_id, i, substr(h, 2 * i + 1, 100) AS s FROM (SELECT doc_id, h, unnest(range(0, n - 49)) AS i FROM d WHERE n >= 50) t),
+m AS (SELECT s, min(doc_id) AS least FROM g GROUP BY s HAVING min(doc_id) < max(doc_id)),
+x AS (SELECT doc_id, i FROM g JOIN m USING (s) WHERE doc_id > least),
+e AS (SELECT doc_id, i, i - lag(i) OVER w > 50 OR lag(i) OVER w IS NULL AS fresh FROM x WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+r AS (SELECT doc_id, k, min(i) AS a, max(i) + 50 AS z FROM
+      (SELECT *, sum(CASE WHEN fresh THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM e) t GROUP BY doc_id, k),
+q AS (SELECT doc_id, sum(z - a) AS n_removed, count(*) AS n_spans FROM r GROUP BY doc_id),
+p AS (SELECT r.doc_id, string_agg(substr(d.h, 2 * lo + 1, 2 * (a - lo)), '' ORDER BY a) AS head, max(z) AS tail
+      FROM (SELECT *, coalesce(lag(z) OVER (PARTITION BY doc_id ORDER BY a), 0) AS lo FROM r) r JOIN d USING (doc_id) GROUP BY r.doc_id)
+SELECT d.doc_id, CAST(d.n AS BIGINT) AS n_bytes, CAST(coalesce(q.n_removed, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(q.n_spans, 0) AS BIGINT) AS n_spans,
+       sha256(unhex(CASE WHEN p.doc_id IS NULL THEN d.h ELSE p.head || substr(d.h, 2 * p.tail + 1) END)) AS kept_sha256
+FROM d LEFT JOIN q USING (doc_id) LEFT JOIN p USING (doc_id)"""
