@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
-from strata.llm.common import checkpointed, components, fresh
+from strata.llm.common import checkpointed, components, fresh, parallelism
 from strata.llm.vectors import matrix, unit, usable
 
 #: Rows of one side that meet in one task.
@@ -224,5 +224,8 @@ def _meet(classes: DataFrame, parts: list[DataFrame], cosine: float) -> DataFram
     left = members.join(sizes, ["dim", "cell"]).withColumns({"mb": own("mk")}).withColumn("gb", every("gk"))
     right = guests.join(sizes, ["dim", "cell"]).withColumns({"gb": own("gk")}).withColumn("mb", every("mk"))
     keys = ["dim", "cell", "mb", "gb"]
-    left, right = left.select(*keys, "rep", "m", "v", "visits"), right.select(*keys, "rep", "m", "v", "home")
+    # by all keys: dealt by the cell alone, a full cell's blocks would stay in one task
+    n = parallelism(classes.sparkSession)
+    left = left.select(*keys, "rep", "m", "v", "visits").repartition(n, *keys)
+    right = right.select(*keys, "rep", "m", "v", "home").repartition(n, *keys)
     return left.groupBy(*keys).cogroup(fresh(right).groupBy(*keys)).applyInArrow(_tile(cosine), _FOUND)
