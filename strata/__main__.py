@@ -39,6 +39,9 @@ def _medallion(spark: SparkSession, args) -> dict:
         series_id=args.series_id,
         period=args.period,
         years=(args.first_year, args.last_year),
+        exact_sums=args.exact_sums,
+        reject_nan=args.reject_nan,
+        trim_before_gate=args.trim_before_gate,
     )
     return {"tables": sorted(result.tables), "quality": result.quality}
 
@@ -46,7 +49,7 @@ def _medallion(spark: SparkSession, args) -> dict:
 def _ingest(spark: SparkSession, args) -> dict:
     pages = spark.read.text(args.listing, wholetext=True)
     inventory = parse_listing(pages, "value", args.base_url, args.prefix)
-    landed = read_landed(spark, args.landed_dir).select("file_name", "length")
+    landed = read_landed(spark, args.landed_dir).select("file_name", "length", "modification_time")
     now = datetime.fromisoformat(args.now) if args.now else None
     counts = incremental_ingest(
         spark, inventory, landed, args.log_table, args.source, args.landed_dir, now,
@@ -73,6 +76,10 @@ def main(argv: list[str] | None = None) -> dict:
     m.add_argument("--first-year", type=int, default=2013)
     m.add_argument("--last-year", type=int, default=2018)
 
+    m.add_argument("--exact-sums", action="store_true", help="rank years by exact decimal sums")
+    m.add_argument("--reject-nan", action="store_true", help="drop and count NaN observations")
+    m.add_argument("--trim-before-gate", action="store_true", help="trim the nation before it is compared")
+
     i = sub.add_parser("ingest", help="one incremental landing step against the log table")
     i.add_argument("--listing", required=True, help="listing page file(s), read whole")
     i.add_argument("--base-url", required=True)

@@ -45,21 +45,46 @@ def listing_timestamp(text: str | Column, fmt: str = "M/d/yyyy h:mm a") -> Colum
     return F.try_to_timestamp(F.regexp_replace(_col(text), r"\s+", " "), F.lit(fmt))
 
 
+def _without_dots(path: Column) -> Column:
+    """A path with its ``.`` and ``..`` segments resolved; one that ends in such a segment keeps a final ``/``."""
+    parts = F.split(path, "/")
+    up = lambda done: F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0)))
+    walked = F.aggregate(
+        parts,
+        F.array().cast("array<string>"),
+        lambda done, part: F.when(part == "..", up(done)).when(part == ".", done).otherwise(F.array_append(done, part)),
+    )
+    ends = F.element_at(parts, -1).isin(".", "..")
+    joined = F.concat(F.array_join(walked, "/"), F.when(ends, F.lit("/")).otherwise(F.lit("")))
+    return F.when(path.rlike(r"(^|/)\.\.?(/|$)"), F.regexp_replace(joined, "^(?!/)", "/")).otherwise(path)
+
+
 def join_url(base: str | Column, href: str | Column) -> Column:
-    """Resolve a link against a base URL for the shapes listings use.
+    """Resolve a link against an absolute hierarchical base URL.
 
-    Absolute links are kept; ``/path`` is joined to the base's scheme+host;
-    anything else is joined to the base's directory.
+    A link with a scheme (``https:``, ``mailto:``) is kept; ``//host/x`` takes
+    the base's scheme, ``/x`` its host, ``?q`` its path, ``#f`` all of it
+    but the fragment, an empty link all of it, and anything else its directory. ``.`` and
+    ``..`` segments are resolved and never climb above the host; empty segments
+    of a relative link collapse.
     """
     base_c = F.lit(base) if isinstance(base, str) else base
     href_c = _col(href)
-    origin = F.regexp_extract(base_c, r"^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]+)", 1)
-    path = F.regexp_extract(base_c, r"^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]+([^?#]*)", 1)
-    directory = F.concat(origin, F.when(path == "", F.lit("/")).otherwise(F.regexp_replace(path, r"[^/]*$", "")))
+    parts = r"^([a-zA-Z][a-zA-Z0-9+.-]*:)(//[^/?#]*)([^?#]*)(\?[^#]*)?"
+    scheme, host, path, query = (F.regexp_extract(base_c, parts, i) for i in (1, 2, 3, 4))
+    origin = F.concat(scheme, host)
+    own = F.regexp_extract(href_c, r"^[^?#]*", 0)
+    tail = F.regexp_extract(href_c, r"^[^?#]*(.*)$", 1)
+    directory = F.concat(F.regexp_replace(path, r"[^/]*$", ""))
+    relative = F.regexp_replace(F.concat(F.when(directory == "", F.lit("/")).otherwise(directory), own), r"/{2,}", "/")
     return (
-        F.when(href_c.rlike(r"^[a-zA-Z][a-zA-Z0-9+.-]*://"), href_c)
-        .when(href_c.startswith("/"), F.concat(origin, href_c))
-        .otherwise(F.concat(directory, href_c))
+        F.when(href_c == "", base_c)
+        .when(href_c.rlike(r"^[a-zA-Z][a-zA-Z0-9+.-]*:"), href_c)
+        .when(href_c.startswith("//"), F.concat(scheme, href_c))
+        .when(href_c.startswith("/"), F.concat(origin, _without_dots(own), tail))
+        .when(own != "", F.concat(origin, _without_dots(relative), tail))
+        .when(tail.startswith("?"), F.concat(origin, path, tail))
+        .otherwise(F.concat(origin, path, query, tail))
     )
 
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.operators.enrich import BROADCAST_MAX_ROWS, DimSpec, enrich
+from strata.operators.enrich import DimSpec, enrich
 from strata.operators.ranking import top_with_ties
 
 
@@ -23,18 +23,28 @@ def range_stats(
     hi,
     mean_col: str = "mean_value",
     stddev_col: str = "stddev_value",
+    where: Column | None = None,
 ) -> DataFrame:
     """Mean and population standard deviation of ``value`` where ``lo <= by <= hi``.
 
     One row always; NULLs when nothing matches, stddev 0 for a single row.
-    Plan: pushed filter, partial aggregate per task, one tiny final merge.
+    Plan: partial aggregate per task, one tiny final merge. The range reaches
+    the scan when ``by`` is a stored column; for a year of a date column give
+    ``year_range`` of the date column as ``where``.
     """
     v = _col(value)
-    return df.filter(_col(by).between(lo, hi)).agg(
+    rows = df if where is None else df.filter(where)
+    return rows.filter(_col(by).between(lo, hi)).agg(
         F.avg(v).alias(mean_col), F.stddev_pop(v).alias(stddev_col)
     )
 
 
+def year_range(column: str | Column, first: int, last: int) -> Column:
+    """``first <= year(column) <= last`` as a half-open date range, which parquet scans can prune by."""
+    c = _col(column)
+    return (c >= F.make_date(F.lit(first), F.lit(1), F.lit(1))) & (c < F.make_date(F.lit(last + 1), F.lit(1), F.lit(1)))
+
+
 def best_period(
     df: DataFrame,
     series: str,
@@ -42,8 +52,7 @@ def best_period(
     value: str | Column,
     *,
     where: Column | None = None,
-    exact_scale: int | None = None,
-    exact_precision: int = 18,
+    exact: bool = False,
     min_count: int | None = None,
     period_col: str = "best_period",
     sum_col: str = "period_sum",
@@ -52,11 +61,13 @@ def best_period(
     """Per ``series``, the period(s) with the largest sum of ``value``; ties kept,
     newest tied period flagged.
 
-    ``exact_scale`` sums ``decimal(exact_precision, exact_scale)`` instead of
-    double so that equal totals rank equal whatever the row order; the sum is
-    returned as double. Exact sums need finite values that fit that decimal:
-    NaN or an out-of-range value fails the job rather than being dropped
-    (gate them upstream, e.g. with a ``NOT isnan(value)`` rule).
+    By default values are summed as they are (doubles as double). ``exact``
+    sums ``decimal(38, 15)`` so that equal totals rank equal whatever the row
+    order, and returns the sum as double. A period that holds a value which
+    that decimal cannot hold unchanged (more decimals, too large, NaN or
+    infinite), or whose sum overflows it, falls back to its double sum as a
+    whole: no value is rounded away or dropped. NaN ranks above infinity, and
+    that above every number, in both modes.
     ``min_count`` drops periods with fewer rows.
 
     Plan: filter -> partial sum (map-side combine) -> exchange on
@@ -67,10 +78,14 @@ def best_period(
     """
     rows = df if where is None else df.filter(where)
     v = _col(value)
-    if exact_scale is not None:
-        v = v.cast(f"decimal({exact_precision},{exact_scale})")
+    total = F.sum(v)
+    if exact:
+        held = v.try_cast("decimal(38,15)")
+        unheld = v.isNotNull() & ~F.coalesce(held.cast("double") == v.cast("double"), F.lit(False))
+        plain = F.sum(v.cast("double"))
+        total = F.when(F.max(unheld), plain).otherwise(F.coalesce(F.try_sum(held).cast("double"), plain))
     sums = rows.groupBy(F.col(series), _col(period).alias(period_col)).agg(
-        F.sum(v).alias(sum_col), F.count(F.lit(1)).alias("__strata_n")
+        total.alias(sum_col), F.count(F.lit(1)).alias("__strata_n")
     )
     if min_count is not None:
         sums = sums.filter(F.col("__strata_n") >= min_count)
@@ -92,8 +107,6 @@ def series_with_context(
     context_cols: Sequence[str],
     *,
     where: Column | None = None,
-    broadcast: bool | None = None,
-    max_rows: int = BROADCAST_MAX_ROWS,
 ) -> DataFrame:
     """Rows of ``series_df`` (optionally filtered) with context columns where a
     context row exists (left join on ``series_key = context_key``).
@@ -101,5 +114,5 @@ def series_with_context(
     The filter is applied before the join so it reaches the scan.
     """
     rows = series_df if where is None else series_df.filter(where)
-    spec = DimSpec(context_df, series_key, context_key, list(context_cols), broadcast=broadcast, max_rows=max_rows)
+    spec = DimSpec(context_df, series_key, context_key, list(context_cols))
     return enrich(rows, [spec])

@@ -23,6 +23,7 @@ def classify_changes(
     null_safe: bool = False,
     prev_prefix: str = "prev_",
     action_col: str = "action",
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """Label every current row NEW / CHANGED / UNCHANGED against ``previous``.
 
@@ -33,12 +34,13 @@ def classify_changes(
     NULL vs value as a change.
 
     ``previous`` must hold one row per key (see ``latest_by_key``). Output:
-    current columns + ``prev_<track>`` + ``action``. One left join; both sides
-    shuffle on the keys unless one is proven small.
+    current columns + ``prev_<track>`` + ``action``, and ``prev_<carry>`` for
+    previous columns that are carried along without being compared. One left
+    join on the keys.
     """
     prev = previous.select(
         *[F.col(k) for k in keys],
-        *[F.col(c).alias(prev_prefix + c) for c in track],
+        *[F.col(c).alias(prev_prefix + c) for c in [*track, *carry]],
         F.lit(True).alias(_SEEN),
     )
     joined = current.join(prev, list(keys), "left")
@@ -75,18 +77,21 @@ def classify_content(
     content_col: str,
     *,
     previous_content_col: str | None = None,
+    previous_hash_col: str | None = None,
     hash_col: str = "content_sha256",
     action_col: str = "action",
 ) -> DataFrame:
     """NEW / CHANGED / UNCHANGED by content equality.
 
-    Both sides are reduced to a SHA-256 before the join, so only 64-character
-    digests cross the shuffle, never the whole contents.
+    Both sides are reduced to a SHA-256 before the join and the content column
+    is dropped there, so only 64-character digests cross the shuffle, never the
+    whole contents. ``previous_hash_col`` names a digest that ``previous``
+    already holds (``read_landed(..., with_hash=True)``); its bytes are then
+    not read at all.
     """
-    prev_col = previous_content_col or content_col
-    cur = current.withColumn(hash_col, content_hash(content_col))
-    prev = previous.select(*keys, content_hash(prev_col).alias(hash_col))
-    return classify_changes(cur, prev, keys, [hash_col], action_col=action_col)
+    known = F.col(previous_hash_col) if previous_hash_col else content_hash(previous_content_col or content_col)
+    cur = current.withColumn(hash_col, content_hash(content_col)).drop(content_col)
+    return classify_changes(cur, previous.select(*keys, known.alias(hash_col)), keys, [hash_col], action_col=action_col)
 
 
 def action_counts(classified: DataFrame, action_col: str = "action") -> DataFrame:

@@ -8,67 +8,6 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Default row bound under which a dimension is broadcast after a checked count.
-# Only the join key and the carried columns are broadcast (see ``enrich``).
-BROADCAST_MAX_ROWS = 200_000
-# ... and whose payload (checked after the row bound holds) is at most this.
-BROADCAST_MAX_BYTES = 64 * 1024 * 1024
-
-
-# Proven bounds, keyed by (plan, input files, bound). Files are immutable, so
-# new data means new files and a new key: a proof never outlives its inputs.
-_PROVEN: dict[tuple, bool] = {}
-
-
-def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
-
-    ``take`` scans partitions incrementally (one, then a growing number) and
-    stops once ``max_rows + 1`` rows are found, so a huge table is rejected
-    after reading a few splits, not scanned in full. Only a constant column
-    is fetched: at most ``max_rows + 1`` tiny rows reach the driver.
-    """
-    key = (df.semanticHash(), tuple(sorted(df.inputFiles())), max_rows)
-    if key not in _PROVEN:
-        _PROVEN[key] = len(df.select(F.lit(1).alias("one")).take(max_rows + 1)) <= max_rows
-    return _PROVEN[key]
-
-
-def estimated_bytes(df: DataFrame) -> int:
-    """Payload size of ``df``: byte length of string/binary values, 8 bytes for
-    every other value. One aggregate pass; call it on frames already known to
-    be small (see ``sized_broadcast``)."""
-    sizes = [
-        F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0))
-        if f.dataType.typeName() in ("string", "binary")
-        else F.lit(8)
-        for f in df.schema.fields
-    ]
-    total = sum(sizes[1:], sizes[0]) if sizes else F.lit(0)
-    return int(df.agg(F.coalesce(F.sum(total), F.lit(0)).alias("b")).first()["b"])
-
-
-def has_at_most_bytes(df: DataFrame, max_bytes: int) -> bool:
-    """True when the payload of ``df`` is at most ``max_bytes`` (memoized like ``has_at_most``)."""
-    key = ("bytes", df.semanticHash(), tuple(sorted(df.inputFiles())), max_bytes)
-    if key not in _PROVEN:
-        _PROVEN[key] = estimated_bytes(df) <= max_bytes
-    return _PROVEN[key]
-
-
-def sized_broadcast(
-    df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES
-) -> DataFrame:
-    """Mark ``df`` for broadcast only when it is proven small in rows (bounded
-    incremental count) and then in bytes (one pass over those few rows).
-
-    Otherwise the frame is returned unchanged and the planner keeps a
-    shuffle join (AQE may still switch to broadcast on runtime sizes).
-    """
-    small = has_at_most(df, max_rows) and has_at_most_bytes(df, max_bytes)
-    return F.broadcast(df) if small else df
-
-
 @dataclass
 class DimSpec:
     """One dimension of a star join.
@@ -76,8 +15,6 @@ class DimSpec:
     ``fact_key`` names a column already on the left side (from the fact or a
     dimension joined earlier); ``dim_key`` is the matching dimension column;
     ``columns`` are carried over, optionally renamed via ``rename``.
-    ``broadcast``: ``True`` forces, ``False`` never, ``None`` decides by a
-    bounded row count (``max_rows``).
     """
 
     df: DataFrame
@@ -85,9 +22,6 @@ class DimSpec:
     dim_key: str
     columns: Sequence[str]
     rename: dict[str, str] = field(default_factory=dict)
-    broadcast: bool | None = None
-    max_rows: int = BROADCAST_MAX_ROWS
-    max_bytes: int = BROADCAST_MAX_BYTES
 
 
 def enrich(fact: DataFrame, dims: Sequence[DimSpec]) -> DataFrame:
@@ -95,17 +29,16 @@ def enrich(fact: DataFrame, dims: Sequence[DimSpec]) -> DataFrame:
     unless a dimension key repeats (see ``quality.assert_unique``).
 
     Each dimension is narrowed to its key + wanted columns before the join, so
-    only those columns are read and shuffled.
+    only those columns are read and shuffled. No side carries a broadcast hint
+    and no job runs while the plan is built: whether a side is broadcast is
+    left to the size that adaptive execution measures
+    (``spark.sql.adaptive.autoBroadcastJoinThreshold``).
     """
     out = fact
     for i, d in enumerate(dims):
         key = f"__strata_dim{i}_key"
         cols = [F.col(c).alias(d.rename.get(c, c)) for c in d.columns]
         side = d.df.select(F.col(d.dim_key).alias(key), *cols)
-        if d.broadcast is True:
-            side = F.broadcast(side)
-        elif d.broadcast is None:
-            side = sized_broadcast(side, d.max_rows, d.max_bytes)
         out = out.join(side, out[d.fact_key] == side[key], "left").drop(key)
     return out
 

@@ -7,6 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 
 
-def preview(df: DataFrame, order: Sequence[str | Column], n: int = 20) -> DataFrame:
-    """First ``n`` rows under ``order``; plans as ``TakeOrderedAndProject`` (per-task top-n, no full sort)."""
-    return df.orderBy(*order).limit(n)
+def preview(df: DataFrame, order: Sequence[str | Column] = (), n: int | None = 20) -> DataFrame:
+    """First ``n`` rows under ``order``; plans as ``TakeOrderedAndProject`` (per-task top-n, no full sort).
+
+    ``n=None`` gives the whole frame in order; no ``order`` gives any ``n`` rows.
+    """
+    ordered = df.orderBy(*order) if order else df
+    return ordered if n is None else ordered.limit(n)

@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from strata.functions.columns import rule_passes
-from strata.operators.enrich import BROADCAST_MAX_ROWS, has_at_most
 
 Rules = Mapping[str, "str | Column"]
 
@@ -68,16 +67,15 @@ def duplicate_keys(
     count_col: str = "n",
     *,
     digest: bool = False,
-    max_rows: int = BROADCAST_MAX_ROWS,
 ) -> DataFrame:
     """Key values that occur more than once, with their count (partial counts before the shuffle).
 
     ``digest=True`` is for long values such as whole texts: first only a
     64-bit digest per row is counted (8 bytes cross the shuffle instead of
-    the text); when the digests seen more than once are proven few, they
-    are broadcast and only rows carrying them are counted by their real
+    the text), then only rows whose digest repeats are counted by their real
     value. A digest collision merely adds a candidate that the exact count
-    then discards, so the result is exact. Too many duplicates: plain count.
+    then discards, so the result is exact. One plan for every size: how the
+    repeated digests meet the rows is left to adaptive execution.
     """
     exact = lambda rows: (
         rows.groupBy(*keys).agg(F.count(F.lit(1)).alias(count_col)).filter(F.col(count_col) > 1)
@@ -89,9 +87,7 @@ def duplicate_keys(
         df.select(h).groupBy("__strata_h").agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > 1)
         .select("__strata_h")
     )
-    if not has_at_most(repeated, max_rows):
-        return exact(df)
-    candidates = df.select(*keys, h).join(F.broadcast(repeated), "__strata_h", "left_semi")
+    candidates = df.select(*keys, h).join(repeated, "__strata_h", "left_semi")
     return exact(candidates.drop("__strata_h"))
 
 
@@ -123,15 +119,17 @@ def require_non_empty(df: DataFrame, what: str = "dataset") -> DataFrame:
     return df
 
 
-def missing_json_keys(df: DataFrame, json_col: str, keys: Sequence[str], out_col: str = "missing_keys") -> DataFrame:
-    """Rows whose JSON object lacks any of ``keys`` (presence test: ``{"k": null}`` has ``k``).
-
-    Invalid JSON or a non-object counts as missing every key.
-    """
-    present = F.json_object_keys(F.col(json_col))
+def lacking_keys(json: Column, keys: Sequence[str]) -> Column:
+    """Those of ``keys`` that a JSON object lacks (``{"k": null}`` has ``k``);
+    all of them for invalid JSON or a non-object."""
+    present = F.json_object_keys(json)
     flags = [F.when(~F.coalesce(F.array_contains(present, k), F.lit(False)), F.lit(k)) for k in keys]
-    missing = F.filter(F.array(*flags), lambda x: x.isNotNull())
-    return df.withColumn(out_col, missing).filter(F.size(out_col) > 0)
+    return F.filter(F.array(*flags), lambda x: x.isNotNull())
+
+
+def missing_json_keys(df: DataFrame, json_col: str, keys: Sequence[str], out_col: str = "missing_keys") -> DataFrame:
+    """Rows whose JSON object lacks any of ``keys``, with the keys it lacks."""
+    return df.withColumn(out_col, lacking_keys(F.col(json_col), keys)).filter(F.size(out_col) > 0)
 
 
 def same_rows(a: DataFrame, b: DataFrame) -> bool:

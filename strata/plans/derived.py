@@ -8,11 +8,15 @@ registered query reads whole tables and grows with them. Snapshots differ by
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.session import scratch_folder
+
 # Fixed values shared with the oracle SQL in __spark_entry__.py.
 CURRENT_FROM = "1996-01-01"  # the current listing holds orders from this date on
 PREVIOUS_BEFORE = "2000-01-01"  # the previous run saw orders before this date
@@ -176,3 +180,116 @@ def observation_lines(lineitem: DataFrame) -> DataFrame:
         F.lit(""),
     )
     return lineitem.select(line.alias("line"))
+
+
+# ------------------------------------------------- a landing that goes stale
+def two_listings(orders: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The listings of two runs: every order is a file; those not finished grew by a byte and a day since."""
+    name = F.concat(F.lit("f"), F.col("o_orderkey").cast("string")).alias("file_name")
+    grew = F.when(F.col("o_orderstatus") != "F", 1).otherwise(0)
+    later = F.when(F.col("o_orderstatus") != "F", F.col("o_orderdate") + F.expr("INTERVAL 1 DAY")).otherwise(F.col("o_orderdate"))
+    old = orders.select(name, cents("o_totalprice").alias("file_size"), F.col("o_orderdate").alias("source_modified_time"))
+    new = orders.select(name, (cents("o_totalprice") + grew).alias("file_size"), later.alias("source_modified_time"))
+    return old, new
+
+
+def dated_copies(orders: DataFrame) -> DataFrame:
+    """What lies in the folder: new copies of the two highest priorities, old ones of all others."""
+    fresh = (F.col("o_orderstatus") != "F") & F.col("o_orderpriority").isin("1-URGENT", "2-HIGH")
+    return orders.select(
+        F.concat(F.lit("f"), F.col("o_orderkey").cast("string")).alias("file_name"),
+        (cents("o_totalprice") + F.when(fresh, 1).otherwise(0)).alias("length"),
+        F.when(fresh, run_time() + F.expr("INTERVAL 1 DAY")).otherwise(run_time(PREVIOUS_RUN)).alias("modification_time"),
+    )
+
+
+def wide_value() -> Column:
+    """A line item's quantity in ten millionths; infinite or NaN for a few."""
+    ten = F.col("l_discount") == 0.1
+    return (
+        F.when(ten & (F.col("l_quantity") == 50), F.lit(float("inf")))
+        .when(ten & (F.col("l_quantity") == 49), F.lit(float("nan")))
+        .otherwise(F.col("l_quantity") / F.lit(1e7))
+    )
+
+
+def linked_pages(pages: DataFrame) -> DataFrame:
+    """Each page's id in links of many shapes: ``data-href`` beside ``href``, ``>`` in a quoted value,
+    numeric references, relative and scheme-less links; and in places that are no link."""
+    key = F.col("page_id").cast("string")
+    parts = [
+        '<a data-href="t0.wrong" href="t', key, '.txt">1</a>', "<A title='a > b' HREF='//host.org/x/t", key, "&#46;csv'>2</A>",
+        '<a\nhref = ../up/./t', key, '&#x2e;x/>3</a>', '<a href="https://x.org/t&gt;', key, '">4</a>',
+        '<a name="t.none">5</a><abbr href="t.no">6</abbr><!-- <a href="t.hidden">7</a> -->',
+        '<script>var a = \'<a href="t.code">\';</script><a href="mailto:s@x.org">8</a><a href>9</a>',
+    ]
+    return pages.select("page_id", F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts]).alias("html"))
+
+
+# ------------------------------------------------------ files written by Spark
+def fresh_name(prefix: str) -> str:
+    return f"{prefix}_{uuid.uuid4().hex[:12]}"
+
+
+def customer_files(spark: SparkSession, customer: DataFrame) -> str:
+    """A folder with one text file per nation: its customers' names, a line each, by key."""
+    path = scratch_folder(spark)
+    lines = customer.select(F.col("c_nationkey").alias("nation"), "c_custkey", F.col("c_name").alias("value"))
+    ordered = lines.repartition("nation").sortWithinPartitions("nation", "c_custkey")
+    ordered.select("nation", "value").write.partitionBy("nation").text(path)
+    return path
+
+
+def raw_folders(spark: SparkSession, t: Callable[[str], DataFrame]) -> tuple[str, str]:
+    """Raw series files and the yearly context document, written from the tables.
+
+    Line items are observations of their supplier (quarter of the ship date,
+    ``-`` for a price without discount), suppliers are series, nations and
+    regions the code tables; the context counts orders by nation and year.
+    """
+    root = scratch_folder(spark)
+    series, context = f"{root}/series", f"{root}/context"
+    pad = lambda c: F.concat(c.cast("string"), F.lit("   "))
+    text = lambda v: F.lit(v).cast("string")
+
+    def put(df: DataFrame, name: str) -> None:
+        df.write.option("header", True).option("sep", "\t").option("emptyValue", "").csv(f"{series}/{name}")
+
+    price = F.col("l_extendedprice").cast("decimal(18,2)").cast("string")
+    obs = t("lineitem").select(
+        pad(F.concat(F.lit("PRS"), F.col("l_suppkey"))).alias("series_id"), F.year("l_shipdate").cast("string").alias("year"),
+        F.concat(F.lit("Q0"), F.quarter("l_shipdate").cast("string")).alias("period"),
+        F.when(F.col("l_discount") == 0, "-").otherwise(price).alias("value"), text("").alias("footnote_codes"),
+    )
+    put(obs, "pr.data.1.AllData")
+    put(obs.filter("period = 'Q04'"), "pr.data.0.Current")
+    nation, region = t("nation"), t("region")
+    owner = t("supplier").join(nation, F.col("s_nationkey") == F.col("n_nationkey"), "left")
+    put(owner.select(
+        pad(F.concat(F.lit("PRS"), F.col("s_suppkey"))).alias("series_id"), pad(F.col("s_nationkey")).alias("sector_code"),
+        pad(F.col("n_regionkey")).alias("class_code"), pad(F.col("n_regionkey")).alias("measure_code"),
+        F.when(F.col("s_acctbal") < 0, "0").otherwise("1").alias("duration_code"), text("S").alias("seasonal"), text("-").alias("base_year"),
+        text("").alias("footnote_codes"), text("1992").alias("begin_year"), text("Q01").alias("begin_period"),
+        text("1998").alias("end_year"), text("Q04").alias("end_period"),
+    ), "pr.series")
+
+    def codes(df: DataFrame, code: Column, label: Column, names: tuple[str, str], file: str) -> None:
+        put(df.select(pad(code).alias(names[0]), label.alias(names[1]), text("0").alias("display_level"),
+                      text("T").alias("selectable"), text("1").alias("sort_sequence")), file)
+
+    codes(nation, F.col("n_nationkey"), F.col("n_name"), ("sector_code", "sector_name"), "pr.sector")
+    codes(region, F.col("r_regionkey"), F.concat(F.lit("class "), F.col("r_regionkey")), ("class_code", "class_text"), "pr.class")
+    codes(region, F.col("r_regionkey"), F.col("r_name"), ("measure_code", "measure_text"), "pr.measure")
+    spans = spark.createDataFrame([("0", "short"), ("1", "long")], "code string, label string")
+    codes(spans, F.col("code"), F.col("label"), ("duration_code", "duration_text"), "pr.duration")
+    put(spark.createDataFrame([("S", "adjusted"), ("U", "not adjusted")], "seasonal_code string, seasonal_text string"), "pr.seasonal")
+    put(spark.createDataFrame([(f"Q0{q}", f"QTR{q}", f"{q}. quarter") for q in range(1, 5)], "period string, period_abbr string, period_name string"), "pr.period")
+    put(spark.createDataFrame([("R", "revised")], "footnote_code string, footnote_text string"), "pr.footnote")
+
+    home = t("customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    yearly = t("orders").join(home, F.col("o_custkey") == F.col("c_custkey")).groupBy("n_name", F.year("o_orderdate").alias("y")).count()
+    record = F.struct(F.lit("0").alias("Nation ID"), F.col("n_name").alias("Nation"), F.col("y").alias("Year"), F.col("count").alias("Population"))
+    # nations times years, a fixed number of records
+    whole = yearly.agg(F.to_json(F.struct(F.array(F.lit("Year")).alias("columns"), F.collect_list(record).alias("data"))).alias("value"))
+    whole.coalesce(1).write.text(f"{context}/population.json")
+    return series, context

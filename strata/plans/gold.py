@@ -12,9 +12,8 @@ from pyspark.sql import functions as F
 from strata.operators.analytics import best_period
 from strata.operators.cleanse import clean_columns
 from strata.operators.enrich import DimSpec, describe, enrich
-from strata.operators.partitioning import spread
 from strata.operators.quality import quality_gate
-from strata.plans.medallion import FINITE_VALUE_RULE, OBSERVATION_RULES
+from strata.plans.medallion import NOT_NAN_RULE, OBSERVATION_RULES
 from strata.schemas import OBSERVATIONS_RAW
 from strata.sources.delimited import parse_delimited
 
@@ -29,7 +28,7 @@ def best_year_by_customer(orders: DataFrame, customer: DataFrame, nation: DataFr
         F.year("o_orderdate"),
         "o_totalprice",
         where=F.col("o_orderstatus").isin("F", "O"),
-        exact_scale=2,
+        exact=True,
         period_col="best_year",
         sum_col="yearly_sum",
         flag_col="is_latest_best_year",
@@ -58,19 +57,18 @@ def best_year_from_raw_lines(lines: DataFrame, supplier: DataFrame, nation: Data
     per series the best year over Q01-Q04 (exact sums, ties kept) -> labelled
     with the supplier's nation and region. Every step is row-local until the
     grouped sum, so the raw text is parsed where it is read."""
-    # parsing is the costly step: use every core even if the text arrives in few splits
-    raw = parse_delimited(spread(lines, "line"), "line", OBSERVATIONS_RAW)
+    raw = parse_delimited(lines, "line", OBSERVATIONS_RAW)
     silver = clean_columns(
         raw, {"series_id": None, "year": "int", "period": None, "value": "double", "footnote_codes": None}
     )
-    kept, _ = quality_gate(silver, {**OBSERVATION_RULES, **FINITE_VALUE_RULE})
+    kept, _ = quality_gate(silver, {**OBSERVATION_RULES, **NOT_NAN_RULE})
     best = best_period(
         kept,
         "series_id",
         "year",
         "value",
         where=F.col("period").isin("Q01", "Q02", "Q03", "Q04"),
-        exact_scale=2,
+        exact=True,
         period_col="best_year",
         sum_col="yearly_quarterly_sum",
         flag_col="is_latest_best_year",

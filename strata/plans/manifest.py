@@ -8,10 +8,10 @@ rows are collected to the driver.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.operators.changes import action_counts, classify_changes, detect_removed
@@ -72,26 +72,45 @@ def landing_records(
     *,
     size_col: str = "file_size",
     landed_size: str = "length",
+    landed_time: str = "modification_time",
+    version_col: str = "source_modified_time",
+    since_col: str = "prev_ingestion_time",
     action_col: str = "action",
     now=None,
 ) -> DataFrame:
-    """One record per NEW/CHANGED (or REAPPEARED) item: SUCCESS when a landed file exists
+    """One record per NEW/CHANGED (or REAPPEARED) item: SUCCESS when this version's file has landed
     (``size_col`` becomes its actual size; ``size_mismatch`` when that differs
     from the listed size, kept in ``listed_size``), otherwise FAILED with the
     listed size. A FAILED item stays NEW/CHANGED against the latest success,
     so the next run retries it.
+
+    Where ``landed`` has ``landed_time``, a file counts only if it was written
+    at or after the listed version (``version_col``) and after the item's last
+    success was logged (``since_col``): the old copy of a changed file is not
+    its new version. Without that column every landed file counts, so
+    ``landed`` must then hold only what this run has landed.
     """
     todo = classified.filter(F.col(action_col).isin(NEW, CHANGED, REAPPEARED))
-    got = landed.select(*keys, F.col(landed_size).alias("__landed"))
+    dated = landed_time in landed.columns
+    got = landed.select(
+        *keys, F.col(landed_size).alias("__landed"), *([F.col(landed_time).alias("__landed_at")] if dated else [])
+    )
     found = F.col("__landed").isNotNull()
+    if dated:
+        at = F.col("__landed_at")
+        if version_col in todo.columns:
+            found = found & F.coalesce(at >= F.col(version_col), F.lit(True))
+        if since_col in todo.columns:
+            found = found & F.coalesce(at > F.col(since_col), F.lit(True))
     return (
         todo.join(got, list(keys), "left")
+        .withColumn("__found", found)
         .withColumn("listed_size", F.col(size_col))
-        .withColumn("status", F.when(found, F.lit(SUCCESS)).otherwise(F.lit(FAILED)))
-        .withColumn("size_mismatch", F.coalesce(F.col("__landed") != F.col(size_col), F.lit(False)))
-        .withColumn(size_col, F.when(found, F.col("__landed")).otherwise(F.col(size_col)))
+        .withColumn("status", F.when(F.col("__found"), F.lit(SUCCESS)).otherwise(F.lit(FAILED)))
+        .withColumn("size_mismatch", F.coalesce(F.col("__found") & (F.col("__landed") != F.col(size_col)), F.lit(False)))
+        .withColumn(size_col, F.when(F.col("__found"), F.col("__landed")).otherwise(F.col(size_col)))
         .withColumn("ingestion_time", _now(now))
-        .drop("__landed")
+        .drop("__landed", "__landed_at", "__found")
     )
 
 
@@ -103,19 +122,30 @@ def content_records(
     path_col: str = "file_path",
     size_col: str = "file_size",
     action_col: str = "action",
+    stored: DataFrame | None = None,
+    keys: Sequence[str] = ("file_name",),
+    hash_col: str = "content_sha256",
     now=None,
 ) -> DataFrame:
     """Log rows for content compared by bytes (``classify_content``): only
-    NEW/CHANGED contents are written and logged, as SUCCESS with no source
-    time (the source publishes none)."""
-    return classified.filter(F.col(action_col) != UNCHANGED).select(
+    NEW/CHANGED contents are logged, with no source time (the source publishes
+    none). ``stored`` holds the digests found in storage after the write: a
+    content whose digest is not there is FAILED. Without it the caller vouches
+    for the write and all are SUCCESS."""
+    todo = classified.filter(F.col(action_col) != UNCHANGED)
+    status = F.lit(SUCCESS)
+    if stored is not None:
+        there = stored.select(*keys, F.col(hash_col).alias("__stored")).distinct()
+        todo = todo.join(there, list(keys), "left")
+        status = F.when(F.col("__stored") == F.col(hash_col), F.lit(SUCCESS)).otherwise(F.lit(FAILED))
+    return todo.select(
         F.lit(source).alias("source"),
         F.col(name_col).alias("file_name"),
         F.col(path_col).alias("file_path"),
         F.col(size_col).cast("bigint").alias("file_size"),
         F.lit(None).cast("timestamp").alias("source_modified_time"),
         _now(now).alias("ingestion_time"),
-        F.lit(SUCCESS).alias("status"),
+        status.alias("status"),
     )
 
 
@@ -152,6 +182,7 @@ def ingest_step(
     now=None,
     *,
     reappeared: bool = False,
+    cut: Callable[[DataFrame], DataFrame] = lambda df: df,
 ) -> StepResult:
     """One run, side-effect free: classify the listing against the latest
     SUCCESS per file (listed size against listed size, and source time),
@@ -163,14 +194,18 @@ def ingest_step(
     again and its state stays REMOVED. ``reappeared=True`` labels it
     REAPPEARED and lands it like a NEW file, so its state returns to SUCCESS.
 
-    ``inventory``: ``INVENTORY_SCHEMA``; ``landed``: ``(file_name, length)``.
+    ``inventory``: ``INVENTORY_SCHEMA``; ``landed``: ``(file_name, length)`` and,
+    unless it holds this run's files only, ``modification_time`` (see
+    ``landing_records``). ``cut`` is applied to the two frames that are read
+    more than once (``incremental_ingest`` checkpoints them).
     """
     log = with_listed_size(log).filter(F.col("source") == source)
-    prev = latest_success(log).select(
-        "file_name", F.col("listed_size").alias("file_size"), "source_modified_time"
+    newest = cut(newest_rows(log, ["file_name"]))
+    success, state = (newest.filter(f"{c} IS NOT NULL").select(F.col("file_name"), f"{c}.*") for c in ("success", "state"))
+    prev = success.select(
+        "file_name", F.col("listed_size").alias("file_size"), "source_modified_time", "ingestion_time"
     )
-    state = latest_state(log)
-    classified = classify_changes(inventory, prev, ["file_name"], list(TRACK))
+    classified = classify_changes(inventory, prev, ["file_name"], list(TRACK), carry=["ingestion_time"])
     if reappeared:
         gone = state.filter(F.col("status") == REMOVED).select("file_name", F.lit(True).alias("__gone"))
         classified = (
@@ -182,6 +217,7 @@ def ingest_step(
             )
             .drop("__gone")
         )
+    classified = cut(classified)
     prefix = target_dir.rstrip("/") + "/" if target_dir else ""
     landing = landing_records(classified, landed, ["file_name"], now=now).select(
         F.lit(source).alias("source"),
@@ -262,26 +298,40 @@ def compact_log(
     so compacting ``compact_log(a) U b`` gives the same picks as the whole
     log ``a U b``: a run can work from the compacted log instead of the
     ever-growing history.
-
-    One pass: a single exchange by key and two row numbers over it, with the
-    same orders (and tie-breakers) as ``latest_state`` and ``latest_success``.
-    No union of separately windowed frames is built, since a window over such
-    a union was seen to skip its exchange and return wrong rows on Spark 4.1.
     """
     log = with_listed_size(log)
+    newest = newest_rows(log, keys, version_col, time_col, status_col)
+    return newest.select(*keys, F.inline(F.array_distinct(F.array_compact(F.array("state", "success"))))).select(*log.columns)
+
+
+def newest_rows(
+    log: DataFrame,
+    keys: Sequence[str] = KEYS,
+    version_col: str = "source_modified_time",
+    time_col: str = "ingestion_time",
+    status_col: str = "status",
+) -> DataFrame:
+    """Per item ``state`` and ``success``: its latest row and its latest SUCCESS row (NULL if none) as structs.
+
+    One aggregate with the orders and tie-breakers of ``latest_state`` and
+    ``latest_success``. Both maxima combine in each map task before the one
+    exchange, so an item holding a third of the log sends a row per task.
+    """
+    columns = [c for c in log.columns if c not in keys]
+    row = F.struct(*columns)
+    rest = lambda *used: [c for c in sorted(log.columns) if c not in (*keys, *used)]
+    by_time = F.struct(time_col, *rest(time_col))
+    by_version = F.struct(version_col, time_col, *rest(version_col, time_col))
     ok = F.col(status_col) == SUCCESS
-    by_time = Window.partitionBy(*keys).orderBy(F.col(time_col).desc(), *_rest(log, [*keys, time_col]))
-    by_version = Window.partitionBy(*keys).orderBy(
-        ok.desc_nulls_last(),
-        F.col(version_col).desc_nulls_last(),
-        F.col(time_col).desc(),
-        *_rest(log, [*keys, version_col, time_col]),
-    )
-    ranked = log.withColumn("__strata_s", F.row_number().over(by_time)).withColumn(
-        "__strata_v", F.row_number().over(by_version)
+    return log.groupBy(*keys).agg(
+        F.max_by(row, by_time).alias("state"), F.max_by(F.when(ok, row), F.when(ok, by_version)).alias("success")
     )
-    keep = (F.col("__strata_s") == 1) | ((F.col("__strata_v") == 1) & F.coalesce(ok, F.lit(False)))
-    return ranked.filter(keep).drop("__strata_s", "__strata_v")
+
+
+def _lags(state: DataFrame, log: DataFrame, time_col: str = "ingestion_time") -> bool:
+    """True when ``log`` holds rows newer than the newest in ``state``; reads one column of each."""
+    seen, last = (df.agg(F.max(time_col)).first()[0] for df in (state, log))
+    return last is not None and (seen is None or seen < last)
 
 
 def incremental_ingest(
@@ -308,17 +358,19 @@ def incremental_ingest(
     ``state_table`` keeps a compacted log (``compact_log``) next to the full
     one: each run then reads at most two rows per item instead of the whole
     history, so its cost follows the number of items, not the number of
-    past runs. The full log is still appended for audit; the first run with
-    a new state table builds it from the log.
+    past runs. The full log is still appended for audit. A state whose newest
+    log time is behind the log's (a run without the state, or one that ended
+    between the two writes) is built anew from the log, as is a missing one.
     """
     require_non_empty(inventory, "source inventory")
-    if state_table and spark.catalog.tableExists(state_table):
-        base = spark.read.table(state_table)
-    elif state_table:
-        base = compact_log(read_log(spark, log_table))
+    log = read_log(spark, log_table)
+    if not state_table:
+        base = log
+    elif spark.catalog.tableExists(state_table) and not _lags(state := spark.read.table(state_table), log):
+        base = state
     else:
-        base = read_log(spark, log_table)
-    step = ingest_step(inventory, base, landed, source, target_dir, now, reappeared=reappeared)
+        base = compact_log(log)
+    step = ingest_step(inventory, base, landed, source, target_dir, now, reappeared=reappeared, cut=materialize)
     records = materialize(step.records())
     counts = materialize(step.counts())
     if state_table:

@@ -8,7 +8,7 @@ not from the raw files. No layer collects data to the driver.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -61,9 +61,26 @@ OBSERVATION_RULES = {
     "AND period IN ('Q01', 'Q02', 'Q03', 'Q04', 'Q05') AND value IS NOT NULL",
 }
 SERIES_RULES = {"valid_series": "series_id IS NOT NULL"}
-# "NaN" text casts to NaN, which passes "value IS NOT NULL" but has no exact
-# decimal form and would rank above every number; rejected (and counted) by default.
-FINITE_VALUE_RULE = {"finite_value": "NOT isnan(value)"}
+# "NaN" text casts to NaN, which passes "value IS NOT NULL" and ranks above
+# every number. This rule, off by default, drops and counts such rows.
+NOT_NAN_RULE = {"not_nan": "NOT isnan(value)"}
+
+SILVER_COMMENTS = {
+    "silver_observations": "Typed observations with a series, year, known period and value.",
+    "silver_measure": "Measure codes and texts.",
+    "silver_sector": "Sector codes and names.",
+    "silver_class": "Worker class codes and texts.",
+    "silver_duration": "Duration codes and texts.",
+    "silver_seasonal": "Seasonal adjustment codes and texts.",
+    "silver_period": "Period codes and names.",
+    "silver_series": "Series with their codes and first and last period.",
+    "silver_population": "Yearly population of one nation.",
+}
+GOLD_COMMENTS = {
+    "gold_range_stats": "Mean and standard deviation of the population over a range of years.",
+    "gold_best_year": "Per series the year of the largest quarterly sum, ties kept.",
+    "gold_series_with_population": "One series and period with the year's population.",
+}
 
 
 def population_rules(nation: str) -> dict[str, str]:
@@ -117,12 +134,17 @@ class Silver:
 
     tables: dict[str, DataFrame]
     rules: dict[str, Mapping[str, str]] = field(default_factory=dict)
+    after: dict[str, Callable[[DataFrame], DataFrame]] = field(default_factory=dict)  # applied to gated rows
 
 
-def build_silver(bronze: Mapping[str, DataFrame], nation: str = "United States", reject_nan: bool = True) -> Silver:
+def build_silver(
+    bronze: Mapping[str, DataFrame], nation: str = "United States", reject_nan: bool = False, trim_before_gate: bool = False
+) -> Silver:
     """Trimmed, typed (``try_cast``) silver frames; the gated ones are returned
     ungated here with their rules, so ``run_medallion`` can count drops while writing.
-    ``reject_nan=False`` keeps NaN observations, as the plain validity rule does."""
+    ``reject_nan`` also drops NaN observations, which the plain validity rule
+    keeps. The nation is compared as stored and trimmed afterwards;
+    ``trim_before_gate`` trims it first, so that padded names are kept."""
     obs = clean_columns(
         bronze["bronze_all_data"],
         {"series_id": None, "year": "int", "period": None, "value": "double", "footnote_codes": None},
@@ -137,9 +159,9 @@ def build_silver(bronze: Mapping[str, DataFrame], nation: str = "United States",
         rename={"seasonal": "seasonal_code"},
         null_tokens={"base_year": ["-"]},
     )
-    # Trim first, then gate: padded nation names are kept or counted, never lost silently.
+    trimmed = lambda df: df.withColumn("nation", F.trim("nation"))
     population = bronze["bronze_population"].select(
-        F.trim("nation").alias("nation"),
+        F.trim("nation").alias("nation") if trim_before_gate else F.col("nation"),
         F.trim("nation_id").alias("nation_id"),
         F.col("year").try_cast("int").alias("year"),
         F.col("population").try_cast("long").alias("population"),
@@ -158,11 +180,11 @@ def build_silver(bronze: Mapping[str, DataFrame], nation: str = "United States",
         "silver_population": population,
     }
     rules = {
-        "silver_observations": {**OBSERVATION_RULES, **(FINITE_VALUE_RULE if reject_nan else {})},
+        "silver_observations": {**OBSERVATION_RULES, **(NOT_NAN_RULE if reject_nan else {})},
         "silver_series": SERIES_RULES,
         "silver_population": population_rules(nation),
     }
-    return Silver(tables, rules)
+    return Silver(tables, rules, {} if trim_before_gate else {"silver_population": trimmed})
 
 
 def gold_range_stats(population: DataFrame, lo: int = 2013, hi: int = 2018) -> DataFrame:
@@ -179,17 +201,18 @@ def gold_best_year(
     duration: DataFrame,
     seasonal: DataFrame,
     periods=QUARTERS,
-    exact_scale: int | None = 3,
+    exact: bool = False,
 ) -> DataFrame:
     """Question 2: per series the year(s) with the highest sum over ``periods``
-    (annual-average code excluded), ties kept, newest tied year flagged, labelled."""
+    (annual-average code excluded), ties kept, newest tied year flagged, labelled.
+    Sums are double and only the result is rounded; ``exact`` as in ``best_period``."""
     best = best_period(
         observations,
         "series_id",
         "year",
         "value",
         where=F.col("period").isin(*periods),
-        exact_scale=exact_scale,
+        exact=exact,
         period_col="best_year",
         sum_col="yearly_quarterly_sum",
         flag_col="is_latest_best_year",
@@ -246,7 +269,9 @@ def run_medallion(
     period: str = "Q01",
     years: tuple[int, int] = (2013, 2018),
     check_unique_context: bool = True,
-    reject_nan: bool = True,
+    reject_nan: bool = False,
+    trim_before_gate: bool = False,
+    exact_sums: bool = False,
 ) -> MedallionResult:
     """Publish bronze, silver and gold tables in order; return them and the
     per-rule drop counts gathered while the silver tables were written."""
@@ -258,7 +283,7 @@ def run_medallion(
     for name, df in raw.items():
         out[name] = publish(df, db(name), comments[name])
 
-    silver = build_silver(out, nation, reject_nan)
+    silver = build_silver(out, nation, reject_nan, trim_before_gate)
     quality: dict[str, dict[str, int]] = {}
     # Observations by period code (five values): question 3 reads one folder,
     # question 2 skips the annual-average folder.
@@ -267,24 +292,29 @@ def run_medallion(
         rules = silver.rules.get(name)
         if rules:
             kept, obs = observed_gate(df, rules, name)
-            out[name] = publish(kept, db(name), partition_by=layout.get(name, ()))
+            kept = silver.after.get(name, lambda df: df)(kept)
+            out[name] = publish(kept, db(name), SILVER_COMMENTS[name], partition_by=layout.get(name, ()))
             quality[name] = {k: int(v) for k, v in obs.get.items()}
         else:
-            out[name] = publish(df, db(name))
+            out[name] = publish(df, db(name), SILVER_COMMENTS[name])
 
     population = out["silver_population"]
     if check_unique_context:
         assert_unique(population, ["year"], "silver_population")
-    out["gold_range_stats"] = publish(gold_range_stats(population, *years), db("gold_range_stats"))
+    out["gold_range_stats"] = publish(
+        gold_range_stats(population, *years), db("gold_range_stats"), GOLD_COMMENTS["gold_range_stats"]
+    )
     out["gold_best_year"] = publish(
         gold_best_year(
             out["silver_observations"], out["silver_series"], out["silver_sector"], out["silver_class"],
-            out["silver_measure"], out["silver_duration"], out["silver_seasonal"],
+            out["silver_measure"], out["silver_duration"], out["silver_seasonal"], exact=exact_sums,
         ),
         db("gold_best_year"),
+        GOLD_COMMENTS["gold_best_year"],
     )
     out["gold_series_with_population"] = publish(
         gold_series_with_population(out["silver_observations"], population, series_id, period),
         db("gold_series_with_population"),
+        GOLD_COMMENTS["gold_series_with_population"],
     )
     return MedallionResult(out, quality)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import weakref
-
 from pyspark.sql import DataFrame, SparkSession
 
 TABLES = (
@@ -11,15 +9,10 @@ TABLES = (
     "embeddings pages benchmark labels conversations"
 ).split()
 
-# One scan definition per (session, path): listing files and reading parquet
-# footers happens once per job, as when sources are declared up front.
-_SCANS: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One table as a lazy parquet scan (filters and projections reach the reader)."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    scans = _SCANS.setdefault(spark, {})
-    if path not in scans:
-        scans[path] = spark.read.parquet(path)
-    return scans[path]
+    """One table as a lazy parquet scan (filters and projections reach the reader).
+
+    The files are listed at each call, so a table rewritten in place is seen.
+    """
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

@@ -7,6 +7,7 @@ in settings that are unset, so cluster configuration always wins.
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,6 +17,9 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Spark 4.1 takes a union of frames partitioned by the same keys for
+    # partitioned by them itself, and a window over it returns several rows a key.
+    "spark.sql.unionOutputPartitioning": "false",
 }
 
 
@@ -34,9 +38,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="strata-ckpt-"))
         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="strata-wh-"))
-        # Broadcast only sizes that are proven: explicit hints after a bounded
-        # count (strata.operators.enrich), or AQE on measured shuffle output;
-        # never the planner's guess from compressed file sizes.
+        # Broadcast only sizes that AQE has measured, never the planner's guess
+        # from compressed file sizes.
         .config("spark.sql.autoBroadcastJoinThreshold", "-1")
         .config("spark.sql.adaptive.autoBroadcastJoinThreshold", "32m")
     )
@@ -58,8 +61,7 @@ def apply_defaults(spark: SparkSession) -> SparkSession:
 def use_measured_broadcast(spark: SparkSession, adaptive_threshold: str = "32m") -> SparkSession:
     """Broadcast only sizes that are measured: turn off the planner's broadcast
     guess from file statistics and let AQE broadcast a side whose materialised
-    shuffle output is under ``adaptive_threshold``. Explicit hints (issued by
-    ``strata.operators.enrich`` after a bounded count) still apply."""
+    shuffle output is under ``adaptive_threshold``."""
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", adaptive_threshold)
     return spark
@@ -90,6 +92,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
     raise RuntimeError("spark.checkpoint.dir is not set; name a shared folder for reliable checkpoints")
 
 
+def scratch_folder(spark: SparkSession) -> str:
+    """A folder for files of a run: inside ``spark.checkpoint.dir``, or a temp
+    folder where a local session names none. A cluster must name one."""
+    try:
+        base = checkpoint_dir(spark)
+    except RuntimeError:
+        if not spark.sparkContext.master.startswith("local"):
+            raise
+        base = tempfile.mkdtemp(prefix="strata-scratch-")
+    return f"{base.rstrip('/')}/scratch-{uuid.uuid4().hex}"
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: cuts lineage into the shared checkpoint folder.
 

@@ -14,11 +14,13 @@ from pyspark.sql import functions as F
 
 from strata.functions.columns import basename, join_url, listing_timestamp
 
-# Fixed patterns. A link is an <a ...> tag whose href value is double-quoted,
-# single-quoted or bare; HTML comments and script/style blocks are removed
-# first. A listing entry is
-# "M/d/yyyy h:mm AM|PM  <size>  <A HREF="<href>"><name></A>", case-insensitive.
-LINK_HREF = r"""(?i)<a\s[^>]*?href\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)"""
+# An <a> tag with its attributes: quoted values are taken whole, so a ">" in one
+# does not end the tag. Then one attribute: its name, and its value if it has one
+# (double-quoted, single-quoted or bare).
+ANCHOR = r"""(?i)<a(?=[\s/])((?:[^"'>]++|"[^"]*+"|'[^']*+')*+)>"""
+ATTRIBUTE = r"""[^\s"'>/=]++(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s"'>]++))?"""
+# A listing entry is "M/d/yyyy h:mm AM|PM  <size>  <A HREF="<href>"><name></A>",
+# case-insensitive.
 # Not markup: comments and the content of raw-text elements (script, style);
 # links inside them do not count. One pass over the page; the shared "<" is
 # factored out so the engine tries the alternatives only at a "<".
@@ -26,13 +28,27 @@ HTML_NOT_MARKUP = r"(?is)<(?:!--.*?-->|script\b[^>]*>.*?</script\s*>|style\b[^>]
 LISTING_ENTRY = (
     r'(?i)(\d{1,2}/\d{1,2}/\d{4}\s+\d{1,2}:\d{2}\s+[AP]M)\s+(\d+)\s+<A HREF="([^"]+)">({prefix}[^<]+)</A>'
 )
-# Character references decoded in attribute values (fixed values; "&amp;" last).
-ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&"))
+# Named character references decoded in attribute values (fixed values; "&amp;" last).
+ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&nbsp;", "\u00a0"), ("&amp;", "&"))
+
+
+def _numbered(value: Column) -> Column:
+    """Numeric character references, decimal and hexadecimal, as the letters they stand for."""
+    refs = F.array_distinct(F.regexp_extract_all(value, F.lit(r"(?i)&#(?:x[0-9a-f]{1,6}|[0-9]{1,7});"), 0))
+
+    def letter(ref: Column) -> Column:
+        hexed = F.regexp_extract(ref, "(?i)x([0-9a-f]+)", 1)
+        code = F.when(hexed != "", hexed).otherwise(F.conv(F.regexp_extract(ref, "([0-9]+)", 1), 10, 16))
+        known = F.conv(code, 16, 10).cast("long").between(1, 0x10FFFF) & ~F.conv(code, 16, 10).cast("long").between(0xD800, 0xDFFF)
+        return F.when(known, F.decode(F.unhex(F.lpad(code, 8, "0")), "UTF-32")).otherwise(F.lit("\ufffd"))
+
+    decoded = F.aggregate(refs, value, lambda text, ref: F.replace(text, ref, letter(ref)))
+    return F.when(F.contains(value, F.lit("&#")), decoded).otherwise(value)
 
 
 def attribute_value(raw: Column) -> Column:
-    """Strip the quotes around an attribute value and decode common character references."""
-    value = F.regexp_replace(raw, r"""^["']|["']$""", "")
+    """Strip the quotes around an attribute value and decode its character references."""
+    value = _numbered(F.regexp_replace(raw, r"""(?s)^(["'])(.*)\1$""", "$2"))
     for entity, char in ENTITIES:
         value = F.replace(value, F.lit(entity), F.lit(char))
     return value
@@ -43,13 +59,18 @@ def extract_links(
 ) -> DataFrame:
     """One row per link whose last path segment starts with ``prefix`` (case-sensitive).
 
-    Order within a page and duplicates are kept. Output: ``keep`` + ``href`` + ``name_col``.
+    A link is the value of an attribute named ``href`` (not ``data-href``) of an
+    ``<a>`` tag; the first one counts where a tag repeats it. Order within a
+    page and duplicates are kept. Output: ``keep`` + ``href`` + ``name_col``.
     """
     keep = list(keep)
     text = F.regexp_replace(F.col(html_col), HTML_NOT_MARKUP, "")
-    hrefs = F.regexp_extract_all(text, F.lit(LINK_HREF), 1)
-    raw = df.select(*keep, F.explode(hrefs).alias("__href"))
-    links = raw.select(*keep, attribute_value(F.col("__href")).alias("href")).withColumn(name_col, basename("href"))
+    tags = df.select(*keep, F.explode(F.regexp_extract_all(text, F.lit(ANCHOR), 1)).alias("__tag"))
+    own = F.filter(F.regexp_extract_all("__tag", F.lit(ATTRIBUTE), 0), lambda a: a.rlike(r"(?i)^href\s*="))
+    value = lambda a: attribute_value(F.regexp_replace(a, r"(?i)^href\s*=\s*", ""))
+    # decoded inside the generator: once per link, whatever reads it afterwards
+    found = tags.select(*keep, F.explode(F.transform(F.slice(own, 1, 1), value)).alias("href"))
+    links = found.withColumn(name_col, basename("href"))
     return links.filter(F.col(name_col).startswith(prefix)) if prefix else links
 
 
@@ -63,7 +84,8 @@ def parse_listing(
 ) -> DataFrame:
     """Inventory rows ``(file_name, source_url, file_size, source_modified_time)`` from
     directory-listing text; entries whose name does not start with ``prefix``
-    (any case) are ignored. Impossible dates give a NULL time, not an error."""
+    (any case) are ignored. Impossible dates and sizes
+    beyond a long give NULL, not an error."""
     keep = list(keep)
     pattern = LISTING_ENTRY.replace("{prefix}", re.escape(prefix))
     entries = df.select(*keep, F.explode(F.regexp_extract_all(F.col(html_col), F.lit(pattern), 0)).alias("__m"))
@@ -72,6 +94,6 @@ def parse_listing(
         *keep,
         field(4).alias("file_name"),
         join_url(base_url, field(3)).alias("source_url"),
-        field(2).cast("bigint").alias("file_size"),
+        field(2).try_cast("bigint").alias("file_size"),
         listing_timestamp(field(1)).alias("source_modified_time"),
     )

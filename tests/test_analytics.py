@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from strata.operators.analytics import best_period, range_stats, series_with_context
-from strata.operators.enrich import DimSpec, describe, enrich, has_at_most
+from strata.operators.enrich import DimSpec, describe, enrich
 from strata.operators.latest import latest_by_key
 from strata.operators.preview import preview
 from strata.operators.ranking import top_with_ties
@@ -32,7 +32,7 @@ def test_exact_sums_keep_genuine_ties(spark):
     # 0.1+0.2+0.3 and 0.3+0.2+0.1 differ in double arithmetic; exact decimals tie.
     rows = [("S", 2000, v) for v in (0.1, 0.2, 0.3)] + [("S", 2001, v) for v in (0.3, 0.2, 0.1)]
     df = spark.createDataFrame(rows, "series_id string, year int, value double").coalesce(1)
-    best = best_period(df, "series_id", "year", "value", exact_scale=3, period_col="y", sum_col="s", flag_col="f")
+    best = best_period(df, "series_id", "year", "value", exact=True, period_col="y", sum_col="s", flag_col="f")
     assert sorted(r.y for r in best.collect()) == [2000, 2001]
 
 
@@ -75,17 +75,26 @@ def test_enrich_snowflake_and_describe(spark):
     klass = spark.createDataFrame([("Y", "Class Y")], "class_code string, class_text string")
     out = enrich(fact, [
         DimSpec(series, "series_id", "series_id", ["sector_code", "class_code"]),
-        DimSpec(sector, "sector_code", "sector_code", ["sector_name"], broadcast=False),
-        DimSpec(klass, "class_code", "class_code", ["class_text"], broadcast=True),
+        DimSpec(sector, "sector_code", "sector_code", ["sector_name"]),
+        DimSpec(klass, "class_code", "class_code", ["class_text"]),
     ]).withColumn("label", describe(["sector_name", "class_text"]))
     got = {r.series_id: (r.sector_name, r.class_text, r.label) for r in out.collect()}
     # NULL parts are skipped by the label, a missing series keeps its row.
     assert got == {"S1": ("Sector A", None, "Sector A"), "S9": (None, None, "")}
 
 
-def test_has_at_most(spark):
-    df = spark.range(10)
-    assert has_at_most(df, 10) and not has_at_most(df, 9)
+def test_exact_sums_lose_nothing(spark):
+    inf, nan = float("inf"), float("nan")
+    rows = [("tiny", 2000, 0.0004)] * 4 + [("tiny", 2001, 0.0011)] + [("big", 2000, 1e16), ("big", 2001, 1e15), ("big", 2001, 1.0)]
+    rows += [("huge", 2000, 1e30), ("huge", 2001, 3.0), ("inf", 2000, inf), ("inf", 2001, 5.0), ("nan", 2000, nan), ("nan", 2001, inf)]
+    rows += [("fine", 2000, 1e-20), ("fine", 2001, 0.0), ("none", 2000, None), ("none", 2001, 1.0)]
+    df = spark.createDataFrame(rows, "k string, y int, v double")
+    for exact in (False, True):
+        got = {r.k: (r.y, r.s) for r in best_period(df, "k", "y", "v", exact=exact, period_col="y", sum_col="s").collect()}
+        assert got["tiny"][0] == 2000 and abs(got["tiny"][1] - 0.0016) < 1e-12
+        assert got["big"] == (2000, 1e16) and got["huge"] == (2000, 1e30) and got["inf"] == (2000, inf)
+        assert got["nan"][0] == 2000 and got["nan"][1] != got["nan"][1]
+        assert got["fine"] == (2000, 1e-20) and got["none"] == (2001, 1.0)
 
 
 def test_latest_by_key_and_top_with_ties(spark):
@@ -101,34 +110,7 @@ def test_preview(spark):
     assert [(r.v, r.id) for r in rows] == [(6, 6), (6, 13), (6, 20)]
 
 
-def test_spread_only_when_under_split(spark):
-    from strata.operators.partitioning import spread
-
-    wide = spark.range(100).repartition(16)
-    assert spread(wide, min_partitions=8) is wide  # already split finely: untouched, no shuffle
-    narrow = spark.range(100).coalesce(1)
-    out = spread(narrow, "id", min_partitions=8)
-    assert out.rdd.getNumPartitions() == 8
-    assert sorted(r.id for r in out.collect()) == list(range(100))
-
-
-def test_sized_broadcast_checks_rows_then_bytes(spark):
-    from strata.operators.enrich import estimated_bytes, sized_broadcast
-
-    df = spark.createDataFrame([(1, "abc"), (2, None)], "k long, s string")
-    assert estimated_bytes(df) == 8 + 3 + 8 + 0
-
-    def broadcast_hinted(frame):
-        import contextlib
-        import io
-
-        left = spark.range(3)
-        joined = left.join(frame, left["id"] == frame["k"], "left")
-        buf = io.StringIO()
-        with contextlib.redirect_stdout(buf):
-            joined.explain()
-        return "BroadcastExchange" in buf.getvalue()
-
-    assert broadcast_hinted(sized_broadcast(df, max_rows=10, max_bytes=100))
-    assert not broadcast_hinted(sized_broadcast(df, max_rows=10, max_bytes=10))  # too many bytes
-    assert not broadcast_hinted(sized_broadcast(df, max_rows=1, max_bytes=100))  # too many rows
+def test_preview_without_limit_or_order(spark):
+    df = spark.range(5)
+    assert [r.id for r in preview(df, [F.col("id").desc()], None).collect()] == [4, 3, 2, 1, 0]
+    assert preview(df, n=3).count() == 3

@@ -4,8 +4,12 @@ import json
 
 import pytest
 
-from strata.plans.documents import land_documents
-from tests.conftest import RUN1
+from pyspark.sql import functions as F
+
+from strata.plans.documents import land_documents, store_documents
+from strata.plans.manifest import content_records
+from strata.sources.landed import read_landed
+from tests.conftest import RUN1, RUN2
 
 
 def _doc(rows):
@@ -45,3 +49,41 @@ def test_strict_raises_on_invalid(spark, frames):
     incoming, stored = frames
     with pytest.raises(ValueError):
         land_documents(incoming, stored, ["file_name"], "body", ["columns", "data"], "POPULATION", strict=True)
+
+
+def test_an_invalid_document_takes_no_valid_one_with_it(spark, frames):
+    incoming, stored = frames
+    both = incoming.filter("file_name IN ('a.json', 'd.json')").withColumn("file_name", F.lit("x.json"))
+    out = land_documents(both, stored, ["file_name"], "body", ["columns", "data"], "POPULATION", now=RUN1)
+    assert [(r.file_name, r.status) for r in out.records.collect()] == [("x.json", "SUCCESS")]
+    assert out.invalid.count() == 1
+
+
+def test_landed_digests_are_compared_without_contents(spark, frames, tmp_path):
+    incoming, _ = frames
+    (tmp_path / "b.json").write_text(_doc([[2019, 2]]))
+    (tmp_path / "c.json").write_text(_doc([[2019, 3]]))
+    landed = read_landed(spark, str(tmp_path), with_hash=True)
+    out = land_documents(incoming, landed, ["file_name"], "body", ["columns", "data"], "POPULATION", now=RUN1,
+                         stored_hash_col="content_sha256")
+    assert {r.file_name: r.action for r in out.classified.collect()} == {"a.json": "NEW", "b.json": "UNCHANGED", "c.json": "CHANGED"}
+
+
+def test_store_documents_logs_what_the_store_holds(spark, frames, tmp_path):
+    incoming, _ = frames
+    store = str(tmp_path / "store")
+    run = lambda now: store_documents(incoming, store, ["file_name"], "body", ["columns", "data"], "POPULATION", now=now)
+    first = run(RUN1)
+    assert {r.file_name: r.status for r in first.records.collect()} == {"a.json": "SUCCESS", "b.json": "SUCCESS", "c.json": "SUCCESS"}
+    assert run(RUN2).records.count() == 0
+    assert spark.read.parquet(store).count() == 3
+
+
+def test_contents_missing_from_the_store_are_failed(spark):
+    classified = spark.createDataFrame(
+        [("a", "/a", 1, "NEW", "h1"), ("b", "/b", 2, "CHANGED", "h2"), ("c", "/c", 3, "NEW", "h3"), ("d", "/d", 4, "UNCHANGED", "h4")],
+        "file_name string, file_path string, file_size long, action string, content_sha256 string",
+    )
+    there = spark.createDataFrame([("a", "h1"), ("b", "old")], "file_name string, content_sha256 string")
+    got = {r.file_name: r.status for r in content_records(classified, "POP", stored=there, now=RUN1).collect()}
+    assert got == {"a": "SUCCESS", "b": "FAILED", "c": "FAILED"}

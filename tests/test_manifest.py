@@ -274,10 +274,8 @@ def test_compacted_state_gives_the_same_runs(spark):
     assert {r.file_name: r.status for r in latest_state(twice).collect()} == full_state
 
 
-@pytest.mark.xfail(reason="Spark 4.1: a window over a union of frames windowed by the same keys skipped its exchange",
-                   strict=False)
-def test_spark_window_over_union_of_windowed_frames(spark):
-    # Records why compact_log avoids unions: the union-based formulation returned several rows per key.
+def test_window_over_union_of_windowed_frames(spark):
+    # needs spark.sql.unionOutputPartitioning=false, which strata.session sets
     table = "log_union_shape"
     inv = _inv(spark, [("pr.a", "u/a", 10, T1), ("pr.b", "u/b", 20, T1), ("pr.c", "u/c", 30, T1)])
     landed = spark.createDataFrame([("pr.a", 10), ("pr.b", 20)], "file_name string, length long")
@@ -287,3 +285,43 @@ def test_spark_window_over_union_of_windowed_frames(spark):
     union_once = latest_state(log).unionByName(latest_success(log))
     union_twice = latest_state(union_once).unionByName(latest_success(union_once))
     assert latest_state(union_twice).count() == 3
+
+
+def _landed(spark, rows):
+    return spark.createDataFrame(rows, "file_name string, length long, modification_time timestamp")
+
+
+def test_an_old_copy_of_a_changed_file_is_failed_and_retried(spark):
+    table = "log_stale"
+    day = lambda n: datetime(2026, 9, n)
+    actions = lambda counts: {r.action: r.n for r in counts.collect()}
+    last = lambda: latest_state(read_log(spark, table)).first()
+    old, new = _inv(spark, [("pr.a", "u/a", 10, T1)]), _inv(spark, [("pr.a", "u/a", 11, T6)])
+    assert actions(incremental_ingest(spark, old, _landed(spark, [("pr.a", 10, T1)]), table, "SERIES", now=day(1))) == {"NEW": 1}
+    assert last().status == "SUCCESS"
+    # run 2: the listing changed, the folder still holds the first copy
+    assert actions(incremental_ingest(spark, new, _landed(spark, [("pr.a", 10, T1)]), table, "SERIES", now=day(2))) == {"CHANGED": 1}
+    assert (last().status, last().file_size) == ("FAILED", 11)
+    # run 3: it is CHANGED again, and its new copy has landed
+    assert actions(incremental_ingest(spark, new, _landed(spark, [("pr.a", 11, day(3))]), table, "SERIES", now=day(3))) == {"CHANGED": 1}
+    assert last().status == "SUCCESS"
+    assert actions(incremental_ingest(spark, new, _landed(spark, [("pr.a", 11, day(3))]), table, "SERIES", now=day(4))) == {"UNCHANGED": 1}
+
+
+def test_same_time_change_needs_a_copy_newer_than_the_last_success(spark):
+    table = "log_stale_same_time"
+    copy = _landed(spark, [("pr.a", 10, T6)])
+    incremental_ingest(spark, _inv(spark, [("pr.a", "u/a", 10, T1)]), copy, table, "SERIES", now=datetime(2026, 9, 1))
+    incremental_ingest(spark, _inv(spark, [("pr.a", "u/a", 12, T1)]), copy, table, "SERIES", now=datetime(2026, 9, 2))
+    assert latest_state(read_log(spark, table)).first().status == "FAILED"
+
+
+def test_a_state_table_that_lags_is_rebuilt(spark):
+    # run with state, without, with: the third sees what the second logged
+    table, state = "log_mixed", "state_mixed"
+    old, new = _inv(spark, [("pr.a", "u/a", 10, T1)]), _inv(spark, [("pr.a", "u/a", 11, T6)])
+    landed = lambda n: spark.createDataFrame([("pr.a", n)], "file_name string, length long")
+    incremental_ingest(spark, old, landed(10), table, "SERIES", now=datetime(2026, 9, 1), state_table=state)
+    incremental_ingest(spark, new, landed(11), table, "SERIES", now=datetime(2026, 9, 2))
+    third = incremental_ingest(spark, new, landed(11), table, "SERIES", now=datetime(2026, 9, 3), state_table=state)
+    assert {r.action: r.n for r in third.collect()} == {"UNCHANGED": 1}

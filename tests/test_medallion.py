@@ -66,12 +66,17 @@ def result(spark, tmp_path_factory):
     for name, text in DIMS.items():
         (series_root / name).write_text(text)
     (ctx_root / "population.json").write_text(json.dumps(POPULATION, indent=2))
-    return run_medallion(spark, str(series_root), str(ctx_root), database="medallion_test")
+    roots = str(series_root), str(ctx_root)
+    plain = run_medallion(spark, *roots, database="medallion_plain")
+    out = run_medallion(spark, *roots, database="medallion_test",
+                         reject_nan=True, trim_before_gate=True, exact_sums=True)
+    out.plain = plain
+    return out
 
 
 def test_quality_counts(result):
     q = result.quality
-    assert q["silver_observations"] == {"rows": 14, "failed_valid_observation": 3, "failed_finite_value": 1}
+    assert q["silver_observations"] == {"rows": 14, "failed_valid_observation": 3, "failed_not_nan": 1}
     assert q["silver_series"] == {"rows": 1, "failed_valid_series": 0}
     assert q["silver_population"] == {"rows": 10, "failed_valid_population": 2}
 
@@ -117,7 +122,7 @@ def test_tables_published(spark, result):
 def test_sql_twins_match_dataframe_gold(spark, result):
     from strata.plans.sql_twins import sql_parity
 
-    assert sql_parity(spark, result.tables, "medallion_test") == {
+    assert sql_parity(spark, result.tables, "medallion_test", exact_sums=True) == {
         "gold_range_stats": True,
         "gold_best_year": True,
         "gold_series_with_population": True,
@@ -136,3 +141,18 @@ def test_observations_partitioned_by_period(spark, result):
             result.tables["silver_observations"], result.tables["silver_population"], "PRS30006032"
         ).explain()
     assert "PartitionFilters: [isnotnull(period" in buf.getvalue() and "(period" in buf.getvalue()
+
+
+def test_plain_run_keeps_what_the_rules_keep(spark, result):
+    # by default NaN passes the validity rule, the nation is compared as stored, and sums are double
+    plain = result.plain
+    assert plain.quality["silver_observations"] == {"rows": 14, "failed_valid_observation": 3}
+    assert plain.quality["silver_population"] == {"rows": 10, "failed_valid_population": 3}
+    assert 2011 not in {r.year for r in plain.tables["silver_population"].collect()}
+    best = {r.series_id: r.yearly_quarterly_sum for r in plain.tables["gold_best_year"].collect()}
+    assert best["PRS30006032"] != best["PRS30006032"]  # the year with the NaN ranks first
+
+
+def test_every_published_table_has_a_comment(spark, result):
+    for t in spark.catalog.listTables("medallion_test"):
+        assert spark.catalog.getTable(f"medallion_test.{t.name}").description, t.name

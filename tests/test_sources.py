@@ -12,20 +12,20 @@ from strata.sources.json_records import explode_records, parse_json_records, rea
 from strata.sources.landed import read_landed
 from strata.sources.listing import extract_links, parse_listing
 
-LISTING = """<html><head><title>files.example.org - /pub/series/pr/</title></head><body><h1>/pub/series/pr/</h1><hr>
-<pre><A HREF="/pub/series/">[To Parent Directory]</A><br><br>
- 8/6/2026  8:30 AM          102 <A HREF="/pub/series/pr/pr.class">pr.class</A><br>
- 8/6/2026  8:31 AM      2811400 <A HREF="/pub/series/pr/pr.data.1.AllData">pr.data.1.AllData</A><br>
- 12/24/2025 11:05 PM       7734 <a href="pr.series">pr.series</a><br>
- 1/2/2026  9:05 AM          512 <A HREF="/pub/series/pr/readme.txt">readme.txt</A><br>
-</pre><hr></body></html>"""
+LISTING = """<!doctype html><title>Index of /pub/series/pr</title><h2>Index of /pub/series/pr</h2><pre>
+<a href="../">up</a>
+3/14/2026  6:05 AM      48213 <A HREF="/pub/series/pr/pr.measure">pr.measure</A>
+11/2/2025 12:45 PM    1900071 <A HREF="/pub/series/pr/pr.data.1.AllData">pr.data.1.AllData</A>
+ 7/9/2024 11:59 PM         37 <a href="pr.footnote">pr.footnote</a>
+ 7/9/2024 11:59 PM        900 <A HREF="/pub/series/pr/notes.txt">notes.txt</A>
+</pre>"""
 BASE = "https://files.example.org/pub/series/pr/"
 
 
 def test_extract_links_keeps_prefix_only(spark):
     pages = spark.createDataFrame([(1, LISTING)], "page_id long, html string")
     names = [r.file_name for r in extract_links(pages, "html", "pr.", keep=["page_id"]).collect()]
-    assert names == ["pr.class", "pr.data.1.AllData", "pr.series"]
+    assert names == ["pr.measure", "pr.data.1.AllData", "pr.footnote"]
 
 
 def test_extract_links_ignores_commented_links(spark):
@@ -53,14 +53,14 @@ def test_extract_links_quoting_and_entities(spark):
 def test_parse_listing_fields(spark):
     pages = spark.createDataFrame([(1, LISTING)], "page_id long, html string")
     rows = parse_listing(pages, "html", BASE, "pr.").collect()
-    assert [r.file_name for r in rows] == ["pr.class", "pr.data.1.AllData", "pr.series"]
+    assert [r.file_name for r in rows] == ["pr.measure", "pr.data.1.AllData", "pr.footnote"]
     first = rows[0]
-    assert first.file_size == 102
-    assert first.source_url == "https://files.example.org/pub/series/pr/pr.class"
+    assert first.file_size == 48213
+    assert first.source_url == "https://files.example.org/pub/series/pr/pr.measure"
     # Listing times carry no zone; the session zone is UTC.
-    assert first.source_modified_time == datetime(2026, 8, 6, 8, 30)
-    assert rows[2].source_url == "https://files.example.org/pub/series/pr/pr.series"
-    assert rows[2].source_modified_time == datetime(2025, 12, 24, 23, 5)
+    assert first.source_modified_time == datetime(2026, 3, 14, 6, 5)
+    assert rows[2].source_url == "https://files.example.org/pub/series/pr/pr.footnote"
+    assert rows[2].source_modified_time == datetime(2024, 7, 9, 23, 59)
 
 
 def test_parse_listing_impossible_date_is_null(spark):
@@ -174,3 +174,54 @@ def test_read_delimited_quoting_switch(spark, tmp_path):
     plain = read_delimited(spark, str(p), schema, quoting=False).first()
     assert (csv.a, csv.b) == ("x\ty", "z")  # quoted field keeps its tab
     assert (plain.a, plain.b) == ('"x', 'y"')  # quotes are text; the tab splits
+
+
+def test_join_url_equals_urljoin(spark):
+    from urllib.parse import urljoin
+
+    from strata.functions.columns import join_url
+
+    bases = ["https://x.org/a/b/c", "https://x.org/a/b/", "https://x.org", "https://x.org/p?q=1#f", "http://h:80/a"]
+    links = ["pr.a", "/z/pr.a", "//host/x", "../x", "./x", "../../../x", "mailto:a@b", "https://y.org/../k", "?q=2", "#f", "", "a/./b/../c",
+             "..", ".", "a//b", "/a//b/../c", "x?y=/../z", "d/", "ftp://z/q", "../", "a/..", "x#../y"]
+    rows = spark.createDataFrame([(b, h) for b in bases for h in links], "b string, h string")
+    got = {(r.b, r.h): r.u for r in rows.select("b", "h", join_url(F.col("b"), "h").alias("u")).collect()}
+    want = {(b, h): urljoin(b, h) for b in bases for h in links}
+    # urljoin drops an empty fragment or query mark; compare without them
+    wrong = {k: (got[k], want[k]) for k in want if got[k].rstrip("#?") != want[k].rstrip("#?")}
+    assert not wrong
+
+
+def test_extract_links_equals_an_html_parser(spark):
+    from html.parser import HTMLParser
+
+    class Anchors(HTMLParser):
+        def __init__(self):
+            super().__init__()
+            self.found = []
+
+        def handle_starttag(self, tag, attrs):
+            own = [v for k, v in attrs if k == "href"]
+            if tag == "a" and own and own[0]:
+                self.found.append(own[0])
+
+    pages = [
+        '<a data-href="pr.wrong" href="pr.right">x</a>', '<a title="a > b" href="pr.gt">x</a>', '<a href="pr&#46;n&#x41;">x</a>',
+        "<a href='q\"uote' id=1>x</a><A HREF = pr.bare class=b>y</A>", '<a\n  href="two\nlines">', '<area href="no"><a href><a name="n">',
+        '<a href="one" href="two">', '<a x="href=no" y=\'href="no"\' href="yes">', '<a href="&lt;&amp;gt;&quot;&#128512;">', '<ahref="no">', '<a href="">',
+    ]
+    frame = spark.createDataFrame(list(enumerate(pages)), "i long, html string")
+    got = {}
+    for r in extract_links(frame, "html", keep=["i"]).collect():
+        if r.href:
+            got.setdefault(r.i, []).append(r.href)
+    for i, page in enumerate(pages):
+        parser = Anchors()
+        parser.feed(page)
+        assert got.get(i, []) == parser.found, page
+
+
+def test_listing_size_beyond_a_long_is_null(spark):
+    html = f' 2/3/2026  8:30 AM   {"9" * 20} <A HREF="/p/pr.x">pr.x</A>'
+    row = parse_listing(spark.createDataFrame([(html,)], "html string"), "html", "https://h.org/p/").first()
+    assert row.file_name == "pr.x" and row.file_size is None
