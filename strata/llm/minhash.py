@@ -131,7 +131,9 @@ def block_pairs(members: DataFrame, key: str, id_col: str, block: int) -> DataFr
     size = members.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / F.lit(block)).cast("int").alias("__k"))
     dealt = members.join(size, key).withColumn("__b", F.pmod(F.xxhash64(id_col, F.lit(5)), F.col("__k")).cast("int"))
     other = dealt.withColumn("__o", F.explode(F.sequence(F.lit(0), F.col("__k") - 1)))
-    return other.withColumns({"x": F.least("__b", "__o"), "y": F.greatest("__b", "__o")}).drop("__k", "__b", "__o")
+    pairs = other.withColumns({"x": F.least("__b", "__o"), "y": F.greatest("__b", "__o")}).drop("__k", "__b", "__o")
+    # by all keys: dealt by the group alone, a large group's blocks would stay in one task
+    return pairs.repartition(key, "x", "y")
 
 
 _MEMBER = StructType([StructField("band", LongType()), StructField("rep", LongType())])
