@@ -21,9 +21,14 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
+def checkpointed(df: DataFrame, partitioned: bool = False) -> DataFrame:
     """Eager reliable checkpoint in the shared folder of ``spark.checkpoint.dir``.
 
+    With ``partitioned`` the result still counts as dealt out the way ``df``
+    is (by its last ``repartition``), so later grouping by those columns does
+    not deal it again. Spark knows this of plans without adaptive execution
+    only, which is therefore off while this one frame is written.
+
     Only a local session without that setting gets a folder of its own; a
     cluster without it is an error, because a machine-local folder would not
     outlive an executor.
@@ -35,7 +40,15 @@ def checkpointed(df: DataFrame) -> DataFrame:
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="strata-llm-"))
     else:
         checkpoint_dir(spark)
-    return df.checkpoint(eager=True)
+    if not partitioned:
+        return df.checkpoint(eager=True)
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        # a plan of its own: the one of ``df`` may have been made under the other setting
+        return df.select("*").checkpoint(eager=True)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
 
 
 def fresh(df: DataFrame) -> DataFrame:

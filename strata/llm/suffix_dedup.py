@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -43,7 +44,6 @@ BUCKET_NAMES = 1_500_000
 NAME_BITS = 63
 _BASE = 0x9E3779B97F4A7C15
 _BYTE = np.random.default_rng(23).integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
-_ON_COVER = np.isin(np.arange(PERIOD), COVER)
 
 _REQUEST = StructType([StructField("bucket", IntegerType()), StructField("chunk", IntegerType()), StructField("names", BinaryType())])
 _REPLY = StructType([
@@ -53,33 +53,47 @@ _REPLY = StructType([
 COPY, SHARED, EARLIER = 0, 1, 2
 
 
-def compressed(data) -> bytes:
-    return pa.Codec("zstd", compression_level=1).compress(data, asbytes=True)
+def compressed(data, level: int = 1) -> bytes:
+    return pa.Codec("zstd", compression_level=level).compress(data, asbytes=True)
 
 
 def decompressed(data: bytes, size: int) -> bytes:
     return pa.Codec("zstd").decompress(data, size, asbytes=True)
 
 
-def window_names(buf: np.ndarray, width: int) -> np.ndarray:
-    """A 64-bit name of every ``width`` bytes, by doubling; shorter than ``buf`` by width - 1."""
-    power, out, done = _BYTE[buf], None, 0
-    size, left = 1, width
-    while True:
-        if left & size:
-            if out is None:
-                out = power
-            else:  # the part so far, then this power's window after it
-                n = len(power) - done
-                out = out[:n] * np.uint64(pow(_BASE, size, 1 << 64)) + power[done : done + n]
-            done += size
-            left -= size
-        if not left:
-            return mix64(out[: max(0, len(buf) - width + 1)])
-        if len(power) <= size:
-            return np.zeros(0, np.uint64)
-        power = power[:-size] * np.uint64(pow(_BASE, size, 1 << 64)) + power[size:]
-        size *= 2
+@lru_cache(maxsize=1)
+def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse modulo 2**64, from 0 to ``size`` - 1."""
+    inverse = pow(_BASE, -1, 1 << 64)
+    return tuple(np.cumprod(np.r_[np.uint64(1), np.full(size - 1, x, np.uint64)], dtype=np.uint64) for x in (_BASE, inverse))
+
+
+class Names:
+    """64-bit names of windows of one run of bytes: polynomial hashes from running sums."""
+
+    def __init__(self, buf: np.ndarray):
+        power, self.inverse = _powers(1 << max(20, len(buf).bit_length()))
+        self.sums = np.zeros(len(buf) + 1, np.uint64)
+        np.cumsum(_BYTE[buf] * power[: len(buf)], out=self.sums[1:])
+
+    def at(self, start: np.ndarray, width: int) -> np.ndarray:
+        return mix64((self.sums[start + width] - self.sums[start]) * self.inverse[start])
+
+
+def distinct(name: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted distinct names with the smallest and largest rank of each."""
+    if not len(name):
+        return name, rank, rank
+    room = int(rank.max()).bit_length()
+    if int(name.max()).bit_length() + room <= 64:  # both in one word, which sorts fastest
+        both = np.sort((name << np.uint64(room)) | rank.astype(np.uint64))
+        name, rank = both >> np.uint64(room), (both & np.uint64((1 << room) - 1)).astype(np.int64)
+    else:
+        order = np.lexsort((rank, name))
+        name, rank = name[order], rank[order]
+    fresh_name = name[1:] != name[:-1]
+    first, last = np.flatnonzero(np.r_[True, fresh_name]), np.flatnonzero(np.r_[fresh_name, True])
+    return name[first], rank[first], rank[last]
 
 
 def packed(names: np.ndarray) -> bytes:
@@ -115,50 +129,36 @@ class Chunk:
         self.rank = np.unique(number, return_inverse=True)[1]
         self.told = {(int(k), int(b)): v for k, b, v in zip(kind, told.column("bucket").to_pylist(), told.column("bits").to_pylist()) if k != COPY}
 
-    def slices(self) -> Iterator[tuple[list[int], np.ndarray, np.ndarray, np.ndarray]]:
-        """Runs of documents that take part: row numbers, bytes, and each byte's document start and end."""
+    def slices(self) -> Iterator[tuple[list[int], np.ndarray, np.ndarray]]:
+        """Runs of documents that take part: row numbers, their bytes in one run, and where each begins (and the last ends)."""
         rows: list[int] = []
         held = 0
         use = [i for i, t in enumerate(self.texts) if t is not None and len(t) >= self.width and self.known[i] and not self.copy[i]]
         for i in [*use, None]:
             if rows and (i is None or held + len(self.texts[i]) > SLICE_BYTES):
-                lens = np.array([len(self.texts[r]) for r in rows])
-                ends = np.cumsum(lens)
-                yield rows, np.frombuffer(b"".join(self.texts[r] for r in rows), np.uint8), np.repeat(ends - lens, lens), np.repeat(ends, lens)
+                data = [self.texts[r] for r in rows]
+                yield rows, np.frombuffer(b"".join(data), np.uint8), np.cumsum([0, *map(len, data)])
                 rows, held = [], 0
             if i is not None:
                 rows.append(i)
                 held += len(self.texts[i])
 
-    def _cover(self, rows, buf, start, end) -> tuple[np.ndarray, np.ndarray]:
-        """Positions on the cover whose window lies in its document, and their short names."""
+    def _cover(self, names: Names, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Positions on the cover whose window lies in its document, the document's place in the slice, and short names."""
         size = self.width - PERIOD + 1
-        at = np.arange(len(buf))
-        at = at[_ON_COVER[(at - start) % PERIOD] & (at + size <= end)]
-        return at, window_names(buf, size)[at] >> np.uint64(64 - self.bits)
-
-    def _by_name(self, names: list[np.ndarray], ranks: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Distinct names with the smallest and largest document rank of each."""
-        name, rank = np.concatenate([np.zeros(0, np.uint64), *names]), np.concatenate([np.zeros(0, np.int64), *ranks])
-        order = np.argsort(name, kind="stable")
-        name, rank = name[order], rank[order]
-        first = np.flatnonzero(np.r_[True, name[1:] != name[:-1]]) if len(name) else np.zeros(0, np.int64)
-        if not len(first):
-            return name, rank, rank
-        return name[first], np.minimum.reduceat(rank, first), np.maximum.reduceat(rank, first)
-
-    def _row_ranks(self, rows, start, at) -> np.ndarray:
-        begins = np.unique(start)
-        return self.rank[np.array(rows)][np.searchsorted(begins, start[at])]
+        room = np.diff(begin) - size + 1  # starts of whole windows in each document
+        periods = np.arange(-(-int(room.max(initial=0)) // PERIOD))
+        inside = (periods[:, None] * PERIOD + np.array(COVER)).ravel()
+        count = np.searchsorted(inside, np.maximum(room, 0))
+        which = np.repeat(np.arange(len(room)), count)
+        turn = np.arange(len(which)) - np.repeat(np.cumsum(count) - count, count)
+        at = begin[which] + inside[turn]
+        return at, which, names.at(at, size) >> np.uint64(64 - self.bits)
 
     def cover_names(self) -> tuple[np.ndarray, np.ndarray]:
         """Distinct cover names, and whether several documents of this chunk hold them."""
-        names, ranks = [], []
-        for rows, buf, start, end in self.slices():
-            at, name = self._cover(rows, buf, start, end)
-            names.append(name)
-            ranks.append(self._row_ranks(rows, start, at))
-        name, low, high = self._by_name(names, ranks)
+        found = [(name, self.rank[rows][which]) for rows, buf, begin in self.slices() for _, which, name in [self._cover(Names(buf), begin)]]
+        name, low, high = distinct(*_joined(found))
         return name, low != high
 
     def _said(self, kind: int, names: np.ndarray, step: int) -> np.ndarray:
@@ -188,29 +188,26 @@ class Chunk:
 
     def suffixes(self) -> Iterator[tuple]:
         """Per slice the suffixes that hold a shared cover window: positions, names, ranks."""
-        names, several = self.cover_names()
-        shared = names[several | self._said(SHARED, names, self.step)]
-        for rows, buf, start, end in self.slices():
-            at, name = self._cover(rows, buf, start, end)
+        short, several = self.cover_names()
+        shared = short[several | self._said(SHARED, short, self.step)]
+        for rows, buf, begin in self.slices():
+            names = Names(buf)
+            at, which, name = self._cover(names, begin)
+            hit = np.zeros(len(at), bool)
             if len(shared):
-                hit = at[shared[np.minimum(np.searchsorted(shared, name), len(shared) - 1)] == name]
-            else:
-                hit = at[:0]
+                hit = shared[np.minimum(np.searchsorted(shared, name), len(shared) - 1)] == name
+            at, which = at[hit], which[hit]
             # a suffix up to PERIOD - 1 bytes before a shared window holds it
-            mark = np.zeros(len(buf) + 1, np.int32)
-            np.add.at(mark, np.maximum(hit - PERIOD + 1, start[hit]), 1)
-            np.add.at(mark, hit + 1, -1)
-            pos = np.flatnonzero((np.cumsum(mark[:-1]) > 0) & (np.arange(len(buf)) + self.width <= end))
-            name = window_names(buf, self.width)[pos] >> np.uint64(64 - NAME_BITS) if len(pos) else np.zeros(0, np.uint64)
-            yield rows, buf, start, pos, name, self._row_ranks(rows, start, pos)
+            turns = np.bincount(np.maximum(at - PERIOD + 1, begin[which]), minlength=len(buf) + 1) - np.bincount(at + 1, minlength=len(buf) + 1)
+            pos = np.flatnonzero(np.cumsum(turns[:-1]) > 0)
+            which = np.searchsorted(begin, pos, "right") - 1
+            whole = pos + self.width <= begin[which + 1]
+            pos, which = pos[whole], which[whole]
+            yield rows, buf, begin, pos, names.at(pos, self.width) >> np.uint64(64 - NAME_BITS), self.rank[rows][which]
 
     def suffix_names(self) -> tuple[np.ndarray, np.ndarray]:
         """Distinct names of those suffixes and the smallest document rank of each."""
-        names, ranks = [], []
-        for *_, name, rank in self.suffixes():
-            names.append(name)
-            ranks.append(rank)
-        name, low, _ = self._by_name(names, ranks)
+        name, low, _ = distinct(*_joined([(name, rank) for *_, name, rank in self.suffixes()]))
         return name, low
 
     def kept(self) -> tuple[list[int], list[int], list[bytes]]:
@@ -220,31 +217,30 @@ class Chunk:
         for i in np.flatnonzero(self.copy).tolist():
             if len(out[i]) >= self.width:  # the whole text starts in a smaller document
                 removed[i], spans[i], out[i] = len(out[i]), 1, b""
-        names, low = self.suffix_names()
+        found = list(self.suffixes())
+        names, low, _ = distinct(*_joined([(name, rank) for *_, name, rank in found]))
         early = self._said(EARLIER, names, self.wide)
-        for rows, buf, start, pos, name, rank in self.suffixes():
-            if not len(pos):
-                continue
+        for rows, buf, begin, pos, name, rank in found:
             at = np.searchsorted(names, name)
-            gone = pos[early[at] | (rank > low[at])]
+            gone = pos[early[at] | (rank > low[at])] if len(pos) else pos
             if not len(gone):
                 continue
-            mark = np.zeros(len(buf) + self.width + 1, np.int32)
-            np.add.at(mark, gone, 1)
-            np.add.at(mark, gone + self.width, -1)
-            cover = np.cumsum(mark)[: len(buf)] > 0
-            a = 0
-            for r in rows:
-                z = a + len(out[r])
-                own = cover[a:z]
+            turns = np.bincount(gone, minlength=len(buf) + 1) - np.bincount(gone + self.width, minlength=len(buf) + 1)
+            cover = np.cumsum(turns[:-1]) > 0
+            for k, r in enumerate(rows):
+                own = cover[begin[k] : begin[k + 1]]
                 if own.any():
                     removed[r] = int(own.sum())
                     spans[r] = int(own[0]) + int((own[1:] & ~own[:-1]).sum())
-                    out[r] = buf[a:z][~own].tobytes()
-                a = z
+                    out[r] = buf[begin[k] : begin[k + 1]][~own].tobytes()
         return removed, spans, out
 
 
+def _joined(found: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    names, ranks = zip(*found) if found else ([], [])
+    return np.concatenate([np.zeros(0, np.uint64), *names]), np.concatenate([np.zeros(0, np.int64), *ranks])
+
+
 def _bucket_reply(kind: int):
     """Sort one bucket's names of all chunks and answer each chunk with one bit per name."""
 
@@ -253,7 +249,7 @@ def _bucket_reply(kind: int):
         lists = [unpacked(x) for x in table.column("names").to_pylist()]
         size = np.array([len(x) for x in lists])
         name, owner = np.concatenate(lists), np.repeat(chunk, size)
-        order = np.lexsort((owner, name)) if kind == EARLIER else np.argsort(name, kind="stable")
+        order = np.lexsort((owner, name)) if kind == EARLIER else np.argsort(name)
         sorted_name = name[order]
         fresh_name = np.r_[True, sorted_name[1:] != sorted_name[:-1]]
         flag = np.zeros(len(name), bool)
@@ -327,7 +323,7 @@ def remove_repeats(
             first = np.flatnonzero(np.r_[True, chunk[1:] != chunk[:-1]]) if len(chunk) else []
             for a, z in zip(first, [*first[1:], len(chunk)]):
                 part = pa.concat_batches([ordered.slice(a, z - a)]).serialize()
-                data = compressed(part)
+                data = compressed(part, 3)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([chunk[a]], pa.int32()), pa.array([len(part)], pa.int64()), pa.array([data], pa.binary())], names=["chunk", "raw", "data"]
                 )
@@ -342,7 +338,7 @@ def remove_repeats(
 
     blob = StructType([StructField("chunk", IntegerType()), StructField("raw", LongType()), StructField("data", BinaryType())])
     # dealt out once; the checkpoint keeps its partitioning, so the joins below do not move it again
-    chunks = checkpointed(rows.mapInArrow(to_chunks, blob).repartition(len(bounds) + 1, "chunk"))
+    chunks = checkpointed(rows.mapInArrow(to_chunks, blob).repartition(len(bounds) + 1, "chunk"), partitioned=True)
     arrow = _arrow_schema(inner)
 
     whole = rows.select("doc_id", F.sha2(F.col("text").cast("binary"), 256).alias("sha")).filter("doc_id is not null and sha is not null")
