@@ -7,6 +7,7 @@ components by label minima.
 
 from __future__ import annotations
 
+import gc
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -51,6 +52,19 @@ def checkpointed(df: DataFrame, partitioned: bool = False) -> DataFrame:
         spark.conf.set("spark.sql.adaptive.enabled", adaptive)
 
 
+def release(spark: SparkSession) -> None:
+    """Have the driver collect garbage, so that Spark deletes the shuffle files of frames that are gone.
+
+    Spark deletes a shuffle when the last frame that reads it is collected;
+    after a checkpoint has replaced a large shuffle, waiting for a collection
+    by chance would keep both on disk.
+    """
+    gc.collect()
+    jvm = getattr(spark.sparkContext, "_jvm", None)
+    if jvm is not None:
+        jvm.System.gc()
+
+
 def fresh(df: DataFrame) -> DataFrame:
     """The same columns under new identities, so that two frames of one lineage can be cogrouped."""
     return df.select(*[F.col(c).alias(c) for c in df.columns])

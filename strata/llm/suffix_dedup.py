@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StringType, StructField, StructType
 
-from strata.llm.common import checkpointed, fresh
+from strata.llm.common import checkpointed, fresh, release
 from strata.llm.kernels import mix64
 
 PERIOD = 21
@@ -343,7 +343,7 @@ def remove_repeats(
 
     whole = rows.select("doc_id", F.sha2(F.col("text").cast("binary"), 256).alias("sha")).filter("doc_id is not null and sha is not null")
     least = whole.groupBy("sha").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).filter("least < most").drop("most")
-    copies = whole.join(least, "sha").filter("doc_id > least").select("doc_id").distinct()
+    copies = whole.join(checkpointed(least), "sha").filter("doc_id > least").select("doc_id").distinct()
     told = checkpointed(copies.mapInArrow(add_chunk, _REPLY))
 
     def opened(table: pa.Table, extra: pa.Table) -> Chunk:
@@ -361,10 +361,15 @@ def remove_repeats(
 
         return chunks.groupBy("chunk").cogroup(fresh(told).groupBy("chunk")).applyInArrow(run, schema)
 
-    shared = meet(lambda c, own: own.requests(c, own.cover_names()[0], own.step), _REQUEST, told)
-    told = told.union(checkpointed(shared.groupBy("bucket").applyInArrow(_bucket_reply(SHARED), _REPLY)))
-    earlier = meet(lambda c, own: own.requests(c, own.suffix_names()[0], own.wide), _REQUEST, told)
-    told = told.union(checkpointed(earlier.groupBy("bucket").applyInArrow(_bucket_reply(EARLIER), _REPLY)))
+    def answered(work, kind: int) -> DataFrame:
+        """Requests of all chunks and the buckets' replies, kept; the requests' shuffle may then go."""
+        replies = checkpointed(meet(work, _REQUEST, told).groupBy("bucket").applyInArrow(_bucket_reply(kind), _REPLY))
+        release(docs.sparkSession)
+        return told.union(replies)
+
+    release(docs.sparkSession)
+    told = answered(lambda c, own: own.requests(c, own.cover_names()[0], own.step), SHARED)
+    told = answered(lambda c, own: own.requests(c, own.suffix_names()[0], own.wide), EARLIER)
 
     result = StructType([
         StructField("doc_id", LongType()), StructField("n_bytes", LongType()), StructField("n_removed", LongType()),
