@@ -8,7 +8,9 @@ components by label minima.
 from __future__ import annotations
 
 import gc
+import os
 import tempfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -17,6 +19,18 @@ from pyspark.sql import functions as F
 from strata.session import checkpoint_dir
 
 
+def with_package(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it.
+
+    Needed where the driver found it by a path of its own, as in a local run;
+    on a cluster the executors have it installed or through ``--py-files``.
+    """
+    root, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([root, *paths])
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One input table, whole. Spark opens the path, so any store it knows works."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

@@ -17,7 +17,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
-from strata.llm.common import fresh
+from strata.llm.common import fresh, with_package
 from strata.llm.vectors import matrix, unit, usable
 
 _OUT = StructType([StructField("query_id", LongType()), StructField("vec_id", LongType()), StructField("score", DoubleType())])
@@ -82,6 +82,7 @@ def nearest(
     Block sizes bound a tile's memory; a block's rows are dealt by a hash of the
     id, so a very common vector makes no large block.
     """
+    with_package(vectors.sparkSession)
     rows = vectors.select(
         F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("v"), is_query.alias("q")
     ).filter(usable(F.col("v")) & F.col("vec_id").isNotNull()).withColumn("dim", F.size("v"))

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
+from strata.llm.common import with_package
 from strata.llm.kernels import LOWER, slices
 
 BITS = 15
@@ -45,6 +46,7 @@ def gram_counts(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
 
 def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """Trigram counts of every labelled text: lang, gram, n. Pre-aggregated in each task."""
+    with_package(labelled.sparkSession)
     rows = labelled.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text")).filter("lang is not null and text is not null")
     schema = StructType([StructField("lang", StringType()), StructField("gram", LongType()), StructField("n", LongType())])
 
@@ -152,9 +154,12 @@ def identify(docs: DataFrame, model: Mixture, keep: list[str], text_col: str = "
     proportion; ties go to the first name. ``languages`` lists all selected
     ones. A text that is null or has no letter is ``und`` with score 0.
     """
-    rows = docs.select(*[F.col(c).alias(f"k{i}") for i, c in enumerate(keep)], F.col(text_col).alias("__text"))
+    with_package(docs.sparkSession)
+    carried = [c for c in keep if c != text_col]  # the text goes to the workers once
+    rows = docs.select(*[F.col(c).alias(f"k{i}") for i, c in enumerate(carried)], F.col(text_col).alias("__text"))
+    back = [StructField("__text", StringType())] if text_col in keep else []
     found = [StructField("lang_pred", StringType()), StructField("score", DoubleType()), StructField("languages", StringType())]
-    schema = StructType([*rows.schema.fields[:-1], *found])
+    schema = StructType([*rows.schema.fields[:-1], *back, *found])
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -170,12 +175,13 @@ def identify(docs: DataFrame, model: Mixture, keep: list[str], text_col: str = "
                 score = np.where(real, pi.max(1) if pi.shape[1] else 0.0, 0.0)
                 also = [",".join(names[:-1][row > 0]) if ok else "" for row, ok in zip(pi, real)]
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns[:-1], pa.array(names[top].tolist(), pa.string()), pa.array(np.clip(score, 0, 1)), pa.array(also, pa.string())],
+                    [*part.columns[: len(part.columns) - (not back)], pa.array(names[top].tolist(), pa.string()), pa.array(np.clip(score, 0, 1)), pa.array(also, pa.string())],
                     names=schema.names,
                 )
 
     out = rows.mapInArrow(run, schema)
-    return out.select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)], "lang_pred", "score", "languages")
+    place = {c: f"k{i}" for i, c in enumerate(carried)} | {text_col: "__text"}
+    return out.select(*[F.col(place[c]).alias(c) for c in keep], "lang_pred", "score", "languages")
 
 
 def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Mixture:

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StructField, StructType
 
-from strata.llm.common import checkpointed, components
+from strata.llm.common import checkpointed, components, with_package
 from strata.llm.kernels import shingle_sets, slices, texts_of
 
 BAND_ROWS, BANDS = 3, 24
@@ -56,6 +56,7 @@ def estimate(equal: np.ndarray, n1: np.ndarray, n2: np.ndarray) -> np.ndarray:
 
 def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, digest (of the shingle set), sketch. Row by row; null text: 0 shingles."""
+    with_package(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     schema = StructType([
         StructField("doc_id", LongType()), StructField("n_shingles", LongType()), StructField("digest", BinaryType()), StructField("sketch", BinaryType()),

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
-from strata.llm.common import checkpointed, components, fresh, parallelism
+from strata.llm.common import checkpointed, components, fresh, parallelism, with_package
 from strata.llm.vectors import matrix, unit, usable
 
 #: Rows of one side that meet in one task.
@@ -167,6 +167,7 @@ def near_vectors(
     null, not kept). Rows of one id count as one vector each but share links'
     component. Empty tables give no rows; other columns are not read.
     """
+    with_package(vectors.sparkSession)
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("v"))
     good = usable(F.col("v")) & F.col("vec_id").isNotNull()
     classes = checkpointed(rows.filter(good).groupBy("v").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("m")).withColumn("dim", F.size("v")))

@@ -22,7 +22,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField, StructType
 
-from strata.llm.common import checkpointed, running_number
+from strata.llm.common import checkpointed, running_number, with_package
 from strata.llm.kernels import slices
 
 SLICE_BYTES = 1 << 20
@@ -128,6 +128,7 @@ def pieces(
     Row by row, without a shuffle. A null text is empty: its only token is ``end_id``.
     """
     rows = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
+    with_package(docs.sparkSession)
     schema = StructType([
         rows.schema["doc_id"], StructField("start", LongType()), StructField("length", LongType()),
         StructField("ids_crc32", LongType()), StructField("doc_tokens", LongType()), StructField("size", IntegerType()),

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StringType, StructField, StructType
 
-from strata.llm.common import checkpointed, fresh, release
+from strata.llm.common import checkpointed, fresh, release, with_package
 from strata.llm.kernels import mix64
 
 PERIOD = 21
@@ -301,6 +301,7 @@ def remove_repeats(
     keep = keep or []
     if width < 2 * PERIOD:
         raise ValueError(f"width must be at least {2 * PERIOD}")
+    with_package(docs.sparkSession)
     rows = docs.select(
         F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), *[F.col(c).alias(f"k{i}") for i, c in enumerate(keep)]
     )

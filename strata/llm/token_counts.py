@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import LongType, StructField, StructType
 
+from strata.llm.common import with_package
 from strata.llm.kernels import Words, slices, texts_of
 
 END = "</w>"
@@ -153,6 +154,7 @@ def count_tokens(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_
     empty table gives no rows. Other columns are not read.
     """
     rows = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
+    with_package(docs.sparkSession)
     schema = StructType([rows.schema["doc_id"], StructField("n_words", LongType()), StructField("n_tokens", LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
