@@ -123,18 +123,23 @@ def promising(pairs: DataFrame, reps: DataFrame, share: int) -> DataFrame:
     return pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b").mapInArrow(_promising(share / 100), pair)
 
 
-def block_pairs(members: DataFrame, key: str, id_col: str, block: int) -> DataFrame:
+def block_pairs(members: DataFrame, key: str, id_col: str, block: int, payload: DataFrame) -> DataFrame:
     """Deal the members of each ``key`` group to pairs of blocks (x <= y) of about ``block`` members.
 
     A small group is one block with itself. In a larger one every two members
     meet in some pair of blocks, and no task gets more than two blocks.
+
+    Members and group sizes are kept before they are joined: adaptive execution
+    splits a hot key only where neither side is still being aggregated. The
+    ``payload`` (one row per ``id_col``) comes last, when all groups are cut.
     """
-    size = members.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / F.lit(block)).cast("int").alias("__k"))
+    members = checkpointed(members)
+    size = checkpointed(members.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / F.lit(block)).cast("int").alias("__k")))
     dealt = members.join(size, key).withColumn("__b", F.pmod(F.xxhash64(id_col, F.lit(5)), F.col("__k")).cast("int"))
     other = dealt.withColumn("__o", F.explode(F.sequence(F.lit(0), F.col("__k") - 1)))
     pairs = other.withColumns({"x": F.least("__b", "__o"), "y": F.greatest("__b", "__o")}).drop("__k", "__b", "__o")
     # by all keys: dealt by the group alone, a large group's blocks would stay in one task
-    return pairs.repartition(key, "x", "y")
+    return pairs.join(payload, id_col).repartition(key, "x", "y")
 
 
 _MEMBER = StructType([StructField("band", LongType()), StructField("rep", LongType())])
@@ -244,7 +249,8 @@ def near_duplicates(docs: DataFrame, share: int = 75, id_col: str = "doc_id", te
     key = F.xxhash64("i", F.substring(F.col("sketch"), 2 * BAND_ROWS * F.col("i") + 1, F.lit(2 * BAND_ROWS)))
     bands = reps.select("rep", "sketch", F.explode(F.sequence(F.lit(0), F.lit(BANDS - 1))).alias("i")).select(key.alias("band"), "rep")
     centers = bands.groupBy("band").agg(F.min("rep").alias("center"), F.count(F.lit(1)).alias("k")).filter("k > 1").drop("k")
-    bucketed = checkpointed(bands.join(centers, "band"))
+    # kept before the join, so that a hot bucket can be split there
+    bucketed = checkpointed(bands.join(checkpointed(centers), "band"))
 
     # full sets of every document that shares a bucket: the text is dealt out once
     sharing = bucketed.select(F.col("rep").alias("doc_id")).distinct()
@@ -257,11 +263,11 @@ def near_duplicates(docs: DataFrame, share: int = 75, id_col: str = "doc_id", te
     placed = bucketed.drop("center").join(first, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     placed = checkpointed(placed)
     open_bands = placed.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("band")
-    members = placed.join(open_bands, "band").join(reps, "rep")
+    members = placed.join(checkpointed(open_bands), "band")
     keys = ["band", "x", "y"]
-    crossing = block_pairs(members, "band", "rep", BLOCK).groupBy(*keys).applyInArrow(_cross_candidates(share / 100), _MEMBER)
-    crossing = checkpointed(crossing.distinct()).join(sets.withColumnRenamed("doc_id", "rep"), "rep")
-    more = block_pairs(crossing, "band", "rep", BLOCK).groupBy(*keys).applyInArrow(_exact_links(share), _EDGE)
+    crossing = block_pairs(members, "band", "rep", BLOCK, reps).groupBy(*keys).applyInArrow(_cross_candidates(share / 100), _MEMBER)
+    full = sets.withColumnRenamed("doc_id", "rep")
+    more = block_pairs(crossing.distinct(), "band", "rep", BLOCK, full).groupBy(*keys).applyInArrow(_exact_links(share), _EDGE)
     comp = components(links.union(more.distinct())).select(F.col("node").alias("rep"), "component")
 
     labelled = classes.select("digest", "rep").join(comp, "rep", "left").select("digest", F.coalesce("component", "rep").alias("component"))
