@@ -90,28 +90,34 @@ def parallelism(spark: SparkSession) -> int:
 
 def running_number(
     df: DataFrame, order: list[str], out: str, *, within: list[str] | None = None, deal: list[str] | None = None,
-    buckets: int = 1024, weight: str | None = None,
+    groups: int = 256, weight: str | None = None,
 ) -> DataFrame:
     """Number the rows of ``df`` (or of each ``within`` group) from 0, without gaps.
 
-    Rows are dealt to ``buckets`` hash buckets of the ``deal`` columns (default
-    ``order``), so a group of any size spreads over that many tasks. Each
-    bucket's offset is the sum of the buckets before it (one pre-aggregated row
-    per group and bucket), and rows are ranked by ``order`` inside their bucket
-    only. With ``weight`` the number is the sum of the weights before the row
+    Rows are dealt to ``groups`` squared hash buckets of the ``deal`` columns
+    (default ``order``), so even a third of 100 TB makes buckets of about half a
+    GB. A bucket's offset is the sum of the buckets before it, taken in two
+    levels (``groups`` groups of ``groups`` buckets), so that no task sums more
+    than ``groups`` rows of a group; rows are ranked by ``order`` inside their
+    bucket only. With ``weight`` the number is the sum of the weights before the row
     instead of their count. Rows that are equal under ``order`` should be equal
     in all columns; the numbering is then reproducible. ``within`` columns must
     hold no nulls.
 
-    ``df`` is read twice, the first time only its ``within``, ``deal`` and
-    ``weight`` columns.
+    Besides its rows, ``df`` is read for its ``within``, ``deal`` and ``weight``
+    columns.
     """
     within = within or []
-    b, size = "__bucket", F.lit(1).cast("long") if weight is None else F.col(weight).cast("long")
-    rows = df.withColumn(b, F.pmod(F.xxhash64(*(deal or order)), F.lit(buckets)))
-    sums = rows.groupBy(*within, b).agg(F.sum(size).alias("__sum"))
-    before = W.partitionBy(*(within or [F.lit(0)])).orderBy(b).rowsBetween(W.unboundedPreceding, -1)
-    offsets = sums.select(*within, b, F.coalesce(F.sum("__sum").over(before), F.lit(0)).alias("__offset"))
+    b, g, size = "__bucket", "__group", F.lit(1).cast("long") if weight is None else F.col(weight).cast("long")
+    rows = df.withColumn(b, F.pmod(F.xxhash64(*(deal or order)), F.lit(groups * groups)).cast("int"))
+    sums = rows.groupBy(*within, b).agg(F.sum(size).alias("__sum")).withColumn(g, F.floor(F.col(b) / groups).cast("int"))
+    earlier = lambda keys, by: F.coalesce(
+        F.sum("__sum").over(W.partitionBy(*(keys or [F.lit(0)])).orderBy(by).rowsBetween(W.unboundedPreceding, -1)), F.lit(0)
+    )
+    bases = sums.groupBy(*within, g).agg(F.sum("__sum").alias("__sum")).select(*within, g, earlier(within, g).alias("__base"))
+    offsets = sums.withColumn("__in", earlier([*within, g], b)).join(bases, [*within, g]).select(
+        *within, b, (F.col("__base") + F.col("__in")).alias("__offset")
+    )
     inside = W.partitionBy(*within, b).orderBy(*order)
     if weight is None:
         local = F.row_number().over(inside) - 1
