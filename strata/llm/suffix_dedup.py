@@ -20,6 +20,7 @@ chunk, and neither a bucket nor a chunk outgrows its task.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -30,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StringType, StructField, StructType
 
-from strata.llm.common import checkpointed, fresh, release, with_package
+from strata.llm.common import checkpointed, fresh, parallelism, release, with_package
 from strata.llm.kernels import mix64
 
 PERIOD = 21
@@ -38,6 +39,8 @@ PERIOD = 21
 COVER = (0, 1, 4, 14, 16)
 CHUNK_BYTES = 4 << 20
 SLICE_BYTES = 1 << 20
+#: Chunks, handled one by one, that share a partition where that makes more partitions than Spark is set to.
+TASK_CHUNKS = 32
 #: Names that one bucket task sorts, about.
 BUCKET_NAMES = 1_500_000
 #: Suffix names; one bit short of a word, so that bucket bounds fit into one.
@@ -278,6 +281,27 @@ def _dealer(bounds: np.ndarray):
     return chunk
 
 
+def _bounds(ids: DataFrame, count: int) -> np.ndarray:
+    """Ids that cut a table into about ``count`` chunks of as many rows.
+
+    Quantiles of quantiles: about the root of ``count`` (at least 2) wide ranges
+    first, then as many cuts inside each, so no sketch and no task holds more
+    than a small multiple of that root. The driver gets the bounds alone, 8 bytes a chunk.
+    """
+    wide = math.isqrt(count - 1) + 1
+    narrow = max(2, -(-count // wide))
+    cuts = lambda n: F.percentile_approx("doc_id", [i / n for i in range(1, n)], 50 * n)
+    outer = np.unique(np.array(ids.agg(cuts(wide)).first()[0] or [], np.int64))
+    range_of = _dealer(outer)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(range_of(batch.column("doc_id")))], names=["doc_id", "range"])
+
+    inner = ids.mapInArrow(run, "doc_id long, range int").groupBy("range").agg(cuts(narrow).alias("cuts")).select("cuts").collect()
+    return np.unique(np.array([*outer.tolist(), *(x for r in inner for x in r["cuts"])], np.int64))
+
+
 def remove_repeats(
     docs: DataFrame, width: int = 50, *, keep: list[str] | None = None, with_text: bool = False, chunk_bytes: int = CHUNK_BYTES,
     id_col: str = "doc_id", text_col: str = "text",
@@ -309,8 +333,7 @@ def remove_repeats(
     count = max(1, -(-total // chunk_bytes))
     bounds = np.zeros(0, np.int64)
     if count > 1:
-        share = F.percentile_approx("doc_id", [i / count for i in range(1, count)], 50 * count)
-        bounds = np.unique(np.array(rows.agg(share).first()[0] or [], np.int64))
+        bounds = _bounds(rows.select("doc_id").filter("doc_id is not null"), count)
     names = total * len(COVER) // PERIOD
     bits = min(NAME_BITS, max(32, names.bit_length() + 10))
     buckets = max(1, -(-names // BUCKET_NAMES))
@@ -339,7 +362,8 @@ def remove_repeats(
 
     blob = StructType([StructField("chunk", IntegerType()), StructField("raw", LongType()), StructField("data", BinaryType())])
     # dealt out once; the checkpoint keeps its partitioning, so the joins below do not move it again
-    chunks = checkpointed(rows.mapInArrow(to_chunks, blob).repartition(len(bounds) + 1, "chunk"), partitioned=True)
+    deals = min(len(bounds) + 1, max(parallelism(docs.sparkSession), -(-len(bounds) // TASK_CHUNKS)))
+    chunks = checkpointed(rows.mapInArrow(to_chunks, blob).repartition(deals, "chunk"), partitioned=True)
     arrow = _arrow_schema(inner)
 
     whole = rows.select("doc_id", F.sha2(F.col("text").cast("binary"), 256).alias("sha")).filter("doc_id is not null and sha is not null")
