@@ -2,7 +2,7 @@
 
 Plain Spark helpers only: reliable checkpoints, sums that stay on the
 executors, running offsets over a fixed number of buckets, and connected
-components by label minima.
+components by stars.
 """
 
 from __future__ import annotations
@@ -128,29 +128,35 @@ def running_number(
     return numbered.withColumn(out, (F.col("__offset") + F.col("__local")).cast("long")).drop(b, "__offset", "__local")
 
 
-def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """Connected components: (node, component), component the smallest node id.
 
-    ``edges`` has long columns ``a`` and ``b``. Each round gives every node the
-    smallest label among itself and its neighbours (a pre-aggregated minimum,
-    so a node with very many neighbours is no large group), then follows labels
-    once (pointer jumping). It stops when no label changes; not ending within
-    ``rounds`` is an error, never a partial answer.
+    ``edges`` has long columns ``a`` and ``b``. Edges are kept larger end first
+    and rewired by turns (alternating large-star and small-star): the larger
+    ends of a node's edges go to the smallest neighbour of that node, then a
+    node's smaller neighbours go to the smallest of them. So whole trees hook
+    onto smaller roots, in rounds that grow with the logarithm of the longest
+    chain, whatever the order of ids along it. It goes on until every edge
+    leads from a node straight to its root; no number of rounds is given up at.
+
+    Smallest neighbours are kept before they are joined, so that adaptive
+    execution can split a node with very many edges.
     """
-    both = checkpointed(edges.select("a", "b").union(edges.select("b", "a")).filter("a <> b").distinct())
-    label = checkpointed(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("label")))
-    for _ in range(rounds):
-        near = (
-            both.join(label.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("m"))
-        )
-        step = label.join(near, "node").select("node", F.least("label", "m").alias("new"), "label")
-        # the label's own label: one hop further along the chain
-        hop = label.select(F.col("node").alias("new"), F.col("label").alias("hop"))
-        new = checkpointed(
-            step.join(hop, "new", "left").select("node", F.least("new", F.coalesce("hop", "new")).alias("label"), F.col("label").alias("old"))
+    edges = checkpointed(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    while True:
+        low = _smallest(edges)
+        up = low.select(F.col("a").alias("b"), F.col("low").alias("up"))
+        if low.filter("n > 1").isEmpty() and edges.join(up, "b", "left_semi").isEmpty():
+            return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).union(
+                edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
+            )
+        edges = checkpointed(edges.join(up, "b", "left").select("a", F.coalesce("up", "b").alias("b")).distinct())
+        tied = edges.join(_smallest(edges), "a")
+        edges = checkpointed(
+            tied.select("a", F.col("low").alias("b")).union(tied.filter("b <> low").select(F.col("b").alias("a"), F.col("low").alias("b"))).distinct()
         )
-        changed = not new.filter("label <> old").isEmpty()
-        label = new.select("node", "label")
-        if not changed:
-            return label.withColumnRenamed("label", "component")
-    raise RuntimeError("components did not settle; raise rounds")
+
+
+def _smallest(edges: DataFrame) -> DataFrame:
+    """Per larger end: its smallest neighbour and its number of edges."""
+    return checkpointed(edges.groupBy("a").agg(F.min("b").alias("low"), F.count(F.lit(1)).alias("n")))
