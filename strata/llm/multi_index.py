@@ -2,13 +2,15 @@
 
 Two codebooks, one for each half of a vector, span a grid of cells. A vector
 lies in the cell of its two nearest codewords and visits the cells whose
-codewords are nearest in sum (the multi-sequence order), as many as a sample
-needs to reach the target recall; vectors that meet are compared exactly.
+codewords are nearest in sum (the multi-sequence order), as many as the links
+of sampled rows to all rows need to reach the target recall; vectors that meet
+are compared exactly.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +23,8 @@ from strata.llm.vectors import matrix, unit, usable
 
 #: Rows of one side that meet in one task.
 BLOCK = 2000
+#: Rows that are compared with all others to fit the number of visits, and how many of them must have links.
+QUERIES, LINKED_QUERIES = 2000, 200
 
 
 def codebook(rows: np.ndarray, words: int, rounds: int, seed: int) -> np.ndarray:
@@ -64,19 +68,72 @@ class Grid:
         best = (s1[:, a] + s2[:, b]).argsort(1, kind="stable")[:, :count]
         return (o1[np.arange(len(rows))[:, None], a[best]] * d2.shape[1] + o2[np.arange(len(rows))[:, None], b[best]]).astype(np.int32)
 
-    def needed_visits(self, sample: np.ndarray, cosine: float, recall: float, least: int, queries: int = 2000) -> int:
-        """Visits that find ``recall`` of the sample's links, counting either end's visits."""
-        query = sample[:queries]
-        i, j = np.nonzero(query @ sample.T >= cosine)
-        keep = i != j
-        i, j = i[keep], j[keep]
-        if not len(i):
-            return min(max(least, 16), self.cells)
-        order, home = self.visits(sample, min(self.cells, 256)), self.visits(sample, 1)[:, 0]
-        rank = lambda p, q: np.where((order[p] == home[q, None]).any(1), (order[p] == home[q, None]).argmax(1), self.cells)
-        first = np.sort(np.minimum(rank(i, j), rank(j, i)))
-        at = first[min(len(first) - 1, int(np.ceil(recall * len(first))) - 1)]
-        return int(min(max(least, at + 1), self.cells))
+    def places(self, rows: np.ndarray) -> np.ndarray:
+        """The turn (from 0) at which each row visits each cell, all cells counted."""
+        order = self.visits(rows, self.cells)
+        out = np.empty(order.shape, np.int32)
+        np.put_along_axis(out, order, np.arange(self.cells, dtype=np.int32)[None, :], 1)
+        return out
+
+    def threshold_turns(self, query: np.ndarray, cosine: float, seed: int = 5) -> np.ndarray:
+        """Turns at which either end finds the other for partners made at just the threshold, in random directions."""
+        side = np.random.default_rng(seed).normal(size=query.shape)
+        side = unit(side - (side * query).sum(1, keepdims=True) * query)
+        other = cosine * query + (1 - cosine**2) ** 0.5 * side
+        at = np.arange(len(query))
+        return np.minimum(self.places(query)[at, self.visits(other, 1)[:, 0]], self.places(other)[at, self.visits(query, 1)[:, 0]])
+
+
+def enough(turns: np.ndarray, counts: np.ndarray, recall: float) -> int:
+    """Visits that find ``recall`` of links of which ``counts`` are found at each of ``turns`` (from 0)."""
+    order = np.argsort(turns)
+    found = np.cumsum(counts[order])
+    return int(turns[order][np.searchsorted(found, int(np.ceil(recall * found[-1])))]) + 1 if len(turns) else 0
+
+
+_TURNS = StructType([StructField("query", IntegerType()), StructField("turn", IntegerType()), StructField("links", LongType())])
+
+
+def _links_by_turn(own: DataFrame, grid: Grid, query: np.ndarray, ids: np.ndarray, cosine: float) -> list:
+    """Links of the queries to all rows of ``own``, counted by query and by the turn at which either end finds the other."""
+    spark = own.sparkSession
+    shared = spark.sparkContext.broadcast((grid, query, ids, grid.places(query), grid.visits(query, 1)[:, 0]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        grid, query, ids, place, home = shared.value
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1000):
+                part = batch.slice(at, 1000)
+                rows = unit(matrix(part.column("v")))
+                r, q = np.nonzero((rows @ query.T >= cosine) & (np.asarray(part.column("rep"))[:, None] != ids[None, :]))
+                if not len(r):
+                    continue
+                hit, r = np.unique(r, return_inverse=True)
+                turn = np.minimum(place[q, grid.visits(rows[hit], 1)[r, 0]], grid.places(rows[hit])[r, home[q]])
+                key, n = np.unique(q * np.int64(grid.cells) + turn, return_counts=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(key // grid.cells, pa.int32()), pa.array(key % grid.cells, pa.int32()), pa.array(n, pa.int64())], names=_TURNS.names
+                )
+
+    return own.select("rep", "v").mapInArrow(run, _TURNS).groupBy("query", "turn").agg(F.sum("links").alias("links")).collect()
+
+
+def fitted_visits(own: DataFrame, rows: int, grid: Grid, query: np.ndarray, ids: np.ndarray, cosine: float, recall: float, least: int) -> int:
+    """Visits at which ``recall`` of the queries' links to all rows of ``own`` are found, either end counted.
+
+    The queries are compared with every row. Where they are not all of the rows
+    and have too few links to tell (fewer than ten that may be missed, or from
+    fewer than ``LINKED_QUERIES`` queries), as many visits are made as find
+    ``recall`` of partners at just the threshold in random directions, too.
+    """
+    seen = _links_by_turn(own, grid, query, ids, cosine)
+    turns, links = (np.array([r[c] for r in seen], np.int64) for c in ("turn", "links"))
+    count = max(least, enough(turns, links, recall))
+    few = links.sum() < 10 / (1 - min(recall, 0.9999)) or len({r["query"] for r in seen}) < LINKED_QUERIES
+    if few and len(query) < rows:
+        made = grid.threshold_turns(query, cosine)
+        count = max(count, enough(made, np.ones(len(made), np.int64), recall))
+    return min(count, grid.cells)
 
 
 _ASSIGNED = StructType([StructField("rep", LongType()), StructField("home", IntegerType()), StructField("visits", ArrayType(IntegerType()))])
@@ -154,12 +211,15 @@ def near_vectors(
     Returns vec_id, n_links (other rows linked directly), component_id (smallest
     id reachable), kept (vec_id = component_id).
 
-    Equal vectors are one class with a count. Codebooks and the number of cells
-    to visit are fitted on the ``fit_rows`` representatives of smallest id hash;
-    all rows are indexed. Members and visitors of a cell meet in pairs of blocks
-    of bounded size, which return counts and spanning forests, not pairs. Every
-    pair that meets is compared in double precision, so no link is false; the
-    share of links that meet is the recall, at least ``recall`` on the sample.
+    Equal vectors are one class with a count. Codebooks are fitted on the
+    ``fit_rows`` representatives of smallest id hash; the number of cells to
+    visit on the first ``QUERIES`` of them, compared with all representatives
+    (see ``fitted_visits``); all rows are indexed. Members and visitors of a cell
+    meet in pairs of blocks of bounded size, which return counts and spanning
+    forests, not pairs. Every pair that meets is compared in double precision,
+    so no link is false; the share of links that meet is the recall, at least
+    ``recall`` over the links of the queries. A vector length of at most
+    ``BLOCK`` representatives is one cell, which finds all of its links.
 
     Vectors that are null, zero or hold a null or non-finite component have no
     links and are their own component. Vectors are compared with vectors of the
@@ -172,12 +232,18 @@ def near_vectors(
     good = usable(F.col("v")) & F.col("vec_id").isNotNull()
     classes = checkpointed(rows.filter(good).groupBy("v").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("m")).withColumn("dim", F.size("v")))
     spark, parts = rows.sparkSession, []
-    for dim in sorted(r["dim"] for r in classes.select("dim").distinct().limit(64).collect()):
+    # vectors of a length with few rows are one cell, where all of them meet
+    sizes = {r["dim"]: r["count"] for r in classes.groupBy("dim").count().limit(64).collect()}
+    small = [d for d, n in sizes.items() if n <= BLOCK]
+    if small:
+        one = F.lit(0).alias("home")
+        parts.append(classes.filter(F.col("dim").isin(small) if len(small) < len(sizes) else F.lit(True)).select("rep", one, F.array(F.lit(0)).alias("visits"), "dim"))
+    for dim in sorted(sizes.keys() - set(small)):
         own = classes.filter(F.col("dim") == dim)
-        sample = own.orderBy(F.xxhash64("rep"), "rep").limit(fit_rows).select("v").toArrow()
-        base = unit(matrix(sample.column("v")))
+        sample = own.orderBy(F.xxhash64("rep"), "rep").limit(fit_rows).select("rep", "v").toArrow()
+        base, ids = unit(matrix(sample.column("v"))), np.asarray(sample.column("rep"))
         grid = Grid(base, words)
-        count = grid.needed_visits(base, cosine, recall, least_visits)
+        count = fitted_visits(own, sizes[dim], grid, base[:QUERIES], ids[:QUERIES], cosine, recall, least_visits)
         parts.append(_assign(spark, own, grid, count, dim))
     found = checkpointed(_meet(classes, parts, cosine)) if parts else None
     if found is None:
@@ -212,9 +278,7 @@ def _assign(spark, own: DataFrame, grid: Grid, count: int, dim: int) -> DataFram
 
 
 def _meet(classes: DataFrame, parts: list[DataFrame], cosine: float) -> DataFrame:
-    assigned = parts[0]
-    for p in parts[1:]:
-        assigned = assigned.union(p)
+    assigned = reduce(DataFrame.union, parts)
     full = checkpointed(assigned.join(classes.drop("dim"), "rep"))
     members = full.select("dim", F.col("home").alias("cell"), "rep", "m", "v", "visits")
     guests = full.select("dim", F.explode("visits").alias("cell"), "rep", "m", "v", "home")
