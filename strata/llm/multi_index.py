@@ -25,6 +25,8 @@ from strata.llm.vectors import matrix, unit, usable
 BLOCK = 2000
 #: Rows that are compared with all others to fit the number of visits, and how many of them must have links.
 QUERIES, LINKED_QUERIES = 2000, 200
+#: Vector lengths whose cells are kept together before the next ones are fitted.
+KEPT_DIMS = 32
 
 
 def codebook(rows: np.ndarray, words: int, rounds: int, seed: int) -> np.ndarray:
@@ -223,7 +225,8 @@ def near_vectors(
 
     Vectors that are null, zero or hold a null or non-finite component have no
     links and are their own component. Vectors are compared with vectors of the
-    same length only. Rows with a null id are linked with nothing (component
+    same length only; any number of lengths is indexed, with a codebook for each
+    of more than ``BLOCK`` representatives. Rows with a null id are linked with nothing (component
     null, not kept). Rows of one id count as one vector each but share links'
     component. Empty tables give no rows; other columns are not read.
     """
@@ -233,7 +236,7 @@ def near_vectors(
     classes = checkpointed(rows.filter(good).groupBy("v").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("m")).withColumn("dim", F.size("v")))
     spark, parts = rows.sparkSession, []
     # vectors of a length with few rows are one cell, where all of them meet
-    sizes = {r["dim"]: r["count"] for r in classes.groupBy("dim").count().limit(64).collect()}
+    sizes = {r["dim"]: r["count"] for r in classes.groupBy("dim").count().collect()}
     small = [d for d, n in sizes.items() if n <= BLOCK]
     if small:
         one = F.lit(0).alias("home")
@@ -245,6 +248,8 @@ def near_vectors(
         grid = Grid(base, words)
         count = fitted_visits(own, sizes[dim], grid, base[:QUERIES], ids[:QUERIES], cosine, recall, least_visits)
         parts.append(_assign(spark, own, grid, count, dim))
+        if len(parts) > KEPT_DIMS:
+            parts = [checkpointed(reduce(DataFrame.union, parts))]
     found = checkpointed(_meet(classes, parts, cosine)) if parts else None
     if found is None:
         return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.col("vec_id").isNotNull().alias("kept"))

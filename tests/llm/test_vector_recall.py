@@ -21,3 +21,9 @@ def test_recall_holds_where_the_sample_has_few_links(spark, monkeypatch):
     z = np.concatenate([x, y])
     true = int((z @ z.T >= 0.9).sum()) - len(z)
     assert true >= 6000 and sum(got.values()) / true >= 0.995
+
+
+def test_every_vector_length_is_indexed(spark):
+    rows = [(2 * d + k, np.arange(1, d + 1) * (1 + 0.01 * k * np.arange(d) / d)) for d in range(2, 92) for k in (0, 1)]
+    got = multi_index.near_vectors(made(spark, rows)).collect()
+    assert len(got) == 180 and all((r.n_links, r.component_id) == (1, r.vec_id // 2 * 2) for r in got)
