@@ -61,15 +61,23 @@ def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document, in the order of the target mixture."""
+    """Every document, in the order of the target mixture.
+
+    A table written and read again may lose that order, so ``pack`` works the
+    same places out again, from the same weights and rows.
+    """
     plain, names = _plain(docs)
     mixed = mix_sources(plain, MIXTURE, id_col=names["doc_id"], source_col=names["source"], text_col=names["text"])
     return mixed.orderBy("mix_slot", "mix_start").select(*names.values()).toDF(*docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token sequences of at most 4096 tokens, a row for each piece."""
-    return harmonic_pack(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=2, capacity=4096)
+    """Token sequences of at most 4096 tokens in the order of the target mixture, a row for each piece."""
+    plain, names = _plain(docs)
+    return harmonic_pack(
+        plain, public_tokenizers.path("word_bpe_49k.json"), end_id=2, capacity=4096, weights=MIXTURE,
+        id_col=names["doc_id"], text_col=names["text"], source_col=names["source"],
+    )
 
 
 STAGES = [("language_id", language), ("near_dedup", near_dedup), ("remove_repeats", repeats), ("mix_sources", mix), ("pack", pack)]

@@ -12,7 +12,7 @@ import os
 import tempfile
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -90,7 +90,7 @@ def parallelism(spark: SparkSession) -> int:
 
 def running_number(
     df: DataFrame, order: list[str], out: str, *, within: list[str] | None = None, deal: list[str] | None = None,
-    groups: int = 256, weight: str | None = None,
+    groups: int = 256, weight: str | None = None, bucket: Column | None = None,
 ) -> DataFrame:
     """Number the rows of ``df`` (or of each ``within`` group) from 0, without gaps.
 
@@ -100,7 +100,9 @@ def running_number(
     levels (``groups`` groups of ``groups`` buckets), so that no task sums more
     than ``groups`` rows of a group; rows are ranked by ``order`` inside their
     bucket only. With ``weight`` the number is the sum of the weights before the row
-    instead of their count. Rows that are equal under ``order`` should be equal
+    instead of their count. With ``bucket``, a long from 0 that never falls along
+    ``order``, rows are dealt by it and the numbers follow ``order`` throughout.
+    Rows that are equal under ``order`` should be equal
     in all columns; the numbering is then reproducible. ``within`` columns must
     hold no nulls.
 
@@ -109,8 +111,8 @@ def running_number(
     """
     within = within or []
     b, g, size = "__bucket", "__group", F.lit(1).cast("long") if weight is None else F.col(weight).cast("long")
-    rows = df.withColumn(b, F.pmod(F.xxhash64(*(deal or order)), F.lit(groups * groups)).cast("int"))
-    sums = rows.groupBy(*within, b).agg(F.sum(size).alias("__sum")).withColumn(g, F.floor(F.col(b) / groups).cast("int"))
+    rows = df.withColumn(b, F.pmod(F.xxhash64(*(deal or order)), F.lit(groups * groups)).cast("int") if bucket is None else bucket)
+    sums = rows.groupBy(*within, b).agg(F.sum(size).alias("__sum")).withColumn(g, F.floor(F.col(b) / groups).cast("long"))
     earlier = lambda keys, by: F.coalesce(
         F.sum("__sum").over(W.partitionBy(*(keys or [F.lit(0)])).orderBy(by).rowsBetween(W.unboundedPreceding, -1)), F.lit(0)
     )

@@ -67,18 +67,27 @@ def mix_sources(
     Equal ids are ranked by their size and checksum. Empty tables give no rows;
     null texts have size 1. The columns ``mix_*`` replace ones of the same name.
     """
-    units = dict(weights)
-    units.setdefault(REST, 1)
-    total = sum(units.values())
-    period = pfair_period(units)
-    named = [s for s in units if s != REST]
     rows = docs.drop(*[c for c in docs.columns if c.startswith(("mix_", "__"))])
-    rows = rows.withColumns({
+    return scheduled(rows.withColumns(mix_columns(weights, id_col, source_col, text_col)), weights, block_bytes)
+
+
+def mix_columns(weights: dict[str, int], id_col: str = "doc_id", source_col: str = "source", text_col: str = "text") -> dict[str, Column]:
+    """All that a row's place in the mixture depends on: its class, size, checksum and id."""
+    named = [s for s in weights if s != REST]
+    return {
         "mix_class": F.when(F.col(source_col).isin(named), F.col(source_col)).otherwise(F.lit(REST)) if named else F.lit(REST),
         "mix_size": (F.coalesce(F.octet_length(F.col(text_col)), F.lit(0)) + 1).cast("long"),
         "mix_check": F.xxhash64(F.col(text_col)),
         "mix_id": F.col(id_col),
-    })
+    }
+
+
+def scheduled(rows: DataFrame, weights: dict[str, int], block_bytes: int = 16_384) -> DataFrame:
+    """``mix_sources`` of rows that have their ``mix_columns``; the text is not needed."""
+    units = dict(weights)
+    units.setdefault(REST, 1)
+    total = sum(units.values())
+    period = pfair_period(units)
     rows = running_number(
         rows, ["mix_id", "mix_size", "mix_check"], "mix_start", within=["mix_class"], deal=["mix_id"], weight="mix_size"
     )

@@ -24,9 +24,12 @@ from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField, St
 
 from strata.llm.common import checkpointed, running_number, with_package
 from strata.llm.kernels import slices
+from strata.llm.mixing import mix_columns, scheduled, stream_positions
 
 SLICE_BYTES = 1 << 20
 CACHED_WORDS = 500_000
+#: Documents next to each other in the mixture whose pieces are ranked in one task.
+ORDERED_ROWS = 4096
 #: A text made of these letters only has the same tokens as its blank-separated
 #: words have by themselves: no letter changes or joins under normalisation, and
 #: every blank is one that the tokenizer splits at.
@@ -121,18 +124,19 @@ def cut(tokens: int, capacity: int, slack: float) -> list[tuple[int, int]]:
 
 def pieces(
     docs: DataFrame, tokenizer: str, *, end_id: int = 2, capacity: int = 4096, slack: float = 1 / 128, with_ids: bool = False,
-    id_col: str = "doc_id", text_col: str = "text",
+    id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None,
 ) -> DataFrame:
-    """Tokenize and cut: doc_id, start, length, ids_crc32, doc_tokens, size, and ids if asked for.
+    """Tokenize and cut: doc_id, start, length, ids_crc32, doc_tokens, size, ids if asked for, and the ``keep`` columns.
 
     Row by row, without a shuffle. A null text is empty: its only token is ``end_id``.
     """
-    rows = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
+    keep = keep or []
+    rows = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"), *keep)
     with_package(docs.sparkSession)
     schema = StructType([
         rows.schema["doc_id"], StructField("start", LongType()), StructField("length", LongType()),
         StructField("ids_crc32", LongType()), StructField("doc_tokens", LongType()), StructField("size", IntegerType()),
-        *([StructField("ids", BinaryType())] if with_ids else []),
+        *([StructField("ids", BinaryType())] if with_ids else []), *[rows.schema[c] for c in keep],
     ])
     stop = np.array([end_id], "<u4").tobytes()
 
@@ -155,7 +159,9 @@ def pieces(
                     part.column("doc_id").take(pa.array(row, pa.int64())), pa.array(start, pa.int64()), pa.array(length, pa.int64()),
                     pa.array(crc, pa.int64()), pa.array(whole, pa.int64()), pa.array(size, pa.int32()),
                 ]
-                yield pa.RecordBatch.from_arrays(columns + ([pa.array(ids, pa.binary())] if with_ids else []), schema=None, names=schema.names)
+                columns += [pa.array(ids, pa.binary())] if with_ids else []
+                columns += [part.column(c).take(pa.array(row, pa.int64())) for c in keep]
+                yield pa.RecordBatch.from_arrays(columns, schema=None, names=schema.names)
 
     return rows.mapInArrow(run, schema)
 
@@ -184,7 +190,7 @@ def _best_fit(capacity: int):
 
 def harmonic_pack(
     docs: DataFrame, tokenizer: str, *, end_id: int = 2, capacity: int = 4096, slack: float = 1 / 128, with_ids: bool = False,
-    id_col: str = "doc_id", text_col: str = "text",
+    id_col: str = "doc_id", text_col: str = "text", weights: dict[str, int] | None = None, source_col: str = "source",
 ) -> DataFrame:
     """Pack whole documents into sequences of at most ``capacity`` tokens.
 
@@ -198,12 +204,27 @@ def harmonic_pack(
     ``capacity // size`` of each class and so bounded by ``capacity`` alone,
     meet in one task, which fills bins best-fit.
 
+    With ``weights`` (as of ``mix_sources``) pieces are numbered in the order of
+    the mixture, worked out anew from the weights and the rows, so it does not
+    hang on the order of the input; so each bin holds pieces that are next to
+    each other in their class, and sequences are numbered by their first pieces.
+    The texts do not move for that.
+
     Null and empty texts are documents of one token. Repeated rows are packed
     like any others. An empty table gives no rows; other columns are not read.
     """
+    names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", *(["ids"] if with_ids else [])]
+    place: list[str] = []
+    if weights is not None:
+        place = ["__row", "mix_class", "mix_size", "mix_check", "mix_id"]
+        clear = docs.drop(*[c for c in docs.columns if c.startswith(("mix_", "__"))])
+        docs = clear.withColumns({"__row": F.monotonically_increasing_id(), **mix_columns(weights, id_col, source_col, text_col)})
     cutup = checkpointed(pieces(
-        docs, tokenizer, end_id=end_id, capacity=capacity, slack=slack, with_ids=with_ids, id_col=id_col, text_col=text_col
+        docs, tokenizer, end_id=end_id, capacity=capacity, slack=slack, with_ids=with_ids, id_col=id_col, text_col=text_col, keep=place
     ))
+    if weights is not None:
+        order = stream_positions(scheduled(cutup.filter("start = 0").select(*place), weights), weights).select("__row", "mix_position")
+        cutup = checkpointed(cutup.drop(*place[1:]).join(order, "__row").drop("__row"))
     # one row per class, at most 2 * sqrt(capacity) of them
     count = {r["size"]: r["count"] for r in cutup.groupBy("size").count().collect()}
     base, full, made = {}, {}, 0
@@ -212,9 +233,13 @@ def harmonic_pack(
         base[size], full[size] = made, count[size] // per * per
         made += count[size] // per
     if not count:
-        return cutup.withColumns({"sequence_id": F.lit(0).cast("long"), "offset": F.lit(0).cast("long")}).drop("size")
+        return cutup.withColumns({"sequence_id": F.lit(0).cast("long"), "offset": F.lit(0).cast("long")}).select(names)
     table = lambda values: F.element_at(F.create_map(*[x for k, v in values.items() for x in (F.lit(k), F.lit(v).cast("long"))]), F.col("size"))
-    rows = running_number(cutup, ["doc_id", "start", "ids_crc32"], "__rank", within=["size"], deal=["doc_id", "start"])
+    near = lambda c: F.call_function("div", F.col(c), F.lit(ORDERED_ROWS).cast("long"))
+    if weights is None:
+        rows = running_number(cutup, ["doc_id", "start", "ids_crc32"], "__rank", within=["size"], deal=["doc_id", "start"])
+    else:
+        rows = running_number(cutup, ["mix_position", "start"], "__rank", within=["size"], bucket=near("mix_position"))
     rows = rows.withColumn("__full", F.col("__rank") < table(full))
     per = F.call_function("div", F.lit(capacity).cast("long"), F.col("size").cast("long"))
     before = W.partitionBy("sequence_id").orderBy("__rank").rowsBetween(W.unboundedPreceding, -1)
@@ -225,5 +250,9 @@ def harmonic_pack(
         _best_fit(capacity), StructType([*rest.schema.fields, StructField("__bin", LongType()), StructField("offset", LongType())])
     )
     late = late.withColumn("sequence_id", F.col("__bin") + made)
-    names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", *(["ids"] if with_ids else [])]
-    return own.select(names).union(late.select(names))
+    if weights is None:
+        return own.select(names).union(late.select(names))
+    packed = checkpointed(own.select(*names, "mix_position").union(late.select(*names, "mix_position")))
+    first = packed.groupBy("sequence_id").agg(F.min(F.struct("mix_position", "start")).alias("__first")).select("sequence_id", "__first.*")
+    turn = running_number(first, ["mix_position", "start"], "__turn", bucket=near("mix_position")).select("sequence_id", "__turn")
+    return packed.join(turn, "sequence_id").withColumn("sequence_id", F.col("__turn")).select(names)
