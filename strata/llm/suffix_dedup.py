@@ -14,7 +14,8 @@ strings of ``width`` bytes hold two equal cover windows of
 Documents travel once, in compressed chunks of a range of ids. A chunk sends a
 bucket its sorted distinct names (differences, byte planes, compressed) and
 gets one bit per name back, so a passage in very many documents is one name per
-chunk, and neither a bucket nor a chunk outgrows its task.
+chunk. Chunks are cut by bytes, and rows without an id pass them by, so only a
+single text of more than a chunk makes a larger one.
 """
 
 from __future__ import annotations
@@ -244,20 +245,24 @@ def _joined(found: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.
     return np.concatenate([np.zeros(0, np.uint64), *names]), np.concatenate([np.zeros(0, np.int64), *ranks])
 
 
-def _bucket_reply(kind: int):
-    """Sort one bucket's names of all chunks and answer each chunk with one bit per name."""
+def _bucket_reply(kind: int, place: np.ndarray):
+    """Sort one bucket's names of all chunks and answer each chunk with one bit per name.
+
+    ``place`` has each chunk's order; chunks of one large id share theirs.
+    """
 
     def run(table: pa.Table) -> pa.Table:
         chunk = np.asarray(table.column("chunk"))
         lists = [unpacked(x) for x in table.column("names").to_pylist()]
         size = np.array([len(x) for x in lists])
-        name, owner = np.concatenate(lists), np.repeat(chunk, size)
+        name, owner = np.concatenate(lists), np.repeat(place[chunk], size)
         order = np.lexsort((owner, name)) if kind == EARLIER else np.argsort(name)
         sorted_name = name[order]
         fresh_name = np.r_[True, sorted_name[1:] != sorted_name[:-1]]
         flag = np.zeros(len(name), bool)
-        if kind == EARLIER:  # an earlier chunk has the same name
-            flag[order] = ~fresh_name
+        if kind == EARLIER:  # a chunk of smaller order has the same name
+            first = np.flatnonzero(fresh_name)[np.cumsum(fresh_name) - 1]
+            flag[order] = owner[order] > owner[order][first]
         else:  # another chunk has it
             flag[order] = ~(fresh_name & np.r_[fresh_name[1:], True])
         at = np.r_[0, np.cumsum(size)]
@@ -272,13 +277,35 @@ def _bucket_reply(kind: int):
     return run
 
 
-def _dealer(bounds: np.ndarray):
-    """Chunk number of ids: ranges between bounds, null ids in the first."""
+class Dealer:
+    """Chunks of ids: ranges between bounds, of which one that holds a single large id may be several chunks.
+
+    Chunks of one range have the same ``order``: they hold no documents that are
+    earlier than one another's.
+    """
 
-    def chunk(ids: pa.Array) -> np.ndarray:
-        return np.searchsorted(bounds, np.asarray(pc.fill_null(ids, -(1 << 63))), "right").astype(np.int32)
+    def __init__(self, bounds: np.ndarray, parts: dict[int, int]):
+        self.bounds = np.unique(np.array([*bounds.tolist(), *(x for i in parts for x in (i, i + 1) if x < 1 << 63)], np.int64))
+        count = np.ones(len(self.bounds) + 1, np.int64)
+        for i, n in parts.items():
+            count[self.range_of(np.array([i]))[0]] = n
+        self.first = np.r_[0, np.cumsum(count)].astype(np.int32)
+        self.order = np.repeat(np.arange(len(count)), count)
 
-    return chunk
+    def range_of(self, ids: np.ndarray) -> np.ndarray:
+        return np.searchsorted(self.bounds, ids, "right")
+
+    def chunk(self, ids: np.ndarray, turn: np.ndarray) -> np.ndarray:
+        """Chunk of each id; ``turn`` deals the rows of a large id."""
+        at = self.range_of(ids)
+        return (self.first[at] + turn % (self.first[at + 1] - self.first[at])).astype(np.int32)
+
+    def chunks(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All chunks that may hold rows of each id, and the place of the id."""
+        at = self.range_of(ids)
+        count = self.first[at + 1] - self.first[at]
+        which = np.repeat(np.arange(len(ids)), count)
+        return (self.first[at][which] + np.arange(len(which)) - np.repeat(np.cumsum(count) - count, count)).astype(np.int32), which
 
 
 def _bounds(ids: DataFrame, count: int) -> np.ndarray:
@@ -292,16 +319,49 @@ def _bounds(ids: DataFrame, count: int) -> np.ndarray:
     narrow = max(2, -(-count // wide))
     cuts = lambda n: F.percentile_approx("doc_id", [i / n for i in range(1, n)], 50 * n)
     outer = np.unique(np.array(ids.agg(cuts(wide)).first()[0] or [], np.int64))
-    range_of = _dealer(outer)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(range_of(batch.column("doc_id")))], names=["doc_id", "range"])
+            at = np.searchsorted(outer, np.asarray(batch.column("doc_id")), "right").astype(np.int32)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(at)], names=["doc_id", "range"])
 
     inner = ids.mapInArrow(run, "doc_id long, range int").groupBy("range").agg(cuts(narrow).alias("cuts")).select("cuts").collect()
     return np.unique(np.array([*outer.tolist(), *(x for r in inner for x in r["cuts"])], np.int64))
 
 
+def dealer(rows: DataFrame, total: int, chunk_bytes: int) -> Dealer:
+    """Chunks of about ``chunk_bytes`` of text each, of rows doc_id (no nulls) and text.
+
+    Bounds are quantiles of bytes: a row counts as often as the running sum of
+    its task passes a multiple of a 256th of a chunk, from a start of the task's
+    own. An id whose rows hold more than a chunk does not count there; it is a
+    range of its own, dealt by chance to twice as many chunks as it fills. Only a single text can make a chunk larger.
+    """
+    if total <= chunk_bytes:
+        return Dealer(np.zeros(0, np.int64), {})
+    unit = max(1, chunk_bytes // 256)
+    sizes = rows.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("bytes"))
+    large = sizes.groupBy("doc_id").agg(F.sum("bytes").alias("bytes"), F.count(F.lit(1)).alias("n")).filter(F.col("bytes") > chunk_bytes)
+    found = large.collect()  # fewer than there are chunks
+    parts = {r["doc_id"]: int(min(r["n"], -(-2 * r["bytes"] // chunk_bytes))) for r in found}
+    own, rest = np.array(sorted(parts), np.int64), total - sum(r["bytes"] for r in found)
+
+    def sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        held = int(np.random.default_rng(TaskContext.get().partitionId()).integers(unit))
+        for batch in batches:
+            ids = np.asarray(batch.column("doc_id"))
+            sums = held + np.cumsum(np.where(np.isin(ids, own), 0, np.asarray(batch.column("bytes"))))
+            times = np.diff(sums // unit, prepend=0)
+            held = int(sums[-1] % unit) if len(sums) else held
+            for at in range(0, len(ids), 1000):
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids[at : at + 1000], times[at : at + 1000]))], names=["doc_id"])
+
+    count = max(2, -(-rest // chunk_bytes))
+    return Dealer(_bounds(sizes.mapInArrow(sampled, "doc_id long"), count), parts)
+
+
 def remove_repeats(
     docs: DataFrame, width: int = 50, *, keep: list[str] | None = None, with_text: bool = False, chunk_bytes: int = CHUNK_BYTES,
     id_col: str = "doc_id", text_col: str = "text",
@@ -329,19 +389,20 @@ def remove_repeats(
     rows = docs.select(
         F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), *[F.col(c).alias(f"k{i}") for i, c in enumerate(keep)]
     )
+    unknown, rows = rows.filter("doc_id is null"), rows.filter("doc_id is not null")
     total = int(rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
-    count = max(1, -(-total // chunk_bytes))
-    bounds = np.zeros(0, np.int64)
-    if count > 1:
-        bounds = _bounds(rows.select("doc_id").filter("doc_id is not null"), count)
+    deal = dealer(rows, total, chunk_bytes)
     names = total * len(COVER) // PERIOD
     bits = min(NAME_BITS, max(32, names.bit_length() + 10))
     buckets = max(1, -(-names // BUCKET_NAMES))
-    chunk_of, inner = _dealer(bounds), rows.schema
+    inner = rows.schema
 
     def to_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        rng = np.random.default_rng(TaskContext.get().partitionId())
         for batch in batches:
-            chunk = chunk_of(batch.column("doc_id"))
+            chunk = deal.chunk(np.asarray(batch.column("doc_id")), rng.integers(1 << 40, size=batch.num_rows))
             order = np.argsort(chunk, kind="stable")
             ordered, chunk = batch.take(pa.array(order)), chunk[order]
             first = np.flatnonzero(np.r_[True, chunk[1:] != chunk[:-1]]) if len(chunk) else []
@@ -354,19 +415,21 @@ def remove_repeats(
 
     def add_chunk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n = batch.num_rows
+            chunk, which = deal.chunks(np.asarray(batch.column("doc_id")))
+            n = len(chunk)
             yield pa.RecordBatch.from_arrays([
-                pa.array(chunk_of(batch.column("doc_id"))), pa.array([COPY] * n, pa.int32()), pa.array([0] * n, pa.int32()),
-                batch.column("doc_id"), pa.array([None] * n, pa.binary()),
+                pa.array(chunk), pa.array([COPY] * n, pa.int32()), pa.array([0] * n, pa.int32()),
+                batch.column("doc_id").take(pa.array(which)), pa.array([None] * n, pa.binary()),
             ], names=_REPLY.names)
 
     blob = StructType([StructField("chunk", IntegerType()), StructField("raw", LongType()), StructField("data", BinaryType())])
     # dealt out once; the checkpoint keeps its partitioning, so the joins below do not move it again
-    deals = min(len(bounds) + 1, max(parallelism(docs.sparkSession), -(-len(bounds) // TASK_CHUNKS)))
+    chunk_count = len(deal.order)
+    deals = min(chunk_count, max(parallelism(docs.sparkSession), -(-chunk_count // TASK_CHUNKS)))
     chunks = checkpointed(rows.mapInArrow(to_chunks, blob).repartition(deals, "chunk"), partitioned=True)
     arrow = _arrow_schema(inner)
 
-    whole = rows.select("doc_id", F.sha2(F.col("text").cast("binary"), 256).alias("sha")).filter("doc_id is not null and sha is not null")
+    whole = rows.select("doc_id", F.sha2(F.col("text").cast("binary"), 256).alias("sha")).filter("sha is not null")
     least = whole.groupBy("sha").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).filter("least < most").drop("most")
     copies = whole.join(checkpointed(least), "sha").filter("doc_id > least").select("doc_id").distinct()
     told = checkpointed(copies.mapInArrow(add_chunk, _REPLY))
@@ -388,7 +451,7 @@ def remove_repeats(
 
     def answered(work, kind: int) -> DataFrame:
         """Requests of all chunks and the buckets' replies, kept; the requests' shuffle may then go."""
-        replies = checkpointed(meet(work, _REQUEST, told).groupBy("bucket").applyInArrow(_bucket_reply(kind), _REPLY))
+        replies = checkpointed(meet(work, _REQUEST, told).groupBy("bucket").applyInArrow(_bucket_reply(kind, deal.order), _REPLY))
         release(docs.sparkSession)
         return told.union(replies)
 
@@ -411,6 +474,13 @@ def remove_repeats(
         ], names=result.names)
 
     out = meet(finish, result, told)
+    text = F.coalesce("text", F.lit(""))
+    alike = unknown.select(
+        "doc_id", F.octet_length(text).cast("long").alias("n_bytes"), F.lit(0).cast("long").alias("n_removed"),
+        F.lit(0).cast("long").alias("n_spans"), F.sha2(text.cast("binary"), 256).alias("kept_sha256"),
+        *([text.alias("kept_text")] if with_text else []), *inner.names[2:],
+    )
+    out = out.union(alike)
     return out.select(*result.names[: len(result.names) - len(keep)], *[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)])
 
 
