@@ -1,4 +1,7 @@
-"""Repeated passages by blockwise suffix sorting with a difference cover.
+"""Repeated passages by hashes of windows, prefiltered on a difference cover.
+
+No suffix is ordered by its bytes: equal strings are told by their names, which
+are hashes, and matches are not checked on the bytes (README: false matches).
 
 Suffixes matter up to ``width`` bytes only. For any two positions there is a
 shift below ``PERIOD`` at which both fall on the difference cover, so two equal
