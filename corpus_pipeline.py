@@ -75,7 +75,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token sequences of at most 4096 tokens in the order of the target mixture, a row for each piece."""
     plain, names = _plain(docs)
     return harmonic_pack(
-        plain, public_tokenizers.path("word_bpe_49k.json"), end_id=2, capacity=4096, weights=MIXTURE,
+        plain, public_tokenizers.path("word_bpe_49k.json"), end_id=2, capacity=4096, weights=MIXTURE, added_as_text=False,
         id_col=names["doc_id"], text_col=names["text"], source_col=names["source"],
     )
 

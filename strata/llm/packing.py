@@ -44,16 +44,20 @@ class Encoder:
 
     Words are encoded once and remembered, up to ``CACHED_WORDS``; then the
     memory starts anew, which costs time only. Texts with any letter outside
-    the plain set go to the tokenizer whole.
+    the plain set go to the tokenizer whole, and so do those with the string of
+    an added token unless ``added_as_text``: it is one id then, as the tokenizer
+    file has it, and else the ids of its letters.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, added_as_text: bool = True):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = added_as_text
         self.known: dict[str, bytes] = {}
-
+        # in small letters, as words are looked up; the tokenizer itself decides on the case
+        added = {t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()} - {""}
+        self.added = [] if added_as_text else sorted(added)
         size = self.tokenizer.get_vocab_size()
         self.last = np.array([(self.tokenizer.id_to_token(i) or "").endswith("</w>") for i in range(size)])
 
@@ -75,8 +79,15 @@ class Encoder:
         data = ids.tobytes()
         return [data[4 * a : 4 * b] for a, b in zip(at, at[1:])]
 
+    def _words(self, text: str) -> list[str] | None:
+        """The words of a text that may be encoded word by word."""
+        if _OTHER.search(text):
+            return None
+        small = text.lower()
+        return None if any(t in small for t in self.added) else small.split()
+
     def __call__(self, texts: list[str]) -> list[bytes]:
-        split = [None if _OTHER.search(t) else t.lower().split() for t in texts]
+        split = [self._words(t) for t in texts]
         if len(self.known) > CACHED_WORDS:
             self.known = {}
         known = self.known
@@ -89,11 +100,11 @@ class Encoder:
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str) -> Encoder:
+def encoder(path: str, added_as_text: bool = True) -> Encoder:
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core a task
-    return Encoder(path)
+    return Encoder(path, added_as_text)
 
 
 @lru_cache(maxsize=4)
@@ -124,7 +135,7 @@ def cut(tokens: int, capacity: int, slack: float) -> list[tuple[int, int]]:
 
 def pieces(
     docs: DataFrame, tokenizer: str, *, end_id: int = 2, capacity: int = 4096, slack: float = 1 / 128, with_ids: bool = False,
-    id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None,
+    id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None, added_as_text: bool = True,
 ) -> DataFrame:
     """Tokenize and cut: doc_id, start, length, ids_crc32, doc_tokens, size, ids if asked for, and the ``keep`` columns.
 
@@ -141,7 +152,7 @@ def pieces(
     stop = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer)
+        encode = encoder(tokenizer, added_as_text)
         for batch in batches:
             for part in slices(batch, "text", SLICE_BYTES):
                 row, start, length, crc, whole, size, ids = [], [], [], [], [], [], []
@@ -191,6 +202,7 @@ def _best_fit(capacity: int):
 def harmonic_pack(
     docs: DataFrame, tokenizer: str, *, end_id: int = 2, capacity: int = 4096, slack: float = 1 / 128, with_ids: bool = False,
     id_col: str = "doc_id", text_col: str = "text", weights: dict[str, int] | None = None, source_col: str = "source",
+    added_as_text: bool = True,
 ) -> DataFrame:
     """Pack whole documents into sequences of at most ``capacity`` tokens.
 
@@ -210,6 +222,9 @@ def harmonic_pack(
     each other in their class, and sequences are numbered by their first pieces.
     The texts do not move for that.
 
+    Strings of the tokenizer's added tokens are ids of letters; without
+    ``added_as_text`` they are the tokens' own ids, the tokenizer file's default.
+
     Null and empty texts are documents of one token. Repeated rows are packed
     like any others. An empty table gives no rows; other columns are not read.
     """
@@ -220,7 +235,8 @@ def harmonic_pack(
         clear = docs.drop(*[c for c in docs.columns if c.startswith(("mix_", "__"))])
         docs = clear.withColumns({"__row": F.monotonically_increasing_id(), **mix_columns(weights, id_col, source_col, text_col)})
     cutup = checkpointed(pieces(
-        docs, tokenizer, end_id=end_id, capacity=capacity, slack=slack, with_ids=with_ids, id_col=id_col, text_col=text_col, keep=place
+        docs, tokenizer, end_id=end_id, capacity=capacity, slack=slack, with_ids=with_ids, id_col=id_col, text_col=text_col, keep=place,
+        added_as_text=added_as_text,
     ))
     if weights is not None:
         order = stream_positions(scheduled(cutup.filter("start = 0").select(*place), weights), weights).select("__row", "mix_position")

@@ -37,7 +37,7 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
-    return harmonic_pack(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=2, capacity=4096)
+    return harmonic_pack(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=2, capacity=4096, added_as_text=False)
 
 
 def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
