@@ -15,6 +15,7 @@ from strata.llm.minhash import near_duplicates
 from strata.llm.mixing import mix_sources, stream_positions
 from strata.llm.multi_index import near_vectors
 from strata.llm.packing import harmonic_pack
+from strata.llm.phrases import mine_phrases
 from strata.llm.sharding import shard_rows
 from strata.llm.suffix_dedup import remove_repeats
 from strata.llm.token_counts import count_tokens
@@ -68,6 +69,10 @@ def op10_shard_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_rows(read_table(spark, sf_dir, "documents"), shards=8)
 
 
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mine_phrases(read_table(spark, sf_dir, "documents"), max_words=3, min_count=10, top=2000, share=50)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_url_filter": op1_url_filter,
@@ -80,11 +85,18 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_nearest": op8_nearest,
         "op9_remove_repeats": op9_remove_repeats,
         "op10_shard_rows": op10_shard_rows,
+        "op13_phrases": op13_phrases,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_near_duplicates": NEAR_DUPLICATES, "op6_near_vectors": NEAR_VECTORS, "op8_nearest": NEAREST, "op9_remove_repeats": REPEATS}
+    return {
+        "op4_near_duplicates": NEAR_DUPLICATES,
+        "op6_near_vectors": NEAR_VECTORS,
+        "op8_nearest": NEAREST,
+        "op9_remove_repeats": REPEATS,
+        "op13_phrases": PHRASES,
+    }
 
 
 NEAR_DUPLICATES = r"""
@@ -134,3 +146,23 @@ SELECT d.doc_id, CAST(d.n AS BIGINT) AS n_bytes, CAST(coalesce(q.n_removed, 0) A
        CAST(coalesce(q.n_spans, 0) AS BIGINT) AS n_spans,
        sha256(unhex(CASE WHEN p.doc_id IS NULL THEN d.h ELSE p.head || substr(d.h, 2 * p.tail + 1) END)) AS kept_sha256
 FROM d LEFT JOIN q USING (doc_id) LEFT JOIN p USING (doc_id)"""
+
+PHRASES = r"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang, regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[.,;:!?\x0A-\x0D]') AS pieces FROM documents),
+p AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM (SELECT lang, unnest(pieces) AS piece FROM d) t),
+g AS (SELECT lang, k, array_to_string(w[i:i+k-1], ' ') AS phrase FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM p, (VALUES (1), (2), (3)) v(k)) t),
+f AS (SELECT lang, k, phrase, count(*) AS f FROM g GROUP BY ALL),
+c AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND f >= 10),
+x AS (SELECT lang, phrase, a, cut, array_to_string(w[1:cut], ' ') AS head, array_to_string(w[cut+1:k], ' ') AS tail
+      FROM (SELECT *, unnest(range(1, k)) AS cut FROM c) t),
+s AS (SELECT x.lang, x.phrase, x.a, x.cut, l.f AS l, r.f AS r, (1000000::HUGEINT * x.a * x.a) // (l.f::HUGEINT * r.f) AS score
+      FROM x JOIN f l ON l.lang = x.lang AND l.phrase = x.head JOIN f r ON r.lang = x.lang AND r.phrase = x.tail),
+b AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) AS rn FROM s),
+o AS (SELECT lang, phrase, max(a) AS longer FROM (SELECT lang, a, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS phrase
+      FROM c WHERE k = 3) t GROUP BY ALL),
+n AS (SELECT lang, sum(f) AS n FROM f WHERE k = 1 GROUP BY lang),
+z AS (SELECT b.lang, b.phrase, b.a, b.l, b.r, n.n, b.score FROM b JOIN n USING (lang) LEFT JOIN o ON o.lang = b.lang AND o.phrase = b.phrase
+      WHERE b.rn = 1 AND NOT coalesce(100 * o.longer >= 50 * b.a, FALSE))
+SELECT * FROM (SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, CAST(a AS BIGINT) AS a,
+  CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score FROM z) t WHERE rank <= 2000"""
