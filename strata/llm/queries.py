@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm.common import read_table
+from strata.llm.hard_negatives import hard_negatives
 from strata.llm.knn_blocks import nearest
 from strata.llm.language_id import language_id
 from strata.llm.minhash import near_duplicates
@@ -69,6 +70,11 @@ def op10_shard_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_rows(read_table(spark, sf_dir, "documents"), shards=8)
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shifted = F.when(F.pmod("vec_id", F.lit(7)) == 0, F.pmod(F.col("label") + 1, F.lit(10))).otherwise(F.col("label"))
+    return hard_negatives(read_table(spark, sf_dir, "embeddings"), F.pmod("vec_id", F.lit(100)) == 0, label=shifted)
+
+
 def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mine_phrases(read_table(spark, sf_dir, "documents"), max_words=3, min_count=10, top=2000, share=50)
 
@@ -85,6 +91,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_nearest": op8_nearest,
         "op9_remove_repeats": op9_remove_repeats,
         "op10_shard_rows": op10_shard_rows,
+        "op12_hard_negatives": op12_hard_negatives,
         "op13_phrases": op13_phrases,
     }
 
@@ -95,6 +102,7 @@ def oracle_sql() -> dict[str, str]:
         "op6_near_vectors": NEAR_VECTORS,
         "op8_nearest": NEAREST,
         "op9_remove_repeats": REPEATS,
+        "op12_hard_negatives": HARD_NEGATIVES,
         "op13_phrases": PHRASES,
     }
 
@@ -147,6 +155,19 @@ SELECT d.doc_id, CAST(d.n AS BIGINT) AS n_bytes, CAST(coalesce(q.n_removed, 0) A
        sha256(unhex(CASE WHEN p.doc_id IS NULL THEN d.h ELSE p.head || substr(d.h, 2 * p.tail + 1) END)) AS kept_sha256
 FROM d LEFT JOIN q USING (doc_id) LEFT JOIN p USING (doc_id)"""
 
+HARD_NEGATIVES = """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+  list_transform(CAST(embedding AS DOUBLE[]), lambda x: floor(256 * x)) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same, CAST(list_inner_product(a.e, b.e) AS BIGINT) AS score
+      FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+p AS (SELECT * FROM (SELECT anchor_id, other AS positive_id, score AS positive_score, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) AS rk
+      FROM s WHERE same) t WHERE rk <= 5),
+n AS (SELECT p.anchor_id, positive_id, positive_score, other AS negative_id, score AS negative_score,
+        row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, other) AS rk
+      FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score)
+SELECT anchor_id, positive_id, CAST(rk AS INT) AS rank, negative_id, positive_score, negative_score FROM n WHERE rk <= 10"""
+
 PHRASES = r"""
 WITH d AS (SELECT coalesce(lang, 'und') AS lang, regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
     '[.,;:!?\x0A-\x0D]') AS pieces FROM documents),
