@@ -12,6 +12,7 @@ from strata.llm.common import read_table
 from strata.llm.hard_negatives import hard_negatives
 from strata.llm.knn_blocks import nearest
 from strata.llm.language_id import language_id
+from strata.llm.main_text import extract_main_text
 from strata.llm.minhash import near_duplicates
 from strata.llm.mixing import mix_sources, stream_positions
 from strata.llm.multi_index import near_vectors
@@ -70,6 +71,10 @@ def op10_shard_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_rows(read_table(spark, sf_dir, "documents"), shards=8)
 
 
+def op11_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(read_table(spark, sf_dir, "pages"))
+
+
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     shifted = F.when(F.pmod("vec_id", F.lit(7)) == 0, F.pmod(F.col("label") + 1, F.lit(10))).otherwise(F.col("label"))
     return hard_negatives(read_table(spark, sf_dir, "embeddings"), F.pmod("vec_id", F.lit(100)) == 0, label=shifted)
@@ -91,6 +96,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_nearest": op8_nearest,
         "op9_remove_repeats": op9_remove_repeats,
         "op10_shard_rows": op10_shard_rows,
+        "op11_main_text": op11_main_text,
         "op12_hard_negatives": op12_hard_negatives,
         "op13_phrases": op13_phrases,
     }
