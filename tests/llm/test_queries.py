@@ -14,7 +14,7 @@ SF = "/root/testdata/sf0.01"
 
 def test_one_query_per_operator():
     names = [n.split("_")[0] for n in queries.queries()]
-    assert sorted(names, key=lambda n: int(n[2:])) == [f"op{i}" for i in range(1, 11)]
+    assert sorted(names, key=lambda n: int(n[2:])) == [f"op{i}" for i in range(1, 14)]
     assert {"pipeline", *queries.queries()} <= set(contract.queries())
 
 
