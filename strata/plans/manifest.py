@@ -8,8 +8,10 @@ rows are collected to the driver.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +19,7 @@ from pyspark.sql import functions as F
 from strata.operators.changes import action_counts, classify_changes, detect_removed
 from strata.operators.latest import latest_by_key
 from strata.operators.quality import require_non_empty
+from strata.plans.runs import RUN_COLUMNS, BucketedState, Run, visible_rows
 from strata.schemas import CHANGED, FAILED, MANIFEST_SCHEMA, NEW, REAPPEARED, REMOVED, SUCCESS, UNCHANGED
 from strata.session import materialize
 
@@ -89,11 +92,16 @@ def landing_records(
     success was logged (``since_col``): the old copy of a changed file is not
     its new version. Without that column every landed file counts, so
     ``landed`` must then hold only what this run has landed.
+
+    Several landed copies of one key (as in several folders) count as one: the
+    newest, of these the largest; without times the largest. So an item always
+    has one record.
     """
     todo = classified.filter(F.col(action_col).isin(NEW, CHANGED, REAPPEARED))
     dated = landed_time in landed.columns
-    got = landed.select(
-        *keys, F.col(landed_size).alias("__landed"), *([F.col(landed_time).alias("__landed_at")] if dated else [])
+    copy = F.max(F.struct(*([F.col(landed_time).alias("at")] if dated else []), F.col(landed_size).alias("size")))
+    got = landed.groupBy(*keys).agg(copy.alias("copy")).select(
+        *keys, F.col("copy.size").alias("__landed"), *([F.col("copy.at").alias("__landed_at")] if dated else [])
     )
     found = F.col("__landed").isNotNull()
     if dated:
@@ -196,7 +204,9 @@ def ingest_step(
 
     ``inventory``: ``INVENTORY_SCHEMA``; ``landed``: ``(file_name, length)`` and,
     unless it holds this run's files only, ``modification_time`` (see
-    ``landing_records``). ``cut`` is applied to the two frames that are read
+    ``landing_records``). Where it has ``relative_path`` (``list_files``,
+    ``read_landed``), only files directly in the landing folder count, not those of
+    the same name in folders below it. ``cut`` is applied to the two frames that are read
     more than once (``incremental_ingest`` checkpoints them).
     """
     log = with_listed_size(log).filter(F.col("source") == source)
@@ -219,6 +229,8 @@ def ingest_step(
         )
     classified = cut(classified)
     prefix = target_dir.rstrip("/") + "/" if target_dir else ""
+    if "relative_path" in landed.columns:
+        landed = landed.filter(F.col("relative_path") == F.col("file_name"))
     landing = landing_records(classified, landed, ["file_name"], now=now).select(
         F.lit(source).alias("source"),
         "file_name",
@@ -240,9 +252,9 @@ def empty_log(spark: SparkSession) -> DataFrame:
 
 
 def read_log(spark: SparkSession, table: str) -> DataFrame:
-    """The log table, or an empty log when it does not exist yet."""
+    """The log table's rows of committed runs, or an empty log when it does not exist yet."""
     if spark.catalog.tableExists(table):
-        return spark.read.table(table)
+        return visible_rows(spark, table).drop(*RUN_COLUMNS)
     return empty_log(spark)
 
 
@@ -257,9 +269,13 @@ def table_latest_success(spark: SparkSession, table: str, source: str) -> DataFr
 
 
 def append_records(
-    records: DataFrame, table: str, partition_by: Sequence[str] = (), buckets: int | None = None
+    records: DataFrame, table: str, partition_by: Sequence[str] = (), buckets: int | None = None, run_id: str | None = None
 ) -> bool:
-    """Append rows to a log table; an empty input writes nothing. Returns whether rows were written.
+    """Append rows to a log table as one committed run; an empty input writes nothing. Returns whether rows were written.
+
+    With a ``run_id`` the append happens once: repeated after its commit it
+    writes nothing, and what an attempt without a commit has left is not read
+    (see ``strata.plans.runs``).
 
     ``partition_by=("source",)`` lays the log out by source, so reading one
     source's state prunes to its folder instead of scanning every source.
@@ -272,14 +288,12 @@ def append_records(
     one task; leave bucketing off when the log can be that skewed (the
     unbucketed plan limits each key per map task before its shuffle).
     """
-    if records.isEmpty():
+    run = Run(records.sparkSession, table, run_id or uuid.uuid4().hex)
+    if records.isEmpty() or (run_id and run.done() is not None):
         return False
-    writer = records.write.mode("append").format("parquet")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    if buckets:
-        writer = writer.bucketBy(buckets, "file_name").sortBy("file_name")
-    writer.saveAsTable(table)
+    run.start()
+    run.append(records, partition_by, buckets)
+    run.commit()
     return True
 
 
@@ -328,12 +342,6 @@ def newest_rows(
     )
 
 
-def _lags(state: DataFrame, log: DataFrame, time_col: str = "ingestion_time") -> bool:
-    """True when ``log`` holds rows newer than the newest in ``state``; reads one column of each."""
-    seen, last = (df.agg(F.max(time_col)).first()[0] for df in (state, log))
-    return last is not None and (seen is None or seen < last)
-
-
 def incremental_ingest(
     spark: SparkSession,
     inventory: DataFrame,
@@ -346,6 +354,8 @@ def incremental_ingest(
     reappeared: bool = False,
     log_buckets: int | None = None,
     state_table: str | None = None,
+    state_buckets: int = 256,
+    run_id: str | None = None,
 ) -> DataFrame:
     """Whole incremental step against a log table; returns the action histogram.
 
@@ -353,30 +363,46 @@ def incremental_ingest(
     new records are checkpointed to the shared checkpoint folder before the
     append, so the read of the log and the write to it never interleave and a
     lost executor does not recompute against the already-grown log.
-    One writer per log table (appends to plain tables are not transactional).
-
-    ``state_table`` keeps a compacted log (``compact_log``) next to the full
-    one: each run then reads at most two rows per item instead of the whole
-    history, so its cost follows the number of items, not the number of
-    past runs. The full log is still appended for audit. A state whose newest
-    log time is behind the log's (a run without the state, or one that ended
-    between the two writes) is built anew from the log, as is a missing one.
+
+    The run is committed last and in one write (``strata.plans.runs``): a run that
+    ends half way is as if it had not been. With a ``run_id`` (of the job run,
+    say) it happens once: repeated after its commit it returns the histogram of
+    that commit and writes nothing. One writer per log table.
+
+    ``state_table`` keeps a compacted log (``compact_log``) next to the full one,
+    in ``state_buckets`` buckets by hash of the file name: each run reads at most
+    two rows per item instead of the whole history, and writes only the buckets
+    in which it logs something, so its cost follows the listing and the changes,
+    not the past runs. The full log is still appended for audit. What runs
+    without the state have logged meanwhile is taken over from their rows.
     """
+    run = Run(spark, log_table, run_id or uuid.uuid4().hex, source)
+    if run_id and (done := run.done()) is not None:
+        return done.select(F.explode("actions").alias("action", "n"))
     require_non_empty(inventory, "source inventory")
-    log = read_log(spark, log_table)
-    if not state_table:
-        base = log
-    elif spark.catalog.tableExists(state_table) and not _lags(state := spark.read.table(state_table), log):
-        base = state
-    else:
-        base = compact_log(log)
+    state = BucketedState(spark, state_table, log_table, source, state_buckets) if state_table else None
+    pending, base = None, read_log(spark, log_table)
+    if state and spark.catalog.tableExists(log_table):
+        pending = state.pending(visible_rows(spark, log_table))
+        kept = [with_listed_size(df).select(*LOG_COLUMNS) for df in (state.rows(state.live()), pending) if df is not None]
+        base = reduce(DataFrame.unionByName, kept) if kept else empty_log(spark)
     step = ingest_step(inventory, base, landed, source, target_dir, now, reappeared=reappeared, cut=materialize)
     records = materialize(step.records())
     counts = materialize(step.counts())
-    if state_table:
-        # checkpointed before the overwrite: the new state no longer reads the table it replaces
-        state = materialize(compact_log(with_listed_size(base).select(*LOG_COLUMNS).unionByName(records)))
-    append_records(records, log_table, partition_by=("source",), buckets=log_buckets)
-    if state_table:
-        state.write.mode("overwrite").format("parquet").saveAsTable(state_table)
+    actions = {r.action: r.n for r in counts.collect()}  # a handful of actions
+    run.start()
+    if not records.isEmpty():
+        run.append(records, ("source",), log_buckets)
+    if state is None:
+        run.commit(actions=actions)
+        return counts
+    news = records if pending is None else records.unionByName(with_listed_size(pending).select(*LOG_COLUMNS))
+    touched = [r.bucket for r in news.select(state.bucket().alias("bucket")).distinct().collect()]  # at most state_buckets
+    if touched:
+        kept = with_listed_size(base).select(*LOG_COLUMNS).filter(F.col("source") == source)
+        of_touched = kept.unionByName(records).filter(state.bucket().isin(touched))
+        state.write(compact_log(of_touched), touched, run.attempt)
+    run.commit(actions=actions, state=state.table, n_buckets=state.n_buckets, buckets=touched)
+    if touched:
+        state.vacuum()
     return counts

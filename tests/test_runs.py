@@ -1,0 +1,147 @@
+"""Committed runs: crashes between any two writes, repeated runs, and the bucketed state."""
+
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from strata.plans import runs
+from strata.plans.manifest import append_records, incremental_ingest, landing_records, latest_state, read_log
+from strata.schemas import MANIFEST_SCHEMA
+
+T1, T6 = datetime(2026, 8, 1), datetime(2026, 8, 6)
+RUN1, RUN2, RUN3 = datetime(2026, 9, 1), datetime(2026, 9, 2), datetime(2026, 9, 3)
+
+
+def listing(spark, rows):
+    return spark.createDataFrame(rows, "file_name string, source_url string, file_size long, source_modified_time timestamp")
+
+
+def sizes(spark, rows):
+    return spark.createDataFrame(rows, "file_name string, length long")
+
+
+def actions(counts):
+    return {r.action: r.n for r in counts.collect()}
+
+
+def rows_per_file(spark, table):
+    return {r.file_name: r["count"] for r in read_log(spark, table).groupBy("file_name").count().collect()}
+
+
+FILES = [(f"pr.{k}", f"u/{k}", 10 + k, T1) for k in range(6)]
+LANDED = [(f"pr.{k}", 10 + k) for k in range(6)]
+
+
+@pytest.mark.parametrize("where", ["append", "write", "commit"])
+@pytest.mark.parametrize("state", [None, "state"])
+def test_a_run_that_ends_half_way_is_as_if_it_had_not_been(spark, monkeypatch, where, state):
+    if state is None and where == "write":
+        pytest.skip("no state is written")
+    table = f"log_crash_{where}_{state}"
+    kwargs = {"state_table": f"{table}_state", "state_buckets": 4} if state else {}
+    inv, landed = listing(spark, FILES), sizes(spark, LANDED)
+    holder, name = (runs.BucketedState, "write") if where == "write" else (runs.Run, where)
+    original = getattr(holder, name)
+
+    def ends(self, *args, **more):
+        if where == "append":  # the rows are written, the run dies right after
+            original(self, *args, **more)
+        raise RuntimeError("lost driver")
+
+    monkeypatch.setattr(holder, name, ends)
+    with pytest.raises(RuntimeError):
+        incremental_ingest(spark, inv, landed, table, "SERIES", now=RUN1, run_id="job-1", **kwargs)
+    monkeypatch.setattr(holder, name, original)
+    assert read_log(spark, table).count() == 0
+    again = incremental_ingest(spark, inv, landed, table, "SERIES", now=RUN1, run_id="job-1", **kwargs)
+    assert actions(again) == {"NEW": 6}
+    assert rows_per_file(spark, table) == {f"pr.{k}": 1 for k in range(6)}
+    assert actions(incremental_ingest(spark, inv, landed, table, "SERIES", now=RUN2, **kwargs)) == {"UNCHANGED": 6}
+
+
+def test_a_repeated_run_writes_nothing_and_answers_the_same(spark):
+    table = "log_repeat"
+    inv, landed = listing(spark, FILES), sizes(spark, LANDED[:3])
+    first = incremental_ingest(spark, inv, landed, table, "SERIES", now=RUN1, run_id="job-1")
+    again = incremental_ingest(spark, listing(spark, FILES[:1]), landed, table, "SERIES", now=RUN2, run_id="job-1")
+    assert actions(first) == actions(again) == {"NEW": 6}
+    assert rows_per_file(spark, table) == {f"pr.{k}": 1 for k in range(6)}
+    # the same id of another source is another run
+    assert actions(incremental_ingest(spark, inv, landed, table, "OTHER", now=RUN2, run_id="job-1")) == {"NEW": 6}
+
+
+def test_append_with_an_id_happens_once(spark):
+    rows = spark.createDataFrame([("S", "a", "/a", 1, T1, RUN1, "SUCCESS")], MANIFEST_SCHEMA)
+    assert append_records(rows, "log_once", run_id="x") and not append_records(rows, "log_once", run_id="x")
+    assert append_records(rows, "log_once")
+    assert read_log(spark, "log_once").count() == 2 and read_log(spark, "log_once").columns == MANIFEST_SCHEMA.fieldNames()
+
+
+def test_logs_from_before_runs_were_noted_are_read_and_grow(spark):
+    rows = spark.createDataFrame([("SERIES", "pr.0", "/a", 10, T1, RUN1, "SUCCESS")], MANIFEST_SCHEMA).withColumn("listed_size", F.lit(10).cast("long"))
+    rows.write.partitionBy("source").saveAsTable("log_old")
+    inv, landed = listing(spark, FILES[:2]), sizes(spark, LANDED)
+    got = incremental_ingest(spark, inv, landed, "log_old", "SERIES", now=RUN2, state_table="log_old_state", state_buckets=4)
+    assert actions(got) == {"UNCHANGED": 1, "NEW": 1}
+    got = incremental_ingest(spark, inv, landed, "log_old", "SERIES", now=RUN3, state_table="log_old_state", state_buckets=4)
+    assert actions(got) == {"UNCHANGED": 2} and read_log(spark, "log_old").count() == 2
+
+
+def test_state_follows_runs_without_it_at_the_same_time(spark):
+    # with, without, with the state, all at one time: only who committed what counts
+    table, state = "log_equal_times", "state_equal_times"
+    new = [FILES[0][:2] + (99, T6), *FILES[1:]]
+    keep = {"state_table": state, "state_buckets": 4}
+    incremental_ingest(spark, listing(spark, FILES), sizes(spark, LANDED), table, "SERIES", now=RUN1, **keep)
+    landed = sizes(spark, [("pr.0", 99), *LANDED[1:]])
+    assert actions(incremental_ingest(spark, listing(spark, new), landed, table, "SERIES", now=RUN1)) == {"CHANGED": 1, "UNCHANGED": 5}
+    assert actions(incremental_ingest(spark, listing(spark, new), landed, table, "SERIES", now=RUN1, **keep)) == {"UNCHANGED": 6}
+    assert {r.file_name: r.file_size for r in latest_state(spark.read.table(state)).collect()}["pr.0"] in (10, 99)
+
+
+def test_only_buckets_with_changes_are_written_again(spark):
+    table, state = "log_buckets_k", "state_buckets_k"
+    many = [(f"f{k}", f"u/{k}", k, T1) for k in range(200)]
+    keep = {"state_table": state, "state_buckets": 16}
+    landed = sizes(spark, [(f"f{k}", k) for k in range(200)])
+    incremental_ingest(spark, listing(spark, many), landed, table, "SERIES", now=RUN1, **keep)
+    before = {(r.bucket, r.attempt) for r in spark.read.table(state).select("bucket", "attempt").distinct().collect()}
+    assert len(before) == 16
+    changed = [(n, u, s + 1000 if n in ("f3", "f77") else s, T6 if n in ("f3", "f77") else t) for n, u, s, t in many]
+    landed = sizes(spark, [(n, s) for n, _, s, _ in changed])
+    assert actions(incremental_ingest(spark, listing(spark, changed), landed, table, "SERIES", now=RUN2, **keep)) == {"CHANGED": 2, "UNCHANGED": 198}
+    after = {(r.bucket, r.attempt) for r in spark.read.table(state).select("bucket", "attempt").distinct().collect()}
+    assert 1 <= len(after - before) <= 2 and len(after) == 16  # two files, at most two buckets; old versions are gone
+    assert spark.read.table(state).count() <= 400
+    got = incremental_ingest(spark, listing(spark, changed), landed, table, "SERIES", now=RUN3, **keep)
+    assert actions(got) == {"UNCHANGED": 200}
+    assert {(r.bucket, r.attempt) for r in spark.read.table(state).select("bucket", "attempt").distinct().collect()} == after
+    with pytest.raises(ValueError):
+        incremental_ingest(spark, listing(spark, changed), landed, table, "SERIES", now=RUN3, state_table=state, state_buckets=8)
+
+
+def test_two_sources_share_a_log_and_a_state(spark):
+    table, keep = "log_shared", {"state_table": "state_shared", "state_buckets": 4}
+    inv, landed = listing(spark, FILES), sizes(spark, LANDED)
+    for source in ("A", "it's"):
+        assert actions(incremental_ingest(spark, inv, landed, table, source, now=RUN1, **keep)) == {"NEW": 6}
+    for source in ("A", "it's"):
+        gone = incremental_ingest(spark, listing(spark, FILES[:4]), landed, table, source, now=RUN2, **keep)
+        assert actions(gone) == {"UNCHANGED": 4}
+        state = latest_state(spark.read.table("state_shared").filter(F.col("source") == source))
+        assert sorted(r.status for r in state.collect()) == ["REMOVED"] * 2 + ["SUCCESS"] * 4
+
+
+def test_one_record_for_a_name_that_landed_twice(spark):
+    todo = spark.createDataFrame([("pr.a", 10, T1, "NEW"), ("pr.b", 5, T1, "NEW")], "file_name string, file_size long, source_modified_time timestamp, action string")
+    copies = [("pr.a", 9, T6), ("pr.a", 10, T6 + timedelta(1)), ("pr.a", 11, T1 - timedelta(1)), ("pr.b", 5, T1 - timedelta(9)), ("pr.b", 5, T1 - timedelta(8))]
+    landed = spark.createDataFrame(copies, "file_name string, length long, modification_time timestamp")
+    got = {r.file_name: (r.status, r.file_size) for r in landing_records(todo, landed, now=RUN1).collect()}
+    assert got == {"pr.a": ("SUCCESS", 10), "pr.b": ("FAILED", 5)}
+    assert landing_records(todo, landed, now=RUN1).count() == 2
+    undated = landing_records(todo, landed.drop("modification_time"), now=RUN1)
+    assert {r.file_name: r.file_size for r in undated.collect()} == {"pr.a": 11, "pr.b": 5} and undated.count() == 2
+    nested = landed.withColumn("relative_path", F.when(F.col("length") == 9, F.col("file_name")).otherwise(F.concat(F.lit("old/"), "file_name")))
+    incremental_ingest(spark, listing(spark, [("pr.a", "u", 9, T1)]), nested, "log_nested", "S", now=RUN1)
+    assert read_log(spark, "log_nested").first().file_size == 9
