@@ -226,8 +226,8 @@ def q_odd_links(spark: SparkSession, d: str) -> DataFrame:
 def q_landed_files(spark: SparkSession, d: str) -> DataFrame:
     # text files that Spark has written from a table, read back as landed bytes and hashed on the executors
     landed = read_landed(spark, derived.customer_files(spark, table(spark, d, "customer")), "*.txt", with_hash=True)
-    nation = F.regexp_extract("file_path", "nation=([0-9]+)", 1).cast("int").alias("nation")
-    return landed.select(nation, "length", "content_sha256")
+    folder = lambda name, kind: F.regexp_extract("relative_path", f"{name}=([0-9]+)", 1).cast(kind).alias(name)
+    return landed.select(folder("nation", "int"), folder("part", "long"), "length", "content_sha256")
 
 
 def q_listing_inventory(spark: SparkSession, d: str) -> DataFrame:
@@ -553,8 +553,9 @@ SELECT page_id, unnest(['t' || page_id || '.txt', 't' || page_id || '.csv', 't'
        unnest(['https://host.net/a/b/t' || page_id || '.txt', 'https://host.org/x/t' || page_id || '.csv',
                'https://host.net/a/up/t' || page_id || '.x/', 'https://x.org/t>' || page_id, 'mailto:s@x.org']) AS url FROM pages""",
         "landed_files": """
-SELECT c_nationkey AS nation, CAST(strlen(t) AS BIGINT) AS length, sha256(t) AS content_sha256
-FROM (SELECT c_nationkey, string_agg(c_name || chr(10), '' ORDER BY c_custkey) AS t FROM customer GROUP BY c_nationkey) f""",
+SELECT c_nationkey AS nation, part, CAST(strlen(t) AS BIGINT) AS length, sha256(t) AS content_sha256
+FROM (SELECT c_nationkey, CAST(c_custkey // 1000 AS BIGINT) AS part, string_agg(c_name || chr(10), '' ORDER BY c_custkey) AS t
+      FROM customer GROUP BY ALL) f""",
         "listing_inventory": """
 SELECT p_partkey AS page, concat('pr.', p_partkey) AS file_name,
        concat('https://x.org/pub/pr.', p_partkey) AS source_url,

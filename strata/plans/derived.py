@@ -231,12 +231,16 @@ def fresh_name(prefix: str) -> str:
     return f"{prefix}_{uuid.uuid4().hex[:12]}"
 
 
+CUSTOMERS_A_FILE = 1000
+
+
 def customer_files(spark: SparkSession, customer: DataFrame) -> str:
-    """A folder with one text file per nation: its customers' names, a line each, by key."""
+    """A folder with text files of customers' names, a line each, by key: a file for each nation and thousand keys."""
     path = scratch_folder(spark)
-    lines = customer.select(F.col("c_nationkey").alias("nation"), "c_custkey", F.col("c_name").alias("value"))
-    ordered = lines.repartition("nation").sortWithinPartitions("nation", "c_custkey")
-    ordered.select("nation", "value").write.partitionBy("nation").text(path)
+    part = F.floor(F.col("c_custkey") / CUSTOMERS_A_FILE).alias("part")
+    lines = customer.select(F.col("c_nationkey").alias("nation"), part, "c_custkey", F.col("c_name").alias("value"))
+    ordered = lines.repartition("nation", "part").sortWithinPartitions("nation", "part", "c_custkey")
+    ordered.select("nation", "part", "value").write.partitionBy("nation", "part").text(path)
     return path
 
 

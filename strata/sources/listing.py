@@ -6,7 +6,6 @@ Each page is one row; extraction is per row (``regexp_extract_all`` +
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
@@ -19,15 +18,10 @@ from strata.functions.columns import basename, join_url, listing_timestamp
 # (double-quoted, single-quoted or bare).
 ANCHOR = r"""(?i)<a(?=[\s/])((?:[^"'>]++|"[^"]*+"|'[^']*+')*+)>"""
 ATTRIBUTE = r"""[^\s"'>/=]++(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s"'>]++))?"""
-# A listing entry is "M/d/yyyy h:mm AM|PM  <size>  <A HREF="<href>"><name></A>",
-# case-insensitive.
 # Not markup: comments and the content of raw-text elements (script, style);
 # links inside them do not count. One pass over the page; the shared "<" is
 # factored out so the engine tries the alternatives only at a "<".
 HTML_NOT_MARKUP = r"(?is)<(?:!--.*?-->|script\b[^>]*>.*?</script\s*>|style\b[^>]*>.*?</style\s*>)"
-LISTING_ENTRY = (
-    r'(?i)(\d{1,2}/\d{1,2}/\d{4}\s+\d{1,2}:\d{2}\s+[AP]M)\s+(\d+)\s+<A HREF="([^"]+)">({prefix}[^<]+)</A>'
-)
 # Named character references decoded in attribute values (fixed values; "&amp;" last).
 ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&nbsp;", "\u00a0"), ("&amp;", "&"))
 
@@ -66,14 +60,18 @@ def extract_links(
     keep = list(keep)
     text = F.regexp_replace(F.col(html_col), HTML_NOT_MARKUP, "")
     tags = df.select(*keep, F.explode(F.regexp_extract_all(text, F.lit(ANCHOR), 1)).alias("__tag"))
-    own = F.filter(F.regexp_extract_all("__tag", F.lit(ATTRIBUTE), 0), lambda a: a.rlike(r"(?i)^href\s*="))
-    value = lambda a: attribute_value(F.regexp_replace(a, r"(?i)^href\s*=\s*", ""))
     # decoded inside the generator: once per link, whatever reads it afterwards
-    found = tags.select(*keep, F.explode(F.transform(F.slice(own, 1, 1), value)).alias("href"))
+    found = tags.select(*keep, F.explode(first_href(F.col("__tag"))).alias("href"))
     links = found.withColumn(name_col, basename("href"))
     return links.filter(F.col(name_col).startswith(prefix)) if prefix else links
 
 
+def first_href(attributes: Column) -> Column:
+    """Array of the decoded value of the first ``href`` attribute of a tag; empty where it has none."""
+    own = F.filter(F.regexp_extract_all(attributes, F.lit(ATTRIBUTE), 0), lambda a: a.rlike(r"(?i)^href\s*="))
+    return F.transform(F.slice(own, 1, 1), lambda a: attribute_value(F.regexp_replace(a, r"(?i)^href\s*=\s*", "")))
+
+
 def parse_listing(
     df: DataFrame,
     html_col: str,
@@ -83,17 +81,32 @@ def parse_listing(
     keep: Iterable[str] = (),
 ) -> DataFrame:
     """Inventory rows ``(file_name, source_url, file_size, source_modified_time)`` from
-    directory-listing text; entries whose name does not start with ``prefix``
-    (any case) are ignored. Impossible dates and sizes
-    beyond a long give NULL, not an error."""
+    directory-listing text.
+
+    An entry is a link whose label starts with ``prefix`` (any case) and whose
+    text since the tag before it ends in a date, a time, AM or PM, and a size.
+    Its other attributes, their order and the kind of quotes do not matter.
+    Impossible dates and sizes beyond a long give NULL, not an error.
+    """
     keep = list(keep)
-    pattern = LISTING_ENTRY.replace("{prefix}", re.escape(prefix))
-    entries = df.select(*keep, F.explode(F.regexp_extract_all(F.col(html_col), F.lit(pattern), 0)).alias("__m"))
-    field = lambda i: F.regexp_extract("__m", pattern, i)
-    return entries.select(
+    # the text between two tags, the link's tag, its label; a run of text is entered at its start only
+    linked = r"(?<![^<>])([^<>]*+)" + ANCHOR.removeprefix("(?i)") + r"([^<]*+)"
+    linked = "(?i)" + linked
+    group = lambda e, i: F.regexp_extract(e, linked, i)
+    named = F.filter(
+        F.regexp_extract_all(F.col(html_col), F.lit(linked), 0), lambda e: F.lower(group(e, 3)).startswith(prefix.lower())
+    )
+    found = df.select(*keep, F.explode(named).alias("__entry"))
+    words = F.split(F.trim(F.regexp_replace(group(F.col("__entry"), 1), r"\s+", " ")), " ")
+    parts = found.select(
+        *keep, group(F.col("__entry"), 3).alias("file_name"), words.alias("__w"), F.explode(first_href(group(F.col("__entry"), 2))).alias("__href")
+    ).filter(F.size("__w") >= 4)
+    word = lambda i: F.element_at("__w", -i)
+    dated = word(4).rlike(r"\d{1,2}/\d{1,2}/\d{4}$") & word(3).rlike(r"^\d{1,2}:\d{2}$") & F.upper(word(2)).isin("AM", "PM")
+    return parts.filter(dated & word(1).rlike(r"^\d+$")).select(
         *keep,
-        field(4).alias("file_name"),
-        join_url(base_url, field(3)).alias("source_url"),
-        field(2).try_cast("bigint").alias("file_size"),
-        listing_timestamp(field(1)).alias("source_modified_time"),
+        "file_name",
+        join_url(base_url, "__href").alias("source_url"),
+        word(1).try_cast("bigint").alias("file_size"),
+        listing_timestamp(F.concat_ws(" ", F.regexp_extract(word(4), r"[\d/]+$", 0), word(3), word(2))).alias("source_modified_time"),
     )

@@ -3,6 +3,7 @@
 import json
 from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -138,8 +139,8 @@ def test_read_landed_metadata_and_hash(spark, tmp_path):
     got = {r.file_name: (r.length, r.content_sha256) for r in df.collect()}
     assert got["pr.a"][0] == 5
     assert got["pr.a"][1] == "2cf24dba5fb0a30e26e83b2ac5b9e29e1b161e5c1fa7425e73043362938b9824"
-    # Spark's file scan skips zero-byte files: an empty landing counts as not landed.
-    assert "pr.b" not in got
+    # Spark's file scan skips zero-byte files; the listing has them.
+    assert got["pr.b"] == (0, "e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855")
     assert read_landed(spark, str(tmp_path)).filter(F.col("file_name") == "pr.a").count() == 1
 
 
@@ -225,3 +226,96 @@ def test_listing_size_beyond_a_long_is_null(spark):
     html = f' 2/3/2026  8:30 AM   {"9" * 20} <A HREF="/p/pr.x">pr.x</A>'
     row = parse_listing(spark.createDataFrame([(html,)], "html string"), "html", "https://h.org/p/").first()
     assert row.file_name == "pr.x" and row.file_size is None
+
+
+@pytest.mark.parametrize(
+    "entry",
+    [
+        "8/6/2026  8:30 AM   7 <a href='/pub/pr.x'>pr.x</a>",
+        "8/6/2026 8:30 am 7 <A class=\"f\" HREF='/pub/pr.x' title='a > b'>pr.x</A>",
+        "<td>8/6/2026\n 8:30 AM</td> on 8/6/2026 8:30 AM 7 <a\nhref=/pub/pr.x>pr.x",
+        '8/6/2026 8:30 AM 7 <a data-href="/no" href="/pub/pr&#46;x">pr.x</a>',
+    ],
+)
+def test_listing_entries_of_many_shapes(spark, entry):
+    row = parse_listing(spark.createDataFrame([(entry,)], "html string"), "html", "https://h.org/p/").collect()
+    assert [(r.file_name, r.source_url, r.file_size, str(r.source_modified_time)) for r in row] == [
+        ("pr.x", "https://h.org/pub/pr.x", 7, "2026-08-06 08:30:00")
+    ]
+
+
+@pytest.mark.parametrize(
+    "entry",
+    ['<a href="/pub/pr.x">pr.x</a>', '8/6/2026 8:30 AM &lt;dir&gt; <a href="/pub/pr.x">pr.x</a>', '8/6/2026 8:30 7 <a href="/x">pr.x</a>',
+     '8/6/2026 8:30 AM 7 <a name="x">pr.x</a>', '8/6/2026 8:30 AM 7 <a href="/pub/pr.x">readme</a>', '8/6/2026 8:30 AM 7 <br><a href="/x">pr.x</a>'],
+)
+def test_what_is_no_listing_entry(spark, entry):
+    assert parse_listing(spark.createDataFrame([(entry,)], "html string"), "html", "https://h.org/p/").count() == 0
+
+
+# --------------------------------------------------------- folders and ranges
+@pytest.fixture()
+def tree(tmp_path):
+    files = {"a.txt": b"one", "empty.txt": b"", "_hidden": b"x", ".dot": b"x", "sub/a.txt": b"other", "sub/deep/c d.csv": b"1,2", "sub/deep/zero": b""}
+    for name, data in files.items():
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_bytes(data)
+    return tmp_path
+
+
+def test_list_files_sees_empty_files_and_sub_folders(spark, tree):
+    from strata.sources.files import list_files
+
+    rows = {r.relative_path: r for r in list_files(spark, str(tree)).collect()}
+    assert {k: r.length for k, r in rows.items()} == {"a.txt": 3, "empty.txt": 0, "sub/a.txt": 5, "sub/deep/c d.csv": 3, "sub/deep/zero": 0}
+    seen = {r.path: r.modificationTime for r in spark.read.format("binaryFile").option("recursiveFileLookup", True).load(str(tree)).collect()}
+    assert {r.file_path: r.modification_time for r in rows.values() if r.length} == seen
+    assert {r.relative_path for r in list_files(spark, f"file://{tree}/", "*.txt").collect()} == {"a.txt", "empty.txt", "sub/a.txt"}
+    assert {r.file_name for r in list_files(spark, str(tree), recursive=False).collect()} == {"a.txt", "empty.txt"}
+    assert list_files(spark, str(tree / "missing")).count() == 0
+
+
+def test_read_landed_holds_empty_files(spark, tree):
+    import hashlib
+
+    rows = {r.relative_path: r for r in read_landed(spark, str(tree), with_hash=True).collect()}
+    assert {k: r.content_sha256 for k, r in rows.items()} == {
+        k: hashlib.sha256((tree / k).read_bytes()).hexdigest() for k in ("a.txt", "empty.txt", "sub/a.txt", "sub/deep/c d.csv", "sub/deep/zero")
+    }
+    assert read_landed(spark, str(tree)).columns == ["file_path", "relative_path", "file_name", "length", "modification_time"]
+
+
+def test_an_empty_landed_file_is_a_success(spark, tree):
+    from datetime import datetime
+
+    from strata.plans.manifest import landing_records
+
+    todo = spark.createDataFrame([("empty.txt", 0, "NEW"), ("gone.txt", 0, "NEW")], "file_name string, file_size long, action string")
+    got = landing_records(todo, read_landed(spark, str(tree)), now=datetime(2026, 9, 1)).collect()
+    assert {r.file_name: (r.status, r.file_size) for r in got} == {"empty.txt": ("SUCCESS", 0), "gone.txt": ("FAILED", 0)}
+
+
+def test_digests_by_range(spark, tmp_path):
+    import hashlib
+
+    from strata.sources.files import changed_ranges, list_files, range_digests, tree_digests
+
+    data = bytes(range(256)) * 41  # 10,496 bytes: ranges of 1000, the last one short
+    (tmp_path / "big").write_bytes(data)
+    (tmp_path / "same").write_bytes(data)
+    (tmp_path / "empty").write_bytes(b"")
+    first = range_digests(list_files(spark, str(tmp_path)), 1000).cache()
+    big = sorted((r.range_no, r.range_length, r.range_sha256) for r in first.collect() if r.file_path.endswith("/big"))
+    parts = [data[i : i + 1000] for i in range(0, len(data), 1000)]
+    assert big == [(i, len(p), hashlib.sha256(p).hexdigest()) for i, p in enumerate(parts)]
+    trees = {r.file_path.rsplit("/", 1)[1]: (r.length, r.tree_sha256) for r in tree_digests(list_files(spark, str(tmp_path)), 1000).collect()}
+    joined = "".join(h for _, _, h in big)
+    assert trees["big"] == trees["same"] == (len(data), hashlib.sha256(joined.encode()).hexdigest())
+    assert trees["empty"] == (0, hashlib.sha256(hashlib.sha256(b"").hexdigest().encode()).hexdigest())
+    (tmp_path / "big").write_bytes(data[:2500] + b"?" + data[2501:] + b"more" * 200)
+    (tmp_path / "empty").unlink()
+    second = range_digests(list_files(spark, str(tmp_path)), 1000)
+    found = changed_ranges(second, first).collect()
+    odd = {(r.file_path.rsplit("/", 1)[1], r.range_no): r.action for r in found if r.action != "UNCHANGED"}
+    assert odd == {("big", 2): "CHANGED", ("big", 10): "CHANGED", ("big", 11): "NEW", ("empty", 0): "REMOVED"}
+    assert len(found) == 12 + 11 + 1
