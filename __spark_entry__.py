@@ -9,7 +9,8 @@ from __future__ import annotations
 
 import os
 import sys
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 # Make the package importable however this file is loaded (by path or as a module).
 _ROOT = os.path.dirname(os.path.abspath(__file__))
@@ -27,11 +28,13 @@ from strata.operators.cleanse import clean_columns, sanitize_columns
 from strata.operators.latest import latest_by_key
 from strata.operators.preview import preview
 from strata.operators.quality import (
+    compare_rows,
     duplicate_keys,
     missing_json_keys,
     missing_metadata,
     quality_gate,
     quality_report,
+    require_non_empty,
     row_profile,
 )
 from strata.operators.ranking import top_with_ties
@@ -39,16 +42,20 @@ from strata.plans import derived, gold
 from strata.plans.documents import land_documents
 from strata.plans.manifest import (
     append_records,
+    incremental_ingest,
     ingest_step,
     landing_records,
     latest_state,
     latest_success,
+    read_log,
     removed_records,
     table_latest_state,
     with_listed_size,
 )
 from strata.plans.medallion import load_bronze, run_medallion
+from strata.plans.runs import runs_table
 from strata.plans.tables import table
+from strata.session import any_checkpoint_dir, materialize, scratch
 from strata.sources.delimited import parse_delimited
 from strata.sources.json_records import parse_json_records
 from strata.sources.landed import read_landed
@@ -77,7 +84,8 @@ def q_raw_observations_best_year(spark: SparkSession, d: str) -> DataFrame:
 
 def q_range_mean_stddev(spark: SparkSession, d: str) -> DataFrame:
     stats = range_stats(
-        table(spark, d, "orders"), "o_totalprice", F.year("o_orderdate"), 1996, 1998, where=year_range("o_orderdate", 1996, 1998)
+        table(spark, d, "orders"), "o_totalprice", F.year("o_orderdate"), 1996, 1998, where=year_range("o_orderdate", 1996, 1998),
+        exact=True,
     )
     return stats.select(F.round("mean_value", 4).alias("mean_value"), F.round("stddev_value", 4).alias("stddev_value"))
 
@@ -225,7 +233,9 @@ def q_odd_links(spark: SparkSession, d: str) -> DataFrame:
 
 def q_landed_files(spark: SparkSession, d: str) -> DataFrame:
     # text files that Spark has written from a table, read back as landed bytes and hashed on the executors
-    landed = read_landed(spark, derived.customer_files(spark, table(spark, d, "customer")), "*.txt", with_hash=True)
+    with scratch(spark) as root:
+        written = derived.customer_files(f"{root}/files", table(spark, d, "customer"))
+        landed = materialize(read_landed(spark, written, "*.txt", with_hash=True))
     folder = lambda name, kind: F.regexp_extract("relative_path", f"{name}=([0-9]+)", 1).cast(kind).alias(name)
     return landed.select(folder("nation", "int"), folder("part", "long"), "length", "content_sha256")
 
@@ -329,6 +339,29 @@ def q_document_landing(spark: SparkSession, d: str) -> DataFrame:
     return landing.records.select("file_name", "file_size", "status")
 
 
+def q_same_rows(spark: SparkSession, d: str) -> DataFrame:
+    """A table against a copy dealt and ordered otherwise, and against one with a row's price changed by a cent."""
+    orders = table(spark, d, "orders")
+    shuffled = orders.select(*reversed(orders.columns)).repartition(7, "o_custkey").sortWithinPartitions("o_totalprice")
+    cent = F.when(F.col("o_orderkey") == 1, F.col("o_totalprice") + 0.01).otherwise(F.col("o_totalprice"))
+    return compare_rows(orders, shuffled).union(compare_rows(orders, shuffled.withColumn("o_totalprice", cent)))
+
+
+def q_ordered_rows(spark: SparkSession, d: str) -> DataFrame:
+    """A whole result in order, guarded against an empty input."""
+    orders = require_non_empty(table(spark, d, "orders"), "orders")
+    return preview(orders.select("o_orderkey", "o_orderdate", "o_totalprice"), [F.col("o_orderdate"), F.col("o_orderkey")], None)
+
+
+def q_limited_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Some 20 rows, whichever they are: how many there are, and how many of them are rows of the table."""
+    orders = table(spark, d, "orders")
+    some = preview(orders, n=20)
+    own = some.join(orders.select(*[F.col(c).alias(f"t_{c}") for c in orders.columns]), F.col("o_orderkey") == F.col("t_o_orderkey"))
+    same = F.col("o_totalprice") == F.col("t_o_totalprice")
+    return own.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(same).alias("n_own"))
+
+
 def q_preview(spark: SparkSession, d: str) -> DataFrame:
     orders = table(spark, d, "orders").select("o_orderkey", "o_totalprice")
     return preview(orders, [F.col("o_totalprice").desc(), F.col("o_orderkey")], 20)
@@ -337,42 +370,81 @@ def q_preview(spark: SparkSession, d: str) -> DataFrame:
 # -------------------------------------------- files and tables that Spark writes
 def q_raw_files(spark: SparkSession, d: str) -> DataFrame:
     """Delimited and JSON file readers over raw files derived from the tables."""
-    bronze = load_bronze(spark, *derived.raw_folders(spark, lambda n: table(spark, d, n)))
-    lines = bronze["bronze_all_data"].select(F.trim("series_id").alias("name"), F.trim("year").alias("year"), F.trim("value").alias("value"))
-    years = bronze["bronze_population"].select(
-        F.col("nation").alias("name"), F.col("year").cast("string").alias("year"), F.col("population").cast("long").cast("string").alias("value")
-    )
-    return lines.unionByName(years)
-
-
-def _medallion(spark: SparkSession, d: str):
-    roots = derived.raw_folders(spark, lambda n: table(spark, d, n))
-    return run_medallion(
-        spark, *roots, database=derived.fresh_name("strata_query"), nation="NATION_3", series_id="PRS1", years=(1995, 1997), exact_sums=True
-    )
+    with scratch(spark) as root:
+        bronze = load_bronze(spark, *derived.raw_folders(spark, root, lambda n: table(spark, d, n)))
+        lines = bronze["bronze_all_data"].select(F.trim("series_id").alias("name"), F.trim("year").alias("year"), F.trim("value").alias("value"))
+        years = bronze["bronze_population"].select(
+            F.col("nation").alias("name"), F.col("year").cast("string").alias("year"), F.col("population").cast("long").cast("string").alias("value")
+        )
+        return materialize(lines.unionByName(years))
+
+
+def _medallion(spark: SparkSession, d: str) -> tuple[DataFrame, dict[str, dict[str, int]]]:
+    """The six-join gold table and the quality counts of a run whose files and tables are dropped again."""
+    database = derived.fresh_name("strata_query")
+    try:
+        with scratch(spark) as root:
+            out = run_medallion(
+                spark, *derived.raw_folders(spark, root, lambda n: table(spark, d, n)),
+                database=database, nation="NATION_3", series_id="PRS1", years=(1995, 1997), exact_sums=True,
+            )
+            return materialize(out.tables["gold_best_year"]), out.quality
+    finally:
+        spark.sql(f"DROP DATABASE IF EXISTS {database} CASCADE")
 
 
 def q_medallion_best_year(spark: SparkSession, d: str) -> DataFrame:
     """Raw files to bronze, silver and gold tables; the gold table of the six-join star."""
-    out = _medallion(spark, d).tables["gold_best_year"]
-    return out.select("series_id", "best_year", F.round("yearly_quarterly_sum", 2).alias("total"), "is_latest_best_year", "series_description")
+    best, _ = _medallion(spark, d)
+    return best.select("series_id", "best_year", F.round("yearly_quarterly_sum", 2).alias("total"), "is_latest_best_year", "series_description")
 
 
 def q_medallion_quality(spark: SparkSession, d: str) -> DataFrame:
     """Rows and drops counted while the gated silver tables were written."""
-    counts = _medallion(spark, d).quality
+    _, counts = _medallion(spark, d)
     rows = [(t, k, v) for t, own in counts.items() for k, v in own.items()]
     return spark.createDataFrame(rows, "silver_table string, metric string, n long")
 
 
+@contextmanager
+def _log_tables(spark: SparkSession, *kinds: str) -> Iterator[list[str]]:
+    """Names for tables that are dropped at the end of the block, with their run tables."""
+    any_checkpoint_dir(spark)
+    names = [derived.fresh_name(f"strata_{k}") for k in kinds]
+    try:
+        yield names
+    finally:
+        for name in [*names, *map(runs_table, names)]:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 def q_log_table_state(spark: SparkSession, d: str) -> DataFrame:
     """Append records to a log table twice, then read its latest state back."""
-    name = derived.fresh_name("strata_log")
     log = derived.as_manifest(derived.previous_log(table(spark, d, "orders")), "orders").drop("k")
-    append_records(log, name, partition_by=("source",))
-    gone = removed_records(log.filter("status = 'SUCCESS' AND source_modified_time IS NULL"), derived.run_time() + F.expr("INTERVAL 5 DAY"))
-    append_records(gone, name, partition_by=("source",))
-    return table_latest_state(spark, name, "orders").select("file_name", "file_size", "status")
+    with _log_tables(spark, "log") as [name]:
+        append_records(log, name, partition_by=("source",))
+        gone = removed_records(log.filter("status = 'SUCCESS' AND source_modified_time IS NULL"), derived.run_time() + F.expr("INTERVAL 5 DAY"))
+        append_records(gone, name, partition_by=("source",))
+        return materialize(table_latest_state(spark, name, "orders").select("file_name", "file_size", "status"))
+
+
+def q_incremental_ingest(spark: SparkSession, d: str) -> DataFrame:
+    """Runs against a log and its state: names that landed twice, a run repeated under its id, two runs at one time."""
+    orders = table(spark, d, "orders")
+    inventory = derived.as_manifest(derived.current_listing(orders), "orders").drop("k")
+    old = with_listed_size(derived.as_manifest(derived.previous_log(orders), "orders").drop("k"))
+    landed = derived.landed_twice(orders)
+    with _log_tables(spark, "log", "state") as [log, state]:
+        append_records(old, log, partition_by=("source",), run_id="history")
+        append_records(old, log, partition_by=("source",), run_id="history")
+        step = lambda run_id, keep: incremental_ingest(
+            spark, inventory, landed, log, "orders", now=derived.run_time(), run_id=run_id, state_table=keep, state_buckets=8
+        )
+        for run_id, keep in (("first", state), ("first", state), ("second", None), ("third", state)):
+            step(run_id, keep)
+        rows = read_log(spark, log).groupBy("file_name").agg(F.count(F.lit(1)).alias("n_records"))
+        now = table_latest_state(spark, log, "orders").select("file_name", "file_size", "status")
+        return materialize(now.join(rows, "file_name"))
 
 
 # ------------------------------------------------------------------ contract
@@ -403,6 +475,7 @@ def core_queries() -> dict[str, Query]:
         "medallion_best_year": q_medallion_best_year,
         "medallion_quality": q_medallion_quality,
         "log_table_state": q_log_table_state,
+        "incremental_ingest": q_incremental_ingest,
         "content_changes": q_content_changes,
         "extract_links": q_extract_links,
         "odd_links": q_odd_links,
@@ -420,6 +493,9 @@ def core_queries() -> dict[str, Query]:
         "missing_json_keys": q_missing_json_keys,
         "document_landing": q_document_landing,
         "preview": q_preview,
+        "same_rows": q_same_rows,
+        "ordered_rows": q_ordered_rows,
+        "limited_rows": q_limited_rows,
     }
 
 
@@ -641,5 +717,18 @@ UNION ALL SELECT 'silver_population', unnest(['rows', 'failed_valid_population']
         "log_table_state": f"""WITH {_SNAPSHOTS}
 SELECT CAST(k AS VARCHAR) AS file_name, sz AS file_size, CASE WHEN status = 'SUCCESS' AND m IS NULL THEN 'REMOVED' ELSE status END AS status
 FROM prev""",
+        "incremental_ingest": f"""WITH {_SNAPSHOTS},
+j AS (SELECT COALESCE(cur.k, prev.k) AS k, cur.k IS NOT NULL AS listed, prev.k IS NOT NULL AS logged, act.action, cur.sz, prev.sz AS psz, prev.status AS pst
+      FROM cur FULL JOIN prev ON cur.k = prev.k LEFT JOIN act ON act.k = cur.k),
+o AS (SELECT j.*, o_orderstatus <> 'P' AS landed, CASE WHEN o_orderpriority = '3-MEDIUM' THEN 5 ELSE 0 END AS more FROM j JOIN orders ON o_orderkey = k),
+w AS (SELECT *, listed AND action <> 'UNCHANGED' AS todo, NOT listed AND pst = 'SUCCESS' AS gone FROM o)
+SELECT CAST(k AS VARCHAR) AS file_name, CASE WHEN todo AND landed THEN sz + more WHEN todo THEN sz ELSE psz END AS file_size,
+       CASE WHEN todo AND landed THEN 'SUCCESS' WHEN todo THEN 'FAILED' WHEN gone THEN 'REMOVED' ELSE pst END AS status,
+       CAST(logged AS BIGINT) + CASE WHEN todo AND landed THEN 1 WHEN todo THEN 3 WHEN gone THEN 1 ELSE 0 END AS n_records FROM w""",
+        "same_rows": """
+SELECT COUNT(*) AS n_left, COUNT(*) AS n_right, TRUE AS same FROM orders
+UNION ALL SELECT COUNT(*), COUNT(*), COUNT(CASE WHEN o_orderkey = 1 THEN 1 END) = 0 FROM orders""",
+        "ordered_rows": "SELECT o_orderkey, o_orderdate, o_totalprice FROM orders",
+        "limited_rows": "SELECT least(20, COUNT(*)) AS n_rows, least(20, COUNT(*)) AS n_own FROM orders",
         "preview": "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 20",
     }

@@ -24,18 +24,59 @@ def range_stats(
     mean_col: str = "mean_value",
     stddev_col: str = "stddev_value",
     where: Column | None = None,
+    exact: bool = False,
 ) -> DataFrame:
     """Mean and population standard deviation of ``value`` where ``lo <= by <= hi``.
 
     One row always; NULLs when nothing matches, stddev 0 for a single row.
+    ``exact`` takes both from exact sums (``exact_moments``): the same bits
+    whatever the order and partitioning of the rows.
     Plan: partial aggregate per task, one tiny final merge. The range reaches
     the scan when ``by`` is a stored column; for a year of a date column give
     ``year_range`` of the date column as ``where``.
     """
     v = _col(value)
-    rows = df if where is None else df.filter(where)
-    return rows.filter(_col(by).between(lo, hi)).agg(
-        F.avg(v).alias(mean_col), F.stddev_pop(v).alias(stddev_col)
+    rows = (df if where is None else df.filter(where)).filter(_col(by).between(lo, hi))
+    if exact:
+        return exact_moments(rows, [], v, mean_col, stddev_col)
+    return rows.agg(F.avg(v).alias(mean_col), F.stddev_pop(v).alias(stddev_col))
+
+
+#: Decimal places of the values that ``exact_moments`` sums exactly; below 10^14.
+MOMENT_PLACES = 4
+
+
+def exact_moments(
+    df: DataFrame, keys: Sequence[str], value: str | Column, mean_col: str = "mean_value", stddev_col: str = "stddev_value"
+) -> DataFrame:
+    """Mean and population standard deviation per ``keys`` (of all rows without keys) from exact, mergeable sums.
+
+    Values of at most four decimal places below 10^14 are summed, and so are
+    their squares, as decimals: partial sums of any parts add up to the same
+    sums. The deviations are taken from the mean rounded to four places, so that
+    large values with small deviations lose nothing. A group with a value that
+    does not fit, or whose sums overflow, has its plain double results.
+    """
+    v = _col(value)
+    held = v.try_cast(f"decimal(18,{MOMENT_PLACES})")
+    unheld = v.isNotNull() & ~F.coalesce(held.cast("double") == v.cast("double"), F.lit(False))
+    sums = df.groupBy(*keys).agg(
+        F.count(v).cast("decimal(20,0)").alias("__n"), F.coalesce(F.max(unheld), F.lit(False)).alias("__unheld"),
+        F.try_sum(held).alias("__s"), F.try_sum(held * held).alias("__q"), F.avg(v).alias("__avg"), F.stddev_pop(v).alias("__dev"),
+    )
+    n, s = F.col("__n"), F.col("__s")
+    center = sums.withColumn("__m", F.try_divide(s, n).cast(f"decimal(18,{MOMENT_PLACES})"))
+    # the sum less n times the rounded mean; sum (x - m)^2 = q - m (s + rest)
+    spread = center.withColumn("__rest", F.expr("try_subtract(__s, try_multiply(__n, __m))")).withColumn(
+        "__d", F.expr("try_subtract(__q, try_multiply(__m, try_add(__s, __rest)))").cast("double")
+    )
+    count = n.cast("double")
+    off = F.col("__rest").cast("double") / count
+    deviation = F.sqrt(F.greatest(F.col("__d") / count - off * off, F.lit(0.0)))
+    exact = ~F.col("__unheld") & F.col("__d").isNotNull() & (n > 0)
+    return spread.select(
+        *keys, F.when(exact, s.cast("double") / count).otherwise(F.col("__avg")).alias(mean_col),
+        F.when(exact, deviation).otherwise(F.col("__dev")).alias(stddev_col),
     )
 
 

@@ -15,7 +15,6 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.session import scratch_folder
 
 # Fixed values shared with the oracle SQL in __spark_entry__.py.
 CURRENT_FROM = "1996-01-01"  # the current listing holds orders from this date on
@@ -75,6 +74,17 @@ def landed_files(orders: DataFrame) -> DataFrame:
     )
 
 
+def landed_twice(orders: DataFrame) -> DataFrame:
+    """``(file_name, length, modification_time)``: the files of ``landed_files`` as written a day
+    after the run began, each beside a shorter copy from before it."""
+    files = landed_files(orders).select(F.col("k").cast("string").alias("file_name"), "length")
+    copy = lambda size, at: F.struct(size.alias("length"), at.alias("modification_time"))
+    copies = F.array(
+        copy(F.col("length") - 1, run_time(PREVIOUS_RUN)), copy(F.col("length"), run_time() + F.expr("INTERVAL 1 DAY"))
+    )
+    return files.select("file_name", F.inline(copies))
+
+
 def as_manifest(df: DataFrame, source: str) -> DataFrame:
     """Map ``(k, sz, m[, status, ingestion_time])`` onto the log / inventory column names."""
     out = df.withColumnRenamed("sz", "file_size").withColumnRenamed("m", "source_modified_time")
@@ -234,9 +244,8 @@ def fresh_name(prefix: str) -> str:
 CUSTOMERS_A_FILE = 1000
 
 
-def customer_files(spark: SparkSession, customer: DataFrame) -> str:
+def customer_files(path: str, customer: DataFrame) -> str:
     """A folder with text files of customers' names, a line each, by key: a file for each nation and thousand keys."""
-    path = scratch_folder(spark)
     part = F.floor(F.col("c_custkey") / CUSTOMERS_A_FILE).alias("part")
     lines = customer.select(F.col("c_nationkey").alias("nation"), part, "c_custkey", F.col("c_name").alias("value"))
     ordered = lines.repartition("nation", "part").sortWithinPartitions("nation", "part", "c_custkey")
@@ -244,14 +253,13 @@ def customer_files(spark: SparkSession, customer: DataFrame) -> str:
     return path
 
 
-def raw_folders(spark: SparkSession, t: Callable[[str], DataFrame]) -> tuple[str, str]:
+def raw_folders(spark: SparkSession, root: str, t: Callable[[str], DataFrame]) -> tuple[str, str]:
     """Raw series files and the yearly context document, written from the tables.
 
     Line items are observations of their supplier (quarter of the ship date,
     ``-`` for a price without discount), suppliers are series, nations and
     regions the code tables; the context counts orders by nation and year.
     """
-    root = scratch_folder(spark)
     series, context = f"{root}/series", f"{root}/context"
     pad = lambda c: F.concat(c.cast("string"), F.lit("   "))
     text = lambda v: F.lit(v).cast("string")

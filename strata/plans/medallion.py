@@ -20,6 +20,7 @@ from strata.operators.analytics import best_period, range_stats, series_with_con
 from strata.operators.cleanse import clean_columns
 from strata.operators.enrich import DimSpec, describe, enrich
 from strata.operators.quality import assert_unique, observed_gate
+from strata.plans.publish import publish, publish_together
 from strata.sources.delimited import read_delimited
 from strata.sources.json_records import read_json_records
 
@@ -88,25 +89,6 @@ def population_rules(nation: str) -> dict[str, str]:
     return {"valid_population": f"nation = '{quoted}' AND year IS NOT NULL AND population > 0"}
 
 
-def publish(
-    df: DataFrame, name: str, comment: str = "", fmt: str = "parquet", partition_by: tuple[str, ...] = ()
-) -> DataFrame:
-    """Write ``df`` as a fully recomputed table (overwrite) and return the table.
-
-    ``partition_by`` lays the table out in folders by low-cardinality columns
-    (no shuffle: each task writes its rows to their folders), so readers that
-    filter on them prune whole folders.
-    """
-    spark = df.sparkSession
-    writer = df.write.mode("overwrite").format(fmt)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.saveAsTable(name)
-    if comment:
-        spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('comment' = '{comment.replace(chr(39), chr(39) * 2)}')")
-    return spark.read.table(name)
-
-
 def load_bronze(
     spark: SparkSession, series_root: str, context_root: str, specs=BRONZE_SPECS
 ) -> dict[str, DataFrame]:
@@ -280,41 +262,39 @@ def run_medallion(
     out: dict[str, DataFrame] = {}
     raw = load_bronze(spark, series_root, context_root)
     comments = {s.name: s.comment for s in BRONZE_SPECS}
-    for name, df in raw.items():
-        out[name] = publish(df, db(name), comments[name])
+
+    def layer(jobs: dict[str, Callable[[], DataFrame]]) -> None:
+        """Tables that do not read each other, published side by side."""
+        out.update(zip(jobs, publish_together(spark, jobs.values())))
+
+    layer({name: (lambda name=name, df=df: publish(df, db(name), comments[name])) for name, df in raw.items()})
 
     silver = build_silver(out, nation, reject_nan, trim_before_gate)
-    quality: dict[str, dict[str, int]] = {}
     # Observations by period code (five values): question 3 reads one folder,
     # question 2 skips the annual-average folder.
     layout = {"silver_observations": ("period",)}
+    frames, counted = {}, {}
     for name, df in silver.tables.items():
-        rules = silver.rules.get(name)
-        if rules:
-            kept, obs = observed_gate(df, rules, name)
-            kept = silver.after.get(name, lambda df: df)(kept)
-            out[name] = publish(kept, db(name), SILVER_COMMENTS[name], partition_by=layout.get(name, ()))
-            quality[name] = {k: int(v) for k, v in obs.get.items()}
-        else:
-            out[name] = publish(df, db(name), SILVER_COMMENTS[name])
+        if rules := silver.rules.get(name):
+            kept, counted[name] = observed_gate(df, rules, f"{database}_{name}")
+            df = silver.after.get(name, lambda df: df)(kept)
+        frames[name] = df
+    layer({
+        name: (lambda name=name, df=df: publish(df, db(name), SILVER_COMMENTS[name], partition_by=layout.get(name, ())))
+        for name, df in frames.items()
+    })
+    quality = {name: {k: int(v) for k, v in obs.get.items()} for name, obs in counted.items()}
 
     population = out["silver_population"]
     if check_unique_context:
         assert_unique(population, ["year"], "silver_population")
-    out["gold_range_stats"] = publish(
-        gold_range_stats(population, *years), db("gold_range_stats"), GOLD_COMMENTS["gold_range_stats"]
-    )
-    out["gold_best_year"] = publish(
-        gold_best_year(
+    gold = {
+        "gold_range_stats": gold_range_stats(population, *years),
+        "gold_best_year": gold_best_year(
             out["silver_observations"], out["silver_series"], out["silver_sector"], out["silver_class"],
             out["silver_measure"], out["silver_duration"], out["silver_seasonal"], exact=exact_sums,
         ),
-        db("gold_best_year"),
-        GOLD_COMMENTS["gold_best_year"],
-    )
-    out["gold_series_with_population"] = publish(
-        gold_series_with_population(out["silver_observations"], population, series_id, period),
-        db("gold_series_with_population"),
-        GOLD_COMMENTS["gold_series_with_population"],
-    )
+        "gold_series_with_population": gold_series_with_population(out["silver_observations"], population, series_id, period),
+    }
+    layer({name: (lambda name=name, df=df: publish(df, db(name), GOLD_COMMENTS[name])) for name, df in gold.items()})
     return MedallionResult(out, quality)

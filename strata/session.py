@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -37,6 +39,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.driver.memory", "16g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="strata-ckpt-"))
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="strata-wh-"))
         # Broadcast only sizes that AQE has measured, never the planner's guess
         # from compressed file sizes.
@@ -95,13 +98,29 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_folder(spark: SparkSession) -> str:
     """A folder for files of a run: inside ``spark.checkpoint.dir``, or a temp
     folder where a local session names none. A cluster must name one."""
+    return f"{any_checkpoint_dir(spark).rstrip('/')}/scratch-{uuid.uuid4().hex}"
+
+
+def any_checkpoint_dir(spark: SparkSession) -> str:
+    """``checkpoint_dir``; a local session that names none gets a temp folder. A cluster must name one."""
     try:
-        base = checkpoint_dir(spark)
+        return checkpoint_dir(spark)
     except RuntimeError:
         if not spark.sparkContext.master.startswith("local"):
             raise
-        base = tempfile.mkdtemp(prefix="strata-scratch-")
-    return f"{base.rstrip('/')}/scratch-{uuid.uuid4().hex}"
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="strata-scratch-"))
+        return checkpoint_dir(spark)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """A ``scratch_folder`` that is deleted at the end of the block."""
+    folder = scratch_folder(spark)
+    try:
+        yield folder
+    finally:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame) -> DataFrame:

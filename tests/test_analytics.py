@@ -1,5 +1,6 @@
 """Best period with ties, range statistics, context joins, enrichment."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from strata.operators.analytics import best_period, range_stats, series_with_context
@@ -114,3 +115,36 @@ def test_preview_without_limit_or_order(spark):
     df = spark.range(5)
     assert [r.id for r in preview(df, [F.col("id").desc()], None).collect()] == [4, 3, 2, 1, 0]
     assert preview(df, n=3).count() == 3
+
+
+def test_exact_moments_are_bit_equal_for_any_partitioning(spark):
+    import random
+    from fractions import Fraction
+
+    from strata.operators.analytics import exact_moments
+
+    rng = random.Random(2)
+    cents = [rng.randrange(10**11, 10**11 + 5 * 10**4) for _ in range(3000)] + [-7, 0, 10**11]
+    rows = [(c / 100, "a") for c in cents[:-3]] + [(c / 100, "b") for c in cents] + [(1e20, "c"), (1.0, "c"), (None, "d"), (2.5, "e"), (None, "e")]
+    seen = set()
+    for seed in range(4):
+        rng.shuffle(rows)
+        df = spark.createDataFrame(rows, "v double, g string").repartition(1 + 3 * seed)
+        got = {r.g: (r.mean_value, r.stddev_value) for r in exact_moments(df, ["g"], "v").collect()}
+        seen.add(tuple(sorted((g, v) for g, v in got.items() if g in "abe")))
+    assert len(seen) == 1
+    for g, mine in (("a", cents[:-3]), ("b", cents)):
+        values = [Fraction(c, 100) for c in mine]
+        mean = sum(values) / len(values)
+        variance = sum((x - mean) ** 2 for x in values) / len(values)
+        assert got[g][0] == pytest.approx(float(mean), rel=1e-15)
+        assert got[g][1] == pytest.approx(float(variance) ** 0.5, rel=1e-11)  # plain doubles lose about six digits here
+    assert got["c"] == (5e19, 5e19) and got["d"] == (None, None) and got["e"] == (2.5, 0.0)
+
+
+def test_exact_range_stats_matches_the_plain_one(spark):
+    df = spark.createDataFrame([(y, float(100 * y + 7)) for y in range(2000, 2030)] + [(2013, None)], "year int, v double")
+    plain, exact = (range_stats(df, "v", "year", 2010, 2020, exact=e).first() for e in (False, True))
+    assert exact.mean_value == plain.mean_value and abs(exact.stddev_value - plain.stddev_value) < 1e-9
+    nothing = range_stats(df, "v", "year", 1, 2, exact=True).collect()
+    assert [tuple(r) for r in nothing] == [(None, None)]

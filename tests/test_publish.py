@@ -1,0 +1,86 @@
+"""Published tables: readers never see a gap, failures leave the old table, scratch goes away."""
+
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from strata.plans.publish import VERSION_PREFIX, current_version, publish, publish_together
+from strata.session import scratch
+
+
+def numbers(spark, n):
+    return spark.range(n).select("id", (F.col("id") % 3).cast("string").alias("part"))
+
+
+def versions(spark, name):
+    return [t.name for t in spark.catalog.listTables() if t.name.startswith(VERSION_PREFIX + name + "_")]
+
+
+def test_a_reader_that_planned_before_a_publish_reads_the_old_table_whole(spark):
+    publish(numbers(spark, 10), "pub_a", "first")
+    reader = spark.read.table("pub_a")
+    reader.schema, reader._jdf.queryExecution().analyzed()
+    out = publish(numbers(spark, 25), "pub_a", "it's second")
+    assert reader.count() == 10 and out.count() == 25 == spark.read.table("pub_a").count()
+    assert spark.catalog.getTable("pub_a").description == "it's second"
+    publish(numbers(spark, 30), "pub_a")
+    assert len(versions(spark, "pub_a")) == 2  # the one before stays for its readers
+
+
+def test_a_failed_publish_keeps_the_old_table(spark):
+    publish(numbers(spark, 10), "pub_b")
+    before = current_version(spark, "pub_b")
+    broken = numbers(spark, 10).withColumn("id", F.when(F.col("id") == 7, F.raise_error(F.lit("bad row"))).otherwise(F.col("id")))
+    with pytest.raises(Exception, match="bad row"):
+        publish(broken, "pub_b")
+    assert current_version(spark, "pub_b") == before and spark.read.table("pub_b").count() == 10
+    assert publish(numbers(spark, 11), "pub_b").count() == 11
+
+
+def test_a_table_may_be_made_from_its_own_old_version(spark):
+    publish(numbers(spark, 10), "pub_c")
+    out = publish(spark.read.table("pub_c").filter("id < 4"), "pub_c")
+    assert out.count() == 4
+    # another table whose name begins alike keeps its versions
+    publish(numbers(spark, 3), "pub_c_more")
+    publish(numbers(spark, 5), "pub_c")
+    publish(numbers(spark, 6), "pub_c")
+    assert spark.read.table("pub_c_more").count() == 3
+
+
+def test_a_plain_table_is_taken_over(spark):
+    numbers(spark, 5).write.saveAsTable("pub_d")
+    assert current_version(spark, "pub_d") is None
+    assert publish(numbers(spark, 6), "pub_d", partition_by=("part",)).count() == 6
+    assert current_version(spark, "pub_d") is not None
+
+
+def test_tables_published_together(spark):
+    jobs = [lambda k=k: publish(numbers(spark, k), f"pub_t{k}") for k in range(1, 6)]
+    assert [df.count() for df in publish_together(spark, jobs)] == [1, 2, 3, 4, 5]
+    with pytest.raises(ZeroDivisionError):
+        publish_together(spark, [lambda: publish(numbers(spark, 1), "pub_u"), lambda: 1 // 0])
+
+
+def test_scratch_is_deleted_even_after_an_error(spark):
+    with pytest.raises(ValueError), scratch(spark) as folder:
+        numbers(spark, 5).write.parquet(f"{folder}/t")
+        path = folder.removeprefix("file:")
+        assert os.path.isdir(path)
+        raise ValueError
+    assert not os.path.exists(path)
+
+
+@pytest.mark.parametrize("name", ["medallion_quality", "log_table_state", "incremental_ingest", "landed_files"])
+def test_registered_queries_leave_no_table_and_no_folder_behind(spark, name):
+    import __spark_entry__ as contract
+    from strata.session import checkpoint_dir
+
+    folder = checkpoint_dir(spark).removeprefix("file:")
+    seen = lambda: (
+        {d.name for d in spark.catalog.listDatabases()}, {t.name for t in spark.catalog.listTables()}, {f for f in os.listdir(folder) if f.startswith("scratch-")},
+    )
+    before = seen()
+    assert contract.core_queries()[name](spark, "/root/testdata/sf0.001").count() > 0
+    assert seen() == before

@@ -123,3 +123,37 @@ def test_same_rows(spark):
     b = spark.createDataFrame([(1, "a")], "k int, v string")
     assert same_rows(a, a.select("v", "k"))
     assert not same_rows(a, b)
+
+
+def test_fingerprints_of_odd_values(spark):
+    from strata.operators.quality import compare_rows, fingerprint, row_differences
+
+    schema = "d double, s string, n long, a array<string>, m map<string,int>, t struct<x:int>"
+    rows = [(0.0, "x", None, ["a", None], {"p": 1, "q": 2}, (1,)), (float("nan"), None, 1, [], None, (None,)), (-1.5, "", 2, None, {}, None)] * 3
+    a = spark.createDataFrame(rows, schema)
+    assert same_rows(a, spark.createDataFrame(rows[::-1], schema).repartition(5))
+    assert same_rows(a, spark.createDataFrame([(-0.0 if r[0] == 0 else r[0], *r[1:]) for r in rows], schema))
+    for change in ({"s": "NULL"}, {"n": 0}, {"a": ["a"]}, {"m": {"p": 2, "q": 1}}):
+        odd = list(rows)
+        odd[0] = tuple(change.get(f, v) for f, v in zip(("d", "s", "n", "a", "m", "t"), odd[0]))
+        assert not same_rows(a, spark.createDataFrame(odd, schema)), change
+    assert not same_rows(a, spark.createDataFrame(rows[:-1], schema))
+    assert not same_rows(a, spark.createDataFrame([*rows[:-1], rows[0]], schema))  # another multiplicity
+    assert not same_rows(a, a.drop("t")) and same_rows(a.limit(0), a.limit(0)) and not same_rows(a, a.limit(0))
+    # sums of parts add up
+    parts = [fingerprint(p).first() for p in (a.filter("n = 1"), a.filter("n = 2 or n is null"))]
+    assert [sum(v) for v in zip(*parts)] == list(fingerprint(a).first())
+    # int and long of one value are equal rows, as in exceptAll; swapped columns are not
+    x = spark.createDataFrame([(1, 2)], "a int, b long")
+    assert same_rows(x, x.selectExpr("CAST(a AS long) AS a", "CAST(b AS int) AS b")) and not same_rows(x, x.selectExpr("b AS a", "a AS b"))
+    assert tuple(compare_rows(x, x).first()) == (1, 1, True)
+    b = spark.createDataFrame([(1, 2), (1, 2), (5, 6)], "a int, b long")
+    assert sorted(tuple(r) for r in row_differences(b, x).collect()) == [(1, 2, "left"), (5, 6, "left")]
+
+
+def test_same_rows_shuffles_no_row(spark, capsys):
+    from strata.operators.quality import fingerprint
+
+    fingerprint(spark.range(1000)).explain()
+    plan = capsys.readouterr().out
+    assert plan.count("Exchange") == 1 and "SinglePartition" in plan
