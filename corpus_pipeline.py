@@ -29,7 +29,12 @@ def _plain(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents without letters and those in which no language holds half."""
+    """Drop documents without letters and those in which no language holds half.
+
+    Null and empty texts go (they have no language); null languages, sources and
+    ids stay; repeated rows are judged alike and stay. The text of any length is
+    judged whole. An empty table stays empty.
+    """
     plain, names = _plain(docs)
     model = learn(plain, names["doc_id"], names["text"], names["lang"])
     judged = identify(plain, model, list(names.values()), names["text"])
@@ -38,16 +43,30 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the smallest id of every group of near copies, once; rows without an id stay."""
+    """Keep the smallest id of every group of near copies; rows without an id stay.
+
+    Rows of one id are one document with several texts: all its texts stay or go
+    together, and of rows that repeat id and text one stays, the first by the
+    values of the other columns. Null and empty texts are in no group and stay.
+    """
     plain, names = _plain(docs)
-    key = names["doc_id"]
-    kept = near_duplicates(plain, id_col=key, text_col=names["text"]).filter("kept").select(F.col("doc_id").alias(key)).distinct()
-    own = plain.join(kept, key, "left_semi").dropDuplicates([key])
-    return own.union(plain.filter(F.col(key).isNull())).toDF(*docs.columns)
+    key, text = names["doc_id"], names["text"]
+    kept = near_duplicates(plain, id_col=key, text_col=text).filter("kept").select(F.col("doc_id").alias(key)).distinct()
+    own = plain.join(kept, key, "left_semi")
+    others = [c for c in plain.columns if c not in (key, text)]
+    once = own.groupBy(key, text).agg(F.min(F.struct(*others)).alias("__first")).select(
+        *[F.col(c) if c in (key, text) else F.col(f"__first.{c}").alias(c) for c in plain.columns]
+    )
+    return once.union(plain.filter(F.col(key).isNull())).toDF(*docs.columns)
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cut passages of 50 bytes that an earlier document has; drop what is empty thereafter."""
+    """Cut passages of 50 bytes that an earlier document has; drop what is empty thereafter.
+
+    Null texts stay null, empty ones empty; rows without an id are passed by.
+    Texts under one id do not count as earlier than each other. ``n_chars`` follows
+    the text where it was cut.
+    """
     plain, names = _plain(docs)
     plain = plain.withColumn("void", F.col(names["text"]).isNull())
     keep = [c for c in plain.columns if c not in (names["doc_id"], names["text"])]
@@ -61,7 +80,7 @@ def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document, in the order of the target mixture.
+    """Every document, in the order of the target mixture; nulls and repeated rows included, none dropped.
 
     A table written and read again may lose that order, so ``pack`` works the
     same places out again, from the same weights and rows.
@@ -72,7 +91,11 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token sequences of at most 4096 tokens in the order of the target mixture, a row for each piece."""
+    """Token sequences of at most 4096 tokens in the order of the target mixture, a row for each piece.
+
+    Null and empty texts are their end token alone; rows of one id are packed each.
+    Other columns come along under their own names.
+    """
     plain, names = _plain(docs)
     return harmonic_pack(
         plain, public_tokenizers.path("word_bpe_49k.json"), end_id=2, capacity=4096, weights=MIXTURE, added_as_text=False,

@@ -19,8 +19,13 @@ from pyspark.sql import functions as F
 from strata.session import checkpoint_dir
 
 
+#: Bytes of a batch that goes to a Python worker, where the session leaves Spark's own bound of 64 MB.
+BATCH_BYTES = 4 << 20
+_BATCH_SETTING, _BATCH_DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
+
+
 def with_package(spark: SparkSession) -> None:
-    """Let Python workers import this package from where the driver has it.
+    """Let Python workers import this package from where the driver has it, and bound the batches they get by bytes.
 
     Needed where the driver found it by a path of its own, as in a local run;
     on a cluster the executors have it installed or through ``--py-files``.
@@ -29,6 +34,8 @@ def with_package(spark: SparkSession) -> None:
     paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
     if root not in paths:
         env["PYTHONPATH"] = os.pathsep.join([root, *paths])
+    if spark.conf.get(_BATCH_SETTING, None) == _BATCH_DEFAULT:
+        spark.conf.set(_BATCH_SETTING, str(BATCH_BYTES))
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

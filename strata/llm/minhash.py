@@ -28,6 +28,8 @@ MANTISSA = 10
 SLICE_BYTES = 2 << 20
 #: Members of a bucket that meet in one task; larger buckets are cut into blocks.
 BLOCK = 400
+#: Further passes that compare a bucket with one of its members; what they leave open is compared in full.
+STAR_TURNS = 3
 _SEED = np.random.default_rng(41).integers(1, 2**63, (2, REGISTERS), dtype=np.uint64) | np.uint64(1)
 
 
@@ -123,49 +125,74 @@ def promising(pairs: DataFrame, reps: DataFrame, share: int) -> DataFrame:
     return pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b").mapInArrow(_promising(share / 100), pair)
 
 
-def block_pairs(members: DataFrame, key: str, id_col: str, block: int, payload: DataFrame) -> DataFrame:
-    """Deal the members of each ``key`` group to pairs of blocks (x <= y) of about ``block`` members.
+def stray_blocks(members: DataFrame, block: int, payload: DataFrame) -> DataFrame:
+    """Deal the members (band, rep, component) of open bands to tasks (band, x, y) of strays and members.
 
-    A small group is one block with itself. In a larger one every two members
-    meet in some pair of blocks, and no task gets more than two blocks.
+    The members of a band outside its largest component are its strays. Only
+    pairs of a stray and a member can join components, so strays are cut into
+    blocks x, all members into blocks y of about ``block`` rows, and every two of
+    them meet. A band of n members with few strays makes about 2 n rows.
 
-    Members and group sizes are kept before they are joined: adaptive execution
-    splits a hot key only where neither side is still being aggregated. The
-    ``payload`` (one row per ``id_col``) comes last, when all groups are cut.
+    Members and sizes are kept before they are joined: adaptive execution splits
+    a hot band only where neither side is still being aggregated. The ``payload``
+    (one row per ``rep``) comes last, when all bands are cut.
     """
-    members = checkpointed(members)
-    size = checkpointed(members.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / F.lit(block)).cast("int").alias("__k")))
-    dealt = members.join(size, key).withColumn("__b", F.pmod(F.xxhash64(id_col, F.lit(5)), F.col("__k")).cast("int"))
-    other = dealt.withColumn("__o", F.explode(F.sequence(F.lit(0), F.col("__k") - 1)))
-    pairs = other.withColumns({"x": F.least("__b", "__o"), "y": F.greatest("__b", "__o")}).drop("__k", "__b", "__o")
-    # by all keys: dealt by the group alone, a large group's blocks would stay in one task
-    return pairs.join(payload, id_col).repartition(key, "x", "y")
+    members = checkpointed(members.select("band", "rep", "component"))
+    parts = members.groupBy("band", "component").agg(F.count(F.lit(1)).alias("n"))
+    bands = parts.groupBy("band").agg(F.sum("n").alias("n"), F.max(F.struct("n", "component")).alias("main"))
+    blocks = lambda n: F.ceil(n / F.lit(block)).cast("int")
+    size = checkpointed(bands.select(
+        "band", F.col("main.component").alias("main"), blocks(F.col("n") - F.col("main.n")).alias("xs"), blocks(F.col("n")).alias("ys")
+    ).filter("xs > 0"))
+    sized = checkpointed(members.join(size, "band"))
+    part = lambda by, salt: F.pmod(F.xxhash64("rep", F.lit(salt)), F.col(by)).cast("int")
+    every = lambda by: F.explode(F.sequence(F.lit(0), F.col(by) - 1))
+    strays = sized.filter("component <> main").select("band", part("xs", 7).alias("x"), every("ys").alias("y"), "rep", "component", F.lit(True).alias("stray"))
+    others = sized.select("band", every("xs").alias("x"), part("ys", 5).alias("y"), "rep", "component", F.lit(False).alias("stray"))
+    # by all keys: dealt by the band alone, a large band's blocks would stay in one task
+    return strays.union(others).join(payload, "rep").repartition("band", "x", "y")
+
+
+def star_links(placed: DataFrame, reps: DataFrame, sets: DataFrame, share: int, turn: int) -> DataFrame:
+    """Links of the members of open bands to one member of the band, picked by a hash for this turn.
+
+    Linear in the band, and a large component is picked from most often: copies
+    that the smallest id of their band did not reach find another centre.
+    """
+    pick = F.min(F.struct(F.xxhash64("rep", F.lit(turn)).alias("h"), "rep", "component")).alias("c")
+    centers = placed.groupBy("band").agg(pick, F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi")
+    centers = checkpointed(centers.select("band", F.col("c.rep").alias("b"), F.col("c.component").alias("own")))
+    star = placed.join(centers, "band").filter("component <> own").select(F.col("rep").alias("a"), "b").distinct()
+    return confirmed(promising(star, reps, share), sets, share)
 
 
-_MEMBER = StructType([StructField("band", LongType()), StructField("rep", LongType())])
+_MEMBER = StructType([StructField("band", LongType()), StructField("rep", LongType()), StructField("component", LongType())])
 _EDGE = StructType([StructField("a", LongType()), StructField("b", LongType())])
 
 
 def _cross_candidates(share: float):
-    """Of one block pair, the members with a promising partner in another component."""
+    """Of the strays and members of one task, those with a promising partner in another component."""
     least = share - 5 * (share * (1 - share) / REGISTERS) ** 0.5
 
     def run(table: pa.Table) -> pa.Table:
         rep, comp = np.asarray(table.column("rep")), np.asarray(table.column("component"))
         n = np.asarray(table.column("n"), np.float64)
         sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint16).reshape(len(rep), -1)
+        stray = np.asarray(table.column("stray"))
         found = np.zeros(len(rep), bool)
-        for at in range(0, len(rep), 64):
-            part = slice(at, at + 64)
-            equal = np.zeros((len(rep[part]), len(rep)), np.int16)
+        strays, others = np.flatnonzero(stray), np.flatnonzero(~stray)
+        for at in range(0, len(strays), 64):
+            part = strays[at : at + 64]
+            equal = np.zeros((len(part), len(others)), np.int16)
             for r in range(REGISTERS):
-                equal += sketch[part, r, None] == sketch[None, :, r]
-            good = comp[part, None] != comp[None, :]
-            good &= np.minimum(n[part, None], n[None, :]) >= share * np.maximum(n[part, None], n[None, :])
-            good &= estimate(equal, n[part, None], n[None, :]) >= least
+                equal += sketch[part, r, None] == sketch[None, others, r]
+            good = comp[part, None] != comp[None, others]
+            good &= np.minimum(n[part, None], n[None, others]) >= share * np.maximum(n[part, None], n[None, others])
+            good &= estimate(equal, n[part, None], n[None, others]) >= least
             found[part] |= good.any(1)
+            found[others] |= good.any(0)
         at = np.flatnonzero(found)
-        return pa.table([table.column("band").take(pa.array(at)), pa.array(rep[at])], names=["band", "rep"])
+        return pa.table([table.column("band").take(pa.array(at)), pa.array(rep[at]), pa.array(comp[at])], names=["band", "rep", "component"])
 
     return run
 
@@ -202,10 +229,11 @@ def forest(link: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _exact_links(share: int):
-    """Of one block pair, a spanning forest of the links between full sets."""
+    """Of the strays and members of one task, a spanning forest of the links between full sets."""
 
     def run(table: pa.Table) -> pa.Table:
-        rep = np.asarray(table.column("rep"))
+        rep, once = np.unique(np.asarray(table.column("rep")), return_index=True)  # a stray may be there as a member too
+        table = table.take(pa.array(once))
         column = table.column("shingles").combine_chunks()
         size = np.asarray(pc.list_value_length(column), np.int64)
         both = intersections(np.asarray(column.flatten()), np.repeat(np.arange(len(rep)), size), len(rep))
@@ -225,11 +253,13 @@ def near_duplicates(docs: DataFrame, share: int = 75, id_col: str = "doc_id", te
 
     1. Equal shingle sets are one class, represented by their smallest id.
     2. Every band of the representatives' registers is a bucket. Each member is
-       compared with its bucket's smallest id: linear in the bucket, and enough
-       for most copies of one text.
-    3. Buckets that still hold several components are compared in full, in
-       blocks of bounded size: registers first, then full sets for all that
-       stay promising. Tasks return spanning forests, never all pairs.
+       compared with its bucket's smallest id, then, while that still links
+       components, with up to three others: linear in the bucket, and enough for
+       most copies of one text.
+    3. In buckets that still hold several components, the members outside the
+       largest one are compared with all members, in blocks of bounded size:
+       registers first, then full sets for all that stay promising. Tasks return
+       spanning forests, never all pairs.
 
     No bucket is capped. A pair at the threshold shares no band with chance
     (1 - 0.75**3)**24 < 3e-6, and less above it; links are confirmed on full sets.
@@ -258,16 +288,24 @@ def near_duplicates(docs: DataFrame, share: int = 75, id_col: str = "doc_id", te
 
     star = bucketed.filter("rep <> center").select(F.col("rep").alias("a"), F.col("center").alias("b")).distinct()
     links = checkpointed(confirmed(promising(star, reps, share), sets, share).distinct())
-    first = components(links).select(F.col("node").alias("rep"), "component")
 
-    placed = bucketed.drop("center").join(first, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    placed = checkpointed(placed)
+    def placed_by(links: DataFrame) -> DataFrame:
+        comp = components(links).select(F.col("node").alias("rep"), "component")
+        return checkpointed(bucketed.drop("center").join(comp, "rep", "left").withColumn("component", F.coalesce("component", "rep")))
+
+    placed = placed_by(links)
+    for turn in range(STAR_TURNS):
+        more = checkpointed(star_links(placed, reps, sets, share, turn))
+        if more.isEmpty():
+            break
+        links = links.union(more)
+        placed = placed_by(links)
     open_bands = placed.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("band")
     members = placed.join(checkpointed(open_bands), "band")
     keys = ["band", "x", "y"]
-    crossing = block_pairs(members, "band", "rep", BLOCK, reps).groupBy(*keys).applyInArrow(_cross_candidates(share / 100), _MEMBER)
+    crossing = stray_blocks(members, BLOCK, reps).groupBy(*keys).applyInArrow(_cross_candidates(share / 100), _MEMBER)
     full = sets.withColumnRenamed("doc_id", "rep")
-    more = block_pairs(crossing.distinct(), "band", "rep", BLOCK, full).groupBy(*keys).applyInArrow(_exact_links(share), _EDGE)
+    more = stray_blocks(crossing.distinct(), BLOCK, full).groupBy(*keys).applyInArrow(_exact_links(share), _EDGE)
     comp = components(links.union(more.distinct())).select(F.col("node").alias("rep"), "component")
 
     labelled = classes.select("digest", "rep").join(comp, "rep", "left").select("digest", F.coalesce("component", "rep").alias("component"))
