@@ -56,7 +56,7 @@ from strata.plans.medallion import load_bronze, run_medallion
 from strata.plans.runs import runs_table
 from strata.plans.tables import table
 from strata.session import any_checkpoint_dir, materialize, scratch
-from strata.sources.delimited import parse_delimited
+from strata.sources.delimited import NO_EXTRA_FIELDS, parse_delimited
 from strata.sources.json_records import parse_json_records
 from strata.sources.landed import read_landed
 from strata.sources.listing import extract_links, parse_listing
@@ -308,6 +308,13 @@ def q_quality_report(spark: SparkSession, d: str) -> DataFrame:
     return quality_report(table(spark, d, "lineitem"), REPORT_RULES)
 
 
+def q_rejected_lines(spark: SparkSession, d: str) -> DataFrame:
+    """Lines of too many and too few fields, counted by rules on what the reader kept."""
+    schema = StructType([StructField(n, StringType()) for n in ("series_id", "value", "note")])
+    lines = parse_delimited(derived.ragged_lines(table(spark, d, "orders")), "line", schema, extra_col="extra_fields")
+    return quality_report(lines, {**NO_EXTRA_FIELDS, "has_note": "note IS NOT NULL", "plain_id": "series_id NOT LIKE '%\t%'"})
+
+
 def q_row_profile(spark: SparkSession, d: str) -> DataFrame:
     return row_profile(table(spark, d, "events"), "user_id")
 
@@ -487,6 +494,7 @@ def core_queries() -> dict[str, Query]:
         "sanitize_columns": q_sanitize_columns,
         "quality_gate": q_quality_gate,
         "quality_report": q_quality_report,
+        "rejected_lines": q_rejected_lines,
         "row_profile": q_row_profile,
         "duplicate_keys": q_duplicate_keys,
         "missing_metadata": q_missing_metadata,
@@ -665,6 +673,10 @@ SELECT 'valid_flag' AS rule, COUNT(*) AS n_rows,
 UNION ALL
 SELECT 'valid_line', COUNT(*),
        CAST(SUM(CASE WHEN COALESCE(NULLIF(l_linenumber, 3) > 1, FALSE) THEN 0 ELSE 1 END) AS BIGINT) FROM lineitem""",
+        "rejected_lines": """
+SELECT unnest(['no_extra_fields', 'has_note', 'plain_id']) AS rule, COUNT(*) AS n_rows,
+       unnest([COUNT(CASE WHEN o_orderpriority = '1-URGENT' THEN 1 END), COUNT(CASE WHEN o_orderpriority = '5-LOW' THEN 1 END),
+               COUNT(CASE WHEN o_orderstatus = 'P' THEN 1 END)]) AS n_failed FROM orders""",
         "row_profile": "SELECT COUNT(*) AS total_rows, COUNT(DISTINCT user_id) AS distinct_keys FROM events",
         "duplicate_keys": "SELECT text, COUNT(*) AS n FROM documents GROUP BY text HAVING COUNT(*) > 1",
         "missing_metadata": """

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
 from strata.operators.enrich import DimSpec, enrich
 from strata.operators.ranking import top_with_ties
@@ -86,6 +87,39 @@ def year_range(column: str | Column, first: int, last: int) -> Column:
     return (c >= F.make_date(F.lit(first), F.lit(1), F.lit(1))) & (c < F.make_date(F.lit(last + 1), F.lit(1), F.lit(1)))
 
 
+#: Doubles that are whole in this unit are summed as longs by ``exact_sum``.
+SUM_UNIT = 10_000
+_WHOLE = float(2**53)  # whole numbers below this are doubles exactly
+_LOW_BITS = 20
+
+
+def exact_sum(rows: DataFrame, v: Column) -> Column:
+    """The sum of ``v`` over a group, as a double, without a rounding before the last.
+
+    Most values are whole numbers of ten thousandths: they are summed as longs, in
+    a high and a low part that do not overflow. Others are summed as
+    ``decimal(38, 15)``; only these pay for it. A group with a value that such a
+    decimal cannot hold unchanged, or whose sums overflow, has its double sum.
+    """
+    kind = rows.select(v.alias("v")).schema["v"].dataType
+    d = v.cast("double")
+    units = d * F.lit(float(SUM_UNIT))
+    whole = F.rint(units)
+    known = not isinstance(kind, DecimalType) or kind.precision <= 15
+    fits = F.coalesce((F.abs(units) < _WHOLE) & (whole / F.lit(float(SUM_UNIT)) == d), F.lit(False)) if known else F.lit(False)
+    k = whole.cast("long")
+    high = F.try_sum(F.when(fits, F.shiftright(k, _LOW_BITS)).otherwise(F.lit(0).cast("long")))
+    low = F.try_sum(F.when(fits, k.bitwiseAND((1 << _LOW_BITS) - 1)).otherwise(F.lit(0).cast("long")))
+    held = F.when(~fits, v.try_cast("decimal(38,15)"))
+    unheld = ~fits & v.isNotNull() & ~F.coalesce(held.cast("double") == d, F.lit(False))
+    some, other, plain = F.max(~fits & v.isNotNull()), F.try_sum(held), F.sum(d)
+    units_sum = high.cast("decimal(20,0)") * F.lit(1 << _LOW_BITS).cast("decimal(7,0)") + low.cast("decimal(20,0)")
+    exact = units_sum.cast("decimal(30,0)") * F.lit("0.0001").cast("decimal(4,4)")
+    # a sum of units alone may be too large for fifteen places
+    summed = F.when(some, F.try_add(exact.try_cast("decimal(38,15)"), other).cast("double")).otherwise(exact.cast("double"))
+    return F.when(F.max(unheld) | plain.isNull(), plain).otherwise(F.coalesce(summed, plain))
+
+
 def best_period(
     df: DataFrame,
     series: str,
@@ -103,11 +137,11 @@ def best_period(
     newest tied period flagged.
 
     By default values are summed as they are (doubles as double). ``exact``
-    sums ``decimal(38, 15)`` so that equal totals rank equal whatever the row
-    order, and returns the sum as double. A period that holds a value which
-    that decimal cannot hold unchanged (more decimals, too large, NaN or
-    infinite), or whose sum overflows it, falls back to its double sum as a
-    whole: no value is rounded away or dropped. NaN ranks above infinity, and
+    sums without rounding (``exact_sum``) so that equal totals rank equal whatever
+    the row order, and returns the sum as double. A period that holds a value
+    which a ``decimal(38, 15)`` cannot hold unchanged (more decimals, too large,
+    NaN or infinite), or whose sum overflows it, falls back to its double sum as
+    a whole: no value is rounded away or dropped. NaN ranks above infinity, and
     that above every number, in both modes.
     ``min_count`` drops periods with fewer rows.
 
@@ -119,12 +153,7 @@ def best_period(
     """
     rows = df if where is None else df.filter(where)
     v = _col(value)
-    total = F.sum(v)
-    if exact:
-        held = v.try_cast("decimal(38,15)")
-        unheld = v.isNotNull() & ~F.coalesce(held.cast("double") == v.cast("double"), F.lit(False))
-        plain = F.sum(v.cast("double"))
-        total = F.when(F.max(unheld), plain).otherwise(F.coalesce(F.try_sum(held).cast("double"), plain))
+    total = exact_sum(rows, v) if exact else F.sum(v)
     sums = rows.groupBy(F.col(series), _col(period).alias(period_col)).agg(
         total.alias(sum_col), F.count(F.lit(1)).alias("__strata_n")
     )

@@ -149,6 +149,16 @@ def delimited_lines(orders: DataFrame) -> DataFrame:
     return orders.select(line.alias("line"))
 
 
+def ragged_lines(orders: DataFrame) -> DataFrame:
+    """``(line)``: three fields a line; urgent orders have two more, low priorities lack the last, and a
+    quoted field holds a separator."""
+    key, price = F.col("o_orderkey").cast("string"), F.col("o_totalprice").cast("string")
+    pri = F.col("o_orderpriority")
+    tail = F.when(pri == "5-LOW", F.lit("")).when(pri == "1-URGENT", F.lit("\tR\tmore\teven more")).otherwise(F.lit("\tR"))
+    quoted = F.when(F.col("o_orderstatus") == "P", F.concat(F.lit('"'), key, F.lit('\t"'))).otherwise(key)
+    return orders.select(F.concat(quoted, F.lit("\t"), price, tail).alias("line"))
+
+
 def raw_part_cells(part: DataFrame) -> DataFrame:
     """``(p_partkey, raw_name, raw_size)``: padded text cells, ``-`` sentinel for
     small parts and a malformed ``n/a`` for promo parts."""

@@ -21,7 +21,7 @@ from strata.operators.cleanse import clean_columns
 from strata.operators.enrich import DimSpec, describe, enrich
 from strata.operators.quality import assert_unique, observed_gate
 from strata.plans.publish import publish, publish_together
-from strata.sources.delimited import read_delimited
+from strata.sources.delimited import NO_EXTRA_FIELDS, read_delimited
 from strata.sources.json_records import read_json_records
 
 
@@ -90,9 +90,12 @@ def population_rules(nation: str) -> dict[str, str]:
 
 
 def load_bronze(
-    spark: SparkSession, series_root: str, context_root: str, specs=BRONZE_SPECS
+    spark: SparkSession, series_root: str, context_root: str, specs=BRONZE_SPECS, extra_col: str | None = None
 ) -> dict[str, DataFrame]:
-    """Lazy raw readers for every spec (text: header + fixed schema; JSON: exploded, sanitised)."""
+    """Lazy raw readers for every spec (text: header + fixed schema; JSON: exploded, sanitised).
+
+    ``extra_col`` keeps what observations hold beyond their schema (``read_delimited``).
+    """
     roots = {"series": series_root.rstrip("/"), "context": context_root.rstrip("/")}
     out = {}
     for s in specs:
@@ -100,7 +103,7 @@ def load_bronze(
         if s.kind == "json":
             out[s.name] = read_json_records(spark, path, s.schema, "data")
         else:
-            out[s.name] = read_delimited(spark, path, s.schema)
+            out[s.name] = read_delimited(spark, path, s.schema, extra_col=extra_col if s.schema is S.OBSERVATIONS_RAW else None)
     return out
 
 
@@ -126,10 +129,14 @@ def build_silver(
     ungated here with their rules, so ``run_medallion`` can count drops while writing.
     ``reject_nan`` also drops NaN observations, which the plain validity rule
     keeps. The nation is compared as stored and trimmed afterwards;
-    ``trim_before_gate`` trims it first, so that padded names are kept."""
+    ``trim_before_gate`` trims it first, so that padded names are kept. Observations
+    read with ``extra_fields`` are gated by them too."""
+    raw = bronze["bronze_all_data"]
+    ragged = "extra_fields" in raw.columns
     obs = clean_columns(
-        bronze["bronze_all_data"],
+        raw,
         {"series_id": None, "year": "int", "period": None, "value": "double", "footnote_codes": None},
+        keep=["extra_fields"] if ragged else [],
     )
     series = clean_columns(
         bronze["bronze_series"],
@@ -162,11 +169,14 @@ def build_silver(
         "silver_population": population,
     }
     rules = {
-        "silver_observations": {**OBSERVATION_RULES, **(NOT_NAN_RULE if reject_nan else {})},
+        "silver_observations": OBSERVATION_RULES | (NOT_NAN_RULE if reject_nan else {}) | (NO_EXTRA_FIELDS if ragged else {}),
         "silver_series": SERIES_RULES,
         "silver_population": population_rules(nation),
     }
-    return Silver(tables, rules, {} if trim_before_gate else {"silver_population": trimmed})
+    after = {} if trim_before_gate else {"silver_population": trimmed}
+    if ragged:
+        after["silver_observations"] = lambda df: df.drop("extra_fields")
+    return Silver(tables, rules, after)
 
 
 def gold_range_stats(population: DataFrame, lo: int = 2013, hi: int = 2018) -> DataFrame:
@@ -254,13 +264,17 @@ def run_medallion(
     reject_nan: bool = False,
     trim_before_gate: bool = False,
     exact_sums: bool = False,
+    reject_extra_fields: bool = False,
 ) -> MedallionResult:
     """Publish bronze, silver and gold tables in order; return them and the
-    per-rule drop counts gathered while the silver tables were written."""
+    per-rule drop counts gathered while the silver tables were written.
+
+    ``reject_extra_fields`` drops and counts observation lines of more fields than
+    the layout has; without it the fields beyond are passed by."""
     db = lambda n: f"{database}.{n}"
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     out: dict[str, DataFrame] = {}
-    raw = load_bronze(spark, series_root, context_root)
+    raw = load_bronze(spark, series_root, context_root, extra_col="extra_fields" if reject_extra_fields else None)
     comments = {s.name: s.comment for s in BRONZE_SPECS}
 
     def layer(jobs: dict[str, Callable[[], DataFrame]]) -> None:

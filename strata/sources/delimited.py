@@ -7,7 +7,11 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import StringType, StructField, StructType
+
+
+#: A line of more fields than its schema is no good row (readers with ``extra_col="extra_fields"``).
+NO_EXTRA_FIELDS = {"no_extra_fields": "extra_fields IS NULL"}
 
 
 def read_delimited(
@@ -18,6 +22,7 @@ def read_delimited(
     header: bool = True,
     *,
     quoting: bool = True,
+    extra_col: str | None = None,
 ) -> DataFrame:
     """Read delimited text with an explicit schema (no inference pass).
 
@@ -26,7 +31,13 @@ def read_delimited(
     NULL, blanks inside cells are kept (trim in the cleansing layer). Files
     split across tasks by ``spark.sql.files.maxPartitionBytes``.
     ``quoting=False`` treats quote characters as text (plain TSV).
+
+    With ``extra_col`` the first field beyond the schema is kept in a column of
+    that name (NULL where there is none or it is empty), so that a quality rule
+    like ``NO_EXTRA_FIELDS`` counts and drops lines of too many fields.
     """
+    if extra_col:
+        schema = StructType([*schema.fields, StructField(extra_col, StringType())])
     reader = spark.read.option("header", str(header).lower()).option("sep", sep).option("mode", "PERMISSIVE")
     if not quoting:  # plain TSV: a quote character is ordinary text
         reader = reader.option("quote", "")
@@ -41,8 +52,9 @@ def parse_delimited(
     keep: Iterable[str] = (),
     *,
     quoting: bool = True,
+    extra_col: str | None = None,
 ) -> DataFrame:
-    """Parse a column of delimited lines with the same rules as ``read_delimited``.
+    """Parse a column of delimited lines with the same rules as ``read_delimited``, ``extra_col`` included.
 
     The parser runs once per line: it sits in a one-element ``explode``, a
     Generate node that later filters cannot be pushed below. Otherwise
@@ -55,6 +67,8 @@ def parse_delimited(
     NULL, extra fields dropped), at a fraction of the cost.
     """
     keep = list(keep)
+    if extra_col:
+        schema = StructType([*schema.fields, StructField(extra_col, StringType())])
     if quoting:
         ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
         parsed = F.from_csv(F.col(line_col), F.lit(ddl), {"sep": sep, "mode": "PERMISSIVE"})

@@ -38,6 +38,12 @@ def opened(address: str) -> tuple[arrow_fs.FileSystem, str, str]:
     return system, path, address[: len(address.rstrip("/")) - len(path.rstrip("/"))]
 
 
+def frame_of(rows: list[tuple], columns: list[str]) -> pd.DataFrame:
+    """Rows as columns of plain objects, which Spark casts to its own types, also where there are none."""
+    values = list(zip(*rows)) if rows else [()] * len(columns)
+    return pd.DataFrame({c: pd.Series(list(v), dtype=object) for c, v in zip(columns, values)})
+
+
 def list_files(spark: SparkSession, root: str, glob: str | None = None, *, recursive: bool = True) -> DataFrame:
     """``(file_path, relative_path, file_name, length, modification_time)`` of every file below ``root``, empty ones too.
 
@@ -63,9 +69,7 @@ def list_files(spark: SparkSession, root: str, glob: str | None = None, *, recur
                     is_folder = info.type == arrow_fs.FileType.Directory
                     if is_folder or glob is None or fnmatch.fnmatchcase(info.base_name, glob):
                         rows.append((before + posixpath.join(path, under), under, is_folder, None if is_folder else info.size, info.mtime))
-                columns = ["file_path", "relative_path", "is_folder", "length", "modification_time"]
-                out = pd.DataFrame(rows, columns=columns)
-                out["length"] = out["length"].astype("Int64")
+                out = frame_of(rows, ["file_path", "relative_path", "is_folder", "length", "modification_time"])
                 out["modification_time"] = pd.to_datetime(out["modification_time"], utc=True).dt.tz_localize(None).astype("datetime64[us]")
                 yield out
 
@@ -108,7 +112,7 @@ def range_digests(files: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame
                         digest.update(data)
                         left, seen = left - len(data), seen + len(data)
                 rows.append((address, number, seen, digest.hexdigest()))
-            yield pd.DataFrame(rows, columns=["file_path", "range_no", "range_length", "range_sha256"])
+            yield frame_of(rows, ["file_path", "range_no", "range_length", "range_sha256"])
 
     return ranges.repartition("file_path", "range_no").mapInPandas(
         read, "file_path string, range_no long, range_length long, range_sha256 string"

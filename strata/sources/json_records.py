@@ -6,7 +6,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from strata.operators.cleanse import sanitize_columns
 
@@ -35,6 +35,20 @@ def read_json_records(
     return sanitize_columns(explode_records(docs, array_col, outer=outer))
 
 
+def unreadable_documents(spark: SparkSession, path: str | list[str], schema: StructType, array_col: str = "data") -> DataFrame:
+    """``(file_path, reason)`` of whole-file JSON documents that ``read_json_records`` reads no row from.
+
+    ``malformed``: no JSON, or values that do not fit the schema; ``no records``: a
+    missing, NULL or empty array. For counting what a reader leaves out.
+    """
+    corrupt = "__strata_corrupt"
+    full = StructType([*schema.fields, StructField(corrupt, StringType())])
+    reader = spark.read.option("multiLine", "true").option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", corrupt)
+    reason = F.when(F.col(corrupt).isNotNull(), F.lit("malformed")).when(F.coalesce(F.size(array_col), F.lit(-1)) < 1, F.lit("no records"))
+    docs = reader.schema(full).json(path).select(F.input_file_name().alias("file_path"), reason.alias("reason"))
+    return docs.filter(F.col("reason").isNotNull())
+
+
 def parse_json_records(
     df: DataFrame,
     json_col: str,

@@ -1,0 +1,67 @@
+"""One document over many blocks: the same rows as Spark's reader of whole documents."""
+
+import json
+import random
+
+import pytest
+from pyspark.sql.types import StructType
+
+from strata.operators.quality import same_rows
+from strata.sources import json_split
+from strata.sources.json_records import read_json_records
+from strata.sources.json_split import ESCAPED, INSIDE, OUTSIDE, Ending, read_split_records
+
+SCHEMA = ("columns array<string>, data array<struct<`Nation ID`: string, Year: bigint, note: string, deep: struct<a: array<int>, s: string>>>")
+
+
+@pytest.fixture()
+def schema(spark):
+    return StructType.fromDDL(SCHEMA)
+
+
+def document(seed, n, **more):
+    rng = random.Random(seed)
+    odd = ['"', "\\", "{", "}", "[", "]", "é", "😀", "\n", "\\\"", "data", '":[', "plain words "]
+    text = lambda: "".join(rng.choices(odd, k=rng.randint(0, 30)))
+    record = lambda i: {"Nation ID": text(), "Year": i, "note": rng.choice([None, text()]), "deep": {"a": list(range(i % 4)), "s": text()}, "other": [{"x": text()}]}
+    return {"columns": ["{", "]", 'a"b'], "before": [{"Year": -1}], "nested": {"data": [{"Year": -2}]}, "data": [record(i) for i in range(n)], "after": {"z": [[1], {"Year": -3}]}, **more}
+
+
+@pytest.mark.parametrize("block", [1, 7, 64, 1000, 1 << 20])
+def test_equal_to_the_whole_read(spark, tmp_path, schema, block):
+    (tmp_path / "a.json").write_text(json.dumps(document(1, 8 if block < 64 else 60), ensure_ascii=False))
+    if block > 7:
+        (tmp_path / "b.json").write_text(json.dumps(document(2, 25), indent=3))
+        (tmp_path / "none.json").write_text(json.dumps({"columns": [], "data": []}))
+        (tmp_path / "null.json").write_text(json.dumps({"data": None}))
+        (tmp_path / "zero.json").write_text("")
+    got = read_split_records(spark, str(tmp_path), schema, block_bytes=block)
+    want = read_json_records(spark, str(tmp_path), schema)
+    assert got.columns == want.columns and want.count() in (8, 85) and same_rows(got, want)
+
+
+def test_one_document_is_read_by_many_tasks(spark, tmp_path, schema):
+    path = tmp_path / "big.json"
+    path.write_text(json.dumps(document(3, 4000)))
+    size = path.stat().st_size
+    blocks = json_split._blocks(spark, str(path), 1 << 16)
+    assert blocks.count() == -(-size // (1 << 16)) > 8
+    used = blocks.mapInPandas(lambda frames: (f.assign(n=len(f))[["n"]] for f in frames if len(f)), "n long").count()
+    assert used > 1
+    got = read_split_records(spark, str(path), schema, block_bytes=1 << 16)
+    assert same_rows(got, read_json_records(spark, str(path), schema)) and got.count() == 4000
+
+
+def test_endings_compose():
+    rng = random.Random(5)
+    for seed in range(30):
+        data = json.dumps(document(seed, 2), ensure_ascii=seed % 2 == 0).encode()
+        cuts = sorted(rng.sample(range(len(data)), 6))
+        parts = [data[a:b] for a, b in zip([0, *cuts], [*cuts, len(data)])]
+        state, depth = OUTSIDE, 0
+        for part in parts:
+            ending = Ending.of(part)
+            state, depth = ending.state[state], depth + ending.depth[state]
+        assert (state, depth) == (OUTSIDE, 0)
+    assert Ending.of(b'a\\').state[INSIDE] == ESCAPED and Ending.of(b'"').state == (INSIDE, OUTSIDE, INSIDE)
+    assert Ending.of(b"").state == (OUTSIDE, INSIDE, ESCAPED)

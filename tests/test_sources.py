@@ -319,3 +319,33 @@ def test_digests_by_range(spark, tmp_path):
     odd = {(r.file_path.rsplit("/", 1)[1], r.range_no): r.action for r in found if r.action != "UNCHANGED"}
     assert odd == {("big", 2): "CHANGED", ("big", 10): "CHANGED", ("big", 11): "NEW", ("empty", 0): "REMOVED"}
     assert len(found) == 12 + 11 + 1
+
+
+# ------------------------------------------------- what readers leave out
+@pytest.mark.parametrize("quoting", [True, False])
+def test_extra_fields_are_counted_by_the_gate(spark, tmp_path, quoting):
+    from strata.operators.quality import quality_gate, quality_report
+    from strata.sources.delimited import NO_EXTRA_FIELDS, parse_delimited
+
+    schema = StructType([StructField(n, StringType()) for n in ("a", "b")])
+    lines = ["1\t2", "3", "4\t5\t6", "7\t8\t", "9\t10\t\t11", "12\t13\t14\t15"]
+    (tmp_path / "x").write_text("h1\th2\n" + "\n".join(lines) + "\n")
+    read = read_delimited(spark, str(tmp_path / "x"), schema, quoting=quoting, extra_col="extra_fields")
+    parsed = parse_delimited(spark.createDataFrame([(x,) for x in lines], "line string"), "line", schema, quoting=quoting, extra_col="extra_fields")
+    for df in (read, parsed):
+        assert [tuple(r) for r in quality_report(df, NO_EXTRA_FIELDS).collect()] == [("no_extra_fields", 6, 2)]
+        kept, dropped = quality_gate(df, NO_EXTRA_FIELDS)
+        assert sorted(r.a for r in kept.collect()) == ["1", "3", "7", "9"] and sorted(r.extra_fields for r in dropped.collect()) == ["14", "6"]
+    assert read_delimited(spark, str(tmp_path / "x"), schema, quoting=quoting).columns == ["a", "b"]
+
+
+def test_unreadable_documents_are_named(spark, tmp_path):
+    from strata.sources.json_records import unreadable_documents
+
+    texts = {"good": '{"data": [{"x": 1}]}', "broken": '{"data": [{"x": 1}', "none": '{"other": 1}', "empty": '{"data": []}', "null": '{"data": null}'}
+    for name, text in texts.items():
+        (tmp_path / name).write_text(text)
+    schema = StructType.fromDDL("data array<struct<x: long>>")
+    got = {r.file_path.rsplit("/", 1)[1]: r.reason for r in unreadable_documents(spark, str(tmp_path), schema).collect()}
+    assert got == {"broken": "malformed", "none": "no records", "empty": "no records", "null": "no records"}
+    assert read_json_records(spark, str(tmp_path), schema).count() == 1
