@@ -54,6 +54,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     kept = near_duplicates(plain, id_col=key, text_col=text).filter("kept").select(F.col("doc_id").alias(key)).distinct()
     own = plain.join(kept, key, "left_semi")
     others = [c for c in plain.columns if c not in (key, text)]
+    if not others:
+        return own.distinct().union(plain.filter(F.col(key).isNull())).toDF(*docs.columns)
     once = own.groupBy(key, text).agg(F.min(F.struct(*others)).alias("__first")).select(
         *[F.col(c) if c in (key, text) else F.col(f"__first.{c}").alias(c) for c in plain.columns]
     )

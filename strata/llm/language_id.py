@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from strata.llm.common import with_package
 from strata.llm.kernels import LOWER, slices
@@ -155,33 +155,39 @@ def identify(docs: DataFrame, model: Mixture, keep: list[str], text_col: str = "
     ones. A text that is null or has no letter is ``und`` with score 0.
     """
     with_package(docs.sparkSession)
-    carried = [c for c in keep if c != text_col]  # the text goes to the workers once
-    rows = docs.select(*[F.col(c).alias(f"k{i}") for i, c in enumerate(carried)], F.col(text_col).alias("__text"))
-    back = [StructField("__text", StringType())] if text_col in keep else []
-    found = [StructField("lang_pred", StringType()), StructField("score", DoubleType()), StructField("languages", StringType())]
-    schema = StructType([*rows.schema.fields[:-1], *back, *found])
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    # an expression on the text alone: the text goes to the workers, only the answer comes back
+    @F.arrow_udf(_JUDGED)
+    def judged(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = shared.value
-        names = np.array([*model.langs, "und"], object)
-        for batch in batches:
-            for part in slices(batch, "__text", SLICE_BYTES):
-                texts = part.column("__text").to_pylist()
-                real = np.array([t is not None and bool(_LETTER.search(t)) for t in texts], bool)
-                pi = model.proportions([t.encode() if ok else b"" for t, ok in zip(texts, real)])
-                real &= pi.sum(1) > 0 if pi.shape[1] else False
-                top = np.where(real, pi.argmax(1) if pi.shape[1] else 0, len(names) - 1)
-                score = np.where(real, pi.max(1) if pi.shape[1] else 0.0, 0.0)
-                also = [",".join(names[:-1][row > 0]) if ok else "" for row, ok in zip(pi, real)]
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns[: len(part.columns) - (not back)], pa.array(names[top].tolist(), pa.string()), pa.array(np.clip(score, 0, 1)), pa.array(also, pa.string())],
-                    names=schema.names,
-                )
-
-    out = rows.mapInArrow(run, schema)
-    place = {c: f"k{i}" for i, c in enumerate(carried)} | {text_col: "__text"}
-    return out.select(*[F.col(place[c]).alias(c) for c in keep], "lang_pred", "score", "languages")
+        for column in texts:
+            batch = pa.RecordBatch.from_arrays([column], names=["text"])
+            parts = [_judge(model, part.column(0).to_pylist()) for part in slices(batch, "text", SLICE_BYTES)]
+            yield pa.concat_arrays(parts) if parts else _judge(model, [])
+
+    # not evaluated again below a filter on its result
+    answer = judged.asNondeterministic()(F.col(text_col))
+    out = docs.select(*[F.col(c) for c in keep], answer.alias("__judged"))
+    return out.select(*keep, "__judged.lang_pred", "__judged.score", "__judged.languages")
+
+
+_JUDGED = "lang_pred string, score double, languages string"
+
+
+def _judge(model: Mixture, texts: list[str | None]) -> pa.StructArray:
+    """lang_pred, score and languages of each text."""
+    names = np.array([*model.langs, "und"], object)
+    real = np.array([t is not None and bool(_LETTER.search(t)) for t in texts], bool)
+    pi = model.proportions([t.encode() if ok else b"" for t, ok in zip(texts, real)])
+    real &= pi.sum(1) > 0 if pi.shape[1] else False
+    top = np.where(real, pi.argmax(1) if pi.shape[1] else 0, len(names) - 1)
+    score = np.where(real, pi.max(1) if pi.shape[1] else 0.0, 0.0)
+    also = [",".join(names[:-1][row > 0]) if ok else "" for row, ok in zip(pi, real)]
+    return pa.StructArray.from_arrays(
+        [pa.array(names[top].tolist(), pa.string()), pa.array(np.clip(score, 0, 1)), pa.array(also, pa.string())],
+        names=["lang_pred", "score", "languages"],
+    )
 
 
 def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Mixture:
