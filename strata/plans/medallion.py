@@ -244,6 +244,14 @@ def gold_series_with_population(
     return out.select("year", "series_id", "period", F.col("value").alias("bls_value"), "population")
 
 
+#: Code tables of at most this many rows, counted from their file footers, are broadcast by ``run_medallion``.
+CODE_ROWS = 10_000
+
+
+def _small(codes: DataFrame) -> DataFrame:
+    return F.broadcast(codes) if codes.count() <= CODE_ROWS else codes
+
+
 @dataclass
 class MedallionResult:
     tables: dict[str, DataFrame]
@@ -265,12 +273,16 @@ def run_medallion(
     trim_before_gate: bool = False,
     exact_sums: bool = False,
     reject_extra_fields: bool = False,
+    series_buckets: int | None = None,
 ) -> MedallionResult:
     """Publish bronze, silver and gold tables in order; return them and the
     per-rule drop counts gathered while the silver tables were written.
 
     ``reject_extra_fields`` drops and counts observation lines of more fields than
-    the layout has; without it the fields beyond are passed by."""
+    the layout has; without it the fields beyond are passed by. ``series_buckets``
+    deals observations and series into that many buckets by series, so that the
+    sums by series and year and the join with the series need no exchange; leave
+    it off where one series holds a large share of the observations."""
     db = lambda n: f"{database}.{n}"
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     out: dict[str, DataFrame] = {}
@@ -287,6 +299,7 @@ def run_medallion(
     # Observations by period code (five values): question 3 reads one folder,
     # question 2 skips the annual-average folder.
     layout = {"silver_observations": ("period",)}
+    buckets = dict.fromkeys(("silver_observations", "silver_series"), (series_buckets, "series_id")) if series_buckets else {}
     frames, counted = {}, {}
     for name, df in silver.tables.items():
         if rules := silver.rules.get(name):
@@ -294,7 +307,7 @@ def run_medallion(
             df = silver.after.get(name, lambda df: df)(kept)
         frames[name] = df
     layer({
-        name: (lambda name=name, df=df: publish(df, db(name), SILVER_COMMENTS[name], partition_by=layout.get(name, ())))
+        name: (lambda name=name, df=df: publish(df, db(name), SILVER_COMMENTS[name], partition_by=layout.get(name, ()), bucket_by=buckets.get(name)))
         for name, df in frames.items()
     })
     quality = {name: {k: int(v) for k, v in obs.get.items()} for name, obs in counted.items()}
@@ -305,8 +318,8 @@ def run_medallion(
     gold = {
         "gold_range_stats": gold_range_stats(population, *years),
         "gold_best_year": gold_best_year(
-            out["silver_observations"], out["silver_series"], out["silver_sector"], out["silver_class"],
-            out["silver_measure"], out["silver_duration"], out["silver_seasonal"], exact=exact_sums,
+            out["silver_observations"], out["silver_series"],
+            *[_small(out[f"silver_{code}"]) for code in ("sector", "class", "measure", "duration", "seasonal")], exact=exact_sums,
         ),
         "gold_series_with_population": gold_series_with_population(out["silver_observations"], population, series_id, period),
     }

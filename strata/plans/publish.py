@@ -37,7 +37,8 @@ def current_version(spark: SparkSession, name: str) -> str | None:
 
 
 def publish(
-    df: DataFrame, name: str, comment: str = "", fmt: str = "parquet", partition_by: tuple[str, ...] = ()
+    df: DataFrame, name: str, comment: str = "", fmt: str = "parquet", partition_by: tuple[str, ...] = (),
+    bucket_by: tuple[int, str] | None = None,
 ) -> DataFrame:
     """Write ``df`` as the new version of the fully recomputed table ``name`` and return the table.
 
@@ -48,15 +49,20 @@ def publish(
 
     ``partition_by`` lays the table out in folders by low-cardinality columns
     (no shuffle: each task writes its rows to their folders), so readers that
-    filter on them prune whole folders.
+    filter on them prune whole folders. ``bucket_by=(n, column)`` deals the rows into
+    ``n`` buckets, one task a bucket: readers that group or join by the column,
+    with a table of as many buckets, need no exchange. A value that holds a large
+    share of the rows makes one large bucket, so it is for columns without one.
     """
     spark = df.sparkSession
     database, table = _split(name)
     before = current_version(spark, name)
     version = f"{database}{VERSION_PREFIX}{table}_{uuid.uuid4().hex}"
-    writer = df.write.mode("errorifexists").format(fmt)
+    writer = (df.repartition(*bucket_by) if bucket_by else df).write.mode("errorifexists").format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+    if bucket_by:
+        writer = writer.bucketBy(*bucket_by).sortBy(bucket_by[1])
     writer.saveAsTable(version)
     if comment:
         spark.sql(f"COMMENT ON TABLE {version} IS '{_quoted(comment)}'")

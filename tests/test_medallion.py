@@ -3,6 +3,7 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from strata.plans.medallion import run_medallion
 
@@ -71,6 +72,7 @@ def result(spark, tmp_path_factory):
     out = run_medallion(spark, *roots, database="medallion_test",
                          reject_nan=True, trim_before_gate=True, exact_sums=True)
     out.plain = plain
+    out.roots = roots
     return out
 
 
@@ -156,3 +158,31 @@ def test_plain_run_keeps_what_the_rules_keep(spark, result):
 def test_every_published_table_has_a_comment(spark, result):
     for t in spark.catalog.listTables("medallion_test"):
         assert spark.catalog.getTable(f"medallion_test.{t.name}").description, t.name
+
+
+def test_bucketed_silver_needs_no_exchange_of_observations(spark, result, capsys):
+    from strata.operators.quality import same_rows
+    from strata.plans.medallion import gold_best_year
+
+    out = run_medallion(spark, *result.roots, database="medallion_buckets", reject_nan=True, trim_before_gate=True, exact_sums=True, series_buckets=4)
+    assert same_rows(out.tables["gold_best_year"], result.tables["gold_best_year"]) and out.quality == result.quality
+    dims = [F.broadcast(out.tables[f"silver_{c}"]) for c in ("sector", "class", "measure", "duration", "seasonal")]
+    gold_best_year(out.tables["silver_observations"], out.tables["silver_series"], *dims, exact=True).explain()
+    plan = capsys.readouterr().out
+    assert "Exchange hashpartitioning" not in plan and "Exchange rangepartitioning" not in plan and "Bucketed: true" in plan
+    # without buckets the sums are dealt once by series and year, and once by series
+    gold_best_year(result.tables["silver_observations"], result.tables["silver_series"], *dims, exact=True).explain()
+    assert "Exchange hashpartitioning" in capsys.readouterr().out
+
+
+def test_lines_of_too_many_fields_are_counted_and_dropped(spark, result, tmp_path):
+    import shutil
+
+    series = tmp_path / "series"
+    shutil.copytree(result.roots[0], series)
+    with open(series / "pr.data.1.AllData", "a") as f:
+        f.write("PRS30006032\t2021\tQ02\t9.0\t\tstray\n")
+    out = run_medallion(spark, str(series), result.roots[1], database="medallion_extra", reject_nan=True, reject_extra_fields=True)
+    assert out.quality["silver_observations"] == {"rows": 15, "failed_valid_observation": 3, "failed_not_nan": 1, "failed_no_extra_fields": 1}
+    assert out.tables["silver_observations"].columns == result.tables["silver_observations"].columns
+    assert out.tables["silver_observations"].count() == result.tables["silver_observations"].count()
