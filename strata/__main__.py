@@ -42,6 +42,8 @@ def _medallion(spark: SparkSession, args) -> dict:
         exact_sums=args.exact_sums,
         reject_nan=args.reject_nan,
         trim_before_gate=args.trim_before_gate,
+        reject_extra_fields=args.reject_extra_fields,
+        series_buckets=args.series_buckets,
     )
     return {"tables": sorted(result.tables), "quality": result.quality}
 
@@ -49,11 +51,11 @@ def _medallion(spark: SparkSession, args) -> dict:
 def _ingest(spark: SparkSession, args) -> dict:
     pages = spark.read.text(args.listing, wholetext=True)
     inventory = parse_listing(pages, "value", args.base_url, args.prefix)
-    landed = read_landed(spark, args.landed_dir).select("file_name", "length", "modification_time")
+    landed = read_landed(spark, args.landed_dir).select("file_name", "relative_path", "length", "modification_time")
     now = datetime.fromisoformat(args.now) if args.now else None
     counts = incremental_ingest(
         spark, inventory, landed, args.log_table, args.source, args.landed_dir, now,
-        reappeared=args.reappeared, state_table=args.state_table,
+        reappeared=args.reappeared, state_table=args.state_table, run_id=args.run_id,
     )
     return {row["action"]: row["n"] for row in counts.orderBy(F.col("action")).collect()}
 
@@ -80,6 +82,9 @@ def main(argv: list[str] | None = None) -> dict:
     m.add_argument("--reject-nan", action="store_true", help="drop and count NaN observations")
     m.add_argument("--trim-before-gate", action="store_true", help="trim the nation before it is compared")
 
+    m.add_argument("--reject-extra-fields", action="store_true", help="drop and count observation lines of too many fields")
+    m.add_argument("--series-buckets", type=int, default=None, help="deal observations and series into buckets by series")
+
     i = sub.add_parser("ingest", help="one incremental landing step against the log table")
     i.add_argument("--listing", required=True, help="listing page file(s), read whole")
     i.add_argument("--base-url", required=True)
@@ -91,6 +96,8 @@ def main(argv: list[str] | None = None) -> dict:
     i.add_argument("--reappeared", action="store_true", help="re-land removed files that come back unchanged")
     i.add_argument("--state-table", default=None, help="keep a compacted log here; runs read it, not the history")
 
+    i.add_argument("--run-id", default=None, help="id of the job run: repeated after its commit it writes nothing")
+
     args = parser.parse_args(argv)
     spark = _session(args)
     out = _medallion(spark, args) if args.command == "medallion" else _ingest(spark, args)
