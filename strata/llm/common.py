@@ -34,7 +34,7 @@ def with_package(spark: SparkSession) -> None:
     paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
     if root not in paths:
         env["PYTHONPATH"] = os.pathsep.join([root, *paths])
-    if spark.conf.get(_BATCH_SETTING, None) == _BATCH_DEFAULT:
+    if spark.conf.get(_BATCH_SETTING) == _BATCH_DEFAULT:
         spark.conf.set(_BATCH_SETTING, str(BATCH_BYTES))
 
 
