@@ -181,10 +181,10 @@ def same_rows(a: DataFrame, b: DataFrame) -> bool:
 
 def compare_rows(a: DataFrame, b: DataFrame) -> DataFrame:
     """``(n_left, n_right, same)`` in one row: the comparison of ``same_rows`` as a frame."""
-    left, right = _alike(a, b)
-    left, right = fingerprint(left, "l_").withColumn("__one", F.lit(1)), fingerprint(right, "r_").withColumn("__one", F.lit(1))
-    equal = reduce(lambda x, y: x & y, [F.col(f"l_{c}") == F.col(f"r_{c}") for c in ("n", "h0", "h1", "h2", "h3")])
-    return left.join(right, "__one").select(F.col("l_n").alias("n_left"), F.col("r_n").alias("n_right"), equal.alias("same"))
+    left, right = (fingerprint(df).withColumn("__side", F.lit(side)) for side, df in enumerate(_alike(a, b)))
+    count = lambda side: F.max(F.when(F.col("__side") == side, F.col("n")))
+    prints = F.count_distinct("n", "h0", "h1", "h2", "h3")
+    return left.unionByName(right).agg(count(0).alias("n_left"), count(1).alias("n_right"), (prints == 1).alias("same"))
 
 
 def row_differences(a: DataFrame, b: DataFrame, side_col: str = "side") -> DataFrame:
