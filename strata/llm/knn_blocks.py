@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from strata.llm.common import fresh, with_package
-from strata.llm.vectors import matrix, unit, usable
+from strata.llm.vectors import matrix, shifted, unit, usable
 
 _OUT = StructType([StructField("query_id", LongType()), StructField("vec_id", LongType()), StructField("score", DoubleType())])
 #: Room for the rounding of double arithmetic in the bounds.
@@ -41,6 +41,7 @@ def tile_nearest(query: np.ndarray, qid: np.ndarray, cand: np.ndarray, cid: np.n
     largest lower bound of its query.
     """
     ux, uy = unit(query), unit(cand)
+    query_rows, cand_rows = shifted(query), shifted(cand)
     (qx, sx, rx), (qy, sy, ry) = quantised(ux), quantised(uy)
     # sums of int8 products up to this dimension are whole numbers that float32 holds exactly
     kind = np.float32 if query.shape[1] * 127 * 127 < 1 << 24 else np.float64
@@ -55,7 +56,7 @@ def tile_nearest(query: np.ndarray, qid: np.ndarray, cand: np.ndarray, cid: np.n
         bar = np.partition(low, -k, axis=1)[:, -k] if low.shape[1] > k else np.full(b - a, -np.inf)
         alive = (near + off >= bar[:, None]) & ~own
         i, j = np.nonzero(alive)
-        x, y = query[a + i], cand[j]
+        x, y = query_rows[a + i], cand_rows[j]
         dot = np.einsum("ij,ij->i", x, y)
         score = dot / (np.sqrt(np.einsum("ij,ij->i", x, x)) * np.sqrt(np.einsum("ij,ij->i", y, y)))
         cut = np.searchsorted(i, np.arange(b - a + 1))
@@ -76,6 +77,8 @@ def nearest(
     out pairs that cannot be among the k nearest. Vectors that are null, zero or
     hold a null or non-finite component take no part, and vectors are compared
     with vectors of the same length only. Rows with a null id take no part.
+    Vectors of very large or very small components are scored like any others: a
+    vector's scale does not change its cosines.
     Repeated rows of one id are further candidates with that id. Empty tables
     give no rows; other columns are not read.
 

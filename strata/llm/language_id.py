@@ -198,6 +198,7 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
 def language_id(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """Predict the language of every row: doc_id, held_out, lang_pred, score, languages.
 
+    Texts of any length are judged whole, each by one task.
     Null, empty and letterless texts are ``und``. Rows without a label are not
     learned from; without any labelled row every text is ``und``. Repeated rows
     count as often as they occur; an empty table gives no rows; other columns

@@ -264,6 +264,7 @@ def near_duplicates(docs: DataFrame, share: int = 75, id_col: str = "doc_id", te
     No bucket is capped. A pair at the threshold shares no band with chance
     (1 - 0.75**3)**24 < 3e-6, and less above it; links are confirmed on full sets.
 
+    Texts of any length are shingled whole.
     Null, empty and blank texts have no shingles and no links; their component
     is their own id. Rows with a null id are linked with nothing (component
     null, not kept). Rows of one id count as one document with several texts.

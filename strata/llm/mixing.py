@@ -47,6 +47,17 @@ def _quotient(x: Column, by: Column) -> Column:
     return F.call_function("div", x, by)
 
 
+#: Column names that ``mix_sources`` uses for itself.
+TAKEN = frozenset(
+    "mix_class mix_size mix_block mix_release mix_deadline mix_slot mix_start __mix_check __mix_unit __mix_id "
+    "__bucket __group __sum __base __in __offset __local".split()
+)
+
+
+def taken(docs: DataFrame) -> list[str]:
+    return [c for c in docs.columns if c.lower() in TAKEN]
+
+
 def mix_sources(
     docs: DataFrame, weights: dict[str, int], block_bytes: int = 16_384, id_col: str = "doc_id",
     source_col: str = "source", text_col: str = "text",
@@ -55,7 +66,7 @@ def mix_sources(
 
     ``weights`` maps a source to whole weight units; ``"*"`` stands for all
     sources it does not name, null included (weight 1 if not given). A source's
-    rows, in the order of hash buckets of their ids, form one stream of bytes
+    rows, in the order of hash buckets of their id, size and checksum, form one stream of bytes
     (UTF-8 text plus 1), cut into blocks of ``block_bytes``; a row belongs to
     the block in which it starts. At every slot boundary each source that still
     has rows is less than one block away from its share (plus the row that
@@ -65,9 +76,11 @@ def mix_sources(
     Adds mix_class, mix_size, mix_block, mix_release, mix_deadline, mix_slot and
     mix_start (its first byte in its source's stream) to the given columns.
     Equal ids are ranked by their size and checksum. Empty tables give no rows;
-    null texts have size 1. The columns ``mix_*`` replace ones of the same name.
+    null texts have size 1; a text of any length is one row of its whole size. The
+    columns added replace ones of the same name, in any case; columns named like
+    the helpers in ``TAKEN`` do not come along; all others do.
     """
-    rows = docs.drop(*[c for c in docs.columns if c.startswith(("mix_", "__"))])
+    rows = docs.drop(*taken(docs))
     return scheduled(rows.withColumns(mix_columns(weights, id_col, source_col, text_col)), weights, block_bytes)
 
 
@@ -77,8 +90,8 @@ def mix_columns(weights: dict[str, int], id_col: str = "doc_id", source_col: str
     return {
         "mix_class": F.when(F.col(source_col).isin(named), F.col(source_col)).otherwise(F.lit(REST)) if named else F.lit(REST),
         "mix_size": (F.coalesce(F.octet_length(F.col(text_col)), F.lit(0)) + 1).cast("long"),
-        "mix_check": F.xxhash64(F.col(text_col)),
-        "mix_id": F.col(id_col),
+        "__mix_check": F.xxhash64(F.col(text_col)),
+        "__mix_id": F.col(id_col),
     }
 
 
@@ -89,18 +102,18 @@ def scheduled(rows: DataFrame, weights: dict[str, int], block_bytes: int = 16_38
     total = sum(units.values())
     period = pfair_period(units)
     rows = running_number(
-        rows, ["mix_id", "mix_size", "mix_check"], "mix_start", within=["mix_class"], deal=["mix_id"], weight="mix_size"
+        rows, ["__mix_id", "mix_size", "__mix_check"], "mix_start", within=["mix_class"], weight="mix_size"
     )
     table = lambda i: F.create_map(*[x for s, blocks in period.items() for x in (F.lit(s), F.array(*[F.lit(b[i]) for b in blocks]))])
     unit = F.create_map(*[x for s, u in units.items() for x in (F.lit(s), F.lit(u).cast("long"))])
     rows = rows.withColumns({
         "mix_block": _quotient(F.col("mix_start"), F.lit(block_bytes).cast("long")),
-        "mix_unit": F.element_at(unit, F.col("mix_class")),
+        "__mix_unit": F.element_at(unit, F.col("mix_class")),
     })
-    turn = (F.pmod("mix_block", "mix_unit") + 1).cast("int")
-    at = _quotient(F.col("mix_block"), F.col("mix_unit")) * F.lit(total).cast("long")
+    turn = (F.pmod("mix_block", "__mix_unit") + 1).cast("int")
+    at = _quotient(F.col("mix_block"), F.col("__mix_unit")) * F.lit(total).cast("long")
     own = lambda i: at + F.element_at(F.element_at(table(i), F.col("mix_class")), turn)
-    return rows.withColumns({"mix_slot": own(0), "mix_release": own(1), "mix_deadline": own(2)}).drop("mix_check", "mix_unit", "mix_id")
+    return rows.withColumns({"mix_slot": own(0), "mix_release": own(1), "mix_deadline": own(2)}).drop("__mix_check", "__mix_unit", "__mix_id")
 
 
 def stream_positions(mixed: DataFrame, weights: dict[str, int], block_bytes: int = 16_384) -> DataFrame:

@@ -24,7 +24,7 @@ from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField, St
 
 from strata.llm.common import checkpointed, running_number, with_package
 from strata.llm.kernels import slices
-from strata.llm.mixing import mix_columns, scheduled, stream_positions
+from strata.llm.mixing import mix_columns, scheduled, stream_positions, taken
 
 SLICE_BYTES = 1 << 20
 CACHED_WORDS = 500_000
@@ -225,14 +225,15 @@ def harmonic_pack(
     Strings of the tokenizer's added tokens are ids of letters; without
     ``added_as_text`` they are the tokens' own ids, the tokenizer file's default.
 
-    Null and empty texts are documents of one token. Repeated rows are packed
+    Null and empty texts are documents of one token; a text of any length is
+    tokenized whole by one task and cut into as many pieces as it needs. Repeated rows are packed
     like any others. An empty table gives no rows; other columns are not read.
     """
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", *(["ids"] if with_ids else [])]
     place: list[str] = []
     if weights is not None:
-        place = ["__row", "mix_class", "mix_size", "mix_check", "mix_id"]
-        clear = docs.drop(*[c for c in docs.columns if c.startswith(("mix_", "__"))])
+        place = ["__row", "mix_class", "mix_size", "__mix_check", "__mix_id"]
+        clear = docs.drop(*taken(docs))
         docs = clear.withColumns({"__row": F.monotonically_increasing_id(), **mix_columns(weights, id_col, source_col, text_col)})
     cutup = checkpointed(pieces(
         docs, tokenizer, end_id=end_id, capacity=capacity, slack=slack, with_ids=with_ids, id_col=id_col, text_col=text_col, keep=place,
@@ -253,7 +254,7 @@ def harmonic_pack(
     table = lambda values: F.element_at(F.create_map(*[x for k, v in values.items() for x in (F.lit(k), F.lit(v).cast("long"))]), F.col("size"))
     near = lambda c: F.call_function("div", F.col(c), F.lit(ORDERED_ROWS).cast("long"))
     if weights is None:
-        rows = running_number(cutup, ["doc_id", "start", "ids_crc32"], "__rank", within=["size"], deal=["doc_id", "start"])
+        rows = running_number(cutup, ["doc_id", "start", "ids_crc32"], "__rank", within=["size"])
     else:
         rows = running_number(cutup, ["mix_position", "start"], "__rank", within=["size"], bucket=near("mix_position"))
     rows = rows.withColumn("__full", F.col("__rank") < table(full))

@@ -76,8 +76,9 @@ def op11_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
-    shifted = F.when(F.pmod("vec_id", F.lit(7)) == 0, F.pmod(F.col("label") + 1, F.lit(10))).otherwise(F.col("label"))
-    return hard_negatives(read_table(spark, sf_dir, "embeddings"), F.pmod("vec_id", F.lit(100)) == 0, label=shifted)
+    label = F.col("label").cast("long")
+    moved = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    return hard_negatives(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label=moved)
 
 
 def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -80,9 +80,10 @@ def shard_rows(docs: DataFrame, shards: int = 8, seed: int = 20261202, id_col: s
     text_crc32 (null text: 0), law (always ``rows``), shard, slot (gapless from
     0 in its shard), grown_shard (always null, it belongs to law ``key``).
 
-    Row numbers run over hash buckets of the id (``running_number``), so no
-    task ranks all rows. Equal ids are ranked by checksum and size; rows equal
-    in all of these are interchangeable. Null ids count as one more id value.
+    Row numbers run over hash buckets of id, checksum and size
+    (``running_number``), so neither all rows nor those of one id are ranked in
+    one task. Rows equal in all of these are interchangeable. Texts of any length
+    are read whole, for their checksum. Null ids count as one more id value.
     An empty table gives no rows. Columns other than id and text are not read.
     """
     rows = docs.select(
@@ -91,7 +92,7 @@ def shard_rows(docs: DataFrame, shards: int = 8, seed: int = 20261202, id_col: s
         F.coalesce(F.crc32(F.col(text_col).cast("binary")), F.lit(0)).cast("long").alias("text_crc32"),
     )
     n = docs.count()
-    numbered = running_number(rows, ["doc_id", "text_crc32", "size"], "row", deal=["doc_id"])
+    numbered = running_number(rows, ["doc_id", "text_crc32", "size"], "row")
     place = permuted(F.col("row"), n, seed)
     return numbered.withColumn("place", place).select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"),

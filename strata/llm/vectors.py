@@ -22,6 +22,16 @@ def matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
     return flat.reshape(len(column), -1) if len(column) else flat.reshape(0, 0)
 
 
+def shifted(rows: np.ndarray) -> np.ndarray:
+    """Rows times a power of two that brings their largest component between 1/2 and 1.
+
+    No digit of a normal number changes, and no square over- or underflows.
+    """
+    if not rows.size:
+        return rows
+    return np.ldexp(rows, -np.frexp(np.abs(rows).max(1, keepdims=True))[1])
+
+
 def unit(rows: np.ndarray) -> np.ndarray:
     """Rows scaled to length 1 (largest component first, so that no square overflows)."""
     if not rows.size:

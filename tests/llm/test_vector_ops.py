@@ -103,3 +103,18 @@ def test_bounds_hold():
     (a, sa, ra), (b, sb, rb) = knn_blocks.quantised(x), knn_blocks.quantised(y)
     near = (a.astype(float) @ b.astype(float).T) * sa[:, None] * sb[None]
     assert (np.abs(near - x @ y.T) <= ra[:, None] + (1 + ra[:, None]) * rb[None] + 1e-12).all()
+
+
+@pytest.mark.parametrize("scale", [1e200, 1e-200, 3e-310, 1.0])
+def test_neighbours_of_extreme_components(spark, scale):
+    rng = np.random.default_rng(8)
+    base = rng.normal(size=(30, 6))
+    rows = [(i, [float(x) for x in v * (scale if i % 2 else 1.0)]) for i, v in enumerate(base)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = [(r.query_id, r.rank, r.vec_id, r.score) for r in knn_blocks.nearest(df, F.col("vec_id") % 10 == 0, 3).collect()]
+    x = base / np.linalg.norm(base, axis=1, keepdims=True)
+    for query in (0, 10, 20):
+        order = sorted((c for c in range(30) if c != query), key=lambda c: -(x[query] @ x[c]))[:3]
+        mine = sorted(r[1:] for r in got if r[0] == query)
+        assert [r[1] for r in mine] == order
+        assert all(abs(r[2] - x[query] @ x[r[1]]) < (1e-12 if scale != 3e-310 else 1e-3) for r in mine)
