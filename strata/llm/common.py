@@ -149,8 +149,10 @@ def components(edges: DataFrame) -> DataFrame:
     leads from a node straight to its root; no number of rounds is given up at.
 
     Smallest neighbours are kept before they are joined, so that adaptive
-    execution can split a node with very many edges.
+    execution can split a node with very many edges. Each round lets the shuffles
+    of the one before go, so that disk does not grow with the rounds.
     """
+    spark = edges.sparkSession
     edges = checkpointed(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     while True:
         low = _smallest(edges)
@@ -164,6 +166,8 @@ def components(edges: DataFrame) -> DataFrame:
         edges = checkpointed(
             tied.select("a", F.col("low").alias("b")).union(tied.filter("b <> low").select(F.col("b").alias("a"), F.col("low").alias("b"))).distinct()
         )
+        del low, up, tied
+        release(spark)
 
 
 def _smallest(edges: DataFrame) -> DataFrame:

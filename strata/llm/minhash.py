@@ -19,13 +19,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StructField, StructType
 
-from strata.llm.common import checkpointed, components, with_package
+from strata.llm.common import checkpointed, components, release, with_package
 from strata.llm.kernels import shingle_sets, slices, texts_of
 
 BAND_ROWS, BANDS = 3, 24
 REGISTERS = BAND_ROWS * BANDS
 MANTISSA = 10
-SLICE_BYTES = 2 << 20
+#: Text that is shingled at once; its arrays take about 65 times that.
+SLICE_BYTES = 256 << 10
 #: Members of a bucket that meet in one task; larger buckets are cut into blocks.
 BLOCK = 400
 _SEED = np.random.default_rng(41).integers(1, 2**63, (2, REGISTERS), dtype=np.uint64) | np.uint64(1)
@@ -245,6 +246,9 @@ def near_duplicates(docs: DataFrame, share: int = 75, id_col: str = "doc_id", te
        registers first, then full sets for all that stay promising. Tasks return
        spanning forests, never all pairs.
 
+    Frames that are read again are kept, and the shuffles they came from are
+    dropped at once, so that disk holds one step's shuffles besides them.
+
     No bucket is capped. A pair at the threshold shares no band with chance
     (1 - 0.75**3)**24 < 3e-6, and less above it; links are confirmed on full sets.
 
@@ -254,6 +258,7 @@ def near_duplicates(docs: DataFrame, share: int = 75, id_col: str = "doc_id", te
     null, not kept). Rows of one id count as one document with several texts.
     An empty table gives no rows; other columns are not read.
     """
+    spark = docs.sparkSession
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     sk = checkpointed(sketches(texts))
     classes = sk.filter("n_shingles > 0 and doc_id is not null").groupBy("digest").agg(
@@ -266,24 +271,30 @@ def near_duplicates(docs: DataFrame, share: int = 75, id_col: str = "doc_id", te
     centers = bands.groupBy("band").agg(F.min("rep").alias("center"), F.count(F.lit(1)).alias("k")).filter("k > 1").drop("k")
     # kept before the join, so that a hot bucket can be split there
     bucketed = checkpointed(bands.join(checkpointed(centers), "band"))
+    release(spark)
 
     # full sets of every document that shares a bucket: the text is dealt out once
     sharing = bucketed.select(F.col("rep").alias("doc_id")).distinct()
     sets = checkpointed(full_sets(texts.join(sharing, "doc_id", "left_semi")))
+    release(spark)
 
     star = bucketed.filter("rep <> center").select(F.col("rep").alias("a"), F.col("center").alias("b")).distinct()
     links = checkpointed(confirmed(promising(star, reps, share), sets, share).distinct())
+    release(spark)
 
     first = components(links).select(F.col("node").alias("rep"), "component")
     placed = bucketed.drop("center").join(first, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     placed = checkpointed(placed)
+    release(spark)
     open_bands = placed.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("band")
     members = placed.join(checkpointed(open_bands), "band")
     keys = ["band", "x", "y"]
-    crossing = stray_blocks(members, BLOCK, reps).groupBy(*keys).applyInArrow(_cross_candidates(share / 100), _MEMBER)
+    crossing = checkpointed(stray_blocks(members, BLOCK, reps).groupBy(*keys).applyInArrow(_cross_candidates(share / 100), _MEMBER).distinct())
+    release(spark)
     full = sets.withColumnRenamed("doc_id", "rep")
-    more = stray_blocks(crossing.distinct(), BLOCK, full).groupBy(*keys).applyInArrow(_exact_links(share), _EDGE)
-    comp = components(links.union(more.distinct())).select(F.col("node").alias("rep"), "component")
+    more = checkpointed(stray_blocks(crossing, BLOCK, full).groupBy(*keys).applyInArrow(_exact_links(share), _EDGE).distinct())
+    release(spark)
+    comp = components(links.union(more)).select(F.col("node").alias("rep"), "component")
 
     labelled = classes.select("digest", "rep").join(comp, "rep", "left").select("digest", F.coalesce("component", "rep").alias("component"))
     rows = sk.select("doc_id", "n_shingles", "digest", (F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0)).alias("real"))
