@@ -43,17 +43,22 @@ class Encoder:
     """Token ids of whole texts as little-endian 32-bit numbers.
 
     Words are encoded once and remembered, up to ``CACHED_WORDS``; then the
-    memory starts anew, which costs time only. Texts with any letter outside
+    memory starts anew, which costs time only. A word that is not one run of
+    letters is put together from its pre-tokens, which are remembered too. Texts with any letter outside
     the plain set go to the tokenizer whole, and so do those with the string of
     an added token unless ``added_as_text``: it is one id then, as the tokenizer
     file has it, and else the ids of its letters.
     """
 
     def __init__(self, path: str, added_as_text: bool = True):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = added_as_text
+        # words come in small letters that no normalisation changes, so theirs is left out
+        self.plain = Tokenizer.from_file(path)
+        self.plain.encode_special_tokens = added_as_text
+        self.plain.normalizer = normalizers.Sequence([])
         self.known: dict[str, bytes] = {}
         # in small letters, as words are looked up; the tokenizer itself decides on the case
         added = {t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()} - {""}
@@ -61,23 +66,29 @@ class Encoder:
         size = self.tokenizer.get_vocab_size()
         self.last = np.array([(self.tokenizer.id_to_token(i) or "").endswith("</w>") for i in range(size)])
 
-    def _encode(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.asarray(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def _encode(self, texts: list[str], plain: bool = False) -> list[np.ndarray]:
+        tokenizer = self.plain if plain else self.tokenizer
+        return [np.asarray(e.ids, "<u4") for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _encode_words(self, words: list[str]) -> list[bytes]:
-        """Ids of each word, from one text of all of them.
+    def _learn(self, words: list[str]) -> None:
+        """Remember the ids of each word: those of its pre-tokens, by the tokenizer's own split pattern.
 
-        Ids that end a pre-token tell where a word ends, as its pre-tokens are
-        counted by the tokenizer's own split pattern.
+        New pre-tokens are encoded as texts of 1000 of them; ids that end a
+        pre-token tell where it ends.
         """
-        ids = np.concatenate([np.zeros(0, "<u4"), *self._encode([" ".join(words[i : i + 1000]) for i in range(0, len(words), 1000)])])
-        stops = np.cumsum([len(_PRETOKEN.findall(w)) for w in words])
+        known = self.known
+        letters = [w for w in words if w.isalpha()]  # such a word is one pre-token
+        mixed = [w for w in words if not w.isalpha()]
+        split = [_PRETOKEN.findall(w) for w in mixed]
+        new = list(set(letters).union(*split).difference(known))
+        ids = np.concatenate([np.zeros(0, "<u4"), *self._encode([" ".join(new[i : i + 1000]) for i in range(0, len(new), 1000)], True)])
         ends = np.flatnonzero(self.last[ids]) + 1
-        if len(ends) != (stops[-1] if len(words) else 0):  # the patterns differ on some word
-            return [x.tobytes() for x in self._encode(words)]
-        at = [0, *ends[stops - 1].tolist()] if len(words) else [0]
-        data = ids.tobytes()
-        return [data[4 * a : 4 * b] for a, b in zip(at, at[1:])]
+        if len(ends) != len(new):  # the patterns differ on some word
+            known.update(zip(words, (x.tobytes() for x in self._encode(words))))
+            return
+        at, data = [0, *(4 * ends).tolist()], ids.tobytes()
+        known.update((w, data[a:b]) for w, a, b in zip(new, at, at[1:]))
+        known.update((w, b"".join(map(known.__getitem__, own))) for w, own in zip(mixed, split))
 
     def _words(self, text: str) -> list[str] | None:
         """The words of a text that may be encoded word by word."""
@@ -91,10 +102,9 @@ class Encoder:
         if len(self.known) > CACHED_WORDS:
             self.known = {}
         known = self.known
-        new = list({w for words in split if words for w in words if w not in known})
+        new = list(set().union(*filter(None, split)).difference(known))
         for at in range(0, len(new), 50_000):
-            part = new[at : at + 50_000]
-            known.update(zip(part, self._encode_words(part)))
+            self._learn(new[at : at + 50_000])
         whole = iter(self._encode([t for t, words in zip(texts, split) if words is None]))
         return [next(whole).tobytes() if words is None else b"".join(map(known.__getitem__, words)) for words in split]
 

@@ -1,0 +1,30 @@
+"""Words with and without punctuation share their pre-tokens, and the ids are the tokenizer's own."""
+
+import numpy as np
+import public_tokenizers
+from tokenizers import Tokenizer
+
+from strata.llm import packing
+
+VOCAB = public_tokenizers.path("word_bpe_49k.json")
+
+
+def test_pre_tokens_are_encoded_once(monkeypatch):
+    sent = []
+    encode = packing.Encoder._encode
+    monkeypatch.setattr(packing.Encoder, "_encode", lambda self, texts, *a: sent.extend(texts) or encode(self, texts, *a))
+    own = packing.Encoder(VOCAB, False)
+    texts = ["Hausbau hausbau. (hausbau, hausbau's", "hausbau!!! don't 12hausbau3 hausbau-hausbau"]
+    got = [np.frombuffer(x, "<u4").tolist() for x in own(texts)]
+    tok = Tokenizer.from_file(VOCAB)
+    assert got == [tok.encode(t, add_special_tokens=False).ids for t in texts]
+    assert " ".join(sent).split().count("hausbau") == 1
+
+
+def test_plain_letters_need_no_normaliser():
+    normaliser = Tokenizer.from_file(VOCAB).normalizer
+    plain = [chr(c) for c in range(0x21, 0x3000) if not packing._OTHER.search(chr(c))]
+    assert all(normaliser.normalize_str(c) == c.lower() for c in plain)
+    texts = ["".join(plain), " ".join(plain), "\t".join(plain[::-1]) + "\r\n\n ", " ".join(a + b for a in plain[::7] for b in plain[::5])]
+    own, tok = packing.Encoder(VOCAB, False), Tokenizer.from_file(VOCAB)
+    assert [np.frombuffer(x, "<u4").tolist() for x in own(texts)] == [tok.encode(t, add_special_tokens=False).ids for t in texts]
