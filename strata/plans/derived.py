@@ -255,11 +255,16 @@ CUSTOMERS_A_FILE = 1000
 
 
 def customer_files(path: str, customer: DataFrame) -> str:
-    """A folder with text files of customers' names, a line each, by key: a file for each nation and thousand keys."""
+    """A folder with text files of customers' names, a line each, by key: a file for each nation and thousand keys.
+
+    Tasks move their own files into place when they end; else the driver would
+    move every file, one after another, when all have ended.
+    """
     part = F.floor(F.col("c_custkey") / CUSTOMERS_A_FILE).alias("part")
     lines = customer.select(F.col("c_nationkey").alias("nation"), part, "c_custkey", F.col("c_name").alias("value"))
     ordered = lines.repartition("nation", "part").sortWithinPartitions("nation", "part", "c_custkey")
-    ordered.select("nation", "part", "value").write.partitionBy("nation", "part").text(path)
+    writer = ordered.select("nation", "part", "value").write.option("mapreduce.fileoutputcommitter.algorithm.version", 2)
+    writer.partitionBy("nation", "part").text(path)
     return path
 
 
