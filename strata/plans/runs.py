@@ -163,9 +163,15 @@ class BucketedState:
         return log.filter(F.col("attempt").isin([r.attempt for r in later])) if later else None
 
     def write(self, rows: DataFrame, touched: list[int], attempt: str) -> None:
-        """New versions of the ``touched`` buckets, one task a bucket; unseen before the commit that names them."""
+        """New versions of the ``touched`` buckets; unseen before the commit that names them.
+
+        Buckets are parted by file name into about as many tasks as a shuffle has, so
+        few large buckets keep all cores busy; each task writes a file.
+        """
+        tasks = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        part = F.pmod(F.xxhash64("file_name", F.lit(11)), F.lit(max(1, tasks // len(touched))))
         out = rows.withColumn("bucket", self.bucket()).filter(F.col("bucket").isin(touched)).withColumn("attempt", F.lit(attempt))
-        out.repartition("bucket").write.mode("append").format("parquet").partitionBy("source", "bucket", "attempt").saveAsTable(self.table)
+        out.repartition("bucket", part).write.mode("append").format("parquet").partitionBy("source", "bucket", "attempt").saveAsTable(self.table)
 
     def vacuum(self) -> None:
         """Drop versions that no commit keeps live. Only the one writer reads the state, so none is in use."""
