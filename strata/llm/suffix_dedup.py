@@ -42,7 +42,10 @@ PERIOD = 21
 #: A perfect difference set modulo 21: every remainder is a difference of two of its members.
 COVER = (0, 1, 4, 14, 16)
 CHUNK_BYTES = 4 << 20
-SLICE_BYTES = 1 << 20
+#: Text whose windows are named at once; its arrays take about 60 times that.
+SLICE_BYTES = 1 << 18
+#: Names that are sorted at once; more are sorted range by range, so that arrays beside the names stay small.
+SORT_NAMES = 1 << 18
 #: Chunks, handled one by one, that share a partition where that makes more partitions than Spark is set to.
 TASK_CHUNKS = 32
 #: Names that one bucket task sorts, about.
@@ -79,22 +82,40 @@ class Names:
     """64-bit names of windows of one run of bytes: polynomial hashes from running sums."""
 
     def __init__(self, buf: np.ndarray):
-        power, self.inverse = _powers(1 << max(20, len(buf).bit_length()))
+        power, self.inverse = _powers(1 << max(SLICE_BYTES.bit_length(), len(buf).bit_length()))
         self.sums = np.zeros(len(buf) + 1, np.uint64)
-        np.cumsum(_BYTE[buf] * power[: len(buf)], out=self.sums[1:])
+        np.multiply(_BYTE[buf], power[: len(buf)], out=self.sums[1:])
+        np.cumsum(self.sums[1:], out=self.sums[1:])
 
     def at(self, start: np.ndarray, width: int) -> np.ndarray:
         return mix64((self.sums[start + width] - self.sums[start]) * self.inverse[start])
 
 
+def ranges(name: np.ndarray) -> Iterator[np.ndarray]:
+    """Where the names of each range lie, ranges in order, of about ``SORT_NAMES`` names each (names are hashes)."""
+    parts = -(-len(name) // SORT_NAMES)
+    if parts <= 1:
+        yield np.arange(len(name))
+        return
+    step = int(name.max()) // parts + 1
+    part = (name // np.uint64(step)).astype(np.int32)
+    for k in range(parts):
+        yield np.flatnonzero(part == k)
+
+
 def distinct(name: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Sorted distinct names with the smallest and largest rank of each."""
+    found = [_distinct(name[at], rank[at]) for at in ranges(name)]
+    return tuple(np.concatenate(x) for x in zip(*found))
+
+
+def _distinct(name: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     if not len(name):
         return name, rank, rank
     room = int(rank.max()).bit_length()
     if int(name.max()).bit_length() + room <= 64:  # both in one word, which sorts fastest
         both = np.sort((name << np.uint64(room)) | rank.astype(np.uint64))
-        name, rank = both >> np.uint64(room), (both & np.uint64((1 << room) - 1)).astype(np.int64)
+        name, rank = both >> np.uint64(room), (both & np.uint64((1 << room) - 1)).astype(np.int32)
     else:
         order = np.lexsort((rank, name))
         name, rank = name[order], rank[order]
@@ -133,7 +154,7 @@ class Chunk:
         self.known = ~np.asarray(pc.is_null(ids))
         number = np.asarray(pc.fill_null(ids, 0))
         self.copy = np.isin(number, copies) & self.known
-        self.rank = np.unique(number, return_inverse=True)[1]
+        self.rank = np.unique(number, return_inverse=True)[1].astype(np.int32)
         self.told = {(int(k), int(b)): v for k, b, v in zip(kind, told.column("bucket").to_pylist(), told.column("bits").to_pylist()) if k != COPY}
 
     def slices(self) -> Iterator[tuple[list[int], np.ndarray, np.ndarray]]:
@@ -164,8 +185,9 @@ class Chunk:
 
     def cover_names(self) -> tuple[np.ndarray, np.ndarray]:
         """Distinct cover names, and whether several documents of this chunk hold them."""
-        found = [(name, self.rank[rows][which]) for rows, buf, begin in self.slices() for _, which, name in [self._cover(Names(buf), begin)]]
-        name, low, high = distinct(*_joined(found))
+        name, low, high = distinct(*_joined(
+            [(name, self.rank[rows][which]) for rows, buf, begin in self.slices() for _, which, name in [self._cover(Names(buf), begin)]]
+        ))
         return name, low != high
 
     def _said(self, kind: int, names: np.ndarray, step: int) -> np.ndarray:
@@ -210,7 +232,7 @@ class Chunk:
             which = np.searchsorted(begin, pos, "right") - 1
             whole = pos + self.width <= begin[which + 1]
             pos, which = pos[whole], which[whole]
-            yield rows, buf, begin, pos, names.at(pos, self.width) >> np.uint64(64 - NAME_BITS), self.rank[rows][which]
+            yield rows, buf, begin, pos.astype(np.int32), names.at(pos, self.width) >> np.uint64(64 - NAME_BITS), self.rank[rows][which]
 
     def suffix_names(self) -> tuple[np.ndarray, np.ndarray]:
         """Distinct names of those suffixes and the smallest document rank of each."""
@@ -245,7 +267,22 @@ class Chunk:
 
 def _joined(found: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
     names, ranks = zip(*found) if found else ([], [])
-    return np.concatenate([np.zeros(0, np.uint64), *names]), np.concatenate([np.zeros(0, np.int64), *ranks])
+    return np.concatenate([np.zeros(0, np.uint64), *names]), np.concatenate([np.zeros(0, np.int32), *ranks])
+
+
+def _flags(kind: int, name: np.ndarray, owner: np.ndarray) -> np.ndarray:
+    """For each name whether another chunk has it, or one of smaller order."""
+    if not len(name):
+        return np.zeros(0, bool)
+    order = np.lexsort((owner, name)) if kind == EARLIER else np.argsort(name)
+    name, owner = name[order], owner[order]
+    fresh_name = np.r_[True, name[1:] != name[:-1]]
+    flag = np.zeros(len(name), bool)
+    if kind == EARLIER:
+        flag[order] = owner > owner[np.flatnonzero(fresh_name)[np.cumsum(fresh_name) - 1]]
+    else:
+        flag[order] = ~(fresh_name & np.r_[fresh_name[1:], True])
+    return flag
 
 
 def _bucket_reply(kind: int, place: np.ndarray):
@@ -259,15 +296,10 @@ def _bucket_reply(kind: int, place: np.ndarray):
         lists = [unpacked(x) for x in table.column("names").to_pylist()]
         size = np.array([len(x) for x in lists])
         name, owner = np.concatenate(lists), np.repeat(place[chunk], size)
-        order = np.lexsort((owner, name)) if kind == EARLIER else np.argsort(name)
-        sorted_name = name[order]
-        fresh_name = np.r_[True, sorted_name[1:] != sorted_name[:-1]]
+        del lists
         flag = np.zeros(len(name), bool)
-        if kind == EARLIER:  # a chunk of smaller order has the same name
-            first = np.flatnonzero(fresh_name)[np.cumsum(fresh_name) - 1]
-            flag[order] = owner[order] > owner[order][first]
-        else:  # another chunk has it
-            flag[order] = ~(fresh_name & np.r_[fresh_name[1:], True])
+        for part in ranges(name):
+            flag[part] = _flags(kind, name[part], owner[part])
         at = np.r_[0, np.cumsum(size)]
         rows = [(int(c), np.packbits(flag[a:z]).tobytes()) for c, a, z in zip(chunk, at, at[1:]) if flag[a:z].any()]
         bucket = table.column("bucket")[0].as_py()
@@ -293,7 +325,7 @@ class Dealer:
         for i, n in parts.items():
             count[self.range_of(np.array([i]))[0]] = n
         self.first = np.r_[0, np.cumsum(count)].astype(np.int32)
-        self.order = np.repeat(np.arange(len(count)), count)
+        self.order = np.repeat(np.arange(len(count), dtype=np.int32), count)
 
     def range_of(self, ids: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.bounds, ids, "right")
@@ -362,7 +394,8 @@ def dealer(rows: DataFrame, total: int, chunk_bytes: int) -> Dealer:
                 yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids[at : at + 1000], times[at : at + 1000]))], names=["doc_id"])
 
     count = max(2, -(-rest // chunk_bytes))
-    return Dealer(_bounds(sizes.mapInArrow(sampled, "doc_id long"), count), parts)
+    # kept: the bounds take it through Python again, and a task that runs two Python steps holds two workers
+    return Dealer(_bounds(checkpointed(sizes.mapInArrow(sampled, "doc_id long")), count), parts)
 
 
 def remove_repeats(
